@@ -123,6 +123,7 @@ class ByteBpe:
             raise ValueError("ids must be in the order of the merges")
         self.bpe = tiktoken.Encoding("file", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
         self.token = {i: b for b, i in ranks.items()} | {i: s.encode() for s, i in self.special.items()}
+        self.sizes_by_id = np.array([len(self.token.get(i, b"")) for i in range(max(self.token) + 1)])
         self.marks = [(s.encode(), i) for s, i in self.special.items()]
         self.clear()
 
@@ -224,14 +225,6 @@ class ByteBpe:
             out.append(np.concatenate([np.zeros(0, np.uint32), *parts]))
         return np.concatenate([np.zeros(0, np.uint32), *out]), np.array([len(x) for x in out], np.int64)
 
-    @property
-    def sizes(self) -> np.ndarray:
-        """Bytes of each token by id."""
-        out = np.zeros(max(self.token) + 1, np.int64)
-        for i, b in self.token.items():
-            out[i] = len(b)
-        return out
-
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that aren't UTF-8 become U+FFFD."""
         return b"".join(map(self.token.__getitem__, ids.tolist())).decode("utf-8", "replace")
