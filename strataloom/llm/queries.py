@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataloom.llm import bpe, chat, fingerprints, packing, simhash, substring_dedup, suffix_dedup, toxicity
+from strataloom.llm import ann, bpe, chat, fingerprints, packing, pii, simhash, substring_dedup, suffix_dedup, toxicity
 from strataloom.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).drop("n_spans")
 
@@ -40,9 +44,13 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_fingerprints, op3_bpe, op4_chat, op5_toxicity, op7_substring_dedup, op8_simhash, op10_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_fingerprints, op3_bpe, op4_chat, op5_toxicity, op6_neighbours, op7_substring_dedup, op8_simhash, op9_personal_data, op10_packing)}
 ORACLE_SQL: dict[str, str] = {}
