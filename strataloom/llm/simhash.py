@@ -9,7 +9,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataloom.llm.common import U64, even_keys, mixed, partitions, pieces, prepare, stored, utf8, words
@@ -55,14 +55,24 @@ def fingerprints(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def _fingerprint(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _fingerprint(width: int, texts: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fingerprints(batch["text"], width).view(np.int64))], ["doc_id", "fp"])
+            names = [c for c in batch.schema.names if texts or c != "text"]
+            fp = pa.array(fingerprints(batch["text"], width).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in names], fp], [*names, "fp"])
 
     return of_partition
 
 
+def _fingerprinted(docs: DataFrame, width: int, texts: bool, carried: tuple[str, ...]) -> DataFrame:
+    """A scratch table of doc_id, fp and, if asked for, text and the carried columns with a leading underscore."""
+    prepare(docs.sparkSession)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"_{c}") for c in carried])
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if texts or f.name != "text"]
+    return stored(own.mapInArrow(_fingerprint(width, texts), ", ".join([*fields, "fp long"])), "fingerprints")[0]
+
+
 # --- links -----------------------------------------------------------------------------------------
 
 
@@ -203,13 +213,30 @@ def simhash_groups(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS)
     distinct fingerprints, so copies cost one row. component_id is the smallest doc_id reachable over links of `radius`
     bits or fewer; null ids count only where there is no other. Repeated rows each return. No rows give no rows.
     """
-    spark = docs.sparkSession
-    prepare(spark)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    fp, _ = stored(own.mapInArrow(_fingerprint(width), "doc_id long, fp long"), "fingerprints")
+    fp = _fingerprinted(docs, width, False, ())
+    by_fp = _component_of(fp, radius)
+    return fp.join(by_fp, "fp", "left").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _component_of(fp: DataFrame, radius: int) -> DataFrame:
+    """fp, component_id and root (a fingerprint for each component) of each distinct fingerprint."""
     first = fp.groupBy("fp").agg(F.min("doc_id").alias("least"))
     links, _ = linked(first, radius)
     root = first.join(links, first.fp == links.u, "left").select("fp", "least", F.coalesce("v", "fp").alias("root"))
     least = root.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = root.join(least, "root").select("fp", "component_id")
-    return fp.join(by_fp, "fp", "left").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return root.join(least, "root").select("fp", "component_id", "root")
+
+
+def one_of_each(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text and the carried columns of one row of each group: that of the least doc_id.
+
+    Of several rows with that id, the one of the least fingerprint stays, then of the least text. See simhash_groups().
+    """
+    fp = _fingerprinted(docs, width, True, carried)
+    ids = fp.select("doc_id", "fp").distinct()
+    own = ids.join(_component_of(ids, radius), "fp")
+    stays = own.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(F.struct("doc_id", "fp")).alias("k")).select(F.col("k.doc_id").alias("id"), F.col("k.fp").alias("kept_fp"))
+    same = fp.doc_id.eqNullSafe(stays.id) & (fp.fp == stays.kept_fp)
+    first = F.row_number().over(Window.partitionBy("doc_id", "fp").orderBy("text"))
+    kept = fp.join(stays, same, "left_semi").withColumn("nth", first).where("nth = 1")
+    return kept.select("doc_id", "text", *[F.col(f"_{c}").alias(c) for c in carried])

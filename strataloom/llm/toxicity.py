@@ -136,21 +136,29 @@ def trained(docs: DataFrame, labels: DataFrame, *, most_rows: int = MOST_ROWS) -
 def _score(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = shared.value.score(batch["text"].to_pylist())
-            names = [x for x in batch.schema.names if x != "text" or "_text" in batch.schema.names]
-            yield pa.RecordBatch.from_arrays([*[batch[x] for x in names], pa.array(score)], [*names, "score"])
+            score = pa.array(shared.value.score(batch["text"].to_pylist()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, score], [*batch.schema.names, "score"])
 
     return of_partition
 
 
+def scored(docs: DataFrame, labels: DataFrame, *, carried: tuple[str, ...] = (), most_rows: int = MOST_ROWS) -> DataFrame:
+    """doc_id, text, the carried columns with a leading underscore, and score, by a classifier trained on the labels."""
+    model = docs.sparkSession.sparkContext.broadcast(trained(docs, labels, most_rows=most_rows))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"_{c}") for c in carried])
+    return own.mapInArrow(_score(model), ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema], "score double"]))
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, most_rows: int = MOST_ROWS) -> DataFrame:
     """doc_id, held_out, score and predicted of each row.
 
     Null texts are empty; an empty text has the score of the bias alone. A null doc_id isn't held out. Of a doc_id's
     several labels the largest counts, null labels don't. Repeated rows each return. No rows give no rows.
     """
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(trained(docs, labels, most_rows=most_rows))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = own.mapInArrow(_score(model), "doc_id long, score double")
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scored(docs, labels, most_rows=most_rows).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text and the carried columns of the rows that score below the threshold; see toxicity()."""
+    kept = scored(docs, labels, carried=carried).where(F.col("score") < threshold)
+    return kept.select("doc_id", "text", *[F.col(f"_{c}").alias(c) for c in carried])
