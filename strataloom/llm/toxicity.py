@@ -10,13 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.llm.common import prepare
+from strataloom.llm.common import dropped, prepare, stored
 
-ORDERS, BITS, FEATURES = (3, 4, 5), 18, 2048
+ORDERS, BITS, FEATURES = (3, 4, 5), 18, 96
 #: The classifier is fitted on so many labelled rows at most, those of the least hash; all texts are scored.
 MOST_ROWS = 6000
+CHUNK, TRAIN_TASKS = 1 << 12, 8
 THRESHOLD, HELD_OUT = 0.3, 2
-SHARE = 1000.0  # features are occurrences in so many n-grams
+SHARE, MOST = 1000.0, 5.0  # features are occurrences in so many n-grams, and count so much at most
 
 
 def characters(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -39,8 +40,9 @@ def grams(code: np.ndarray, order: int) -> np.ndarray:
 
 @dataclass
 class Classifier:
-    """weight of each bucket, log-count ratio included, and the bias."""
+    """place of each bucket among the features (-1: none), the features' weights, log-count ratio included, and the bias."""
 
+    place: np.ndarray
     weight: np.ndarray
     bias: float
 
@@ -50,69 +52,89 @@ class Classifier:
         i = 0
         while i < len(texts):  # about a quarter of a million characters at a time
             j = max(i + 1, int(np.searchsorted(size, (size[i - 1] if i else 0) + (1 << 18), "right")))
-            out[i:j] = self._score(texts[i:j])
+            out[i:j] = self._sums(texts[i:j])
             i = j
         return 1 / (1 + np.exp(-np.clip(out + self.bias, -500, 500)))
 
-    def _score(self, texts: list[str | None]) -> np.ndarray:
+    def _sums(self, texts: list[str | None]) -> np.ndarray:
         code, off = characters(texts)
-        total, n = np.zeros(len(texts)), np.zeros(len(texts))
+        found, n, features = [], np.zeros(len(texts)), max(1, len(self.weight))
         for order in ORDERS:
-            w = np.append(0.0, np.cumsum(self.weight[grams(code, order)], dtype=np.float64))
-            stop = np.maximum(off[1:] - order + 1, off[:-1])
-            total += w[np.minimum(stop, len(w) - 1)] - w[np.minimum(off[:-1], len(w) - 1)]
-            n += stop - off[:-1]
-        return SHARE * total / np.maximum(n, 1)
-
-
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A labelled text's buckets and their counts."""
+            place = self.place[grams(code, order)]
+            at = np.flatnonzero(place >= 0)
+            text = np.searchsorted(off, at, "right") - 1
+            inside = at + order <= off[text + 1]
+            found.append(text[inside] * features + place[at[inside]])
+            n += np.maximum(np.diff(off) - order + 1, 0)
+        key, count = np.unique(np.concatenate(found), return_counts=True)
+        text, feature = np.divmod(key, features)
+        return np.bincount(text, self.weight[feature] * np.minimum(MOST, SHARE * count / n[text]), len(texts)) if len(key) else np.zeros(len(texts))
+
+
+def _buckets(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """A text's buckets and the number of n-grams in each."""
+    code, _ = characters([text])
+    return np.unique(np.concatenate([grams(code, order) for order in ORDERS]), return_counts=True)
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many clean and toxic texts of a partition have each bucket: a row for each CHUNK buckets."""
+    has = np.zeros((2, 1 << BITS), np.int64)
     for batch in batches:
         for text, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist(), strict=True):
-            code, _ = characters([text])
-            all_ = np.concatenate([grams(code, order) for order in ORDERS])
-            bucket, n = np.unique(all_, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([label], pa.int32()), pa.array([len(all_)]), pa.array([bucket.astype(np.int32)], pa.list_(pa.int32())), pa.array([n.astype(np.int32)], pa.list_(pa.int32()))], ["label", "size", "bucket", "n"])
+            has[label][_buckets(text)[0]] += 1
+    starts = range(0, 1 << BITS, CHUNK)
+    yield pa.RecordBatch.from_arrays([pa.array(starts, pa.int32()), pa.array([has[:, i : i + CHUNK].tobytes() for i in starts], pa.binary())], ["chunk", "has"])
 
 
-def fit(label: np.ndarray, size: np.ndarray, buckets: list[np.ndarray], counts: list[np.ndarray], *, steps: int = 200, penalty: float = 2e-3) -> Classifier:
-    """Log-count ratios over the rows that have a bucket, then a logistic regression on the FEATURES that tell most.
+def _summed(rows: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x, np.int64) for x in rows["has"].to_pylist())
+    return pa.table({"chunk": pa.array([rows["chunk"][0].as_py()], pa.int32()), "has": pa.array([total.tobytes()], pa.binary())})
 
-    Without both labels there is nothing to learn: every score is then the share of toxic rows, smoothed.
-    """
-    y = (label > 0).astype(np.float64)
-    has = np.ones((2, 1 << BITS))
-    for t, b in zip(y.astype(int), buckets, strict=True):
-        has[t][b] += 1
-    clean, toxic = has
-    n = np.array([len(y) - y.sum(), y.sum()]) + 2
-    prior = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
-    if min(n) <= 2:
-        return Classifier(np.zeros(1 << BITS, np.float32), prior)
-    ratio = np.log(toxic / n[1]) - np.log(clean / n[0])
-    expected = (clean + toxic - 2) * n[1] / n.sum()
-    tells = np.where(clean + toxic > 4, np.abs(toxic - 1 - expected) / np.sqrt(expected + 1), 0)
-    chosen = np.sort(np.argsort(-tells, kind="stable")[:FEATURES])
+
+def _shares(chosen: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A labelled text's values of the chosen features."""
     place = np.full(1 << BITS, -1)
     place[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(y), len(chosen)), np.float32)
-    for i, (b, c) in enumerate(zip(buckets, counts, strict=True)):
-        at = place[b]
-        x[i, at[at >= 0]] = SHARE * c[at >= 0] / size[i]
-    x *= ratio[chosen]
-    x = x.astype(np.float32)
-    w, b = np.zeros(len(chosen), np.float32), np.float32(prior)
+
+    def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for text in batch["text"].to_pylist():
+                bucket, n = _buckets(text)
+                at, x = place[bucket], np.zeros(len(chosen), np.float32)
+                x[at[at >= 0]] = np.minimum(MOST, SHARE * n[at >= 0] / n.sum())
+                rows.append(x.tobytes())
+            yield pa.RecordBatch.from_arrays([batch["label"], pa.array(rows, pa.binary())], ["label", "x"])
+
+    return of_partition
+
+
+def told(has: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The FEATURES buckets that tell most, and each one's log-count ratio, from how many texts of each label have it."""
+    n = texts + 2
+    ratio = np.log((has[1] + 1) / n[1]) - np.log((has[0] + 1) / n[0])
+    expected = has.sum(axis=0) * n[1] / n.sum()
+    tells = np.where(has.sum(axis=0) > 4, np.abs(has[1] - expected) / np.sqrt(expected + 1), 0)
+    chosen = np.sort(np.argsort(-tells, kind="stable")[:FEATURES])
+    return chosen, ratio[chosen]
+
+
+def fit(y: np.ndarray, x: np.ndarray, chosen: np.ndarray, ratio: np.ndarray, *, steps: int = 200, penalty: float = 0.03) -> Classifier:
+    """A logistic regression on the chosen features, scaled by their log-count ratios (Adam on the whole sample)."""
+    x = (x * ratio).astype(np.float32)
+    w, b = np.zeros(len(chosen), np.float32), np.float32(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     m, v, m_b, v_b = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
-    for step in range(1, steps + 1):  # Adam on the whole sample
+    for step in range(1, steps + 1):
         off = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - y
         g, g_b = (x.T @ off.astype(np.float32)) / len(y) + penalty * w, float(off.mean())
         m, v, m_b, v_b = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g, 0.9 * m_b + 0.1 * g_b, 0.99 * v_b + 0.01 * g_b * g_b
-        rate, fix_m, fix_v = 0.03, 1 - 0.9**step, 1 - 0.99**step
-        w = w - rate * (m / fix_m) / (np.sqrt(v / fix_v) + 1e-8)
-        b = b - rate * (m_b / fix_m) / (np.sqrt(v_b / fix_v) + 1e-8)
-    weight = np.zeros(1 << BITS, np.float32)
-    weight[chosen] = w * ratio[chosen]
-    return Classifier(weight, float(b))
+        fix_m, fix_v = 1 - 0.9**step, 1 - 0.99**step
+        w = w - 0.03 * (m / fix_m) / (np.sqrt(v / fix_v) + 1e-8)
+        b = b - 0.03 * (m_b / fix_m) / (np.sqrt(v_b / fix_v) + 1e-8)
+    place = np.full(1 << BITS, -1)
+    place[chosen] = np.arange(len(chosen))
+    return Classifier(place, w * ratio, float(b))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -121,16 +143,31 @@ def held_out(doc_id: Column) -> Column:
 
 
 def trained(docs: DataFrame, labels: DataFrame, *, most_rows: int = MOST_ROWS) -> Classifier:
-    """Fits a classifier on labelled rows that aren't held out, `most_rows` at most."""
-    prepare(docs.sparkSession)
+    """Fits a classifier on labelled rows that aren't held out, `most_rows` at most.
+
+    Copies of a text are one text, of the label that most of them have (ties: 1). Without both labels there is nothing to
+    learn: every score is then the share of toxic texts, smoothed. The driver gets fixed-size counts, and FEATURES numbers
+    for each row.
+    """
+    spark = docs.sparkSession
+    prepare(spark)
     id_ = F.col("doc_id").cast("long")
     known = labels.select(id_.alias("doc_id"), F.col("toxic").cast("int").alias("label")).where("doc_id IS NOT NULL AND label IS NOT NULL").where(~held_out(F.col("doc_id")))
-    some = known.groupBy("doc_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
-    texts = docs.select(id_.alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id").select("text", "label")
-    # A row of features has a few thousand numbers at most BITS wide; the rows are bounded by most_rows.
-    got = texts.mapInArrow(_features, "label int, size long, bucket array<int>, n array<int>").orderBy(F.xxhash64("bucket")).limit(most_rows).toArrow()
-    each = lambda c: [x.values.to_numpy() for x in got[c]]
-    return fit(got["label"].to_numpy(), got["size"].to_numpy(), each("bucket"), each("n"))
+    some = known.groupBy("doc_id").agg((F.max("label") > 0).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
+    texts = docs.select(id_.alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(some), "doc_id")
+    texts = texts.groupBy(F.md5("text").alias("digest")).agg(F.first("text").alias("text"), (F.avg("label") >= 0.5).cast("int").alias("label"))
+    rows, at = stored(texts.select("digest", "text", "label"), "labelled")
+    n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    if min(n.get(0, 0), n.get(1, 0)) == 0:
+        return Classifier(np.full(1 << BITS, -1), np.zeros(0), float(np.log((n.get(1, 0) + 1) / (n.get(0, 0) + 1))))
+    rows = rows.repartition(TRAIN_TASKS)
+    sums = rows.select("text", "label").mapInArrow(_frequencies, "chunk int, has binary").groupBy("chunk").applyInArrow(_summed, "chunk int, has binary").collect()
+    has = np.concatenate([np.frombuffer(r["has"], np.int64).reshape(2, CHUNK) for r in sorted(sums, key=lambda r: r["chunk"])], axis=1)
+    chosen, ratio = told(has, np.array([n[0], n[1]]))
+    got = rows.select("label", "text", "digest").sortWithinPartitions("digest").select("label", "text").mapInArrow(_shares(chosen), "label int, x binary").orderBy("label", "x").collect()
+    dropped(spark, at)
+    y = np.array([r["label"] for r in got], np.float64)
+    return fit(y, np.stack([np.frombuffer(r["x"], np.float32) for r in got]), chosen, ratio)
 
 
 def _score(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
