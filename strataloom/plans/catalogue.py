@@ -1,12 +1,21 @@
-"""Every registered query of the record operators, with its DuckDB equivalent."""
+"""Every registered query of the record operators, with its DuckDB equivalent.
+
+The driver's tables have no author lists, DOIs or announcements, so queries that need them derive them from the rows by the
+same expression on both sides.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataloom import session
+from strataloom.functions import authors, html, jsonx, links, prompts, text
+from strataloom.operators import breaker, calendar, enrich, feeds, quality, records
+from strataloom.sources import sinks
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -24,10 +33,537 @@ def query(sql: str | None = None):
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    session.importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def both(column: str) -> Column:
+    """An expression that both engines read alike."""
+    return F.expr(column)
+
+
+# --- derived inputs ---------------------------------------------------------------------------------
+
+LINK = """CASE doc_id % 9 WHEN 0 THEN concat('10.1103/', cast(doc_id AS STRING)) WHEN 1 THEN concat(' https://arxiv.org/abs/2601.', cast(10000 + doc_id % 90000 AS STRING), 'v2 ')
+ WHEN 2 THEN '' WHEN 3 THEN NULL WHEN 4 THEN concat('http://x.org/2101.12345/', cast(doc_id AS STRING)) WHEN 5 THEN concat('arXiv:2501.', cast(1000 + doc_id % 9000 AS STRING))
+ WHEN 6 THEN '2412.00001v3' WHEN 7 THEN 'https://ARXIV.org/pdf/cond-mat/0703124v1' ELSE 'arXiv:cond-mat/0703124' END"""
+URL = """concat(url, CASE page_id % 6 WHEN 0 THEN '/feed.xml' WHEN 1 THEN '/data/x.js?v=1' WHEN 2 THEN '/daily/2026-01-01.html' WHEN 3 THEN '/weekly/a.html#top' WHEN 4 THEN '/index.json' ELSE '/style.css' END)"""
+SUMMARY = """CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN concat('  ', substring(text, 1, 300), '  ') WHEN 2 THEN concat(substring(text, 1, 30), '摘要信息不足') WHEN 3 THEN NULL ELSE concat('亮点', substring(text, 1, 40)) END"""
+AUTHORS = """CASE doc_id % 8 WHEN 0 THEN 'Alice Smith, Bob Jones, and Carol King' WHEN 1 THEN 'A. One; B. Two & C. Three, Jr.' WHEN 2 THEN '' WHEN 3 THEN 'Li Wei (MIT), Ana Sol https://ror.org/x, y'
+ WHEN 4 THEN concat('Author', cast(doc_id AS STRING), ' and  Other  Name') WHEN 5 THEN 'A, B, C, D, E, F, G, H' WHEN 6 THEN ';;' ELSE concat('Team ', source, ', PhD') END"""
+ANNOUNCED = """concat(CASE doc_id % 4 WHEN 0 THEN 'arXiv:2608.28719v1 Announce Type: replace-cross Abstract: ' WHEN 1 THEN 'arXiv:2604.20821v3 发布类型：替换 摘要：' WHEN 2 THEN 'Nature Electronics, Published online: 14 September 2026; doi:10.1/x ' ELSE 'arXiv 数据集 ' END, substring(text, 1, 80))"""
+LATEX = """concat(CASE doc_id % 4 WHEN 0 THEN '$\\\\omega$ and $\\\\lambda \\\\leq 5$ ' WHEN 1 THEN '$\\\\rho$, \\\\chi 4\\\\times10 ' WHEN 2 THEN '\\\\ss and \\\\o and \\\\AA and \\\\L ' ELSE 'Mn$_2$Ru$_{1-x}$Ga 10^10 50\\\\% ' END, source)""".replace("\\\\", "\\")
+ITEM = f"""SELECT doc_id, source, text AS abstract, {SUMMARY} AS one_sentence_summary, CASE WHEN doc_id % 4 = 0 THEN '中文摘要' ELSE '' END AS abstract_zh FROM documents"""
+KEYWORDS = ["tion", "heit"]
+GROUPS = {"神经网络势·电子结构": ["idiot", "enden"], "AI × 物理/材料/化学": ["queeau", "ación", "theand"]}
+REST = "其他物理/材料"
+TEMPLATE = "标题 $title 作者 ${authors} 年 $year 未知 $unknown 正文 $context 摘要 $abstract"
+
+
+def duck(sql: str) -> str:
+    """Both engines' SQL but for the name of the string type."""
+    return sql.replace("AS STRING", "AS VARCHAR")
+
+
+def documents(spark: SparkSession, sf_dir: str, **columns: str) -> DataFrame:
+    """doc_id, source, lang and text of documents with derived columns."""
+    literal = {"spark.sql.parser.escapedStringLiterals": "true"}
+    before = {k: spark.conf.get(k) for k in literal}
+    for k, v in literal.items():  # so that a backslash in SQL text is one, as in DuckDB
+        spark.conf.set(k, v)
+    try:
+        return read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", *[both(v).alias(k) for k, v in columns.items()])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+# --- counts (A1-A3, A8) -------------------------------------------------------------------------------
+
+
 @query("SELECT CASE WHEN source LIKE 'src1%' THEN 'arXiv' ELSE '期刊' END AS kind, count(*) AS n FROM documents GROUP BY 1")
 def source_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.when(F.col("source").startswith("src1"), "arXiv").otherwise("期刊")
-    return read(spark, sf_dir, "documents").groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
+    return feeds.counts(read(spark, sf_dir, "documents"), feeds.source_kind(F.col("source"), F.col("source").startswith("src1")))
+
+
+@query("SELECT coalesce(CASE WHEN doc_id % 3 = 0 THEN lang END, source) AS kind, count(*) AS n FROM documents GROUP BY 1")
+def topic_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = documents(spark, sf_dir, classify_taxonomy="CASE WHEN doc_id % 3 = 0 THEN lang END")
+    return feeds.counts(items, F.coalesce("classify_taxonomy", "source"))
+
+
+def _groups_sql(column: str) -> str:
+    cases = " ".join(f"WHEN {' OR '.join(f"contains(lower({column}), '{w}')" for w in words)} THEN '{name}'" for name, words in GROUPS.items())
+    return f"CASE {cases} ELSE '{REST}' END"
+
+
+@query(f"SELECT {_groups_sql('text')} AS kind, count(*) AS n FROM documents GROUP BY 1")
+def priority_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feeds.counts(read(spark, sf_dir, "documents"), enrich.first_match(F.lower("text"), GROUPS, REST))
+
+
+@query("SELECT source AS journal, count(*) AS n, min(doc_id) AS first_id, sum(n_chars) AS chars FROM documents GROUP BY 1".replace("sum(n_chars)", "cast(sum(n_chars) AS BIGINT)"))
+def journal_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").groupBy(F.col("source").alias("journal")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"), F.sum("n_chars").alias("chars"))
+
+
+# --- links and identifiers (X1, X2, X24, X26-X28, F11-F13, N1) -----------------------------------------
+
+_NORM = "CASE WHEN l = '' OR starts_with(l, 'http://') OR starts_with(l, 'https://') THEN l ELSE 'https://doi.org/' || l END"
+
+
+@query(duck(f"WITH d AS (SELECT doc_id, trim(coalesce({LINK}, '')) AS l FROM documents) SELECT doc_id, {_NORM} AS link FROM d"))
+def normalize_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir, raw=LINK).select("doc_id", links.normalize_link(F.col("raw")).alias("link"))
+
+
+@query(
+    duck(f"""WITH d AS (SELECT doc_id, trim(coalesce({LINK}, '')) AS l FROM documents),
+ m AS (SELECT *, regexp_extract(l, 'arxiv\\.org/(?:abs|pdf|html)/([a-z-]+/[0-9]{{7}})', 1, 'i') AS o, regexp_extract(l, '([0-9]{{4}}\\.[0-9]{{4,5}})', 1) AS n FROM d)
+ SELECT doc_id, CASE WHEN o <> '' THEN o WHEN contains(lower(l), 'arxiv.org') OR starts_with(lower(l), 'arxiv:') OR regexp_full_match(l, '[0-9]{{4}}\\.[0-9]{{4,5}}(v[0-9]+)?') THEN n ELSE '' END AS arxiv_id FROM m""")
+)
+def arxiv_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir, raw=LINK).select("doc_id", links.arxiv_id(F.col("raw")).alias("arxiv_id"))
+
+
+@query(
+    duck(f"""WITH p AS (SELECT page_id, regexp_extract({URL}, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path FROM pages)
+ SELECT page_id, path, (path LIKE '%.json' OR path LIKE '%.xml' OR contains(path, '/data/') OR ((contains(path, '/daily/') OR contains(path, '/weekly/')) AND path LIKE '%.html')) AS network_first FROM p""")
+)
+def route_network_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read(spark, sf_dir, "pages").select("page_id", links.url_path(both(URL)).alias("path"))
+    return p.withColumn("network_first", links.is_network_first(F.col("path")))
+
+
+@query("""WITH p AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'POST' ELSE 'GET' END AS method, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) AS o FROM pages)
+ SELECT o AS origin, count(*) AS n FROM p WHERE method = 'GET' GROUP BY 1""")
+def request_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read(spark, sf_dir, "pages").withColumn("method", both("CASE WHEN page_id % 3 = 0 THEN 'POST' ELSE 'GET' END")).withColumn("origin", links.origin(F.col("url")))
+    return p.where((F.col("method") == "GET") & (F.col("origin") == links.origin(F.col("url")))).groupBy("origin").agg(F.count("*").alias("n"))
+
+
+@query("SELECT 'cache-' || source AS name, count(*) AS n FROM documents WHERE source NOT IN ('src1', 'src2') GROUP BY 1")
+def cache_eviction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = read(spark, sf_dir, "documents").select(F.concat(F.lit("cache-"), "source").alias("name"))
+    return names.where(~F.col("name").isin("cache-src1", "cache-src2")).groupBy("name").agg(F.count("*").alias("n"))
+
+
+@query("""WITH p AS (SELECT page_id, rtrim(url || CASE page_id % 3 WHEN 0 THEN '/v1' WHEN 1 THEN '/v1//' ELSE '/chat/completions' END, '/') AS b FROM pages)
+ SELECT page_id, CASE WHEN b LIKE '%/chat/completions' THEN b ELSE b || '/chat/completions' END AS chat_url FROM p""")
+def chat_url(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = both("concat(url, CASE page_id % 3 WHEN 0 THEN '/v1' WHEN 1 THEN '/v1//' ELSE '/chat/completions' END)")
+    return read(spark, sf_dir, "pages").select("page_id", links.chat_url(base).alias("chat_url"))
+
+
+_ID = "substring(md5(substring(text, 1, 60) || coalesce(nullif(doi, ''), link, '')), 1, 12)"
+_DOI = "CASE WHEN doc_id % 3 = 0 THEN concat('10.1/', source) ELSE '' END"
+
+
+@query(duck(f"WITH d AS (SELECT doc_id, text, {_DOI} AS doi, {LINK} AS link FROM documents) SELECT doc_id, {_ID} AS article_id FROM d"))
+def article_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir, doi=_DOI, link=LINK)
+    return d.select("doc_id", links.article_id(F.substring("text", 1, 60), F.col("doi"), F.col("link")).alias("article_id"))
+
+
+@query("SELECT md5(text) AS id, min(doc_id) AS doc_id, arg_min(source, doc_id) AS source FROM documents GROUP BY 1")
+def dedupe_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents").select(F.md5("text").alias("id"), "doc_id", "source")
+    return records.dedupe_by(d, "id", "doc_id")
+
+
+@query(duck(f"""WITH a AS (SELECT doc_id, trim(coalesce({LINK}, '')) AS l FROM documents), n AS (SELECT doc_id, {_NORM} AS link_norm FROM a), p AS (SELECT page_id, 'https://doi.org/10.1103/' || page_id AS link_norm FROM pages)
+ SELECT n.link_norm, doc_id, page_id FROM n JOIN p ON n.link_norm = p.link_norm WHERE n.link_norm <> ''"""))
+def link_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir, link=LINK).select("doc_id", "link")
+    p = read(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("10.1103/"), F.col("page_id").cast("string")).alias("page_link"))
+    return records.join_on_links(d, p, "link", "page_link").select("link_norm", "doc_id", "page_id")
+
+
+@query("SELECT event_id, CASE WHEN n IN ('localkimi', 'local-kimi', 'lk') THEN 'local' ELSE n END AS provider FROM (SELECT event_id, lower(trim(CASE event_id % 4 WHEN 0 THEN ' LocalKimi ' WHEN 1 THEN 'LK' WHEN 2 THEN event_type ELSE coalesce(NULL, '') END)) AS n FROM events)")
+def provider_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = both("CASE event_id % 4 WHEN 0 THEN ' LocalKimi ' WHEN 1 THEN 'LK' WHEN 2 THEN event_type ELSE NULL END")
+    return read(spark, sf_dir, "events").select("event_id", links.provider_name(raw).alias("provider"))
+
+
+@query("SELECT page_id, nullif(replace(p, 'docs/', ''), '') AS image, 'docs/images/posters/' || coalesce(nullif(doc, ''), 'unknown') || '.webp' AS path FROM (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 'docs/docs/' WHEN 1 THEN 'docs/images/posters/' || page_id || '.webp' END AS p, CASE WHEN page_id % 4 = 0 THEN '' ELSE cast(page_id AS VARCHAR) END AS doc FROM pages)")
+def poster_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read(spark, sf_dir, "pages").select("page_id", both("CASE page_id % 3 WHEN 0 THEN 'docs/docs/' WHEN 1 THEN concat('docs/images/posters/', page_id, '.webp') END").alias("p"), both("CASE WHEN page_id % 4 = 0 THEN '' ELSE cast(page_id AS STRING) END").alias("doc"))
+    return p.select("page_id", links.without_docs(F.col("p")).alias("image"), F.concat(F.lit("docs/images/posters/"), F.coalesce(F.nullif("doc", F.lit("")), F.lit("unknown")), F.lit(".webp")).alias("path"))
+
+
+# --- texts (X3-X5, X17-X23, F2, F4, F6, E4) --------------------------------------------------------------
+
+_CLEAN = "CASE WHEN contains(t, '摘要信息不足') OR contains(t, '需查阅原文确认具体方法与结论') THEN '' WHEN length(t) > 120 THEN regexp_replace(substring(t, 1, 120), '\\s+$', '') || '…' ELSE t END"
+
+
+def _clean_sql(column: str, name: str, source: str) -> str:
+    return f"SELECT *, {_CLEAN} AS {name} FROM (SELECT *, regexp_replace(coalesce({column}, ''), '^\\s+|\\s+$', '', 'g') AS t FROM ({source}))"
+
+
+@query(duck(f"SELECT doc_id, highlight FROM ({_clean_sql('s', 'highlight', f'SELECT doc_id, {SUMMARY} AS s FROM documents')})"))
+def clean_highlight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir, s=SUMMARY).select("doc_id", text.clean_highlight(F.col("s")).alias("highlight"))
+
+
+@query(duck(f"SELECT doc_id, coalesce(regexp_matches(s, '[\\x{{4e00}}-\\x{{9fff}}]'), false) AS cjk, coalesce(contains(s, '摘要信息不足'), false) AS degraded FROM (SELECT doc_id, {SUMMARY} AS s FROM documents)"))
+def has_cjk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir, s=SUMMARY).select("doc_id", text.has_cjk(F.col("s")).alias("cjk"), text.is_degraded(F.col("s")).alias("degraded"))
+
+
+@query(duck(f"""WITH d AS (SELECT doc_id, regexp_replace(coalesce(CASE WHEN contains(s, '摘要信息不足') THEN '' ELSE s END, ''), '^\\s+|\\s+$', '', 'g') AS s, zh, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS t
+   FROM (SELECT doc_id, {SUMMARY} AS s, CASE WHEN doc_id % 10 = 0 THEN '中文摘要' ELSE '' END AS zh, text FROM documents))
+ SELECT doc_id, coalesce(nullif(s, ''), nullif(zh, ''), nullif(CASE WHEN length(t) > 200 THEN regexp_replace(substring(t, 1, 200), '\\s+$', '') || '…' ELSE t END, ''), '') AS summary FROM d"""))
+def pick_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir, s=SUMMARY, zh="CASE WHEN doc_id % 10 = 0 THEN '中文摘要' ELSE '' END")
+    return d.select("doc_id", enrich.pick_summary(F.col("s"), F.col("zh"), F.lit(""), F.col("text")).alias("summary"))
+
+
+@query(duck(f"""SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(a, '^arXiv:\\S+?v[0-9]+\\s+Announce Type:\\s*[\\w-]+\\s+Abstract:\\s*', ''), '^arXiv:[^\\s；;]+?v[0-9]+[\\s；;]*(?:公告|发布|公布)类型[:：]\\s*[^\\s。：:]{{1,15}}?(?:\\s*摘要\\s*[:：]\\s*|。\\s*)', ''),
+ '^[^,，。.;]{{2,60}}, Published online: [0-9]{{1,2}} \\w+ [0-9]{{4}};\\s*doi:\\S+\\s+', '') AS abstract FROM (SELECT doc_id, {ANNOUNCED} AS a FROM documents)"""))
+def announce_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir, a=ANNOUNCED).select("doc_id", text.without_announcement(F.col("a")).alias("abstract"))
+
+
+def _latex_sql() -> str:
+    out = "l"
+    for a, b in (("\\omega", "ω"), ("\\lambda", "λ"), ("\\leq", "≤"), ("\\rho", "ρ"), ("\\chi", "χ"), ("\\times", "×"), ("\\ss ", "ß "), ("\\o ", "ø "), ("\\AA ", "Å "), ("\\L ", "Ł "), ("$", ""), ("\\%", "%"), ("_2", "₂"), ("_{1-x}", "₁₋ₓ"), ("^10", "¹⁰")):
+        out = f"replace({out}, '{a}', '{b}')"
+    return out
+
+
+@query(duck(f"SELECT doc_id, {_latex_sql()} AS title FROM (SELECT doc_id, {LATEX} AS l FROM documents)"))
+def latex_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir, l=LATEX).select("doc_id", text.formula_marks(text.latex_wrappers(text.latex_commands(F.col("l")))).alias("title"))
+
+
+@query(duck("""SELECT doc_id, replace(replace(replace('Schr"odinger caf''e Fran{c}ois {v}tefan ', '"o', 'ö'), '''e', 'é'), 'n{c}o', 'nço') || source AS name FROM documents""").replace("{v}t", "Št"))
+def text_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accents, mojibake and normal form C together: the UDF runs after built-ins have done the rest."""
+    raw = F.concat(F.lit('Schr\\"odinger caf\\\'e Fran\\c{c}ois \\v{S}tefan '), "source")
+    return read(spark, sf_dir, "documents").select("doc_id", text.normalized(raw).alias("name"))
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'è½¨' ELSE source END AS raw, CASE WHEN doc_id % 2 = 0 THEN '轨' ELSE source END AS fixed, doc_id % 2 = 0 AS damaged FROM documents")
+def mojibake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir, raw="CASE WHEN doc_id % 2 = 0 THEN 'è½¨' ELSE source END")
+    return d.select("doc_id", "raw", text.undone_mojibake(F.col("raw")).alias("fixed"), text.is_damaged(F.col("raw")).alias("damaged"))
+
+
+def _html_sql() -> str:
+    c = "regexp_replace(html, '(?s)<!--.*?-->|<![^>]*>', ' ', 'g')"
+    for tag in html.SKIPPED:
+        c = f"regexp_replace({c}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', ' ', 'g')"
+    c = f"regexp_replace({c}, '(?s)<[^>]*>', ' ', 'g')"
+    for name, sign in html.ENTITIES.items():
+        c = f"replace({c}, '{name}', '{sign.replace(chr(39), chr(39) * 2)}')"
+    return f"trim(regexp_replace({c}, '[\\s\\x{{00a0}}]+', ' ', 'g'))"
+
+
+@query(f"SELECT page_id, {_html_sql()} AS body FROM pages")
+def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "pages").select("page_id", html.html_to_text(F.col("html")).alias("body"))
+
+
+@query()
+def html_to_text_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "pages").select("page_id", html.exact_html_to_text(F.col("html")).alias("body"))
+
+
+# --- authors (X6-X9, F5, A7) --------------------------------------------------------------------------------
+
+
+@query(duck("""SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'Alice Smith|Bob Jones|Carol King' WHEN 1 THEN 'A. One|B. Two|C. Three, Jr.' WHEN 2 THEN '' WHEN 3 THEN 'Li Wei|Ana Sol' WHEN 4 THEN 'Author' || doc_id || '|Other Name'
+ WHEN 5 THEN 'A|B|C|D|E|F|G|H' WHEN 6 THEN ';;' ELSE 'Team ' || source || ', PhD' END AS names FROM documents"""))
+def author_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir, a=AUTHORS).select("doc_id", F.array_join(authors.split_names(text.compacted(F.col("a"))), "|").alias("names"))
+
+
+@query(duck("""SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'Alice Smith, Bob Jones, Carol King' WHEN 1 THEN 'A. One, B. Two, C. Three, Jr.' WHEN 2 THEN '' WHEN 3 THEN 'Li Wei, Ana Sol' WHEN 4 THEN 'Author' || doc_id || ', Other Name'
+ WHEN 5 THEN 'A, B, C, D, E, F 等8位作者' WHEN 6 THEN ';;' ELSE 'Team ' || source || ', PhD' END AS label FROM documents"""))
+def authors_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir, a=AUTHORS)
+    return d.select("doc_id", authors.authors_label(authors.author_names(F.array("a"))).alias("label"))
+
+
+@query("""WITH c AS (SELECT doc_id, string_split(substring(source || lang, 1, CASE WHEN doc_id % 2 = 0 THEN 20 ELSE 5 END), '') AS s FROM documents)
+ SELECT doc_id, length(array_to_string(s, '')) >= 8 AS stream FROM c""")
+def char_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir, s="substring(concat(source, lang), 1, CASE WHEN doc_id % 2 = 0 THEN 20 ELSE 5 END)")
+    return d.select("doc_id", authors.is_character_stream(F.split("s", "")).alias("stream"))
+
+
+@query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'A. One, ' || source WHEN 1 THEN 'plain ' || source ELSE '[not a list' END AS authors FROM documents")
+def listed_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = both("CASE doc_id % 3 WHEN 0 THEN concat('[\"A. One\", \"', source, '\"]') WHEN 1 THEN concat('plain ', source) ELSE '[not a list' END")
+    return read(spark, sf_dir, "documents").select("doc_id", authors.listed_authors(raw).alias("authors"))
+
+
+# --- filters and joins (F1, F7-F9, N5, N6) ---------------------------------------------------------------------
+
+
+@query(f"SELECT doc_id FROM documents WHERE {' OR '.join(f"contains(lower(text), '{w}')" for w in KEYWORDS)}")
+def keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.keyword_filter(read(spark, sf_dir, "documents"), F.col("text"), KEYWORDS).select("doc_id")
+
+
+@query("SELECT doc_id, source FROM documents WHERE source IN (SELECT 'src' || r_regionkey FROM region)")
+def venue_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = read(spark, sf_dir, "region").select(F.concat(F.lit("src"), "r_regionkey").alias("source"))
+    return records.allowed(read(spark, sf_dir, "documents").select("doc_id", "source"), "source", names)
+
+
+@query("SELECT doc_id, source FROM documents WHERE source NOT IN (SELECT 'src' || r_regionkey FROM region)")
+def venue_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = read(spark, sf_dir, "region").select(F.concat(F.lit("src"), "r_regionkey").alias("source"))
+    return records.excluded(read(spark, sf_dir, "documents").select("doc_id", "source"), "source", names)
+
+
+# --- classification and enrichment (E1-E6, O1, U1, T5) -----------------------------------------------------------
+
+_ANSWER = "CASE doc_id % 4 WHEN 0 THEN concat('类别：', 'AI × 物理/材料/化学', '。') WHEN 1 THEN '神经网络势·电子结构' WHEN 2 THEN '不知道' ELSE NULL END"
+
+
+@query(f"SELECT doc_id, {_groups_sql('text')} AS category FROM documents")
+def classify_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", enrich.first_match(F.lower("text"), GROUPS, REST).alias("category"))
+
+
+@query(f"""SELECT doc_id, CASE WHEN {_groups_sql('text')} <> '{REST}' THEN {_groups_sql('text')} ELSE CASE doc_id % 4 WHEN 0 THEN 'AI × 物理/材料/化学' WHEN 1 THEN '神经网络势·电子结构' ELSE '其他' END END AS category FROM documents""")
+def classify_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir, answer=_ANSWER)
+    return d.select("doc_id", enrich.classify(F.col("text"), F.col("answer"), GROUPS).alias("category"))
+
+
+@query(duck(f"SELECT doc_id, source FROM ({_clean_sql('one_sentence_summary', 'h', ITEM)}) WHERE h = '' AND abstract_zh = '' AND regexp_replace(abstract, '\\s', '', 'g') <> ''"))
+def highlight_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir, s=SUMMARY, zh="CASE WHEN doc_id % 4 = 0 THEN '中文摘要' ELSE '' END")
+    return d.where(enrich.needs_highlight(F.col("s"), F.col("zh"), F.col("text"))).select("doc_id", "source")
+
+
+@query(duck(f"""WITH c AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM ({_clean_sql('one_sentence_summary', 'h', ITEM)}) WHERE h = '' AND abstract_zh = '' AND regexp_replace(abstract, '\\s', '', 'g') <> '')
+ SELECT source, count(*) AS n, count(*) FILTER (WHERE i <= 3) AS filled FROM (SELECT d.source, c.i FROM documents d LEFT JOIN c USING (doc_id)) GROUP BY 1"""))
+def highlight_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir, one_sentence_summary=SUMMARY, abstract_zh="CASE WHEN doc_id % 4 = 0 THEN '中文摘要' ELSE '' END").withColumn("abstract", F.col("text")).withColumn("translated", F.lit("翻译"))
+    generated = read(spark, sf_dir, "documents").select("source").distinct().select("source", F.lit(2).alias("index"), F.lit("生成的亮点").alias("highlight"))
+    done = enrich.fill_highlights(d, generated, "source", "doc_id", 3)
+    return done.groupBy("source").agg(F.count("*").alias("n"), F.count("filled").alias("filled"))
+
+
+@query("""SELECT doc_id, CASE WHEN contains(lower(text), 'idiot') AND contains(lower(text), 'stupid') THEN 'A、B' WHEN contains(lower(text), 'idiot') THEN 'A' WHEN contains(lower(text), 'stupid') THEN 'B' ELSE '一般方法' END AS note FROM documents""")
+def direction_note(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", enrich.direction_note(F.col("text"), {"idiot": "A", "stupid": "B"}).alias("note"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '仅有元数据，无法确认具体方法。' ELSE '方法：一般方法' END AS method_point, CASE WHEN doc_id % 2 = 0 THEN source ELSE '短文' END AS summary FROM documents""")
+def relation_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = documents(spark, sf_dir, title_en="source", abstract="CASE WHEN doc_id % 2 = 0 THEN '' ELSE '短文' END", abstract_zh="''", summary="'摘要信息不足'", method_point="''", related_work="''", implication="''")
+    return enrich.relation_fields(d).select("doc_id", "method_point", "summary")
+
+
+# --- full texts and answers (E8, F14, S7, N3, J1-J5) ------------------------------------------------------------------
+
+
+@query("""SELECT d.doc_id, CASE WHEN length(coalesce(p.html, '')) >= 4000 THEN substring(p.html, 1, 40000) WHEN length(d.text) >= 4000 THEN substring(d.text, 1, 40000) ELSE '' END AS body,
+ CASE WHEN length(coalesce(p.html, '')) >= 4000 THEN 'html' WHEN length(d.text) >= 4000 THEN 'pdf' ELSE '' END AS mode FROM documents d LEFT JOIN pages p ON d.doc_id = p.page_id""")
+def fulltext_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d, p = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "html")
+    found = records.full_text([(F.col("html"), "html"), (F.col("text"), "pdf")])
+    return d.join(p, "doc_id", "left").select("doc_id", found.alias("f")).select("doc_id", F.col("f.text").alias("body"), F.col("f.mode").alias("mode"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'own ' || event_id WHEN cast(ts AS DATE) = DATE '2024-01-02' THEN 'day' ELSE 'default' END AS content FROM events")
+def dated_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("today"), both("CASE WHEN event_id % 3 = 0 THEN concat('own ', event_id) END").alias("own"))
+    chosen = jsonx.dated_answer(F.col("own"), F.lit("2024-01-02").cast("date"), F.lit("day"), F.col("today"))
+    return e.select("event_id", F.when(chosen == jsonx.DEFAULT_ANSWER, "default").otherwise(chosen).alias("content"))
+
+
+_REPLY = """concat('答案 {"items": [{"index": 1, "highlight": "亮点', cast(event_id AS STRING), '"}, {"index": "x", "highlight": "坏"}, {"index": 2, "highlight": "english"}, {"index": "3", "one_sentence_summary": " 三 "}]} 完')"""
+
+
+@query("SELECT event_id, i AS index, CASE i WHEN 1 THEN '亮点' || event_id ELSE '三' END AS highlight FROM events, (SELECT unnest([1, 3])::INTEGER AS i)")
+def json_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read(spark, sf_dir, "events").select("event_id", F.explode(jsonx.highlight_items(both(_REPLY))).alias("x"))
+    # The last of an index wins.
+    return e.groupBy("event_id", F.col("x.index").alias("index")).agg(F.max_by("x.highlight", "x.position").alias("highlight"))
+
+
+@query("SELECT event_id, event_id % 2 = 0 AS whole, CASE WHEN event_id % 2 = 0 THEN '题' || event_id END AS title_zh, CASE WHEN event_id % 2 = 0 THEN '1. 研究问题：q\n3. 工作流程：w' END AS lines FROM events")
+def json_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = both("""concat('{"研究问题": "q", "创新方法": "", "工作流程": " w ", "关键结果": "", ', CASE WHEN event_id % 2 = 0 THEN '"应用价值": "", ' ELSE '' END, '"title_zh": "题', event_id, '"}')""")
+    e = read(spark, sf_dir, "events").select("event_id", jsonx.poster_elements(raw).alias("p"))
+    return e.select("event_id", F.col("p").isNotNull().alias("whole"), F.col("p.title_zh").alias("title_zh"), F.when(F.col("p").isNotNull(), prompts.poster_lines(F.col("p.elements"))).alias("lines"))
+
+
+@query("SELECT event_id, '总览' || event_id AS overview, cast(2 AS INTEGER) AS n FROM events")
+def json_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.concat(F.lit('```json\n{"overview": "总览'), F.col("event_id").cast("string"), F.lit('", "summaries": [{"index": 1}\n{"index": 2,}],}\n```'))
+    e = read(spark, sf_dir, "events").select("event_id", jsonx.answer(raw).alias("a"))
+    return e.select("event_id", F.col("a.overview").alias("overview"), F.size("a.summaries").alias("n"))
+
+
+# --- quality (A4, A5, J7) --------------------------------------------------------------------------------------------------
+
+_QUALITY = """SELECT d.source, CASE WHEN l.quality = 1 THEN 'x' ELSE '' END AS title_zh, d.lang AS abstract_zh, coalesce(nullif(d.lang, 'fr'), '') AS summary,
+ CASE WHEN l.toxic = 1 THEN NULL ELSE 'm' END AS method_point, 'r' AS related_work, 'i' AS implication FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+_REPORT = """SELECT source, count(*) AS total, count(*) FILTER (WHERE coalesce(title_zh, '') <> '') AS title_zh, count(*) FILTER (WHERE coalesce(abstract_zh, '') <> '') AS abstract_zh,
+ count(*) FILTER (WHERE coalesce(summary, '') <> '') AS summary, count(*) FILTER (WHERE method_point IS NOT NULL) AS relation FROM q GROUP BY 1"""
+
+
+def _quality_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d, l = read(spark, sf_dir, "documents").select("doc_id", "source", "lang"), read(spark, sf_dir, "labels")
+    j = d.join(l, "doc_id", "left")
+    return j.select("source", F.when(F.col("quality") == 1, "x").otherwise("").alias("title_zh"), F.col("lang").alias("abstract_zh"), F.when(F.col("lang") == "fr", "").otherwise(F.col("lang")).alias("summary"),
+                    F.when(F.coalesce(F.col("toxic"), F.lit(0)) != 1, "m").alias("method_point"), F.lit("r").alias("related_work"), F.lit("i").alias("implication"))
+
+
+@query(f"WITH q AS ({_QUALITY}) {_REPORT}")
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(_quality_items(spark, sf_dir), "source")
+
+
+@query(f"""WITH q AS ({_QUALITY}), r AS ({_REPORT}), s AS (SELECT DISTINCT source, 'o' AS overview FROM documents UNION ALL SELECT 'none', 'o' UNION ALL SELECT 'nothing', '')
+ SELECT s.source, CASE WHEN r.total IS NULL THEN s.overview <> '' ELSE r.total = r.title_zh AND r.total = r.abstract_zh AND r.total = r.summary AND r.total = r.relation END AS ok FROM s LEFT JOIN r ON s.source = r.source""")
+def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _quality_items(spark, sf_dir)
+    more = spark.createDataFrame([("none", "o"), ("nothing", "")], "source string, overview string")
+    summaries = items.select("source").distinct().withColumn("overview", F.lit("o")).unionByName(more).withColumn("trends", F.lit("t"))
+    return quality.quality_gate(summaries, quality.quality_report(items, "source"), "source")
+
+
+# --- days and weeks (A9, W1-W4, U2, U3, L3, N4, D3, D4) -----------------------------------------------------------------------
+
+
+@query("SELECT cast(ts AS DATE) AS day, count(*) AS total FROM events GROUP BY 1")
+def daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("total"))
+
+
+@query("""WITH d AS (SELECT DISTINCT cast(ts AS DATE) AS day FROM events)
+ SELECT day, cast(day AS VARCHAR) AS label, lag(day) OVER w AS previous_key, lag(cast(day AS VARCHAR)) OVER w AS previous_label, lead(day) OVER w AS next_key, lead(cast(day AS VARCHAR)) OVER w AS next_label FROM d WINDOW w AS (ORDER BY day)""")
+def day_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = read(spark, sf_dir, "events").select(F.to_date("ts").alias("day")).distinct()
+    return calendar.neighbours(days, "day", F.col("day").cast("string"))
+
+
+@query("""WITH d AS (SELECT DISTINCT cast(date_trunc('week', ts) AS DATE) AS week FROM events), l AS (SELECT week, week || ' → ' || cast(week + INTERVAL 6 DAY AS DATE) AS label FROM d)
+ SELECT week, label, lag(week) OVER w AS previous_key, lag(label) OVER w AS previous_label, lead(week) OVER w AS next_key, lead(label) OVER w AS next_label FROM l WINDOW w AS (ORDER BY week)""")
+def week_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weeks = read(spark, sf_dir, "events").select(calendar.week_start(F.col("ts")).alias("week")).distinct()
+    return calendar.neighbours(weeks, "week", calendar.week_label(F.col("week")))
+
+
+@query("SELECT cast(date_trunc('week', ts) AS DATE) AS week_start, cast(date_trunc('week', ts) + INTERVAL 6 DAY AS DATE) AS week_end, event_type, count(*) AS n FROM events GROUP BY ALL")
+def week_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = calendar.week_start(F.col("ts"))
+    return read(spark, sf_dir, "events").groupBy(start.alias("week_start"), F.date_add(start, 6).alias("week_end"), "event_type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, source, 'paper-' || row_number() OVER (PARTITION BY source ORDER BY doc_id) AS anchor FROM documents")
+def paper_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return calendar.anchors(read(spark, sf_dir, "documents").select("doc_id", "source"), "source", "doc_id")
+
+
+@query("""WITH f AS (SELECT doc_id, contains(lower(text), 'idiot') OR lang = 'de' AS is_ferro, n_chars > 1000 AS is_ai FROM documents)
+ SELECT doc_id, CASE WHEN is_ferro AND is_ai THEN 'both' WHEN is_ferro THEN 'is_ferro' ELSE 'is_ai' END AS section FROM f WHERE is_ferro OR is_ai""")
+def weekly_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents").select("doc_id", (F.lower("text").contains("idiot") | (F.col("lang") == "de")).alias("is_ferro"), (F.col("n_chars") > 1000).alias("is_ai"))
+    return calendar.partition_by_flags(d, "is_ferro", "is_ai").select("doc_id", "section")
+
+
+@query("""SELECT week, event_id, value, rank FROM (SELECT cast(date_trunc('week', ts) AS DATE) AS week, event_id, value, cast(row_number() OVER (PARTITION BY date_trunc('week', ts) ORDER BY value DESC, event_id) AS INTEGER) AS rank FROM events) WHERE rank <= 8""")
+def weekly_top8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read(spark, sf_dir, "events").select(calendar.week_start(F.col("ts")).alias("week"), "event_id", "value")
+    return calendar.top_of_each(e, "week", 8, F.desc("value"), "event_id")
+
+
+@query("SELECT event_id, try_cast(d AS DATE) AS day, nullif(try_cast(d AS DATE), DATE '1900-01-01') AS real_day FROM (SELECT event_id, CASE event_id % 4 WHEN 0 THEN '1900-01-01' WHEN 1 THEN 'soon' WHEN 2 THEN '' ELSE '2026-03-27' END AS d FROM events)")
+def article_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read(spark, sf_dir, "events").select("event_id", both("CASE event_id % 4 WHEN 0 THEN '1900-01-01' WHEN 1 THEN 'soon' WHEN 2 THEN '' ELSE '2026-03-27' END").alias("d"))
+    return e.select("event_id", F.expr("try_cast(d AS date)").alias("day"), F.nullif(F.expr("try_cast(d AS date)"), F.lit("1900-01-01").cast("date")).alias("real_day"))
+
+
+@query("WITH m AS (SELECT cast(ts AS DATE) AS day, count(*) AS total FROM events GROUP BY 1), p AS (SELECT DISTINCT cast(o_orderdate AS DATE) AS day FROM orders) SELECT m.day, total FROM m JOIN p ON m.day = p.day")
+def manifest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = read(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("total"))
+    return m.join(read(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).distinct(), "day")
+
+
+# --- feeds (K3, K4, A10, F15) ----------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT event_id, title, category, day FROM (SELECT event_id, 'event ' || event_id AS title, '📚 ' || event_type AS category, cast(ts AS DATE) AS day, row_number() OVER (PARTITION BY cast(ts AS DATE) ORDER BY ts DESC, event_id) AS nth FROM events) WHERE nth <= 5""")
+def feed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read(spark, sf_dir, "events")
+    articles = e.select("event_id", "ts", F.lit("").alias("title_zh"), F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("title"), F.lit("").alias("link"), F.array(F.lit("A")).alias("authors"), F.lit("").alias("summary"), F.lit("").alias("abstract"), F.col("event_type").alias("journal"), F.to_date("ts").alias("pub_date"))
+    top = calendar.top_of_each(articles, "pub_date", 5, F.desc("ts"), "event_id")
+    rows = feeds.feed_rows(top.withColumn("link", F.col("event_id").cast("string")))
+    return rows.select(F.col("link").cast("long").alias("event_id"), "title", "category", F.col("pub_date").alias("day"))
+
+
+@query("SELECT count(*) AS feeds, count(*) FILTER (WHERE event_type = 'error') AS broken FROM events")
+def feed_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feeds.feed_health(read(spark, sf_dir, "events").select(F.col("event_id").alias("url"), F.when(F.col("event_type") == "error", "failed").otherwise("").alias("problem")))
+
+
+# --- the breaker (W5, T1, T2, F10) ------------------------------------------------------------------------------------------------------
+
+_STREAK = """WITH e AS (SELECT user_id, event_id, ts, CASE WHEN event_type = 'error' OR value > 50 THEN 1 ELSE 0 END AS f FROM events), g AS (SELECT *, sum(1 - f) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM e),
+ s AS (SELECT user_id, event_id, ts, cast(sum(f) OVER (PARTITION BY user_id, island ORDER BY ts, event_id) AS BIGINT) AS streak FROM g)"""
+
+
+def _calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "events").select("user_id", "event_id", "ts", F.coalesce((F.col("event_type") == "error") | (F.col("value") > 50), F.lit(False)).alias("failed"))
+
+
+@query(f"{_STREAK} SELECT user_id, event_id, streak FROM s")
+def failure_streak(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return breaker.failure_streaks(_calls(spark, sf_dir), "user_id", F.col("failed"), "ts", "event_id").select("user_id", "event_id", "streak")
+
+
+@query(f"{_STREAK} SELECT user_id, event_id, coalesce(max(streak) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) < 2, true) AS sent FROM s")
+def breaker_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return breaker.without_cooldown(_calls(spark, sf_dir), "user_id", F.col("failed"), "ts", "event_id").select("user_id", "event_id", "sent")
+
+
+@query()
+def breaker_cooldown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return breaker.with_cooldown(_calls(spark, sf_dir), "user_id", "ts", "failed", "event_id", cooldown=3600.0)
+
+
+@query("SELECT event_id, coalesce(CASE event_id % 3 WHEN 0 THEN true WHEN 1 THEN false END, true) AS keep FROM events")
+def relevance_fail_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = both("CASE event_id % 3 WHEN 0 THEN true WHEN 1 THEN false END")
+    return read(spark, sf_dir, "events").select("event_id", F.coalesce(judged, F.lit(True)).alias("keep"))
+
+
+# --- prompts (X10-X16, K1) ----------------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT doc_id, '标题 ' || source || ' 作者 ' || lang || ' 年 2026 未知 $unknown 正文 ' || CASE WHEN length(text) > 4000 THEN substring(text, 1, 4000) || '\n\n[内容过长已截断]' ELSE text END || ' 摘要 $abstract' AS prompt FROM documents")
+def prompt_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prompt = prompts.deep_prompt(TEMPLATE, F.col("source"), F.col("lang"), F.lit("2026"), F.col("text"), most=4000)
+    return read(spark, sf_dir, "documents").select("doc_id", prompt.alias("prompt"))
+
+
+@query("SELECT doc_id, '标题 ' || source || ' 作者 ' || lang || ' 年 $year 未知 $unknown 正文 $context 摘要 ' || substring(text, 1, 6000) AS prompt FROM documents")
+def prompt_abstract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", prompts.abstract_prompt(TEMPLATE, F.col("source"), F.col("lang"), F.col("text")).alias("prompt"))
+
+
+@query("SELECT doc_id, " + " || ".join(["'" + prompts.WEEKLY.split("$title")[0] + "'", "lang", "'" + prompts.WEEKLY.split("$title")[1].split("$journal")[0] + "'", "source", "'" + prompts.WEEKLY.split("$journal")[1].split("$abstract")[0] + "'", "substring(text, 1, 500)", "'" + prompts.WEEKLY.split("$abstract")[1] + "'"]) + " AS prompt FROM documents")
+def prompt_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", prompts.weekly_prompt(F.col("lang"), F.col("source"), F.col("text")).alias("prompt"))
+
+
+@query("""SELECT source, '[' || string_agg('{"index":' || i || ',"title":"' || lang || '"}', ',' ORDER BY i) || ']' AS items FROM (SELECT source, lang, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents) WHERE i <= 20 GROUP BY 1""")
+def prompt_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch prompt takes a source's first 20 items: a bounded list."""
+    top = calendar.top_of_each(read(spark, sf_dir, "documents").select("doc_id", "source", "lang"), "source", 20, "doc_id")
+    return top.groupBy("source").agg(prompts.items_json(F.array_sort(F.collect_list(F.struct(F.col("rank").alias("index"), F.col("lang").alias("title"))))).alias("items"))
+
+
+@query()
+def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = read(spark, sf_dir, "documents").select(prompts.weekly_prompt(F.col("lang"), F.col("source"), F.col("text")).alias("prompt"))
+    return sinks.request_rows(asked, F.current_timestamp())
