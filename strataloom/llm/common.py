@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataloom.session import importable
+
 U64 = np.uint64
 #: Rows and bytes of one Arrow batch, where the session says nothing else. Long texts make rows large.
 BATCH_ROWS, BATCH_BYTES = "1024", "4m"
@@ -19,10 +19,7 @@ BATCH_ROWS, BATCH_BYTES = "1024", "4m"
 
 def prepare(spark: SparkSession) -> None:
     """Lets Python workers import this package, and bounds their Arrow batches."""
-    root = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+    importable(spark)
     for key, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
         spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
 
