@@ -105,7 +105,12 @@ def latex_accents(c: Column) -> Column:
         rules.append((rf"\\{name}\{{{letter}\}}", "$1" + combining))
         if not mark.isalpha():
             rules.append((rf"\\{name}([A-Za-z])", "$1" + combining))
-    return _folded(_folded(c, rules), [(r"\{([A-Za-z]\p{M}|[ßæÆåÅøØłŁı])\}", "$1")])
+    return _folded(c, rules)
+
+
+def unbraced(c: Column) -> Column:
+    """Takes the braces off a single accented or special letter."""
+    return F.regexp_replace(c, r"\{([A-Za-z]\p{M}|[ßæÆåÅøØłŁı])\}", "$1")
 
 
 def _composed(s: pd.Series) -> pd.Series:
@@ -142,7 +147,7 @@ def latex_wrappers(c: Column) -> Column:
 def normalized(c: Column) -> Column:
     """Mojibake, accents, commands, formulas and wrappers, in this order, in normal form C."""
     c = latex_accents(undone_mojibake(text_or_empty(c)))
-    return composed(formula_marks(latex_wrappers(latex_commands(c))))
+    return composed(formula_marks(latex_wrappers(unbraced(latex_commands(c)))))
 
 
 def without_announcement(c: Column) -> Column:
