@@ -12,10 +12,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataloom.llm.common import U64, even_keys, mixed, partitions, pieces, prepare, stored, utf8, words
+from strataloom.llm.common import U64, even_keys, mixed, partitions, pieces, prepare, span_hashes, stored, utf8, words
 from strataloom.llm.components import stars
+from strataloom.llm.fingerprints import shingle_hashes, signatures
 
 WIDTH, RADIUS, SEED = 3, 2, 42
+#: Near copies resemble each other so much in shingles of so many words; a sketch has BINS bytes
+#: in bands of BAND. Texts of SHORT shingles or fewer are compared exactly.
+NEAR, NEAR_WIDTH, BINS, BAND, SHORT = 0.8, 5, 256, 8, 128
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LO, _HI = U64(0xFFFFFFFF), U64(0xFFFFFFFF00000000)
@@ -55,24 +59,14 @@ def fingerprints(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def _fingerprint(width: int, texts: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _fingerprint(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = [c for c in batch.schema.names if texts or c != "text"]
-            fp = pa.array(fingerprints(batch["text"], width).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*[batch[c] for c in names], fp], [*names, "fp"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fingerprints(batch["text"], width).view(np.int64))], ["doc_id", "fp"])
 
     return of_partition
 
 
-def _fingerprinted(docs: DataFrame, width: int, texts: bool, carried: tuple[str, ...]) -> DataFrame:
-    """A scratch table of doc_id, fp and, if asked for, text and the carried columns with a leading underscore."""
-    prepare(docs.sparkSession)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"_{c}") for c in carried])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema if texts or f.name != "text"]
-    return stored(own.mapInArrow(_fingerprint(width, texts), ", ".join([*fields, "fp long"])), "fingerprints")[0]
-
-
 # --- links -----------------------------------------------------------------------------------------
 
 
@@ -213,30 +207,119 @@ def simhash_groups(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS)
     distinct fingerprints, so copies cost one row. component_id is the smallest doc_id reachable over links of `radius`
     bits or fewer; null ids count only where there is no other. Repeated rows each return. No rows give no rows.
     """
-    fp = _fingerprinted(docs, width, False, ())
-    by_fp = _component_of(fp, radius)
-    return fp.join(by_fp, "fp", "left").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def _component_of(fp: DataFrame, radius: int) -> DataFrame:
-    """fp, component_id and root (a fingerprint for each component) of each distinct fingerprint."""
+    prepare(docs.sparkSession)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    fp, _ = stored(own.mapInArrow(_fingerprint(width), "doc_id long, fp long"), "fingerprints")
     first = fp.groupBy("fp").agg(F.min("doc_id").alias("least"))
     links, _ = linked(first, radius)
     root = first.join(links, first.fp == links.u, "left").select("fp", "least", F.coalesce("v", "fp").alias("root"))
     least = root.groupBy("root").agg(F.min("least").alias("component_id"))
-    return root.join(least, "root").select("fp", "component_id", "root")
+    by_fp = root.join(least, "root").select("fp", "component_id")
+    return fp.join(by_fp, "fp", "left").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+# --- near copies ----------------------------------------------------------------------------------------
+
+
+def word_fingerprints(column: pa.Array) -> np.ndarray:
+    """The 64-bit SimHash of each text's set of lower-cased words: copies with a few words changed differ in few bits."""
+    raw, off = utf8(column)
+    out = np.zeros(len(column), U64)
+    for i, j in pieces(off, 1 << 18):
+        low = _LOWER[raw[off[i] : off[j]]]
+        start, end, first = words(low, off[i : j + 1] - off[i])
+        if not len(start):
+            continue
+        h, text = span_hashes(low, start, end), np.repeat(np.arange(j - i), np.diff(first))
+        order = np.lexsort((h, text))
+        h, text = h[order], text[order]
+        new = np.concatenate([[True], (np.diff(h) != 0) | (np.diff(text) != 0)])
+        h, text = h[new], text[new]
+        rows, starts, n = np.unique(text, return_index=True, return_counts=True)
+        ones = np.concatenate([np.add.reduceat(np.unpackbits(((h >> U64(k)) & U64(255)).astype(np.uint8)[:, None], axis=1, bitorder="little"), starts, axis=0, dtype=np.int64) for k in range(0, 64, 8)], axis=1)
+        out[i:j][rows] = np.packbits((ones * 2 > n[:, None]).astype(np.uint8), axis=1, bitorder="little").view("<u8")[:, 0]
+    return out
 
 
-def one_of_each(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS, carried: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, text and the carried columns of one row of each group: that of the least doc_id.
+def _described(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds each text's word-set fingerprint and its one-permutation MinHash of shingles; of a short text its shingles too."""
 
-    Of several rows with that id, the one of the least fingerprint stays, then of the least text. See simhash_groups().
+    def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, off = utf8(batch["text"])
+            low, has = signatures(raw, off, width, BINS, 8)
+            sketch = pa.array([r.tobytes() if h else b"" for r, h in zip(low, has, strict=True)], pa.binary())
+            sets = []
+            for i, j in pieces(off, 1 << 19):
+                hashes, n = shingle_hashes(raw[off[i] : off[j]], off[i : j + 1] - off[i], width)
+                sets += [np.unique(hashes[e - k : e]).tobytes() if k <= SHORT else None for k, e in zip(n.tolist(), np.cumsum(n).tolist(), strict=True)]
+            columns = [*batch.columns, pa.array(word_fingerprints(batch["text"]).view(np.int64)), sketch, pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "fp", "sketch", "shingles"])
+
+    return of_partition
+
+
+def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each BAND bins of a sketch; one for a text without words."""
+    for batch in batches:
+        root, node, band = [], [], []
+        for r, n, s in zip(batch["root"].to_pylist(), batch["node"].to_pylist(), batch["sketch"].to_pylist(), strict=True):
+            keys = [i.to_bytes(2, "little") + s[i : i + BAND] for i in range(0, max(1, len(s)), BAND)]
+            root += [r] * len(keys)
+            node += [n] * len(keys)
+            band += keys
+        yield pa.RecordBatch.from_arrays([pa.array(root, pa.int64()), pa.array(node, pa.int64()), pa.array(band, pa.binary())], ["root", "node", "band"])
+
+
+def _alike(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs that resemble each other by `similarity` or more: exactly, of short texts; else as their sketches estimate."""
+
+    def of_pair(a: dict, b: dict) -> bool:
+        if a["shingles"] is not None and b["shingles"] is not None:
+            x, y = np.frombuffer(a["shingles"], U64), np.frombuffer(b["shingles"], U64)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            return both >= similarity * (len(x) + len(y) - both)
+        if not a["sketch"] or not b["sketch"]:
+            return False
+        equal = (np.frombuffer(a["sketch"], np.uint8) == np.frombuffer(b["sketch"], np.uint8)).mean()
+        return (equal - 1 / 256) / (1 - 1 / 256) >= similarity
+
+    def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = pa.array([of_pair(a, b) for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch["u"].filter(keep), batch["v"].filter(keep)], ["u", "v"])
+
+    return of_partition
+
+
+def one_of_each(docs: DataFrame, *, width: int = NEAR_WIDTH, similarity: float = NEAR, radius: int = 3, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text and the carried columns of one row of each group of copies and near copies: that of the least doc_id.
+
+    Texts whose word-set fingerprints are linked within `radius` bits are candidates; those of one linked set that share
+    a band of their sketches with its least text are links where the sketches (of short texts, the sets) have a resemblance of `width`-word
+    shingles of `similarity` or more. So each text meets one other for each band, never all of its group. Groups are connected
+    by links; equal texts are one. Texts without words are alike; a null text is empty. Null doc_ids come last; of several
+    rows with the least id, that of the least text stays. No rows give no rows.
     """
-    fp = _fingerprinted(docs, width, True, carried)
-    ids = fp.select("doc_id", "fp").distinct()
-    own = ids.join(_component_of(ids, radius), "fp")
-    stays = own.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(F.min(F.struct("doc_id", "fp")).alias("k")).select(F.col("k.doc_id").alias("id"), F.col("k.fp").alias("kept_fp"))
-    same = fp.doc_id.eqNullSafe(stays.id) & (fp.fp == stays.kept_fp)
-    first = F.row_number().over(Window.partitionBy("doc_id", "fp").orderBy("text"))
-    kept = fp.join(stays, same, "left_semi").withColumn("nth", first).where("nth = 1")
-    return kept.select("doc_id", "text", *[F.col(f"_{c}").alias(c) for c in carried])
+    spark = docs.sparkSession
+    prepare(spark)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"_{c}") for c in carried])
+    fields = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema], "fp long, sketch binary, shingles binary"])
+    rows, _ = stored(own.mapInArrow(_described(width), fields).withColumn("node", F.xxhash64(F.coalesce("text", F.lit("")))), "words")
+    of_node = [F.min("fp").alias("fp"), F.min("doc_id").alias("least"), F.max("sketch").alias("sketch"), F.max("shingles").alias("shingles")]
+    nodes, _ = stored(rows.groupBy("node").agg(*of_node), "nodes")
+    links, _ = linked(nodes.select("fp").distinct(), radius)
+    rooted = nodes.join(links, nodes.fp == links.u, "left").withColumn("root", F.coalesce("v", "fp"))
+    wide = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
+    sketches, _ = stored(rooted.join(wide, "root").select("root", "node", "sketch", "shingles"), "sketches")
+    bands = sketches.select("root", "node", "sketch").mapInArrow(_bands, "root long, node long, band binary")
+    first = bands.groupBy("root", "band").agg(F.min("node").alias("v"))
+    pairs = bands.join(first, ["root", "band"]).where("node <> v").select(F.col("node").alias("u"), "v").distinct()
+    of = lambda at, name: sketches.select(F.col("node").alias(at), F.struct("sketch", "shingles").alias(name))
+    alike = pairs.join(of("u", "a"), "u").join(of("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(_alike(similarity), "u long, v long")
+    grouped, _ = stars(alike)
+    member = nodes.join(grouped, nodes.node == grouped.u, "left").select("node", "least", F.coalesce("v", "node").alias("group"))
+    stays = member.groupBy("group").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("k")).select(F.col("k.least").alias("kept_id"), F.col("k.node").alias("node"))
+    kept = rows.drop("fp", "sketch", "shingles").join(stays, "node").where(F.col("doc_id").eqNullSafe(F.col("kept_id")))
+    nth = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("text", F.lit(""))))
+    return kept.withColumn("nth", nth).where("nth = 1").select("doc_id", "text", *[F.col(f"_{c}").alias(c) for c in carried])

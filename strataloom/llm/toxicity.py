@@ -164,7 +164,7 @@ def trained(docs: DataFrame, labels: DataFrame, *, most_rows: int = MOST_ROWS) -
     sums = rows.select("text", "label").mapInArrow(_frequencies, "chunk int, has binary").groupBy("chunk").applyInArrow(_summed, "chunk int, has binary").collect()
     has = np.concatenate([np.frombuffer(r["has"], np.int64).reshape(2, CHUNK) for r in sorted(sums, key=lambda r: r["chunk"])], axis=1)
     chosen, ratio = told(has, np.array([n[0], n[1]]))
-    got = rows.select("label", "text", "digest").sortWithinPartitions("digest").select("label", "text").mapInArrow(_shares(chosen), "label int, x binary").orderBy("label", "x").collect()
+    got = sorted(rows.select("label", "text").mapInArrow(_shares(chosen), "label int, x binary").collect())
     dropped(spark, at)
     y = np.array([r["label"] for r in got], np.float64)
     return fit(y, np.stack([np.frombuffer(r["x"], np.float32) for r in got]), chosen, ratio)

@@ -5,11 +5,25 @@ from __future__ import annotations
 import corpus_pipeline as pipeline
 from strataloom.llm import pii
 from strataloom.llm.common import stored, table
-from tests.llm.test_queries import cut_bytes, groups, sha
+from tests.llm.test_queries import WORD, cut_bytes, sha
 
 SF = "/root/testdata/sf0.001"
 
 
+def resemblances(rows):
+    """Groups of ids that resemble each other by 0.9 or more in five-word shingles; the largest resemblance of each id."""
+    sets = {d: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for d, t in rows for w in [WORD.findall(t)]}
+    far, groups = dict.fromkeys(sets, 0.0), []
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            j = len(sets[a] & sets[b]) / max(1, len(sets[a] | sets[b]))
+            far[a], far[b] = max(far[a], j), max(far[b], j)
+            if j >= 0.9:
+                groups.append({a, b})
+    return groups, far
+
+
 def test_stages(spark):
     docs = table(spark, SF, "documents")
     columns = docs.columns
@@ -22,10 +36,14 @@ def test_stages(spark):
     rows = [(sorted((r["doc_id"], r["text"]) for r in a.collect()), sorted((r["doc_id"], r["text"]) for r in b.collect())) for _, a, b in made[:-1]]
     (before, clean), (_, one), (_, cut), (_, hidden) = rows
     assert set(clean) <= set(before) and len(clean) > 0.8 * len(before)
-    first = {}
-    for (d, t), (_, g) in zip(clean, groups(clean), strict=True):
-        first.setdefault(g, (d, t))
-    assert one == sorted(first.values())
+    assert set(one) <= set(clean)
+    near, far = resemblances(clean)
+    kept = {d for d, _ in one}
+    # At 200 documents estimates near the threshold may fall on either side of it; clear cases may not.
+    for d, _ in clean:
+        assert d in kept or far[d] >= 0.75
+    for group in near:
+        assert len(kept & group) <= 1
     assert [d for d, _ in cut] == [d for d, _ in one]
     want = [w[3] for w in cut_bytes([t for _, t in one], 100)]
     assert sum(sha(t) != w for (_, t), w in zip(cut, want, strict=True)) <= 0.02 * len(cut)  # but for a cut character

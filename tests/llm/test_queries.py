@@ -234,8 +234,30 @@ def test_odd_substring_dedup(odd):
 def test_odd_simhash(odd):
     want = [(d, *w) for (d, _), w in zip(odd[0], groups(odd[0]), strict=True)]
     assert by_id(simhash.simhash_groups(odd[1]).collect(), "fingerprint", "component_id") == sorted(want, key=repr)
-    kept = [(r["doc_id"], r["text"]) for r in simhash.one_of_each(odd[1], carried=("fp",)).collect()]
-    assert len(kept) == len({g for _, g in groups(odd[0])}) + 1 and (1, "a b c") in kept  # two groups have 12 as least id
+
+
+def test_odd_near_copies(spark, odd):
+    kept = sorted(((r["doc_id"], r["text"], r["_fp"] if "_fp" in r else r["fp"]) for r in simhash.one_of_each(odd[1], carried=("fp",)).collect()), key=repr)
+    long = next(t for d, t in odd[0] if d == 5)
+    want = [(1, "a b c"), (2, None), (5, long), (None, "x y z w v"), (10, "é" * 150), (12, "other text of one id"), (12, "x@y.zz 1.2.3.4"), *[(d, t) for d, t in odd[0] if d in (7, 8, 9)]]
+    got = [(d, t) for d, t, _ in kept]
+    assert {f for *_, f in kept} == {"no"} and [x for x in got if x[0] not in (7, 8, 9)] == sorted([x for x in want if x[0] not in (7, 8, 9)], key=repr)
+    assert 7 in {d for d, _ in got}  # 8 and 9 share the passage
+
+
+def test_near_copies_of_large_groups(spark):
+    """A thousand copies with a word or two changed, and as many clean texts of the same words."""
+    rng = np.random.default_rng(3)
+    words = np.array([f"w{i}" for i in range(3000)])
+    base = rng.choice(words, 300)
+    rows = [(0, " ".join(base))]
+    for i in range(1, 1001):
+        own = base.copy()
+        own[rng.integers(0, 300, 2)] = rng.choice(words, 2)
+        rows.append((i, " ".join(own)))
+    rows += [(i, " ".join(rng.choice(words, 300))) for i in range(1001, 1301)]
+    kept = {r["doc_id"] for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {0, *range(1001, 1301)} <= kept and len(kept & set(range(1, 1001))) <= 50
 
 
 def test_odd_fingerprints(odd):
