@@ -289,35 +289,41 @@ def window_hashes(t: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
     return mixed(out)
 
 
+def _covered(off: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which tokens of documents at `off` lie in a range from `begin` to `end`."""
+    edge = np.zeros(int(off[-1]) + 1, np.int32)
+    np.add.at(edge, begin, 1)
+    np.add.at(edge, end, -1)
+    return np.cumsum(edge[:-1], dtype=np.int32) > 0
+
+
 def _kept(rule: Rule, carried: list[str], texts: bool) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
     def of_bucket(key: tuple, docs: pa.Table, marks: pa.Table) -> pa.Table:
         tokens = Tokens(docs, rule)
-        off, n = tokens.off, len(tokens.ids)
-        edge = np.zeros(int(off[-1]) + 1, np.int32)
-        for body in marks["body"].to_pylist():
-            row, pos, more = pickle.loads(body)
-            begin = off[row] + pos
-            np.add.at(edge, begin, 1)
-            np.add.at(edge, begin + more + rule.window, -1)
-        gone = np.cumsum(edge[:-1]) > 0
-        removed = np.concatenate([[0], np.cumsum(gone)])
-        starts = gone.copy()
-        starts[1:] &= ~gone[:-1]
-        starts[off[:-1][off[:-1] < len(gone)]] |= gone[off[:-1][off[:-1] < len(gone)]]
-        spans = np.concatenate([[0], np.cumsum(starts)])
-        kept, digests = [], []
-        for i in range(n):
-            a, b = off[i], off[i + 1]
-            if rule.by_words:
-                stay = np.flatnonzero(~gone[a:b]) + a
-                body = b" ".join([tokens.raw[s:e].tobytes() for s, e in zip(tokens.start[stay].tolist(), tokens.end[stay].tolist(), strict=True)])
-            else:
-                body = tokens.raw[a:b].tobytes() if removed[a] == removed[b] else tokens.raw[a:b][~gone[a:b]].tobytes()
-            digests.append(hashlib.sha256(body).hexdigest())
-            if texts:
-                kept.append(body.decode("utf-8", "ignore"))
-        unit = "words" if rule.by_words else "bytes"
-        out = {"doc_id": tokens.docs["doc_id"], f"n_{unit}": pa.array(np.diff(off), pa.int64()), "n_removed": pa.array(np.diff(removed[off]), pa.int64()), "n_spans": pa.array(np.diff(spans[off]), pa.int64()), "kept_sha256": pa.array(digests, pa.string())}
+        got = [pickle.loads(body) for body in marks["body"].to_pylist()]
+        row, pos, more = (np.concatenate([np.zeros(0, np.int32), *(g[k] for g in got)]) for k in range(3))
+        order = np.argsort(row, kind="stable")
+        row, pos, more = row[order], pos[order], more[order]
+        removed, spans, kept, digests = [], [], [], []
+        for i, j in tokens.pieces():  # some documents at a time: working arrays are many times their text
+            off = tokens.off[i : j + 1] - tokens.off[i]
+            own = slice(*np.searchsorted(row, [i, j]))
+            begin = off[row[own] - i] + pos[own]
+            gone = _covered(off, begin, begin + more[own] + rule.window)
+            for a, b, lo, hi in zip(off[:-1].tolist(), off[1:].tolist(), tokens.off[i:j].tolist(), tokens.off[i + 1 : j + 1].tolist(), strict=True):
+                part = gone[a:b]
+                n = int(np.count_nonzero(part))
+                removed.append(n)
+                spans.append(int(part[0]) + int(np.count_nonzero(part[1:] > part[:-1])) if n else 0)
+                if rule.by_words:
+                    stay = np.flatnonzero(~part) + lo
+                    body = b" ".join([tokens.raw[s:e].tobytes() for s, e in zip(tokens.start[stay].tolist(), tokens.end[stay].tolist(), strict=True)])
+                else:
+                    body = (tokens.raw[lo:hi][~part] if n else tokens.raw[lo:hi]).tobytes()
+                digests.append(hashlib.sha256(body).hexdigest())
+                if texts:
+                    kept.append(body.decode("utf-8", "ignore"))
+        out = {"doc_id": tokens.docs["doc_id"], f"n_{'words' if rule.by_words else 'bytes'}": pa.array(np.diff(tokens.off), pa.int64()), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()), "kept_sha256": pa.array(digests, pa.string())}
         if texts:
             out["kept"] = pa.array(kept, pa.string())
         return pa.table(out | {f"_{c}": tokens.docs[f"_{c}"] for c in carried})
