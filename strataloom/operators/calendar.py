@@ -25,9 +25,26 @@ def week_label(start: Column) -> Column:
     return F.concat(start.cast("string"), F.lit(" → "), F.date_add(start, 6).cast("string"))
 
 
-def anchors(items: DataFrame, group: str, *order: Column | str) -> DataFrame:
+def ordinals(items: DataFrame, group: str, order: str, name: str = "ordinal") -> DataFrame:
+    """Adds each row's number (from 1) in its group, by a numeric column without ties.
+
+    A group may hold most rows, so it isn't numbered in one task: rows are numbered within ranges of the order column, and
+    the counts of the ranges before, one for each group and range, are added. Range bounds: one for each shuffle partition.
+    """
+    n = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = sorted(set(items.select(F.percentile_approx(order, [i / n for i in range(1, n)] or [0.5], 10000).alias("q")).first()["q"] or []))
+    ranged = items.withColumn("_range", F.array_size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col(order))) if cuts else F.lit(0))
+    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranged.groupBy(group, "_range").agg(F.count("*").alias("_n"))
+    base = counts.select(F.col(group).alias("_group"), F.col("_range").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy(group, "_range").orderBy(order))
+    joined = ranged.withColumn("_own", own).join(base, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_of")))
+    return joined.withColumn(name, F.col("_own") + F.col("_before")).drop("_own", "_before", "_range", "_of", "_group")
+
+
+def anchors(items: DataFrame, group: str, order: str) -> DataFrame:
     """Ordinal anchors paper-1, paper-2, … within each group."""
-    return items.withColumn("anchor", F.concat(F.lit("paper-"), F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("string")))
+    return ordinals(items, group, order, "_nth").withColumn("anchor", F.concat(F.lit("paper-"), F.col("_nth").cast("string"))).drop("_nth")
 
 
 def top_of_each(items: DataFrame, group: Column | str, n: int, *order: Column | str) -> DataFrame:
