@@ -15,7 +15,9 @@ from strataloom.llm.common import dealt, even_keys, partitions, prepare
 #: Pivots, a bounded sample: the vectors of the least hashes. Each vector is represented by its NEAREST pivots, in order.
 PIVOTS, NEAREST, TOP = 128, 96, 10
 #: Of each shard's distinct vectors, so large a part (and LEAST at least) with the smallest footrule distance is reranked.
-SHARE, LEAST, BLOCK = 0.2, 100, 4096
+SHARE, LEAST, BLOCK = 0.3, 500, 4096
+#: Vectors of a shard, about: fewer would make its inverted files too short to be worth the queries' visits.
+PER_SHARD = 4096
 
 
 def permutations(x: np.ndarray, pivots: np.ndarray, nearest: int) -> np.ndarray:
@@ -97,10 +99,12 @@ def neighbours(vectors: DataFrame, *, every: int = 100, top: int = TOP, n_pivots
     own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x")).where("vec_id IS NOT NULL AND x IS NOT NULL")
     own = own.where(F.forall("x", component) & F.exists("x", lambda c: c != 0))
     sizes = own.groupBy(F.size("x").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    keys = even_keys(partitions(spark))
+    keys = even_keys(partitions(spark))[: max(1, ceil(sizes["count"] / PER_SHARD) if sizes else 1)]
     dim = sizes["n"] if sizes else 1
     own = own.where(F.size("x") == dim)
-    sample = own.groupBy("vec_id").agg(F.min("x").alias("x")).orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots).toArrow()
+    # A hash thins the rows to several times the pivots, so that the tasks don't all send as many as there are pivots.
+    thin = max(1, (sizes["count"] if sizes else 0) // (8 * n_pivots))
+    sample = own.where(F.pmod(F.xxhash64("vec_id"), F.lit(thin)) == 0).groupBy("vec_id").agg(F.min("x").alias("x")).orderBy(F.xxhash64("vec_id"), "vec_id").limit(n_pivots).toArrow()
     pivots = _vectors(sample, "x", dim)
     asked = own.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("x").alias("x"))
     blocks = max(1, ceil(asked.count() / BLOCK))
