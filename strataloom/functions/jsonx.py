@@ -59,3 +59,9 @@ def answer(text: Column, schema: str = ANSWER) -> Column:
 def dated_answer(exact: Column, daily_date: Column, daily: Column, today: Column) -> Column:
     """The request's own answer, else the day's if it is today's, else the default."""
     return F.coalesce(exact, F.when(daily_date == today, daily), F.lit(DEFAULT_ANSWER))
+
+
+def listed_items(summary: Column, item: str = "title string") -> Column:
+    """The items of a daily summary: full_list, or summaries where that is missing."""
+    both = F.from_json(summary, f"full_list array<struct<{item}>>, summaries array<struct<{item}>>")
+    return F.coalesce(both["full_list"], both["summaries"], F.array().cast(f"array<struct<{item.replace(' ', ':')}>>"))

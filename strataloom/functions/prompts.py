@@ -69,3 +69,17 @@ def poster_lines(elements: Column) -> Column:
 def items_json(items: Column) -> Column:
     """An ordered array of structs as JSON, for a batch prompt."""
     return F.to_json(items)
+
+
+def poster_prompt(template: str, title: Column, text: Column, language: str = "中文", most: int = DEEP_MOST) -> Column:
+    """The prompt that asks for a poster's elements; the context is cut without a mark."""
+    return filled(template, language=F.lit(language), title=title, context=context(text, most))
+
+
+def infographic_prompt(template: str, elements: Column, title: Column, language: str = "中文") -> Column:
+    return filled(template, summaryForImage=poster_lines(elements), title=title, language=F.lit(language))
+
+
+def landed_answer(text: Column, answer: Column) -> Column:
+    """A landed answer, trimmed; empty where there was nothing to ask about."""
+    return F.when(text_or_empty(text) == "", "").otherwise(stripped(text_or_empty(answer)))

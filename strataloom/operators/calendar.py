@@ -56,3 +56,11 @@ def partition_by_flags(items: DataFrame, a: str, b: str) -> DataFrame:
     """All items in disjoint sections `both`, `a` only and `b` only, in a column `section`; rows with neither flag go."""
     section = F.when(F.col(a) & F.col(b), "both").when(F.col(a), a).when(F.col(b), b)
     return items.withColumn("section", section).where(F.col("section").isNotNull())
+
+
+def all_sections(*sections: DataFrame) -> DataFrame:
+    """Disjoint sections under one another, with the number of each row's section in `part`."""
+    out = sections[0].withColumn("part", F.lit(0))
+    for i, section in enumerate(sections[1:], 1):
+        out = out.unionByName(section.withColumn("part", F.lit(i)))
+    return out

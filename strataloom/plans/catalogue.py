@@ -402,6 +402,29 @@ def json_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.col("a.overview").alias("overview"), F.size("a.summaries").alias("n"))
 
 
+@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'own' WHEN 3 THEN 'none' ELSE 'day' END AS content FROM (SELECT event_id FROM events)")
+def answered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
+    own = e.where("id % 4 = 0").select("id", F.lit("own").alias("content"))
+    daily = spark.createDataFrame([("2026-03-27", "day"), ("2026-03-26", "old")], "date string, content string")
+    today = records.answered(e.where("id % 4 <> 3"), own, daily, F.lit("2026-03-27"), "none")
+    other = records.answered(e.where("id % 4 = 3"), own, daily, F.lit("2026-03-28"), "none")
+    return today.unionByName(other).withColumnRenamed("id", "event_id")
+
+
+@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END::INTEGER AS n, CASE event_id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' END AS first_title FROM events")
+def listed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = both("""CASE event_id % 3 WHEN 0 THEN '{"full_list": [{"title": "a"}], "summaries": [{"title": "x"}]}' WHEN 1 THEN '{"summaries": [{"title": "b"}, {"title": "c"}]}' ELSE '{}' END""")
+    e = read(spark, sf_dir, "events").select("event_id", jsonx.listed_items(raw).alias("i"))
+    return e.select("event_id", F.size("i").alias("n"), F.get("i", F.lit(0))["title"].alias("first_title"))
+
+
+@query("SELECT doc_id, CASE WHEN length(text) = 0 THEN '' ELSE regexp_replace(substring(text, 1, 20), '^\\s+|\\s+$', '', 'g') END AS answer FROM documents")
+def landed_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    answer = F.concat(F.lit(" \n"), F.substring("text", 1, 20), F.lit("\n"))
+    return read(spark, sf_dir, "documents").select("doc_id", prompts.landed_answer(F.col("text"), answer).alias("answer"))
+
+
 # --- quality (A4, A5, J7) --------------------------------------------------------------------------------------------------
 
 _QUALITY = """SELECT d.source, CASE WHEN l.quality = 1 THEN 'x' ELSE '' END AS title_zh, d.lang AS abstract_zh, coalesce(nullif(d.lang, 'fr'), '') AS summary,
@@ -471,6 +494,19 @@ def weekly_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar.partition_by_flags(d, "is_ferro", "is_ai").select("doc_id", "section")
 
 
+@query("""WITH f AS (SELECT doc_id, lang = 'de' AS a, n_chars > 1000 AS b FROM documents) SELECT doc_id, 0 AS part FROM f WHERE a AND b UNION ALL SELECT doc_id, 1 FROM f WHERE a AND NOT b UNION ALL SELECT doc_id, 2 FROM f WHERE b AND NOT a""")
+def weekly_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = read(spark, sf_dir, "documents").select("doc_id", (F.col("lang") == "de").alias("a"), (F.col("n_chars") > 1000).alias("b"))
+    a, b = F.col("a"), F.col("b")
+    return calendar.all_sections(d.where(a & b), d.where(a & ~b), d.where(b & ~a)).select("doc_id", "part")
+
+
+@query("SELECT cast(date_trunc('week', ts) AS DATE) AS week, cast(date_trunc('week', ts) AS DATE) || '.html' AS file, count(*) AS total, max(ts) AS latest FROM events GROUP BY 1, 2")
+def weekly_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    week = calendar.week_start(F.col("ts"))
+    return read(spark, sf_dir, "events").groupBy(week.alias("week")).agg(F.count("*").alias("total"), F.max("ts").alias("latest")).withColumn("file", F.concat(F.col("week").cast("string"), F.lit(".html")))
+
+
 @query("""SELECT week, event_id, value, rank FROM (SELECT cast(date_trunc('week', ts) AS DATE) AS week, event_id, value, cast(row_number() OVER (PARTITION BY date_trunc('week', ts) ORDER BY value DESC, event_id) AS INTEGER) AS rank FROM events) WHERE rank <= 8""")
 def weekly_top8(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events").select(calendar.week_start(F.col("ts")).alias("week"), "event_id", "value")
@@ -563,6 +599,19 @@ def prompt_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.groupBy("source").agg(prompts.items_json(F.array_sort(F.collect_list(F.struct(F.col("rank").alias("index"), F.col("lang").alias("title"))))).alias("items"))
 
 
+@query("SELECT doc_id, '语言 中文 标题 ' || source || ' 正文 ' || substring(text, 1, 3000) AS prompt FROM documents")
+def prompt_poster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prompt = prompts.poster_prompt("语言 $language 标题 $title 正文 $context", F.col("source"), F.col("text"), most=3000)
+    return read(spark, sf_dir, "documents").select("doc_id", prompt.alias("prompt"))
+
+
+@query("SELECT doc_id, '图 1. 研究问题：' || source || chr(10) || '5. 应用价值：v 题 ' || lang AS prompt FROM documents")
+def prompt_infographic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    elements = F.create_map(F.lit("研究问题"), "source", F.lit("创新方法"), F.lit(" "), F.lit("应用价值"), F.lit(" v"))
+    prompt = prompts.infographic_prompt("图 ${summaryForImage} 题 $title", elements, F.col("lang"))
+    return read(spark, sf_dir, "documents").select("doc_id", prompt.alias("prompt"))
+
+
 @query()
 def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = read(spark, sf_dir, "documents").select(prompts.weekly_prompt(F.col("lang"), F.col("source"), F.col("text")).alias("prompt"))
