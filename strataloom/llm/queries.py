@@ -25,7 +25,8 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "\\### Assistant: </turn> ok"
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    return chat.chats(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more))
+    whole = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.chats(whole).drop("n_tokens", "loss_tokens")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,4 +54,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_suffix_dedup, op2_fingerprints, op3_bpe, op4_chat, op5_toxicity, op6_neighbours, op7_substring_dedup, op8_simhash, op9_personal_data, op10_packing)}
-ORACLE_SQL: dict[str, str] = {}
+#: The other operators hash, train, tokenise or cut in ways that SQL can't express: tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op4_chat": r"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+ UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+ e AS (SELECT *, length(regexp_replace(role, '\\|<turn>|<says>|</turn>', '\\\0', 'g')) + length(regexp_replace(text, '\\|<turn>|<says>|</turn>', '\\\0', 'g')) + 19 AS n FROM c)
+ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+ cast(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+ cast(sum(n) AS BIGINT) AS formatted_chars FROM e GROUP BY conv_id""",
+}
