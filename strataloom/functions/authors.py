@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataloom.functions.text import compacted, text_or_empty
 
+# What separates names, what belongs to the name before it, and when a list is taken for characters.
 SEPARATOR = r"(?U)\s*[;,]\s*|\s+and\s+|\s*&\s*"
 SUFFIX = r"(?i)^(?:Jr|Sr|II|III|IV|Ph\.?\s?D|M\.?\s?D)\.?$"
 STREAM_LEAST, STREAM_SHARE = 8, 0.85

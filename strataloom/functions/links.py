@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataloom.functions.text import stripped, text_or_empty
 
+# Forms of arXiv identifiers, and the resolver of DOIs.
 OLD_ARXIV = r"(?i)arxiv\.org/(?:abs|pdf|html)/([a-z-]+/[0-9]{7})"
 NEW_ARXIV = r"([0-9]{4}\.[0-9]{4,5})"
 DOI_HOST = "https://doi.org/"

@@ -27,6 +27,7 @@ ACCENTS = {'"': "\u0308", "'": "\u0301", "`": "\u0300", "^": "\u0302", "~": "\u0
 # What formulas can raise or lower, and the characters for it.
 PLAIN, LOWERED, RAISED = "0123456789+-=()x", "₀₁₂₃₄₅₆₇₈₉₊₋₌₍₎ₓ", "⁰¹²³⁴⁵⁶⁷⁸⁹⁺⁻⁼⁽⁾ˣ"
 
+# Announcements that stand before abstracts.
 ARXIV_PREFIX = r"^arXiv:\S+?v\d+\s+Announce Type:\s*[\w-]+\s+Abstract:\s*"
 ARXIV_PREFIX_ZH = r"^arXiv:[^\s；;]+?v\d+[\s；;]*(?:公告|发布|公布)类型[:：]\s*[^\s。：:]{1,15}?(?:\s*摘要\s*[:：]\s*|。\s*)"
 NATURE_PREFIX = r"^[^,，。.;]{2,60}, Published online: \d{1,2} \w+ \d{4};\s*doi:\S+\s+"

@@ -22,7 +22,7 @@ def values(spark, f, inputs):
             links.arxiv_id,
             [("https://arxiv.org/abs/2601.12345v2", "2601.12345"), ("arXiv:2501.1234", "2501.1234"), ("2412.00001v3", "2412.00001"), ("https://arxiv.org/pdf/cond-mat/0703124v1", "cond-mat/0703124"), ("arXiv:cond-mat/0703124", ""), ("https://arxiv.org/abs/cond-mat.str-el/0001234", ""), ("10.1/2101.12345", ""), (None, "")],
         ),
-        (links.chat_url, [("https://supercodex.space/v1", "https://supercodex.space/v1/chat/completions"), ("https://supercodex.space/v1/", "https://supercodex.space/v1/chat/completions"), ("https://x/v1/chat/completions", "https://x/v1/chat/completions")]),
+        (links.chat_url, [("https://llm.example.com/v1", "https://llm.example.com/v1/chat/completions"), ("https://llm.example.com/v1/", "https://llm.example.com/v1/chat/completions"), ("https://x/v1/chat/completions", "https://x/v1/chat/completions")]),
         (
             text.without_announcement,
             [

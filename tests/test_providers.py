@@ -8,18 +8,19 @@ from strataloom import config, providers
 from strataloom.functions.pdf import read_pdf
 
 
-class Scripted:
-    model = "scripted"
+class Gateway:
+    """Fails for its first `down` calls."""
 
-    def __init__(self, outcomes):
-        self.outcomes, self.calls = list(outcomes), 0
+    model = "m"
+
+    def __init__(self, down=0, says="ok"):
+        self.down, self.says, self.calls = down, says, 0
 
     def call_api(self, prompt):
         self.calls += 1
-        value = self.outcomes.pop(0) if self.outcomes else "ok"
-        if isinstance(value, Exception):
-            raise value
-        return value
+        if self.calls > self.down:
+            return self.says
+        raise ConnectionError(prompt)
 
 
 @pytest.fixture(autouse=True)
@@ -30,7 +31,7 @@ def closed():
 
 
 def test_breaker_stops_calls():
-    inner = Scripted([RuntimeError()] * 9)
+    inner = Gateway(down=9)
     p = providers.guarded(inner)
     assert [providers.ask(p, "p", "t") for _ in range(20)] == [""] * 20 and inner.calls == 2
     with pytest.raises(providers.Unavailable):
@@ -39,7 +40,7 @@ def test_breaker_stops_calls():
 
 def test_probe_closes_or_reopens(monkeypatch):
     monkeypatch.setenv(providers.COOLDOWN, "0")
-    inner = Scripted([RuntimeError(), RuntimeError(), RuntimeError(), "back"])
+    inner = Gateway(down=3, says="back")
     p = providers.guarded(inner)
     for _ in range(3):
         providers.ask(p, "p", "t")
@@ -51,14 +52,14 @@ def test_probe_closes_or_reopens(monkeypatch):
 
 
 def test_wrapping():
-    p = providers.guarded(Scripted([]))
-    assert p.model == "scripted" and providers.guarded(p) is p and providers.guarded(None) is None
+    p = providers.guarded(Gateway())
+    assert p.model == "m" and providers.guarded(p) is p and providers.guarded(None) is None
     assert providers.ask(None, "p", "t") == "" == providers.ask(p, "p", "")
 
 
 def test_factory():
-    providers.register("local", lambda **k: Scripted(["l"]))
-    providers.register("default", lambda **k: Scripted(["d"]))
+    providers.register("local", lambda **k: Gateway(says="l"))
+    providers.register("default", lambda **k: Gateway(says="d"))
     assert [providers.build(n).call_api("") for n in (" LK ", "local-kimi", "other", None)] == ["l", "l", "d", "d"]
 
 
