@@ -25,6 +25,8 @@ OPEN, HEAD, CLOSE, ESCAPE = "<turn>", "<says>", "</turn>", "\\"
 CONTROL = re.compile("|".join(map(re.escape, (OPEN, HEAD, CLOSE))))
 SPECIAL = re.compile(r"\\|<(?=turn>|says>|/turn>)")
 LOSS_ROLE = "assistant"
+#: Characters of a conversation that are held at once.
+BLOCK = 1 << 22
 
 
 def escaped(text: str) -> str:
@@ -90,27 +92,62 @@ def masked(spans: list[tuple[int, int]], start: np.ndarray, end: np.ndarray) ->
     return mask
 
 
+class Conversation:
+    """What is read back from a conversation's rendered text, ids and mask, a block of turns at a time.
+
+    A conversation is one block unless it is longer than BLOCK characters. Blocks end between turns, where a control string
+    cuts the text for the tokenizer too, so the blocks' encodings end to end are that of the whole.
+    """
+
+    def __init__(self, bpe: ByteBpe, outputs: bool = False):
+        self.bpe, self.outputs = bpe, outputs
+        self.turns: list[tuple[str, str]] = []
+        self.size = self.n_turns = self.loss_chars = self.chars = self.n_tokens = self.loss_tokens = 0
+        self.digest, self.loss_digest = hashlib.sha256(), hashlib.sha256()
+        self.made: list[tuple] = []
+
+    def add(self, role: str, text: str) -> None:
+        self.turns.append((role, text))
+        self.size += len(role) + len(text)
+        if self.size > BLOCK:
+            self.block()
+
+    def block(self) -> None:
+        text = rendered(self.turns)
+        self.turns, self.size = [], 0
+        back = parsed(text)
+        ids, start, end = encoded(text, self.bpe)
+        spans = [(a, b) for role, a, b in back if role == LOSS_ROLE]
+        mask = masked(spans, start, end)
+        on = np.flatnonzero(mask)
+        # Masked characters, from the tokens' spans; a character of several tokens counts once. Turns are unescaped one by one.
+        for a, b in spans:
+            own = on[np.searchsorted(start[on], a) : np.searchsorted(start[on], b)]
+            said = unescaped(text[start[own[0]] : end[own[-1]]]) if len(own) else ""
+            self.loss_chars += len(said)
+            self.loss_digest.update(said.encode())
+        for role, a, b in back:
+            self.digest.update(f"{role}\n{unescaped(text[a:b])}\n".encode())
+        self.n_turns, self.chars = self.n_turns + len(back), self.chars + len(text)
+        self.n_tokens, self.loss_tokens = self.n_tokens + len(ids), self.loss_tokens + int(mask.sum())
+        if self.outputs:
+            self.made.append((text, ids, mask))
+
+    def row(self) -> dict:
+        self.block()
+        out = {"n_turns": self.n_turns, "turns_sha256": self.digest.hexdigest(), "loss_chars": self.loss_chars, "loss_sha256": self.loss_digest.hexdigest(), "formatted_chars": self.chars, "n_tokens": self.n_tokens, "loss_tokens": self.loss_tokens}
+        if self.outputs:
+            text, ids, mask = zip(*self.made, strict=True)
+            out |= {"text": "".join(text), "ids": np.concatenate(ids), "mask": np.concatenate(mask)}
+        return out
+
+
 def formatted(turns: list[tuple[str, str]], bpe: ByteBpe) -> dict:
     """A conversation's rendered text, ids and mask, and what is read back from them."""
-    text = rendered(turns)
-    back = parsed(text)
-    ids, start, end = encoded(text, bpe)
-    spans = [(a, b) for role, a, b in back if role == LOSS_ROLE]
-    mask = masked(spans, start, end)
-    on = np.flatnonzero(mask)
-    # Masked characters, from the tokens' spans; a character of several tokens counts once. Turns are unescaped one by one.
-    loss = []
-    for a, b in spans:
-        own = on[np.searchsorted(start[on], a) : np.searchsorted(start[on], b)]
-        loss.append(unescaped(text[start[own[0]] : end[own[-1]]]) if len(own) else "")
-    said = "".join(loss)
-    digest = hashlib.sha256()
-    for role, a, b in back:
-        digest.update(f"{role}\n{unescaped(text[a:b])}\n".encode())
-    return {
-        "n_turns": len(back), "turns_sha256": digest.hexdigest(), "loss_chars": len(said), "loss_sha256": hashlib.sha256(said.encode()).hexdigest(),
-        "formatted_chars": len(text), "n_tokens": len(ids), "loss_tokens": int(mask.sum()), "text": text, "ids": ids, "mask": mask,
-    }
+    conversation = Conversation(bpe, outputs=True)
+    for role, text in turns:
+        conversation.add(role, text)
+    return conversation.row()
 
 
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_tokens long, loss_tokens long"
@@ -127,19 +164,18 @@ def _format(path: str | None, outputs: bool) -> Callable[[Iterator[pa.RecordBatc
     def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path or standard_path())
         done: list[dict] = []
-        now, turns = None, []  # one conversation is held at a time
+        now, conversation = None, None
         for batch in batches:
             for conv, role, text in zip(*(batch[c].to_pylist() for c in ("conv_id", "role", "text")), strict=True):
-                if turns and conv != now:
-                    done.append(formatted(turns, bpe) | {"conv_id": now})
-                    turns = []
-                now = conv
-                turns.append((role, text))
+                if conversation is None or conv != now:
+                    done += [conversation.row() | {"conv_id": now}] if conversation else []
+                    now, conversation = conv, Conversation(bpe, outputs)
+                conversation.add(role, text)
             if done:
                 yield rows(done)
                 done = []
-        if turns:
-            yield rows([formatted(turns, bpe) | {"conv_id": now}])
+        if conversation:
+            yield rows([conversation.row() | {"conv_id": now}])
 
     return of_partition
 

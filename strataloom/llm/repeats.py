@@ -172,7 +172,7 @@ def _seeds(rule: Rule, keys: list[int]) -> Callable[[tuple, pa.Table], pa.Table]
         later = np.ones(len(row), bool)
         later[order[first]] = False
         gone = np.flatnonzero(later if rule.first_stays else again)
-        out = [(keys[gone[0] % len(keys)], MARK, bucket, _body(row[gone].astype(np.int32), pos[gone].astype(np.int32), more[gone].astype(np.int32)))] if len(gone) else []
+        out = [(keys[bucket % len(keys)], MARK, bucket, _body(row[gone].astype(np.int32), pos[gone].astype(np.int32), more[gone].astype(np.int32)))] if len(gone) else []
         one = np.sort(order[first])
         shard = (gram[one] % U64(len(keys))).astype(np.int64)
         for s, (at,) in _split(shard, one):
@@ -262,7 +262,7 @@ def _answers(rule: Rule, keys: list[int]) -> Callable[[tuple, pa.Table, pa.Table
         bucket, out, tokens = key[0].as_py(), [], None
         for kind, body in zip(asked["kind"].to_pylist(), asked["body"].to_pylist(), strict=True):
             if kind == MARK:
-                out.append((keys[len(out) % len(keys)], MARK, bucket, body))
+                out.append((keys[(bucket + len(out)) % len(keys)], MARK, bucket, body))
                 continue
             if tokens is None:
                 tokens = Tokens(docs, rule)

@@ -123,6 +123,15 @@ def test_escapes_are_reversible():
         assert len(out["ids"]) == len(out["mask"])
 
 
+def test_blocks_of_a_long_conversation(monkeypatch):
+    own, rng = bpe.ByteBpe(PATH), random.Random(2)
+    turns = [(rng.choice(["user", "assistant"]), "word " * rng.randint(0, 30) + "\\<turn>") for _ in range(60)]
+    whole = chat.formatted(turns, own)
+    monkeypatch.setattr(chat, "BLOCK", 200)
+    parts = chat.formatted(turns, own)
+    assert all(np.array_equal(whole[k], parts[k]) for k in whole)
+
+
 def test_fingerprint_estimates_resemblance():
     rng = random.Random(4)
     words = [f"w{i}" for i in range(4000)]
