@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataloom.llm import packing, pii, simhash, suffix_dedup, toxicity
-from strataloom.llm.common import stored, table
+from strataloom.llm.common import dropped, stored, table
 
 CARRIED = ("lang", "source")
 COLUMNS = ("doc_id", "text", "lang", "source")
@@ -54,8 +54,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each stored in the shared folder before the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents, each stored in the shared folder before the next reads it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs, _ = stored(stage(spark, docs, sf_dir), name)
+        docs, at = stored(stage(spark, docs, sf_dir), name)
+        if before:
+            dropped(spark, before)
+        before = at
     return STAGES[-1][1](spark, docs, sf_dir)
