@@ -242,7 +242,7 @@ def word_fingerprints(column: pa.Array) -> np.ndarray:
 
 
 def _described(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Adds each text's word-set fingerprint and its one-permutation MinHash of shingles; of a short text its shingles too."""
+    """Each text's word-set fingerprint and its one-permutation MinHash of shingles; of a short text its shingles too."""
 
     def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,8 +253,8 @@ def _described(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
             for i, j in pieces(off, 1 << 19):
                 hashes, n = shingle_hashes(raw[off[i] : off[j]], off[i : j + 1] - off[i], width)
                 sets += [np.unique(hashes[e - k : e]).tobytes() if k <= SHORT else None for k, e in zip(n.tolist(), np.cumsum(n).tolist(), strict=True)]
-            columns = [*batch.columns, pa.array(word_fingerprints(batch["text"]).view(np.int64)), sketch, pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "fp", "sketch", "shingles"])
+            columns = [batch["doc_id"], batch["node"], pa.array(word_fingerprints(batch["text"]).view(np.int64)), sketch, pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "fp", "sketch", "shingles"])
 
     return of_partition
 
@@ -295,23 +295,23 @@ def _alike(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 def one_of_each(docs: DataFrame, *, width: int = NEAR_WIDTH, similarity: float = NEAR, radius: int = 3, carried: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text and the carried columns of one row of each group of copies and near copies: that of the least doc_id.
 
-    Texts whose word-set fingerprints are linked within `radius` bits are candidates; those of one linked set that share
-    a band of their sketches with its least text are links where the sketches (of short texts, the sets) have a resemblance of `width`-word
-    shingles of `similarity` or more. So each text meets one other for each band, never all of its group. Groups are connected
+    Texts whose word-set fingerprints are linked within `radius` bits are candidates. Each is compared with the least text
+    that shares a band of its sketch and its linked set: they are a link if their `width`-word shingles resemble each other
+    by `similarity` or more, exactly for short texts, else as the sketches estimate. So each text meets one other for each band, never all of its group. Groups are connected
     by links; equal texts are one. Texts without words are alike; a null text is empty. Null doc_ids come last; of several
-    rows with the least id, that of the least text stays. No rows give no rows.
+    rows with the least id, that of the least text stays. No rows give no rows. The documents are read twice, and shuffled once.
     """
     spark = docs.sparkSession
     prepare(spark)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"_{c}") for c in carried])
-    fields = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema], "fp long, sketch binary, shingles binary"])
-    rows, _ = stored(own.mapInArrow(_described(width), fields).withColumn("node", F.xxhash64(F.coalesce("text", F.lit("")))), "words")
+    own = own.withColumn("node", F.xxhash64(F.coalesce("text", F.lit(""))))
+    rows, _ = stored(own.select("doc_id", "node", "text").mapInArrow(_described(width), "doc_id long, node long, fp long, sketch binary, shingles binary"), "words")
     of_node = [F.min("fp").alias("fp"), F.min("doc_id").alias("least"), F.max("sketch").alias("sketch"), F.max("shingles").alias("shingles")]
     nodes, _ = stored(rows.groupBy("node").agg(*of_node), "nodes")
     links, _ = linked(nodes.select("fp").distinct(), radius)
-    rooted = nodes.join(links, nodes.fp == links.u, "left").withColumn("root", F.coalesce("v", "fp"))
+    rooted = nodes.select("node", "fp").join(links, F.col("fp") == links.u, "left").select("node", F.coalesce("v", "fp").alias("root"))
     wide = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
-    sketches, _ = stored(rooted.join(wide, "root").select("root", "node", "sketch", "shingles"), "sketches")
+    sketches, _ = stored(rooted.join(wide, "root").join(nodes.select("node", "sketch", "shingles"), "node").select("root", "node", "sketch", "shingles"), "sketches")
     bands = sketches.select("root", "node", "sketch").mapInArrow(_bands, "root long, node long, band binary")
     first = bands.groupBy("root", "band").agg(F.min("node").alias("v"))
     pairs = bands.join(first, ["root", "band"]).where("node <> v").select(F.col("node").alias("u"), "v").distinct()
@@ -320,6 +320,8 @@ def one_of_each(docs: DataFrame, *, width: int = NEAR_WIDTH, similarity: float =
     grouped, _ = stars(alike)
     member = nodes.join(grouped, nodes.node == grouped.u, "left").select("node", "least", F.coalesce("v", "node").alias("group"))
     stays = member.groupBy("group").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("k")).select(F.col("k.least").alias("kept_id"), F.col("k.node").alias("node"))
-    kept = rows.drop("fp", "sketch", "shingles").join(stays, "node").where(F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    nth = F.row_number().over(Window.partitionBy("node").orderBy(F.coalesce("text", F.lit(""))))
+    # Joined on text and id together: a text that many rows share doesn't go to one task.
+    pick = lambda id_: F.xxhash64(F.col("node"), F.coalesce(F.col(id_), F.lit(0)), F.col(id_).isNull())
+    kept = own.withColumn("pick", pick("doc_id")).join(stays.select(pick("kept_id").alias("pick")), "pick")
+    nth = F.row_number().over(Window.partitionBy("pick").orderBy(F.coalesce("text", F.lit(""))))
     return kept.withColumn("nth", nth).where("nth = 1").select("doc_id", "text", *[F.col(f"_{c}").alias(c) for c in carried])
