@@ -44,7 +44,7 @@ def rendered(turns: list[tuple[str, str]]) -> str:
 
 def controls(text: str) -> list[tuple[int, int, str]]:
     """The control strings of a rendered text: those that no backslash escapes."""
-    found, at = [], 0
+    found = []
     for m in re.finditer(r"(?s)\\.|" + CONTROL.pattern, text):
         if m[0][0] != ESCAPE:
             found.append((m.start(), m.end(), m[0]))

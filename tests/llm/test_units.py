@@ -76,7 +76,7 @@ def test_bpe_equals_the_library():
     assert own.decode(np.array([220, 255])) == lib.decode([220, 255], skip_special_tokens=False)
 
 
-def test_tree_concatenation_is_exact_and_reads_little(monkeypatch):
+def test_tree_concatenation_is_exact():
     own = bpe.ByteBpe(PATH)
     text = "".join(random.Random(5).choice("etaoinshrdlu") for _ in range(50000)).encode()
     assert own.tree(text) == own.bpe._core_bpe.encode_single_piece(text)
