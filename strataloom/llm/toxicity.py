@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from strataloom.llm.common import dropped, prepare, stored
 
-ORDERS, BITS, FEATURES = (3, 4, 5), 18, 96
+ORDERS, BITS, FEATURES = (3, 4, 5), 18, 2048
 #: The classifier is fitted on so many labelled rows at most, those of the least hash; all texts are scored.
 MOST_ROWS = 6000
 CHUNK, TRAIN_TASKS = 1 << 12, 8
@@ -93,19 +93,19 @@ def _summed(rows: pa.Table) -> pa.Table:
 
 
 def _shares(chosen: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A labelled text's values of the chosen features."""
+    """A labelled text's features, those it has, and their values."""
     place = np.full(1 << BITS, -1)
     place[chosen] = np.arange(len(chosen))
 
     def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            features, values = [], []
             for text in batch["text"].to_pylist():
                 bucket, n = _buckets(text)
-                at, x = place[bucket], np.zeros(len(chosen), np.float32)
-                x[at[at >= 0]] = np.minimum(MOST, SHARE * n[at >= 0] / n.sum())
-                rows.append(x.tobytes())
-            yield pa.RecordBatch.from_arrays([batch["label"], pa.array(rows, pa.binary())], ["label", "x"])
+                at = place[bucket]
+                features.append(at[at >= 0].astype(np.uint16).tobytes())
+                values.append(np.minimum(MOST, SHARE * n[at >= 0] / n.sum()).astype(np.float32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch["label"], pa.array(features, pa.binary()), pa.array(values, pa.binary())], ["label", "at", "x"])
 
     return of_partition
 
@@ -122,7 +122,7 @@ def told(has: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(y: np.ndarray, x: np.ndarray, chosen: np.ndarray, ratio: np.ndarray, *, steps: int = 200, penalty: float = 0.03) -> Classifier:
     """A logistic regression on the chosen features, scaled by their log-count ratios (Adam on the whole sample)."""
-    x = (x * ratio).astype(np.float32)
+    x = x * ratio.astype(np.float32)
     w, b = np.zeros(len(chosen), np.float32), np.float32(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
     m, v, m_b, v_b = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for step in range(1, steps + 1):
@@ -146,8 +146,8 @@ def trained(docs: DataFrame, labels: DataFrame, *, most_rows: int = MOST_ROWS) -
     """Fits a classifier on labelled rows that aren't held out, `most_rows` at most.
 
     Copies of a text are one text, of the label that most of them have (ties: 1). Without both labels there is nothing to
-    learn: every score is then the share of toxic texts, smoothed. The driver gets fixed-size counts, and FEATURES numbers
-    for each row.
+    learn: every score is then the share of toxic texts, smoothed. The driver gets fixed-size counts, and of each
+    row the features that it has, FEATURES at most.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -164,10 +164,13 @@ def trained(docs: DataFrame, labels: DataFrame, *, most_rows: int = MOST_ROWS) -
     sums = rows.select("text", "label").mapInArrow(_frequencies, "chunk int, has binary").groupBy("chunk").applyInArrow(_summed, "chunk int, has binary").collect()
     has = np.concatenate([np.frombuffer(r["has"], np.int64).reshape(2, CHUNK) for r in sorted(sums, key=lambda r: r["chunk"])], axis=1)
     chosen, ratio = told(has, np.array([n[0], n[1]]))
-    got = sorted(rows.select("label", "text").mapInArrow(_shares(chosen), "label int, x binary").collect())
+    got = sorted(rows.select("label", "text").mapInArrow(_shares(chosen), "label int, at binary, x binary").collect())
     dropped(spark, at)
     y = np.array([r["label"] for r in got], np.float64)
-    return fit(y, np.stack([np.frombuffer(r["x"], np.float32) for r in got]), chosen, ratio)
+    x = np.zeros((len(got), len(chosen)), np.float32)
+    for row, r in zip(x, got, strict=True):
+        row[np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["x"], np.float32)
+    return fit(y, x, chosen, ratio)
 
 
 def _score(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
