@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataloom.llm.common import U64, even_keys, mixed, partitions, pieces, prepare, span_hashes, stored, utf8, words
+from strataloom.llm.common import U64, dropped, even_keys, mixed, partitions, pieces, prepare, span_hashes, stored, utf8, words
 from strataloom.llm.components import stars
 from strataloom.llm.fingerprints import shingle_hashes, signatures
 
@@ -20,6 +20,8 @@ WIDTH, RADIUS, SEED = 3, 2, 42
 #: Near copies resemble each other so much in shingles of so many words; a sketch has BINS bytes
 #: in bands of BAND. Texts of SHORT shingles or fewer are compared exactly.
 NEAR, NEAR_WIDTH, BINS, BAND, SHORT = 0.8, 5, 256, 8, 128
+#: Each round pairs a bucket's nodes with so many times as many of them as the one before.
+HEADS = 8
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LO, _HI = U64(0xFFFFFFFF), U64(0xFFFFFFFF00000000)
@@ -292,12 +294,46 @@ def _alike(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return of_partition
 
 
+def _connected(buckets: DataFrame, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Stars (u, v) over all links `alike` finds among pairs (u, v) of nodes that share a bucket.
+
+    In the first round each bucket's nodes are paired with its first one, in the next with the following HEADS, then with
+    HEADS times as many. Only nodes that no link connects yet are paired, and a bucket whose nodes are all connected is done;
+    so a group of copies costs a pair for each, and no pair that could connect anything stays untested. The first are those
+    that meet most others in all their buckets: an original comes before its copies.
+    """
+    own = Window.partitionBy("bucket")
+    full = buckets.withColumn("n", F.count("*").over(own)).where("n > 1")
+    full, at = stored(full, "buckets")
+    spark = full.sparkSession
+    met = full.groupBy("node").agg(F.sum("n").alias("met"))
+    ranked, to = stored(full.join(met, "node").select("bucket", "node", F.row_number().over(own.orderBy(F.desc("met"), "node")).alias("rank")), "ranked")
+    dropped(spark, at)
+    links, link_at = stars(ranked.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0))
+    first = last = 1
+    while True:
+        now = ranked.where(F.col("rank") >= first).join(links, F.col("node") == links.u, "left").select("bucket", "node", "rank", F.coalesce("v", "node").alias("group"))
+        split = now.groupBy("bucket").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least < most").select("bucket")
+        left, at = stored(now.join(split, "bucket"), "left")
+        if left.isEmpty():
+            for x in (at, to):
+                dropped(spark, x)
+            return links
+        heads = left.where(F.col("rank") <= last).select("bucket", F.col("node").alias("v"), F.col("group").alias("of"), F.col("rank").alias("nth"))
+        pairs = left.join(heads, "bucket").where("rank > nth AND group <> of").select(F.col("node").alias("u"), "v").distinct()
+        more, more_at = stars(alike(pairs).union(links.select("u", "v")))
+        for x in (at, link_at):
+            dropped(spark, x)
+        links, link_at = more, more_at
+        first, last = last + 1, last + HEADS * (last - first + 1)
+
+
 def one_of_each(docs: DataFrame, *, width: int = NEAR_WIDTH, similarity: float = NEAR, radius: int = 3, carried: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text and the carried columns of one row of each group of copies and near copies: that of the least doc_id.
 
-    Texts whose word-set fingerprints are linked within `radius` bits are candidates. Each is compared with the least text
-    that shares a band of its sketch and its linked set: they are a link if their `width`-word shingles resemble each other
-    by `similarity` or more, exactly for short texts, else as the sketches estimate. So each text meets one other for each band, never all of its group. Groups are connected
+    Texts whose word-set fingerprints are linked within `radius` bits are candidates. Those that share a band of their sketches and
+    a linked set are compared until all are connected or each pair of unconnected ones has been: they are a link if their `width`-word shingles resemble each other
+    by `similarity` or more, exactly for short texts, else as the sketches estimate. Groups are connected
     by links; equal texts are one. Texts without words are alike; a null text is empty. Null doc_ids come last; of several
     rows with the least id, that of the least text stays. No rows give no rows. The documents are read twice, and shuffled once.
     """
@@ -313,11 +349,9 @@ def one_of_each(docs: DataFrame, *, width: int = NEAR_WIDTH, similarity: float =
     wide = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
     sketches, _ = stored(rooted.join(wide, "root").join(nodes.select("node", "sketch", "shingles"), "node").select("root", "node", "sketch", "shingles"), "sketches")
     bands = sketches.select("root", "node", "sketch").mapInArrow(_bands, "root long, node long, band binary")
-    first = bands.groupBy("root", "band").agg(F.min("node").alias("v"))
-    pairs = bands.join(first, ["root", "band"]).where("node <> v").select(F.col("node").alias("u"), "v").distinct()
     of = lambda at, name: sketches.select(F.col("node").alias(at), F.struct("sketch", "shingles").alias(name))
-    alike = pairs.join(of("u", "a"), "u").join(of("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(_alike(similarity), "u long, v long")
-    grouped, _ = stars(alike)
+    alike = lambda pairs: pairs.join(of("u", "a"), "u").join(of("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(_alike(similarity), "u long, v long")
+    grouped = _connected(bands.select(F.xxhash64("root", "band").alias("bucket"), "node"), alike)
     member = nodes.join(grouped, nodes.node == grouped.u, "left").select("node", "least", F.coalesce("v", "node").alias("group"))
     stays = member.groupBy("group").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("k")).select(F.col("k.least").alias("kept_id"), F.col("k.node").alias("node"))
     # Joined on text and id together: a text that many rows share doesn't go to one task.
