@@ -262,15 +262,14 @@ def _described(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each BAND bins of a sketch; one for a text without words."""
+    """A bucket for each BAND bins of a sketch; none for a text without words."""
     for batch in batches:
-        root, node, band = [], [], []
-        for r, n, s in zip(batch["root"].to_pylist(), batch["node"].to_pylist(), batch["sketch"].to_pylist(), strict=True):
-            keys = [i.to_bytes(2, "little") + s[i : i + BAND] for i in range(0, max(1, len(s)), BAND)]
-            root += [r] * len(keys)
-            node += [n] * len(keys)
-            band += keys
-        yield pa.RecordBatch.from_arrays([pa.array(root, pa.int64()), pa.array(node, pa.int64()), pa.array(band, pa.binary())], ["root", "node", "band"])
+        node, bucket = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for n, s in zip(batch["node"].to_pylist(), batch["sketch"].to_pylist(), strict=True):
+            words = np.frombuffer(s, "<u8")
+            node.append(np.full(len(words), n, np.int64))
+            bucket.append(mixed(mixed(words) ^ mixed(np.arange(len(words), dtype=U64))).view(np.int64))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bucket)), pa.array(np.concatenate(node))], ["bucket", "node"])
 
 
 def _alike(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -331,8 +330,8 @@ def _connected(buckets: DataFrame, alike: Callable[[DataFrame], DataFrame]) -> D
 def one_of_each(docs: DataFrame, *, width: int = NEAR_WIDTH, similarity: float = NEAR, radius: int = 3, carried: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text and the carried columns of one row of each group of copies and near copies: that of the least doc_id.
 
-    Texts whose word-set fingerprints are linked within `radius` bits are candidates. Those that share a band of their sketches and
-    a linked set are compared until all are connected or each pair of unconnected ones has been: they are a link if their `width`-word shingles resemble each other
+    Texts whose word-set fingerprints are linked within `radius` bits are candidates, and so are those that share a band of
+    their sketches, as few pairs of so low a resemblance have fingerprints so near. Candidates are compared until all are connected or each pair of unconnected ones has been: they are a link if their `width`-word shingles resemble each other
     by `similarity` or more, exactly for short texts, else as the sketches estimate. Groups are connected
     by links; equal texts are one. Texts without words are alike; a null text is empty. Null doc_ids come last; of several
     rows with the least id, that of the least text stays. No rows give no rows. The documents are read twice, and shuffled once.
@@ -347,11 +346,11 @@ def one_of_each(docs: DataFrame, *, width: int = NEAR_WIDTH, similarity: float =
     links, _ = linked(nodes.select("fp").distinct(), radius)
     rooted = nodes.select("node", "fp").join(links, F.col("fp") == links.u, "left").select("node", F.coalesce("v", "fp").alias("root"))
     wide = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
-    sketches, _ = stored(rooted.join(wide, "root").join(nodes.select("node", "sketch", "shingles"), "node").select("root", "node", "sketch", "shingles"), "sketches")
-    bands = sketches.select("root", "node", "sketch").mapInArrow(_bands, "root long, node long, band binary")
-    of = lambda at, name: sketches.select(F.col("node").alias(at), F.struct("sketch", "shingles").alias(name))
+    roots = rooted.join(wide, "root").select(F.xxhash64("root").alias("bucket"), "node")
+    bands = nodes.select("node", "sketch").mapInArrow(_bands, "bucket long, node long")
+    of = lambda at, name: nodes.select(F.col("node").alias(at), F.struct("sketch", "shingles").alias(name))
     alike = lambda pairs: pairs.join(of("u", "a"), "u").join(of("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(_alike(similarity), "u long, v long")
-    grouped = _connected(bands.select(F.xxhash64("root", "band").alias("bucket"), "node"), alike)
+    grouped = _connected(bands.union(roots), alike)
     member = nodes.join(grouped, nodes.node == grouped.u, "left").select("node", "least", F.coalesce("v", "node").alias("group"))
     stays = member.groupBy("group").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("k")).select(F.col("k.least").alias("kept_id"), F.col("k.node").alias("node"))
     # Joined on text and id together: a text that many rows share doesn't go to one task.

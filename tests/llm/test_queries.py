@@ -286,6 +286,33 @@ def test_near_copies_that_only_their_original_connects(spark):
     assert len(kept) <= 60, len(kept)
 
 
+def edited_pairs(rng, low, high, n):
+    """Texts and edits of them, of 60 to 1,500 words: a passage put in, the tail cut off, words changed. Rows of two by two ids."""
+    words = np.array([f"w{i}" for i in range(20000)])
+    shingles = lambda x: {tuple(x[i : i + 5]) for i in range(len(x) - 4)}
+    rows = []
+    while len(rows) < 2 * n:
+        a, j, kind = rng.choice(words, int(rng.integers(60, 1500))), rng.uniform(low, high), len(rows) // 2 % 3
+        if kind == 0:
+            at = int(rng.integers(0, len(a)))
+            b = np.concatenate([a[:at], rng.choice(words, int(len(a) * (1 - j) / j)), a[at:]])
+        elif kind == 1:
+            b = a[: int(len(a) * j)]
+        else:
+            b, many = a.copy(), max(1, int(len(a) * (1 - j) / (1 + j) / 5))
+            b[rng.choice(len(a), many, replace=False)] = rng.choice(words, many)
+        x, y = shingles(a.tolist()), shingles(b.tolist())
+        if low <= len(x & y) / len(x | y) < high:
+            rows += [(len(rows), " ".join(a)), (len(rows) + 1, " ".join(b))]
+    return rows
+
+
+def test_near_copies_down_to_the_stated_resemblance(spark):
+    rows = edited_pairs(np.random.default_rng(7), 0.84, 0.95, 90)
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    assert kept <= 94, kept
+
+
 def test_odd_fingerprints(odd):
     rows = order(odd[0])
     want = []
