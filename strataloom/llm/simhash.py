@@ -18,8 +18,8 @@ from strataloom.llm.fingerprints import shingle_hashes, signatures
 
 WIDTH, RADIUS, SEED = 3, 2, 42
 #: Near copies resemble each other so much in shingles of so many words; a sketch has BINS bytes
-#: in bands of BAND. Texts of SHORT shingles or fewer are compared exactly.
-NEAR, NEAR_WIDTH, BINS, BAND, SHORT = 0.8, 5, 256, 8, 128
+#: in bands of BAND. Pairs whose sketches' estimate is less by more than MARGIN, four times its error, aren't compared.
+NEAR, NEAR_WIDTH, BINS, BAND, MARGIN = 0.8, 5, 256, 8, 0.1
 #: Each round pairs a bucket's nodes with so many times as many of them as the one before.
 HEADS = 8
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -244,19 +244,29 @@ def word_fingerprints(column: pa.Array) -> np.ndarray:
 
 
 def _described(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Each text's word-set fingerprint and its one-permutation MinHash of shingles; of a short text its shingles too."""
+    """Each text's word-set fingerprint and its one-permutation MinHash of shingles."""
 
     def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, off = utf8(batch["text"])
-            low, has = signatures(raw, off, width, BINS, 8)
+            low, has = signatures(*utf8(batch["text"]), width, BINS, 8)
             sketch = pa.array([r.tobytes() if h else b"" for r, h in zip(low, has, strict=True)], pa.binary())
+            columns = [batch["doc_id"], batch["node"], pa.array(word_fingerprints(batch["text"]).view(np.int64)), sketch]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "fp", "sketch"])
+
+    return of_partition
+
+
+def _shingled(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each text's whole set of shingles, as sorted hashes."""
+
+    def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, off = utf8(batch["text"])
             sets = []
             for i, j in pieces(off, 1 << 19):
                 hashes, n = shingle_hashes(raw[off[i] : off[j]], off[i : j + 1] - off[i], width)
-                sets += [np.unique(hashes[e - k : e]).tobytes() if k <= SHORT else None for k, e in zip(n.tolist(), np.cumsum(n).tolist(), strict=True)]
-            columns = [batch["doc_id"], batch["node"], pa.array(word_fingerprints(batch["text"]).view(np.int64)), sketch, pa.array(sets, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "fp", "sketch", "shingles"])
+                sets += [np.unique(hashes[e - k : e]).tobytes() for k, e in zip(n.tolist(), np.cumsum(n).tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["node"], pa.array(sets, pa.binary())], ["node", "shingles"])
 
     return of_partition
 
@@ -272,29 +282,38 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bucket)), pa.array(np.concatenate(node))], ["bucket", "node"])
 
 
-def _alike(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pairs that resemble each other by `similarity` or more: exactly, of short texts; else as their sketches estimate."""
+def _promising(similarity: float, a: bytes, b: bytes) -> bool:
+    """Whether two sketches don't rule the resemblance out; texts without words are alike."""
+    if not a or not b:
+        return a == b
+    equal = (np.frombuffer(a, np.uint8) == np.frombuffer(b, np.uint8)).mean()
+    return (equal - 1 / 256) / (1 - 1 / 256) >= similarity - MARGIN
+
+
+def _resembling(similarity: float, a: bytes, b: bytes) -> bool:
+    """Whether two sets of shingles resemble each other so much or more."""
+    x, y = np.frombuffer(a, U64), np.frombuffer(b, U64)
+    if min(len(x), len(y)) < similarity * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= similarity * (len(x) + len(y) - both)
 
-    def of_pair(a: dict, b: dict) -> bool:
-        if a["shingles"] is not None and b["shingles"] is not None:
-            x, y = np.frombuffer(a["shingles"], U64), np.frombuffer(b["shingles"], U64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            return both >= similarity * (len(x) + len(y) - both)
-        if not a["sketch"] or not b["sketch"]:
-            return False
-        equal = (np.frombuffer(a["sketch"], np.uint8) == np.frombuffer(b["sketch"], np.uint8)).mean()
-        return (equal - 1 / 256) / (1 - 1 / 256) >= similarity
+
+def _where(test: Callable[[float, bytes, bytes], bool], similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The pairs that pass the test."""
 
     def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = pa.array([of_pair(a, b) for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True)], pa.bool_())
+            keep = pa.array([test(similarity, a, b) for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch["u"].filter(keep), batch["v"].filter(keep)], ["u", "v"])
 
     return of_partition
 
 
-def _connected(buckets: DataFrame, alike: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Stars (u, v) over all links `alike` finds among pairs (u, v) of nodes that share a bucket.
+def _connected(buckets: DataFrame, between: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """Stars (u, v) over all links found among pairs (u, v) of nodes that share a bucket.
+
+    `between` gets the nodes that share one and returns what finds the links among pairs of them.
 
     In the first round each bucket's nodes are paired with its first one, in the next with the following HEADS, then with
     HEADS times as many. Only nodes that no link connects yet are paired, and a bucket whose nodes are all connected is done;
@@ -305,6 +324,7 @@ def _connected(buckets: DataFrame, alike: Callable[[DataFrame], DataFrame]) -> D
     full = buckets.withColumn("n", F.count("*").over(own)).where("n > 1")
     full, at = stored(full, "buckets")
     spark = full.sparkSession
+    alike = between(full.select("node").distinct())
     met = full.groupBy("node").agg(F.sum("n").alias("met"))
     ranked, to = stored(full.join(met, "node").select("bucket", "node", F.row_number().over(own.orderBy(F.desc("met"), "node")).alias("rank")), "ranked")
     dropped(spark, at)
@@ -332,29 +352,41 @@ def one_of_each(docs: DataFrame, *, width: int = NEAR_WIDTH, similarity: float =
 
     Texts whose word-set fingerprints are linked within `radius` bits are candidates, and so are those that share a band of
     their sketches, as few pairs of so low a resemblance have fingerprints so near. Candidates are compared until all are connected or each pair of unconnected ones has been: they are a link if their `width`-word shingles resemble each other
-    by `similarity` or more, exactly for short texts, else as the sketches estimate. Groups are connected
+    by `similarity` or more. Groups are connected
     by links; equal texts are one. Texts without words are alike; a null text is empty. Null doc_ids come last; of several
-    rows with the least id, that of the least text stays. No rows give no rows. The documents are read twice, and shuffled once.
+    rows with the least id, that of the least text stays. No rows give no rows. The documents are read three
+    times, and shuffled twice.
     """
     spark = docs.sparkSession
     prepare(spark)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"_{c}") for c in carried])
     own = own.withColumn("node", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows, _ = stored(own.select("doc_id", "node", "text").mapInArrow(_described(width), "doc_id long, node long, fp long, sketch binary, shingles binary"), "words")
-    of_node = [F.min("fp").alias("fp"), F.min("doc_id").alias("least"), F.max("sketch").alias("sketch"), F.max("shingles").alias("shingles")]
+    rows, _ = stored(own.select("doc_id", "node", "text").mapInArrow(_described(width), "doc_id long, node long, fp long, sketch binary"), "words")
+    of_node = [F.min("fp").alias("fp"), F.min("doc_id").alias("least"), F.max("sketch").alias("sketch")]
     nodes, _ = stored(rows.groupBy("node").agg(*of_node), "nodes")
     links, _ = linked(nodes.select("fp").distinct(), radius)
     rooted = nodes.select("node", "fp").join(links, F.col("fp") == links.u, "left").select("node", F.coalesce("v", "fp").alias("root"))
     wide = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
     roots = rooted.join(wide, "root").select(F.xxhash64("root").alias("bucket"), "node")
     bands = nodes.select("node", "sketch").mapInArrow(_bands, "bucket long, node long")
-    of = lambda at, name: nodes.select(F.col("node").alias(at), F.struct("sketch", "shingles").alias(name))
-    alike = lambda pairs: pairs.join(of("u", "a"), "u").join(of("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(_alike(similarity), "u long, v long")
-    grouped = _connected(bands.union(roots), alike)
-    member = nodes.join(grouped, nodes.node == grouped.u, "left").select("node", "least", F.coalesce("v", "node").alias("group"))
-    stays = member.groupBy("group").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("k")).select(F.col("k.least").alias("kept_id"), F.col("k.node").alias("node"))
     # Joined on text and id together: a text that many rows share doesn't go to one task.
     pick = lambda id_: F.xxhash64(F.col("node"), F.coalesce(F.col(id_), F.lit(0)), F.col(id_).isNull())
+
+    def between(some: DataFrame) -> Callable[[DataFrame], DataFrame]:
+        """Their sketches first, then their whole sets of shingles, from the texts read again."""
+        wanted = nodes.join(some, "node").select(pick("least").alias("pick"))
+        texts = own.select("doc_id", "node", "text").withColumn("pick", pick("doc_id")).join(wanted, "pick").select("node", "text")
+        sets, _ = stored(texts.mapInArrow(_shingled(width), "node long, shingles binary").groupBy("node").agg(F.max("shingles").alias("shingles")), "shingles")
+
+        def passed(pairs: DataFrame, of: DataFrame, what: str, test: Callable[[float, bytes, bytes], bool]) -> DataFrame:
+            both = pairs.join(of.select(F.col("node").alias("u"), F.col(what).alias("a")), "u").join(of.select(F.col("node").alias("v"), F.col(what).alias("b")), "v")
+            return both.select("u", "v", "a", "b").mapInArrow(_where(test, similarity), "u long, v long")
+
+        return lambda pairs: passed(passed(pairs, nodes, "sketch", _promising), sets, "shingles", _resembling)
+
+    grouped = _connected(bands.union(roots), between)
+    member = nodes.join(grouped, nodes.node == grouped.u, "left").select("node", "least", F.coalesce("v", "node").alias("group"))
+    stays = member.groupBy("group").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("k")).select(F.col("k.least").alias("kept_id"), F.col("k.node").alias("node"))
     kept = own.withColumn("pick", pick("doc_id")).join(stays.select(pick("kept_id").alias("pick")), "pick")
     nth = F.row_number().over(Window.partitionBy("pick").orderBy(F.coalesce("text", F.lit(""))))
     return kept.withColumn("nth", nth).where("nth = 1").select("doc_id", "text", *[F.col(f"_{c}").alias(c) for c in carried])

@@ -313,6 +313,16 @@ def test_near_copies_down_to_the_stated_resemblance(spark):
     assert kept <= 94, kept
 
 
+def test_near_copies_are_told_by_their_whole_sets(spark):
+    """Pairs just above and just below the threshold, closer than sketches tell apart."""
+    rng = np.random.default_rng(8)
+    above, below = edited_pairs(rng, 0.8, 0.82, 60), edited_pairs(rng, 0.77, 0.79, 60)
+    rows = above + [(1000 + d, t) for d, t in below]
+    kept = {r["doc_id"] for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {d for d in kept if d >= 1000} == {1000 + d for d, _ in below}
+    assert len({d for d in kept if d < 1000}) <= 62
+
+
 def test_odd_fingerprints(odd):
     rows = order(odd[0])
     want = []
