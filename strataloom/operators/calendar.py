@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataloom.functions.ranges import range_of
+
 
 def week_start(c: Column) -> Column:
     """The Monday of a date's week."""
@@ -33,7 +35,7 @@ def ordinals(items: DataFrame, group: str, order: str, name: str = "ordinal") ->
     """
     n = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = sorted(set(items.select(F.percentile_approx(order, [i / n for i in range(1, n)] or [0.5], 10000).alias("q")).first()["q"] or []))
-    ranged = items.withColumn("_range", F.array_size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col(order))) if cuts else F.lit(0))
+    ranged = items.withColumn("_range", range_of(F.col(order), cuts))
     before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     counts = ranged.groupBy(group, "_range").agg(F.count("*").alias("_n"))
     base = counts.select(F.col(group).alias("_group"), F.col("_range").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
