@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +18,18 @@ BATCH_ROWS, BATCH_BYTES = "1024", "4m"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Lets Python workers import this package, and bounds their Arrow batches."""
+    """Lets Python workers import this package, and bounds their Arrow batches where the session leaves them at Spark's own limits."""
     importable(spark)
-    for key, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
-        spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
+    for key, usual, value in (("maxRecordsPerBatch", 10000, BATCH_ROWS), ("maxBytesPerBatch", 64 << 20, BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        if _bytes(spark.conf.get(name, str(usual))) == usual:
+            spark.conf.set(name, value)
+
+
+def _bytes(size: str) -> int:
+    """A number of bytes as Spark's settings have it."""
+    number = size.strip().lower().rstrip("b")
+    return int(number.rstrip("kmg")) << {"k": 10, "m": 20, "g": 30}.get(number[-1:], 0)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -30,12 +38,11 @@ def partitions(spark: SparkSession) -> int:
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a local one if that is unset."""
-    if at := spark.conf.get("spark.checkpoint.dir", None):
-        return at.rstrip("/")
-    at = tempfile.mkdtemp(prefix="strataloom-")
-    spark.conf.set("spark.checkpoint.dir", at)
-    return at
+    """The folder that all executors share: spark.checkpoint.dir. Without it there is none, and a guess would lose data."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return at.rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -80,9 +87,10 @@ def even_keys(n: int) -> list[int]:
     return [keys[i] for i in range(n)]
 
 
-def dealt(of: Column, keys: list[int]) -> Column:
-    """One of the keys, chosen by a hash of a column."""
-    return F.element_at(F.array(*[F.lit(k) for k in keys]), (F.pmod(F.xxhash64(of), F.lit(len(keys))) + 1).cast("int")).cast("int")
+def dealt(of: Column | list[Column], keys: list[int]) -> Column:
+    """One of the keys, chosen by a hash of columns."""
+    hashed = F.xxhash64(*(of if isinstance(of, list) else [of]))
+    return F.element_at(F.array(*[F.lit(k) for k in keys]), (F.pmod(hashed, F.lit(len(keys))) + 1).cast("int")).cast("int")
 
 
 # --- text arrays ---------------------------------------------------------------------------------
@@ -126,6 +134,14 @@ def words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return start, end, np.searchsorted(start, off)
 
 
+def word_end(raw: np.ndarray, at: int) -> int:
+    """The first place from `at` on that no word goes on at."""
+    for i in range(at, len(raw), 1 << 16):
+        if len(found := np.flatnonzero(_SPACE[raw[i : i + (1 << 16)]])):
+            return i + int(found[0])
+    return len(raw)
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A finalizer that spreads every bit of uint64 values (splitmix64)."""
     with np.errstate(over="ignore"):
@@ -142,7 +158,8 @@ def numbers(n: int, seed: int) -> np.ndarray:
 
 BYTE = numbers(256, 7)
 BASE = 0x9E6C63D0876A9A35
-_INVERSE = pow(BASE, -1, 1 << 64)
+#: Longer spans are hashed one by one: a polynomial modulo 2**64 has known collisions from about a thousand bytes on.
+SHORT_SPAN, SPAN_BLOCK = 64, 1 << 20
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -156,21 +173,32 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-_tables: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
+_tables: list[np.ndarray] = []
 
 
-def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes, from one running polynomial; equal bytes, equal hash."""
-    n = len(raw) + 1
-    if len(_tables[0]) < n:
-        _tables[:] = [_powers(BASE, 2 * n), _powers(_INVERSE, 2 * n)]
+def _short_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    if not _tables:
+        n = SPAN_BLOCK + SHORT_SPAN + 1
+        _tables[:] = [_powers(BASE, n), _powers(pow(BASE, -1, 1 << 64), n)]
     up, down = _tables
     with np.errstate(over="ignore"):
-        total = np.zeros(n, U64)
-        np.cumsum(BYTE[raw] * up[: n - 1], out=total[1:])
+        total = np.zeros(len(raw) + 1, U64)
+        np.cumsum(BYTE[raw] * up[: len(raw)], out=total[1:])
         return mixed((total[end] - total[start]) * down[start] + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of bytes, spans in ascending order; equal bytes, equal hash. A block of the bytes at a time."""
+    out = np.zeros(len(start), U64)
+    for lo in range(0, len(raw), SPAN_BLOCK):
+        i, j = np.searchsorted(start, [lo, lo + SPAN_BLOCK])
+        a, b = start[i:j] - lo, end[i:j] - lo
+        out[i:j] = _short_hashes(raw[lo : lo + SPAN_BLOCK + SHORT_SPAN], a, np.minimum(b, a + SHORT_SPAN))
+    for k in np.flatnonzero(end - start > SHORT_SPAN).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(raw[start[k] : end[k]].data)
+    return out
+
+
 def pieces(off: np.ndarray, most: int) -> list[tuple[int, int]]:
     """Ranges of rows of about `most` bytes each; a longer row is a range of its own."""
     out, i, n = [], 0, len(off) - 1
