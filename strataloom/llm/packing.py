@@ -14,17 +14,31 @@ from pyspark.sql import functions as F
 from strataloom.llm.bpe import loaded, standard_path
 from strataloom.llm.common import prepare, utf8
 
-CAPACITY, END_ID, MOST_OPEN = 2048, 1, 1024
+CAPACITY, END_ID, MOST_OPEN = 2048, 1, 4096
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def chosen(level: np.ndarray, size: int) -> int:
+    """The fill level, 0 for a new window, where a piece lets the sum of the squared counts of partly filled windows grow least.
+
+    level[l] counts the open windows that hold l tokens; its length is the capacity plus one. A piece adds a window at
+    l + size and takes one from l, but that new and full windows don't count. Of several levels the fullest is taken.
+    """
+    growth = 2 * level[size:] + 1
+    growth[-1] = 0
+    growth[1:] -= 2 * level[1 : len(growth)] - 1
+    usable = level[: len(growth)] > 0
+    usable[0] = True
+    return len(growth) - 1 - int(np.argmin(np.where(usable, growth, np.iinfo(np.int64).max)[::-1]))
+
+
 class Packer:
     """Places pieces of documents, one after the other, into windows of `capacity` tokens.
 
-    level[l] counts the open windows that hold l tokens. A piece goes where the sum of the squared counts grows least: an
-    open window at some level, or a new one. A full window leaves. When MOST_OPEN windows are open, and at the end, what is
-    open is laid end to end and cut into full windows; the last tokens become windows of a power of two, which need no
-    padding. So memory is bounded by the open windows, and no window is padded.
+    Each piece goes where chosen() says. A full window leaves. No more than `most_open` windows are open: a piece that would open one more
+    is cut to fill the fullest one, and what is left of it is a piece of its own. So memory and the tail are bounded. What is
+    open in the end, the tail, is laid end to end and cut into full windows; the last tokens become windows of a power of two, which need no
+    padding.
     """
 
     def __init__(self, capacity: int, first_id: int, most_open: int = MOST_OPEN):
@@ -40,30 +54,33 @@ class Packer:
         for start in range(0, whole, self.capacity):
             self._close([(doc, start, ids[start : start + self.capacity], len(ids))])
         if whole < len(ids):
-            self._place((doc, whole, ids[whole:], len(ids)))
+            self._place((doc, whole, ids[whole:].copy(), len(ids)))  # so that a long document need not be held
 
     def _place(self, piece: tuple) -> None:
-        size = len(piece[2])
-        # Growth of the sum of squares: a window more at l + size, one less at l; level 0 and full windows don't count.
-        growth = 2 * self.level[size:] + 1
-        growth[-1] = 0
-        growth[1:] -= 2 * self.level[1 : self.capacity - size + 1] - 1
-        usable = self.level[: self.capacity - size + 1] > 0
-        usable[0] = True
-        at = int(np.argmin(np.where(usable, growth, np.iinfo(np.int64).max)))
+        while True:
+            doc, start, ids, total = piece
+            at = chosen(self.level, len(ids))
+            if at or self.n_open < self.most_open:
+                return self._put(piece, at)
+            fullest = int(np.flatnonzero(self.level)[-1])
+            room = self.capacity - fullest
+            if len(ids) <= room:
+                return self._put(piece, fullest)
+            self._put((doc, start, ids[:room], total), fullest)
+            piece = (doc, start + room, ids[room:], total)
+
+    def _put(self, piece: tuple, at: int) -> None:
+        """A piece into a window that holds `at` tokens, or a new one."""
         window = self.open[at].pop() if at else []
-        if at:
-            self.level[at] -= 1
+        self.level[at] -= bool(at)
+        self.n_open -= bool(at)
         window.append(piece)
-        if at + size == self.capacity:
-            self.n_open -= bool(at)
-            self._close(window)
-            return
-        self.n_open += not at
-        self.level[at + size] += 1
-        self.open.setdefault(at + size, []).append(window)
-        if self.n_open > self.most_open:
-            self.flush(end=False)
+        fill = at + len(piece[2])
+        if fill == self.capacity:
+            return self._close(window)
+        self.n_open += 1
+        self.level[fill] += 1
+        self.open.setdefault(fill, []).append(window)
 
     def _close(self, window: list[tuple]) -> None:
         offset = 0
@@ -72,8 +89,8 @@ class Packer:
             offset += len(ids)
         self.next_id += 1
 
-    def flush(self, end: bool = True) -> None:
-        """Cuts what is open into full windows; at the end the rest too, into powers of two."""
+    def flush(self) -> None:
+        """Cuts what is open into full windows, the rest into powers of two."""
         left = [piece for fill in sorted(self.open, reverse=True) for window in self.open[fill] for piece in window]
         self.open, self.n_open = {}, 0
         self.level[:] = 0
@@ -82,16 +99,13 @@ class Packer:
         for doc, start, ids, total in left:
             while len(ids):
                 if not room:
-                    room = self.capacity if rest >= self.capacity or not end else 1 << (rest.bit_length() - 1)
+                    room = self.capacity if rest >= self.capacity else 1 << (rest.bit_length() - 1)
                 part = ids[:room]
                 window.append((doc, start, part, total))
                 ids, start, room, rest = ids[room:], start + len(part), room - len(part), rest - len(part)
                 if not room:
                     self._close(window)
                     window = []
-        if window:  # not at the end: it stays open
-            fill = sum(len(p[2]) for p in window)
-            self.open[fill], self.level[fill], self.n_open = [window], 1, 1
 
     def taken(self) -> pa.RecordBatch:
         names = [x.split()[0] for x in SCHEMA.split(", ")]
