@@ -1,9 +1,18 @@
-"""Personal data: exact patterns, and a character BiLSTM-CRF in numpy that adds to them (operator 9)."""
+"""Personal data: exact patterns, and a character BiLSTM-CRF in numpy that adds what they can't see (operator 9).
+
+The patterns' spans are the base. The tagger learns from windows of the corpus, labelled with the base spans and with
+personal data that is put in, written in ways that the patterns don't know (see variant()): an at sign in words, a phone number
+without a plus, a card's digits between dots, the dots of an address in brackets. It reads every character of every text in
+overlapping windows; the windows' spans are reconciled over the whole text.
+"""
 
 from __future__ import annotations
 
 import hashlib
+import pickle
+import random
 import re
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,8 +24,12 @@ from strataloom.llm.common import prepare
 from strataloom.llm.tagger import BLANK, Tagger, symbols
 
 KINDS = ("email", "ip", "card", "phone")
-#: Windows overlap by half: each has the say over its middle half. The model is fitted on MOST_WINDOWS of them at most.
-WINDOW, STRIDE, MOST_WINDOWS = 128, 64, 768
+#: Windows begin every STRIDE characters and are decoded ROWS at a time.
+WINDOW, STRIDE, ROWS = 256, 192, 1024
+#: The model is fitted on so many windows at most, of TAUGHT characters, from documents of the least hash.
+MOST_WINDOWS, TAUGHT = 1536, 96
+#: So many characters of each of these documents, from a place that its hash says, are sent to the task that fits.
+SAMPLED = 4096
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
@@ -26,7 +39,6 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_HINT = re.compile(r"[0-9@]")
 
 
 def luhn(digits: str) -> bool:
@@ -69,27 +81,40 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return [(a, b, KINDS[k]) for a, b, k in sorted(out, key=lambda x: (x[0], x[2]))]
 
 
-def windows(text: str) -> list[int]:
-    """Numbers of the windows to decode: those near a digit or an @.
+# --- the model's part ----------------------------------------------------------------------------------
 
-    The tagger gives no span without one of these, so elsewhere each window is empty. Window k starts at k * STRIDE less a
-    quarter of its length and decides on the STRIDE characters from k * STRIDE.
-    """
-    near: set[int] = set()
-    for m in _HINT.finditer(text):
-        k = m.start() // STRIDE
-        near.update((k - 1, k, k + 1))
-    return sorted(k for k in near if 0 <= k * STRIDE < len(text))
-
-
-def window_symbols(text: str, ks: list[int]) -> np.ndarray:
-    """The symbols of windows, blank beyond the text."""
-    out = np.full((len(ks), WINDOW), BLANK, np.int64)
-    for row, k in zip(out, ks, strict=True):
-        a = k * STRIDE - (WINDOW - STRIDE) // 2
-        part = symbols(text[max(0, a) : a + WINDOW])
-        row[max(0, -a) : max(0, -a) + len(part)] = part
-    return out
+# How an at sign and a dot are written to hide an address, and what stands between groups of digits.
+AT, DOT = [" at ", " AT ", " (at) ", "(at)", "[at]", " [at] ", "{at}"], [" dot ", " DOT ", " (dot) ", "(dot)", "[dot]", "[.]", " . "]
+BETWEEN_IP, BETWEEN_CARD, BETWEEN_PHONE = ["[.]", " . ", "(.)", " dot "], [".", "/", "_", "  ", " - "], ["-", ".", " "]
+
+
+def variant(kind: str, rng: random.Random) -> str:
+    """Made personal data of a kind, written in a way that the patterns don't match."""
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
+    if kind == "email":
+        at, dot = rng.choice(AT), rng.choice(DOT)
+        name = rng.choice([word(), word() + digits(2), f"{word()}.{word()}", f"{word()}.{digits(2)}", f"{word()}_{word()}"])
+        return name + at + dot.join([*[word() + rng.choice(["", digits(1)]) for _ in range(rng.randint(1, 2))], rng.choice(["com", "org", "net", "de", "fr", "es", "edu"])])
+    if kind == "ip":
+        return rng.choice(BETWEEN_IP).join(str(rng.randint(0, 255)) for _ in range(4))
+    if kind == "card":
+        body = rng.choice("3456") + digits(14)
+        whole = body + next(d for d in "0123456789" if luhn(body + d))
+        return rng.choice(BETWEEN_CARD).join(whole[i : i + 4] for i in range(0, 16, 4))
+    a, b, c = str(rng.randint(2, 9)) + digits(2), digits(3), digits(4)
+    sign = rng.choice(BETWEEN_PHONE)
+    return rng.choice([f"({a}) {b}-{c}", f"({a}) {b} {c}", f"({a}){b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"00{rng.randint(1, 99)}{sign}{a}{sign}{b}{sign}{c}", f"1-{a}-{b}-{c}"])
+
+
+def plain(kind: str, text: str) -> str:
+    """A span of the model as the kind's pattern would have it."""
+    if kind == "email":
+        text = re.sub(r"(?i)\s*[(\[{]\s*(at|dot|\.)\s*[)\]}]\s*|\s+(at|dot|\.)\s+", lambda m: "@" if (m[1] or m[2]).lower() == "at" else ".", text)
+        return text if re.fullmatch(_LOCAL.pattern[:-2] + _DOMAIN.pattern, text) else ""
+    if kind == "ip":
+        return re.sub(r"(?i)\s*[(\[{]\s*(?:dot|\.)\s*[)\]}]\s*|\s+(?:dot|\.)\s+", ".", text)
+    return text if re.fullmatch(r"[+(]?[0-9](?:[-\x20()./_]{0,3}[0-9])+", text) else ""
 
 
 def tags(text_length: int, spans: list[tuple[int, int, str]]) -> np.ndarray:
@@ -102,34 +127,78 @@ def tags(text_length: int, spans: list[tuple[int, int, str]]) -> np.ndarray:
     return out
 
 
-def model_spans(text: str, ks: list[int], decoded: np.ndarray) -> list[tuple[int, int, str]]:
-    """Spans over the whole text from its windows: every character has the tag of the window that decides on it."""
-    quarter, found = (WINDOW - STRIDE) // 2, []
-    now: list[int] | None = None
-    for k, row in zip(ks, decoded, strict=True):
-        for i, tag in enumerate(row[quarter : quarter + min(STRIDE, len(text) - k * STRIDE)].tolist()):
-            at, kind = k * STRIDE + i, (tag - 1) // 2
-            if now and (not tag or now[1] != at or now[2] != kind or tag % 2):
-                found.append(now)
-                now = None
-            if tag and now:
-                now[1] = at + 1
-            elif tag:
-                now = [at, at + 1, kind]
-    out = [(a, b, KINDS[k]) for a, b, k in [*found, *([now] if now else [])]]
-    return [(a, b, k) for a, b, k in out if valid(k, text[a:b])]
+def laid_out(texts: list[str]) -> Iterator[tuple[list[tuple[int, int]], np.ndarray]]:
+    """All texts in overlapping windows, ROWS at a time: number of the text and start of each window, and their symbols."""
+    where: list[tuple[int, int]] = []
+    for i, t in enumerate(texts):
+        for a in range(0, max(1, len(t) - (WINDOW - STRIDE)), STRIDE) if t else ():
+            where.append((i, a))
+            if len(where) == ROWS:
+                yield where, _symbols(texts, where)
+                where = []
+    if where:
+        yield where, _symbols(texts, where)
+
+
+def _symbols(texts: list[str], where: list[tuple[int, int]]) -> np.ndarray:
+    parts = [texts[i][a : a + WINDOW] for i, a in where]
+    size = np.array([len(p) for p in parts])
+    out = np.full((len(parts), WINDOW), BLANK, np.uint8)
+    out[np.arange(WINDOW) < size[:, None]] = symbols("".join(parts))
+    return out
+
+
+def in_window(tag: np.ndarray, above: np.ndarray, first: bool, last: bool) -> Iterator[tuple[int, int, int, float]]:
+    """Start, end, number of the kind and score of a window's spans. One that an edge may have cut isn't told, unless the text ends there."""
+    at = np.flatnonzero(tag)
+    starts = at[(tag[at] % 2 == 1) | (at == 0)]
+    for a in starts.tolist():
+        k, b = (int(tag[a]) - 1) // 2, a + 1
+        while b < len(tag) and tag[b] == 2 + 2 * k:
+            b += 1
+        if (a or first) and (b < len(tag) or last):
+            yield a, b, k, float(above[a:b].sum())
+
+
+def reconciled(found: dict[tuple[int, int, int], float]) -> list[tuple[int, int, int]]:
+    """Of a text's spans, each with the sum of its windows' scores, the disjoint ones of the largest total (ties: the fewest)."""
+    spans = sorted(found, key=lambda s: (s[1], s[0], s[2]))
+    ends = [s[1] for s in spans]
+    best: list[tuple[float, int, int]] = [(0.0, 0, -1)]  # total, less the number of spans, and which span was taken last
+    for n, s in enumerate(spans):
+        before = best[bisect_right(ends, s[0], hi=n)]
+        taken = (before[0] + found[s], before[1] - 1, n)
+        best.append(max(taken, (*best[-1][:2], -1), key=lambda x: x[:2]))
+    out, n = [], len(spans)
+    while n:
+        if best[n][2] < 0:
+            n -= 1
+        else:
+            out.append(spans[n - 1])
+            n = bisect_right(ends, spans[n - 1][0], hi=n - 1)
+    return out[::-1]
+
+
+def model_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int, str]]]:
+    """The tagger's spans of each text that fulfil their kind's conditions."""
+    found: dict[int, dict[tuple[int, int, int], float]] = {}
+    for where, x in laid_out(texts):
+        for row, tag, above in zip(*tagger.decode(x), strict=True):
+            i, a = where[row]
+            size = min(WINDOW, len(texts[i]) - a)
+            for b, e, k, score in in_window(tag[:size], above[:size], a == 0, a + size == len(texts[i])):
+                own = found.setdefault(i, {})
+                own[a + b, a + e, k] = own.get((a + b, a + e, k), 0.0) + score
+    out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
+    for i, spans in found.items():
+        out[i] = [(a, b, KINDS[k]) for a, b, k in reconciled(spans) if valid(KINDS[k], plain(KINDS[k], texts[i][a:b]))]
+    return out
 
 
 def all_spans(texts: list[str], tagger: Tagger | None) -> Iterator[tuple[list, list]]:
     """Of each text the base spans, and those with the model's: spans that touch no base span are added."""
-    ks = [windows(t) for t in texts]
-    got = [window_symbols(t, k) for t, k in zip(texts, ks, strict=True)]
-    decoded = tagger.decode(np.concatenate([np.zeros((0, WINDOW), np.int64), *got])) if tagger else None
-    at = 0
-    for text, k in zip(texts, ks, strict=True):
-        base = base_spans(text) if k else []
-        more = model_spans(text, k, decoded[at : at + len(k)]) if tagger else []
-        at += len(k)
+    for text, more in zip(texts, model_spans(texts, tagger) if tagger else [[] for _ in texts], strict=True):
+        base = base_spans(text)
         more = [x for x in more if all(x[1] <= a or b <= x[0] for a, b, _ in base)]
         yield base, sorted(base + more, key=lambda x: (x[0], KINDS.index(x[2])))
 
@@ -148,33 +217,61 @@ def redacted(text: str, spans: list[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows to learn from, with the tags that the patterns give them."""
-    for batch in batches:
-        x, y = [], []
-        for text in batch["text"].to_pylist():
-            if ks := windows(text):
-                tagged = tags(len(text), base_spans(text))
-                for k, row in zip(ks, window_symbols(text, ks), strict=True):
-                    a = k * STRIDE - (WINDOW - STRIDE) // 2
-                    part = tagged[max(0, a) : a + WINDOW]
-                    own = np.zeros(WINDOW, np.int64)
-                    own[max(0, -a) : max(0, -a) + len(part)] = part
-                    x.append(row.astype(np.int8)), y.append(own.astype(np.int8))
-        yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), pa.array([r.tobytes() for r in y], pa.binary())], ["x", "y"])
+def example(text: str, rng: random.Random) -> tuple[np.ndarray, np.ndarray]:
+    """A window of a text, somewhere or near a digit or an @, with its tags; often a variant() is put in."""
+    hints = [m.start() for m in re.finditer("[0-9@]", text)] if rng.random() < 0.5 else []
+    a = max(0, (rng.choice(hints) if hints else rng.randrange(len(text) + 1)) - rng.randrange(TAUGHT))
+    part = text[a : a + TAUGHT]
+    spans = base_spans(part)
+    if rng.random() < 0.6:
+        kind = rng.choice(KINDS)
+        made = variant(kind, rng)
+        free = [m.end() for m in re.finditer(r"\s", part) if not any(b < m.end() < e for b, e, _ in spans) and m.end() + len(made) < TAUGHT]
+        if free:
+            at = rng.choice(free)
+            end = rng.choice([" ", " ", " ", ". ", ", ", "\n"])
+            spans = [(b + (len(made) + len(end)) * (b >= at), e + (len(made) + len(end)) * (b >= at), k) for b, e, k in spans] + [(at, at + len(made), kind)]
+            part = part[:at] + made + end + part[at:]
+    x, y = np.full(TAUGHT, BLANK, np.uint8), np.zeros(TAUGHT, np.uint8)
+    part = part[:TAUGHT]
+    x[: len(part)] = symbols(part)
+    y[: len(part)] = tags(max(len(part), *[e for _, e, _ in spans], 0), sorted(spans))[: len(part)]
+    return x, y
+
+
+def _fitted(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Fits a tagger in one task: the same for the same texts, in whatever order they come."""
+
+    def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts = sorted(t for batch in batches for t in batch["text"].to_pylist())
+        if not texts:
+            return
+        rng = random.Random(9)
+        x, y = map(np.stack, zip(*[example(texts[k % len(texts)], rng) for k in range(most)], strict=True))
+        tagger = Tagger.fitted(x.astype(np.int64), y.astype(np.int64), 1 + 2 * len(KINDS))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(tagger.w)], pa.binary())], ["weights"])
+
+    return of_partition
 
 
 def trained(docs: DataFrame, *, most_windows: int = MOST_WINDOWS) -> Tagger | None:
-    """A tagger fitted on a bounded sample of windows; None where no text has a digit or an @."""
+    """A tagger fitted on a bounded sample: `most_windows` windows of as many texts at most; None where no text has a character.
+
+    Texts are thinned by a hash before they are ordered by it, so that a task sends few. The fit is a task of its own; the
+    driver gets the weights.
+    """
     prepare(docs.sparkSession)
-    texts = docs.select(F.col("text").cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
-    # The least of each task's least meet in one task, not on the driver, which gets most_windows rows.
-    some = texts.mapInArrow(_examples, "x binary, y binary").orderBy(F.xxhash64("x", "y"), "x", "y").limit(most_windows)
-    got = sorted(some.repartition(1).collect())
+    texts = docs.select(F.col("text").cast("string").alias("text")).where("text <> ''").withColumn("hash", F.xxhash64("text"))
+    thin = max(1, docs.count() // (4 * most_windows))
+    start = F.pmod(F.col("hash"), F.greatest(F.lit(1), F.length("text") - SAMPLED)).cast("int") + 1
+    parts = texts.where(F.pmod(F.col("hash"), F.lit(thin)) == 0).select("hash", F.substring(F.col("text"), start, F.lit(SAMPLED)).alias("text"))
+    some = parts.orderBy("hash", "text").limit(most_windows).select("text")
+    got = some.repartition(1).mapInArrow(_fitted(most_windows), "weights binary").collect()
     if not got:
         return None
-    x, y = (np.stack([np.frombuffer(r[c], np.int8) for r in got]).astype(np.int64) for c in ("x", "y"))
-    return Tagger.fitted(x, y, 1 + 2 * len(KINDS))
+    tagger = Tagger(1 + 2 * len(KINDS))
+    tagger.w = pickle.loads(got[0]["weights"])
+    return tagger
 
 
 def _find(shared, carried: list[str], redact: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

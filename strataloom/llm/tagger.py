@@ -6,19 +6,20 @@ from functools import cache
 
 import numpy as np
 
-# Characters that have a symbol of their own. Digits share one, as do small and capital ASCII letters.
-MARKS = "@.-+() \n%_/:\"=,'"
-DIGIT, SMALL, CAPITAL, OTHER, BLANK = range(len(MARKS), len(MARKS) + 5)
-SYMBOLS = len(MARKS) + 5
+# Characters that have a symbol of their own, beside the small ASCII letters. Digits share one, as do capitals.
+MARKS = "@.-+() \n%_/:\"=,'[]{}<>"
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+DIGIT, CAPITAL, OTHER, BLANK = range(len(MARKS) + len(LETTERS), len(MARKS) + len(LETTERS) + 4)
+SYMBOLS = BLANK + 1
 HIDDEN = 16
 NEVER = -1e4
 
 
 @cache
 def _table() -> np.ndarray:
-    out = np.full(256, OTHER)
-    out[48:58], out[97:123], out[65:91] = DIGIT, SMALL, CAPITAL
-    for i, c in enumerate(MARKS):
+    out = np.full(256, OTHER, np.uint8)
+    out[48:58], out[65:91] = DIGIT, CAPITAL
+    for i, c in enumerate(MARKS + LETTERS):
         out[ord(c)] = i
     return out
 
@@ -38,15 +39,23 @@ def _run(x: np.ndarray, into: np.ndarray, again: np.ndarray, keep: list | None =
     n, size = x.shape[1], again.shape[0]
     h, c = np.zeros((n, size), np.float32), np.zeros((n, size), np.float32)
     out = np.empty((len(x), n, size), np.float32)
+    # A gate's sigmoid is a hyperbolic tangent of half its input: one call serves all four.
+    half = np.repeat(np.array([0.5, 0.5, 0.5, 1], np.float32), size)
+    table, turn = (into * half).astype(np.float32), (again * half).astype(np.float32)
     for t, now in enumerate(x):
-        z = into[now] + h @ again
-        gate, new = _sigmoid(z[:, : 3 * size]), np.tanh(z[:, 3 * size :])
+        z = table[now]
+        z += h @ turn
+        np.tanh(z, out=z)
+        new = z[:, 3 * size :]
+        gate = z[:, : 3 * size]
+        gate *= 0.5
+        gate += 0.5
         i, f, o = gate[:, :size], gate[:, size : 2 * size], gate[:, 2 * size :]
         before, was = c, h
-        c = f * c + i * new
+        c = f * c
+        c += i * new
         curved = np.tanh(c)
-        h = o * curved
-        out[t] = h
+        h = np.multiply(o, curved, out=out[t])
         if keep is not None:
             keep.append((i, f, o, new, before, was, curved))
     return out
@@ -100,24 +109,33 @@ class Tagger:
         states = np.concatenate([f, b], axis=2)
         return states @ self.w["out"] + self.w["bias"], states
 
-    def decode(self, x: np.ndarray, rows: int = 512) -> np.ndarray:
-        """The best tags (row, time) of each window (Viterbi)."""
-        out = np.zeros(x.shape, np.int64)
+    def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The windows (rows of x) with a tag other than 0, their best tags (Viterbi), and by how much each tag's score is above 0's.
+
+        Where no tag's score comes near 0's at any character, all zeros are the best tags for certain: such windows aren't searched.
+        """
         moves = self.w["moves"] + self.barred
-        for at in range(0, len(x), rows):
-            scores, _ = self.emissions(x[at : at + rows])
-            best, back = scores[0] + self.start, []
-            for now in scores[1:]:
-                ways = best[:, :, None] + moves
-                back.append(ways.argmax(axis=1))
-                best = ways.max(axis=1) + now
-            tag = best.argmax(axis=1)
-            n = np.arange(len(tag))
-            out[at : at + rows, -1] = tag
-            for t in range(len(back) - 1, -1, -1):
-                tag = back[t][n, tag]
-                out[at : at + rows, t] = tag
-        return out
+        scores, _ = self.emissions(x)
+        gain = max(0.0, float((moves - moves[0, 0]).max()))
+        above = scores[:, :, 1:].max(axis=2) - scores[:, :, 0]
+        rows = np.flatnonzero((above + 2 * gain > 0).any(axis=0))
+        if not len(rows):
+            return rows, np.zeros((0, x.shape[1]), np.int64), np.zeros((0, x.shape[1]), np.float32)
+        scores = scores[:, rows]
+        best, back = scores[0] + self.start, []
+        for now in scores[1:]:
+            ways = best[:, :, None] + moves
+            back.append(ways.argmax(axis=1))
+            best = ways.max(axis=1) + now
+        tag = best.argmax(axis=1)
+        out, n = np.zeros((len(rows), x.shape[1]), np.int64), np.arange(len(rows))
+        out[:, -1] = tag
+        for t in range(len(back) - 1, -1, -1):
+            tag = back[t][n, tag]
+            out[:, t] = tag
+        some = np.flatnonzero(out.any(axis=1))
+        own = np.take_along_axis(scores, out.T[:, :, None], axis=2)[:, :, 0] - scores[:, :, 0]
+        return rows[some], out[some], own.T[some]
 
     def _loss(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-likelihood of a batch, and its gradients."""
