@@ -11,9 +11,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.llm.common import U64, even_keys, mixed, numbers, partitions, pieces, prepare, span_hashes, utf8, words
+from strataloom.functions.ranges import range_of
+from strataloom.llm.common import U64, even_keys, mixed, numbers, partitions, pieces, prepare, span_hashes, utf8, word_end, words
 
 WIDTH, BINS, LOW_BITS = 5, 256, 4
+#: Characters and rows that are fingerprinted at once, and bytes of a long text.
+CHARS, ROWS, BLOCK = 1 << 21, 512, 1 << 19
 NO_ID = -(1 << 63)
 EMPTY = U64(np.iinfo(np.uint64).max)
 
@@ -21,7 +24,11 @@ EMPTY = U64(np.iinfo(np.uint64).max)
 def shingle_hashes(raw: np.ndarray, off: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The hashes of each text's runs of `width` words, and the number for each text (fewer words: the whole text's run)."""
     start, end, first = words(raw, off)
-    word = span_hashes(raw, start, end)
+    return run_hashes(span_hashes(raw, start, end), first, width)
+
+
+def run_hashes(word: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """As shingle_hashes(), from the hashes of words and the place of each text's first one."""
     has = np.diff(first)
     n = np.where(has >= width, has - width + 1, np.minimum(has, 1))
     begin = np.repeat(first[:-1] - (np.cumsum(n) - n), n) + np.arange(n.sum())
@@ -34,6 +41,22 @@ def shingle_hashes(raw: np.ndarray, off: np.ndarray, width: int) -> tuple[np.nda
     return mixed(out), n
 
 
+def long_hashes(raw: np.ndarray, width: int) -> Iterator[np.ndarray]:
+    """The hashes of one text's runs of words, a block of the text at a time."""
+    left, at, told = np.zeros(0, U64), 0, False
+    while at < len(raw):
+        stop = min(len(raw), at + BLOCK)
+        stop = word_end(raw, stop)
+        part = raw[at:stop]
+        start, end, _ = words(part, np.array([0, len(part)]))
+        word = np.concatenate([left, span_hashes(part, start, end)])
+        at = stop
+        if len(word) >= width or (at == len(raw) and not told and len(word)):
+            yield run_hashes(word, np.array([0, len(word)]), width)[0]
+            told = True
+        left = word[max(0, len(word) - width + 1) :] if width > 1 else word[:0]
+
+
 @cache
 def probes(bins: int) -> np.ndarray:
     """For each bin the bins to borrow from, in order: a hash of bin and attempt, the same for every text."""
@@ -69,14 +92,19 @@ def densified(minima: np.ndarray) -> np.ndarray:
 def signatures(raw: np.ndarray, off: np.ndarray, width: int = WIDTH, bins: int = BINS, bits: int = LOW_BITS) -> tuple[np.ndarray, np.ndarray]:
     """The low-order bits of every text's filled bins (zeros for a text without words), and which texts have words."""
     low, some = [np.zeros((0, bins), np.uint8)], [np.zeros(0, bool)]
-    for i, j in pieces(off, 1 << 19):
-        hashes, n = shingle_hashes(raw[off[i] : off[j]], off[i : j + 1] - off[i], width)
-        filled = densified(bin_minima(hashes, n, bins))
+    for i, j in pieces(off, BLOCK):
+        if off[j] - off[i] > 2 * BLOCK:  # one long text
+            least = np.full((1, bins), EMPTY, U64)
+            for hashes in long_hashes(raw[off[i] : off[j]], width):
+                least = np.minimum(least, bin_minima(hashes, np.array([len(hashes)]), bins))
+        else:
+            least = bin_minima(*shingle_hashes(raw[off[i] : off[j]], off[i : j + 1] - off[i], width), bins)
+        has = (least != EMPTY).any(axis=1)
         # A value borrowed into many bins shows other bits in each, so that chance agreement stays independent.
-        shown = mixed(filled ^ numbers(bins, 23)) & U64((1 << bits) - 1)
-        shown[n == 0] = 0
+        shown = mixed(densified(least) ^ numbers(bins, 23)) & U64((1 << bits) - 1)
+        shown[~has] = 0
         low.append(shown.astype(np.uint8))
-        some.append(n > 0)
+        some.append(has)
     return np.concatenate(low), np.concatenate(some)
 
 
@@ -130,7 +158,7 @@ def _rows(width: int, bins: int, bits: int) -> Callable[[Iterator[pa.RecordBatch
             for row in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "tail", "bucket")), strict=True):
                 held.append(row)
                 size += len(row[1])
-                if size > 1 << 21 and len(held) > 1:
+                if len(held) > 1 and (size > CHARS or len(held) > ROWS):
                     yield work(held)
                     held, size = held[-1:], len(row[1])
         if held:
@@ -154,17 +182,14 @@ def fingerprints(docs: DataFrame, *, width: int = WIDTH, bins: int = BINS, bits:
     prepare(spark)
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n = partitions(spark)
-    # At most a bound for each partition, and the first row's key of each range: small whatever the input.
-    cuts = sorted({int(x) for x in own.select(F.percentile_approx("id", [i / n for i in range(1, n)] or [0.5], 10000).alias("q")).first()["q"] or []})
-    bucket = F.array_size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("id"))) if cuts else F.lit(0)
-    own = own.withColumn("bucket", bucket.cast("int"))
-    firsts = {r["bucket"]: r["id"] for r in own.groupBy("bucket").agg(F.min("id").alias("id")).collect()}
-    order = sorted(firsts)
-    before = {firsts[b]: order[i - 1] for i, b in enumerate(order)}
-    starts = F.create_map(*[F.lit(x) for pair in before.items() for x in pair]) if before else F.create_map().cast("map<bigint,int>")
-    # Of several rows with a range's first id, the least text is its first row; all go to the range before, which reads one.
-    tails = own.where(F.col("id").isin(list(before))).groupBy("id", "none").agg(F.min("text").alias("text")).withColumn("bucket", F.element_at(starts, F.col("id"))).withColumn("tail", F.lit(True))
-    rows = own.withColumn("tail", F.lit(False)).unionByName(tails)
+    # A bound for each partition at most. Bounds are ids that occur, so each range's first row is known to have its bound.
+    cuts = own.agg(F.min("id").alias("least"), F.percentile_approx("id", [i / n for i in range(1, n)] or [0.5], 10000).alias("q")).first()
+    starts = sorted({cuts["least"], *(cuts["q"] or [])} - {None}) or [NO_ID]
+    at = range_of(F.col("id"), starts) - 1
+    first = F.element_at(F.array(*[F.lit(s) for s in starts]), (at + 1).cast("int")) == F.col("id")
+    # A row with a range's first id goes to the range before too (of several, the least text is read there).
+    to = F.when(first, F.array(F.struct(at.alias("bucket"), F.lit(False).alias("tail")), F.struct(F.pmod(at - 1, F.lit(len(starts))).alias("bucket"), F.lit(True).alias("tail"))))
+    rows = own.select("*", F.inline(F.coalesce(to, F.array(F.struct(at.alias("bucket"), F.lit(False).alias("tail"))))))
     keys = F.array(*[F.lit(k) for k in even_keys(n)])
-    sent = rows.repartition(n, F.element_at(keys, F.col("bucket") + 1)).sortWithinPartitions("bucket", "tail", *_order()).select(F.when(~F.col("none"), F.col("id")).alias("doc_id"), "text", "tail", "bucket")
+    sent = rows.repartition(n, F.element_at(keys, (F.col("bucket") + 1).cast("int"))).sortWithinPartitions("bucket", "tail", *_order()).select(F.when(~F.col("none"), F.col("id")).alias("doc_id"), "text", "tail", F.col("bucket").cast("int").alias("bucket"))
     return sent.mapInArrow(_rows(width, bins, bits), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
