@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from strataloom.llm import ann, bpe, chat, common, fingerprints, packing, pii, repeats, simhash, suffix_dedup, tagger, toxicity
+from strataloom.llm import ann, bpe, chat, common, fingerprints, packing, pii, repeats, simhash, substring_dedup, suffix_dedup, tagger, toxicity
 
 PATH = bpe.standard_path()
 
@@ -33,17 +34,33 @@ def test_words_and_span_hashes():
 
 
 def test_suffix_levels_equal_a_set():
+    """Many small batches: several levels, merges, and both ways of merging."""
     rng = np.random.default_rng(1)
-    keys = rng.integers(0, 5000, 20000).astype(np.uint64)
-    seen, want = set(), []
-    for k in keys.tolist():
-        want.append(k in seen)
-        seen.add(k)
-    levels = suffix_dedup.SuffixLevels()
-    got = np.concatenate([levels.add(keys[i : i + 256]) for i in range(0, len(keys), 256)])
-    assert got.tolist() == want
-    ranks = [r for r, _ in levels.levels]
-    assert ranks == sorted(ranks, reverse=True) and len(set(ranks)) == len(ranks)
+    base = rng.integers(0, 3, 3000).astype(np.uint8)
+    seen, levels, most = set(), suffix_dedup.SuffixLevels(12), 0
+    for i in range(300):
+        n = int(rng.integers(12, 60)) if i != 150 else 2500
+        text = (base[a : a + n] if (a := int(rng.integers(0, 400))) % 2 else rng.integers(0, 3, n).astype(np.uint8)).copy()
+        place = np.arange(len(text) - 11)
+        got, want = levels.add(text, place), []
+        for p in place.tolist():
+            w = text[p : p + 12].tobytes()
+            want.append(w in seen)
+            seen.add(w)
+        assert got.tolist() == want
+        most = max(most, len(levels.levels))
+        ranks = [r for r, _ in levels.levels]
+        assert ranks == sorted(ranks, reverse=True) and len(set(ranks)) == len(ranks)
+    assert most >= 6
+    for _, level in levels.levels:  # a suffix array: in lexicographic order, all different
+        own = [level.text[p : p + 12].tobytes() for p in level.place.tolist()]
+        assert own == sorted(set(own))
+    assert sum(len(level.place) for _, level in levels.levels) == len(seen)
+
+
+def test_common_prefixes():
+    a, b = np.array([b"abcd", b"abcd", b"xbcd"], "S4"), np.array([b"abcd", b"abxd", b"abcd"], "S4")
+    assert suffix_dedup.common(a, b).tolist() == [4, 2, 0]
 
 
 @pytest.mark.parametrize(("window", "gram"), [(5, 2), (9, 3), (100, 32)])
@@ -52,18 +69,100 @@ def test_equal_windows_have_equal_anchors(window, gram):
     base = rng.integers(0, 4, 400)
     t = common.BYTE[np.concatenate([base, rng.integers(0, 4, 37), base, np.zeros(300, int), np.zeros(250, int)])]
     off = np.array([0, 400, 837, 1137, len(t)])
-    row, pos, more, h, _ = repeats.runs(t, off, window, gram)
+    row, pos, more, at, h, _ = repeats.runs(t, off, window, gram)
     anchor = {}
-    for r, p, m, g in zip(row, pos, more, h, strict=True):
+    for r, p, m, a, g in zip(row, pos, more, at, h, strict=True):
+        assert 0 <= a - m and a <= window - gram
         for s in range(p, p + m + 1):
-            anchor[int(r), int(s)] = g
+            anchor[int(r), int(s)] = (g, p + a - s)
     assert len(anchor) == sum(max(0, n - window + 1) for n in np.diff(off))
     by_text = {}
     for (r, s), g in anchor.items():
-        by_text.setdefault(t[off[r] + s : off[r] + s + window].tobytes(), set()).add(int(g))
+        by_text.setdefault(t[off[r] + s : off[r] + s + window].tobytes(), set()).add(g)
     assert all(len(v) == 1 for v in by_text.values())
 
 
+def test_anchors_of_parts_are_those_of_the_whole(monkeypatch):
+    rng = np.random.default_rng(4)
+    table = pa.table({"doc_id": pa.array([1, 2]), "hash": pa.array([0, 0]), "text": ["".join(rng.choice(list("ab c"), n)) for n in (5000, 700)]})
+    for by_words in (False, True):
+        rule = repeats.Rule(20, 6, by_words, True, None)
+        windows = []
+        for piece in (1 << 18, 300):
+            monkeypatch.setattr(repeats, "PIECE", piece)
+            row, pos, more, at, *_ = repeats.Tokens(table, rule).runs()
+            windows.append({(int(r), int(s), int(p + a)) for r, p, m, a in zip(row, pos, more, at, strict=True) for s in range(p, p + m + 1)})
+        assert windows[0] == windows[1]
+
+
+
+def test_compared_windows_equal_brute_force():
+    """Segments around a shared gram, some of one character only, against a count of all windows."""
+    rng = random.Random(6)
+    for by_words in (False, True):
+        window, gram = 12, 4
+        segments, more, at = [], [], []
+        while len(segments) < 400:
+            a, m = rng.randint(0, window - gram), rng.randint(0, window - gram)
+            m = min(m, a)
+            left, right = [rng.choice("ab") for _ in range(a)], [rng.choice("ab") for _ in range(window + m - a - gram)]
+            tokens = [*left, *"cdef", *right] if rng.random() < 0.8 else ["c"] * (window + m)
+            body = ((" " if by_words else "").join(tokens)).encode()
+            if body not in segments:
+                segments.append(body), more.append(m), at.append(a)
+        cut = (lambda s, m: [tuple(s.split()[i : i + window]) for i in range(m + 1)]) if by_words else (lambda s, m: [s[i : i + window] for i in range(m + 1)])
+        # Equal windows have their anchor at one distance.
+        all_windows = [(a - i, w) for s, m, a in zip(segments, more, at, strict=True) for i, w in enumerate(cut(s, m))]
+        if by_words:
+            n = Counter(all_windows)
+            want = [n[w] > 1 for w in all_windows]
+            assert substring_dedup.shared(segments, np.array(more), np.array(at), window, gram).tolist() == want
+        else:
+            seen, want = set(), []
+            for _, w in all_windows:
+                want.append(w in seen)
+                seen.add(w)
+            for batch in (7, 1 << 15):
+                got = suffix_dedup.seen_before(segments, np.array(more), np.array(at), window, gram, batch)
+                assert [g for g, w in zip(got.tolist(), want, strict=True) if g != w] == []
+
+
+def test_cuts_cover_all_distances():
+    for reach in (0, 1, 2, 5, 23, 68):
+        limits = repeats.cuts(reach)
+        assert limits[0] == 0 and limits[-1] == reach + 1 and limits == sorted(set(limits)) and len(limits) <= 2 + 2 * max(1, reach.bit_length())
+
+
+def thue_morse(k):
+    a, b = "a", "b"
+    for _ in range(k):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_words_that_a_polynomial_hash_mixes_up():
+    a, b = thue_morse(11)
+    raw, off = common.utf8(pa.array([f"{a} {b} {a}"]))
+    start, end, _ = common.words(raw, off)
+    h = common.span_hashes(raw, start, end)
+    assert h[0] == h[2] != h[1]
+    own, lib = bpe.ByteBpe(PATH), Tokenizer.from_file(PATH)
+    ids, at = own.texts(*common.utf8(pa.array([a, b])))
+    assert [ids[x:y].tolist() for x, y in zip(at[:-1], at[1:], strict=True)] == [lib.encode(t, add_special_tokens=False).ids for t in (a, b)]
+
+
+def test_span_hashes_of_blocks(monkeypatch):
+    rng = np.random.default_rng(9)
+    text = " ".join("".join(rng.choice(list("abc"), int(n))) for n in rng.integers(1, 90, 400))
+    raw, off = common.utf8(pa.array([text]))
+    start, end, _ = common.words(raw, off)
+    whole = common.span_hashes(raw, start, end)
+    monkeypatch.setattr(common, "SPAN_BLOCK", 100)
+    assert np.array_equal(whole, common.span_hashes(raw, start, end))
+    words = text.split()
+    assert len(set(whole.tolist())) == len(set(words)) and len({w: h for w, h in zip(words, whole.tolist(), strict=True)}) == len(set(words))
+
+
 def test_bpe_equals_the_library():
     lib, own = Tokenizer.from_file(PATH), bpe.ByteBpe(PATH)
     rng = random.Random(3)
@@ -78,17 +177,43 @@ def test_bpe_equals_the_library():
 
 def test_tree_concatenation_is_exact():
     own = bpe.ByteBpe(PATH)
-    text = "".join(random.Random(5).choice("etaoinshrdlu") for _ in range(50000)).encode()
-    assert own.tree(text) == own.bpe._core_bpe.encode_single_piece(text)
+    rng = random.Random(5)
+    for signs in ("etaoinshrdlu", "é日本a", "x"):
+        text = "".join(rng.choice(signs) for _ in range(30000)).encode()
+        assert own.tree(text).tolist() == own.bpe._core_bpe.encode_single_piece(text)
+
+
+def test_long_texts_in_stretches(monkeypatch):
+    lib, own = Tokenizer.from_file(PATH), bpe.ByteBpe(PATH)
+    rng = random.Random(8)
+    bits = ["'s ", "don't ", " ", "  ", "\n\n", "word ", "über ", "日本，語。", "12 ", "a.b ", "!'t", "x" * 50, "\u3000", "<|endoftext|>"]
+    texts = ["".join(rng.choice(bits) for _ in range(800)) for _ in range(6)]
+    monkeypatch.setattr(bpe, "BLOCK", 64)
+    ids, at = own.texts(*common.utf8(pa.array(texts)))
+    assert [ids[x:y].tolist() for x, y in zip(at[:-1], at[1:], strict=True)] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(bpe, "DECODED", 7)
+    assert [own.decode(ids[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)] == [lib.decode(lib.encode(t, add_special_tokens=False).ids, skip_special_tokens=False) for t in texts]
+
+
+def test_memory_of_a_long_text():
+    own = bpe.ByteBpe(PATH)
+    raw, off = common.utf8(pa.array(["the quick brown fox, über 12 " * 500000]))  # 15 MB
+    bpe.classes()
+    tracemalloc.start()
+    ids, _ = own.texts(raw, off)
+    sum(len(t) for t in own.decoded(ids))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * len(raw) + (100 << 20), peak
 
 
 def test_packer_places_every_token_once():
     rng = np.random.default_rng(2)
-    packer = packing.Packer(64, 0, most_open=8)
+    packer = packing.Packer(64, 0, most_open=8)  # so few that pieces are cut
     sizes = [*rng.integers(1, 200, 300).tolist(), 64, 128, 1, *[40] * 50]
     for doc, n in enumerate(sizes):
         packer.add(doc, np.arange(n, dtype=np.uint32))
-        assert packer.n_open == packer.level.sum() == sum(map(len, packer.open.values())) <= 9
+        assert packer.n_open == packer.level.sum() == sum(map(len, packer.open.values())) <= 8
     packer.flush()
     got: dict[int, list] = {}
     fill: dict[int, list] = {}
@@ -110,6 +235,21 @@ def test_packer_places_every_token_once():
         assert at == 64 or at & (at - 1) == 0
 
 
+def test_pieces_go_where_the_sum_of_squares_grows_least():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        level = np.where(rng.random(17) < 0.5, rng.integers(0, 6, 17), 0)
+        level[[0, 16]] = 0
+        size = int(rng.integers(1, 16))
+        sums = {}
+        for at in [0, *np.flatnonzero(level[: 17 - size]).tolist()]:
+            after = level.copy()
+            after[at] -= bool(at)
+            after[at + size] += at + size < 16
+            sums[at] = int((after[1:16] ** 2).sum())
+        assert packing.chosen(level, size) == max(a for a in sums if sums[a] == min(sums.values()))
+
+
 def test_escapes_are_reversible():
     rng = random.Random(1)
     bits = [chat.OPEN, chat.CLOSE, chat.HEAD, "\\", "<", "a", "\n", "turn>", "é"]
@@ -186,16 +326,70 @@ def test_base_spans():
     assert pii.redacted("x a@b.c y", [(2, 7, "email")]) == "x <email> y"
 
 
-def test_model_spans_join_windows():
-    text = "z" * 60 + "a@b.c" + "z" * 100
-    ks = pii.windows(text)
-    tags = pii.tags(len(text), [(60, 65, "email")])
-    rows = np.zeros((len(ks), pii.WINDOW), np.int64)
-    for row, k in zip(rows, ks, strict=True):
-        a = k * pii.STRIDE - 32
-        part = tags[max(0, a) : a + pii.WINDOW]
-        row[max(0, -a) : max(0, -a) + len(part)] = part
-    assert pii.model_spans(text, ks, rows) == [(60, 65, "email")]
+def test_spans_are_reconciled_over_the_text():
+    """The best disjoint spans of a few, against all subsets."""
+    rng = random.Random(2)
+    for _ in range(300):
+        found = {}
+        for _ in range(rng.randint(0, 7)):
+            a = rng.randint(0, 20)
+            found[a, a + rng.randint(1, 8), rng.randint(0, 3)] = rng.randint(-3, 9)
+        best = 0
+        for n in range(1 << len(found)):
+            some = [s for k, s in enumerate(sorted(found)) if n >> k & 1]
+            if all(x[1] <= y[0] for x, y in zip(some, some[1:], strict=False)):
+                best = max(best, sum(found[s] for s in some))
+        got = pii.reconciled(found)
+        assert sum(found[s] for s in got) == best and all(x[1] <= y[0] for x, y in zip(got, got[1:], strict=False))
+
+
+def test_windows_tell_whole_spans_only():
+    tag, above = np.array([2, 2, 0, 1, 2, 0, 3, 5, 6]), np.arange(9.0)
+    assert list(pii.in_window(tag, above, False, False)) == [(3, 5, 0, 7.0), (6, 7, 1, 6.0)]
+    assert [x[:3] for x in pii.in_window(tag, above, True, True)] == [(0, 2, 0), (3, 5, 0), (6, 7, 1), (7, 9, 2)]
+
+
+def test_all_texts_are_laid_out():
+    texts = ["a" * 1000, "", "b", "c" * pii.WINDOW, "d" * (pii.WINDOW + 1)]
+    seen = [np.zeros(len(t), int) for t in texts]
+    for where, x in pii.laid_out(texts):
+        for (i, a), row in zip(where, x, strict=True):
+            n = min(pii.WINDOW, len(texts[i]) - a)
+            assert (row[:n] == tagger.symbols(texts[i][0])[0]).all() and (row[n:] == tagger.BLANK).all()
+            seen[i][a : a + n] += 1
+    assert all((s >= 1).all() for s in seen)
+
+
+def test_windows_without_spans_are_told_for_certain():
+    """decode() leaves out just the windows whose best tags are all zeros."""
+    rng = np.random.default_rng(5)
+    model = tagger.Tagger(5, seed=1)
+    model.w["bias"] = np.array([0.6, 0, 0, 0, 0], np.float32)
+    model.w["out"] *= 3
+    x = rng.integers(0, tagger.SYMBOLS, (40, 9))
+    rows, tags, above = model.decode(x)
+    scores, _ = model.emissions(x)
+    moves = model.w["moves"] + model.barred
+    for k in range(len(x)):
+        best, back = scores[0, k] + model.start, []
+        for now in scores[1:, k]:
+            back.append((best[:, None] + moves).argmax(0))
+            best = (best[:, None] + moves).max(0) + now
+        path = [int(best.argmax())]
+        for b in back[::-1]:
+            path.append(int(b[path[-1]]))
+        at = np.flatnonzero(rows == k)
+        assert (tags[at[0]].tolist() if len(at) else [0] * 9) == path[::-1]
+    assert 0 < len(rows) < 40 and above.shape == tags.shape
+
+
+def test_variants_are_beyond_the_patterns():
+    rng = random.Random(1)
+    for kind in pii.KINDS:
+        for _ in range(200):
+            made = pii.variant(kind, rng)
+            assert not any(k == kind and (a, b) == (0, len(made)) for a, b, k in pii.base_spans(made)), made
+            assert pii.valid(kind, pii.plain(kind, made)), made
 
 
 def test_toxicity_scores_a_text_alone_as_in_a_batch():
@@ -209,22 +403,41 @@ def test_toxicity_scores_a_text_alone_as_in_a_batch():
     assert model.score(["you idiot"])[0] > 0.9 > 0.3 > model.score([""])[0]
 
 
-def test_permutation_index_with_everything_reranked_is_exact():
+def test_a_file_with_everything_reranked_is_exact():
     rng = np.random.default_rng(8)
     x = rng.normal(size=(200, 8))
     x[50:120] = x[50]  # many equal vectors
-    ids = rng.permutation(200)
-    index = ann.PermutationIndex(ids, x, x[:16], 8, 10)
+    orders = ann.permutations(x, x[:16], 8)
+    which, found, far = ann.searched(x, orders, x[:70], orders[:70], 16, 10, 0)
     for i in (0, 50, 60):
         d = np.sqrt(((x - x[i]) ** 2).sum(1))
-        d[i] = np.inf
-        want = [(d[j], ids[j]) for j in np.lexsort((ids, d))[:10]]
-        got = index.search(x[i], int(ids[i]), ann.permutations(x[i : i + 1], x[:16], 8)[0], 10, 1.0, 1)
-        assert [g[1] for g in got] == [w[1] for w in want] and np.allclose([g[0] for g in got], [w[0] for w in want])
+        want = np.lexsort((np.arange(200), d))[:10]
+        assert found[which == i].tolist() == want.tolist() and np.array_equal(far[which == i], d[want])
+
+
+def test_candidates_are_those_of_the_least_footrule():
+    """With a limit that none passes, the `top` vectors whose orders are nearest are reranked."""
+    rng = np.random.default_rng(9)
+    x, q, pivots = rng.normal(size=(300, 6)), rng.normal(size=(5, 6)), rng.normal(size=(40, 6))
+    orders, q_orders = ann.permutations(x, pivots, 8), ann.permutations(q, pivots, 8)
+    which, found, _ = ann.searched(x, orders, q, q_orders, 40, 10, 1 << 30)
+
+    def distance(a, b):
+        place = lambda o, p: o.index(p) if p in o else 8
+        return sum(abs(place(a, p) - place(b, p)) for p in {*a, *b})
+
+    for i in range(5):
+        far = [distance(q_orders[i].tolist(), o.tolist()) for o in orders]
+        assert sorted(found[which == i].tolist()) == sorted(np.lexsort((np.arange(300), far))[:10].tolist())
+
 
+def test_permutations_are_the_nearest_pivots():
+    rng = np.random.default_rng(7)
+    x, pivots = rng.normal(size=(50, 5)), rng.normal(size=(30, 5))
+    far = ((x[:, None] - pivots[None]) ** 2).sum(2)
+    assert np.array_equal(ann.permutations(x, pivots, 7), np.argsort(far, axis=1)[:, :7]) and np.array_equal(ann.permutations(x, pivots, 99), np.argsort(far, axis=1))
 
-def test_shared():
-    from strataloom.llm.substring_dedup import shared
 
-    keys = np.array([3, 1, 3, 2], np.uint64)
-    assert shared(keys).tolist() == [Counter(keys.tolist())[k] > 1 for k in keys.tolist()]
+def test_queries_visit_files_until_they_hold_enough():
+    files = ann.files_of(np.array([[2, 0, 1], [1, 2, 0]]), np.array([5, 1, 1]), 1, 4)
+    assert [f.tolist() for f in files] == [[2, 0], [1, 2, 0]]
