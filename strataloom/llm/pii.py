@@ -25,9 +25,9 @@ from strataloom.llm.tagger import BLANK, Tagger, symbols
 
 KINDS = ("email", "ip", "card", "phone")
 #: Windows begin every STRIDE characters and are decoded ROWS at a time.
-WINDOW, STRIDE, ROWS = 256, 192, 1024
-#: The model is fitted on so many windows at most, of TAUGHT characters, from documents of the least hash.
-MOST_WINDOWS, TAUGHT = 1536, 96
+WINDOW, STRIDE, ROWS = 512, 448, 512
+#: The model is fitted on so many windows at most, of TAUGHT characters, from documents of the least hash, read EPOCHS times.
+MOST_WINDOWS, TAUGHT, EPOCHS = 1536, 96, 8
 #: So many characters of each of these documents, from a place that its hash says, are sent to the task that fits.
 SAMPLED = 4096
 
@@ -248,7 +248,7 @@ def _fitted(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
             return
         rng = random.Random(9)
         x, y = map(np.stack, zip(*[example(texts[k % len(texts)], rng) for k in range(most)], strict=True))
-        tagger = Tagger.fitted(x.astype(np.int64), y.astype(np.int64), 1 + 2 * len(KINDS))
+        tagger = Tagger.fitted(x.astype(np.int64), y.astype(np.int64), 1 + 2 * len(KINDS), epochs=EPOCHS)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(tagger.w)], pa.binary())], ["weights"])
 
     return of_partition

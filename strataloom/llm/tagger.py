@@ -1,4 +1,8 @@
-"""A character-level bidirectional LSTM with CRF transitions, in numpy."""
+"""A character-level bidirectional LSTM with CRF transitions, in numpy.
+
+The LSTM's curves are the softsign x / (1 + |x|) where hyperbolic tangents are usual: of the same shape, at a fifth of the time, as every
+character of every text is read.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +15,7 @@ MARKS = "@.-+() \n%_/:\"=,'[]{}<>"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 DIGIT, CAPITAL, OTHER, BLANK = range(len(MARKS) + len(LETTERS), len(MARKS) + len(LETTERS) + 4)
 SYMBOLS = BLANK + 1
-HIDDEN = 16
+HIDDEN = 12
 NEVER = -1e4
 
 
@@ -30,8 +34,17 @@ def symbols(text: str) -> np.ndarray:
     return _table()[np.minimum(code, 255)]
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
+def _curve(x: np.ndarray) -> np.ndarray:
+    """x / (1 + |x|), in place."""
+    size = np.abs(x)
+    size += 1
+    x /= size
+    return x
+
+
+def _slope(y: np.ndarray) -> np.ndarray:
+    """The slope of _curve() where it is y."""
+    return (1 - np.abs(y)) ** 2
 
 
 def _run(x: np.ndarray, into: np.ndarray, again: np.ndarray, keep: list | None = None) -> np.ndarray:
@@ -39,13 +52,11 @@ def _run(x: np.ndarray, into: np.ndarray, again: np.ndarray, keep: list | None =
     n, size = x.shape[1], again.shape[0]
     h, c = np.zeros((n, size), np.float32), np.zeros((n, size), np.float32)
     out = np.empty((len(x), n, size), np.float32)
-    # A gate's sigmoid is a hyperbolic tangent of half its input: one call serves all four.
-    half = np.repeat(np.array([0.5, 0.5, 0.5, 1], np.float32), size)
-    table, turn = (into * half).astype(np.float32), (again * half).astype(np.float32)
+    table, turn = into.astype(np.float32), again.astype(np.float32)
     for t, now in enumerate(x):
         z = table[now]
         z += h @ turn
-        np.tanh(z, out=z)
+        _curve(z)
         new = z[:, 3 * size :]
         gate = z[:, : 3 * size]
         gate *= 0.5
@@ -54,7 +65,7 @@ def _run(x: np.ndarray, into: np.ndarray, again: np.ndarray, keep: list | None =
         before, was = c, h
         c = f * c
         c += i * new
-        curved = np.tanh(c)
+        curved = _curve(c.copy())
         h = np.multiply(o, curved, out=out[t])
         if keep is not None:
             keep.append((i, f, o, new, before, was, curved))
@@ -68,8 +79,9 @@ def _back(x: np.ndarray, grad: np.ndarray, again: np.ndarray, keep: list, into_s
     for t in range(len(x) - 1, -1, -1):
         i, f, o, new, before, was, curved = keep[t]
         d_h = d_h + grad[t]
-        d_c = d_c + d_h * o * (1 - curved**2)
-        d_z = np.concatenate([d_c * new * i * (1 - i), d_c * before * f * (1 - f), d_h * curved * o * (1 - o), d_c * i * (1 - new**2)], axis=1)
+        d_c = d_c + d_h * o * _slope(curved)
+        gate = lambda g: 0.5 * _slope(2 * g - 1)  # noqa: E731  a gate is half a curve and a half
+        d_z = np.concatenate([d_c * new * gate(i), d_c * before * gate(f), d_h * curved * gate(o), d_c * i * _slope(new)], axis=1)
         np.add.at(d_into, x[t], d_z)
         d_again += was.T @ d_z
         d_h, d_c = d_z @ again.T, d_c * f
@@ -110,18 +122,13 @@ class Tagger:
         return states @ self.w["out"] + self.w["bias"], states
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The windows (rows of x) with a tag other than 0, their best tags (Viterbi), and by how much each tag's score is above 0's.
-
-        Where no tag's score comes near 0's at any character, all zeros are the best tags for certain: such windows aren't searched.
-        """
+        """The windows (rows of x) with a tag other than 0, their best tags (Viterbi), and by how much each tag's score is above 0's."""
+        scores = self._by_tag(x)
         moves = self.w["moves"] + self.barred
-        scores, _ = self.emissions(x)
-        gain = max(0.0, float((moves - moves[0, 0]).max()))
-        above = scores[:, :, 1:].max(axis=2) - scores[:, :, 0]
-        rows = np.flatnonzero((above + 2 * gain > 0).any(axis=0))
+        rows = self._promising(scores, moves)
         if not len(rows):
             return rows, np.zeros((0, x.shape[1]), np.int64), np.zeros((0, x.shape[1]), np.float32)
-        scores = scores[:, rows]
+        scores = np.ascontiguousarray(scores[:, :, rows].transpose(1, 2, 0))
         best, back = scores[0] + self.start, []
         for now in scores[1:]:
             ways = best[:, :, None] + moves
@@ -137,6 +144,37 @@ class Tagger:
         own = np.take_along_axis(scores, out.T[:, :, None], axis=2)[:, :, 0] - scores[:, :, 0]
         return rows[some], out[some], own.T[some]
 
+    def _by_tag(self, x: np.ndarray) -> np.ndarray:
+        """Scores (tag, time, row), as emissions() has them."""
+        s, n = x.T, x.size
+        f = _run(s, self.w["into_f"], self.w["again_f"]).reshape(n, -1)
+        half = f.shape[1]
+        out = self.w["out"].T[:, :half] @ f.T
+        b = _run(s[::-1], self.w["into_b"], self.w["again_b"])[::-1].reshape(n, -1)
+        out += self.w["out"].T[:, half:] @ b.T
+        out += self.w["bias"][:, None]
+        return out.reshape(-1, *s.shape)
+
+    def _promising(self, scores: np.ndarray, moves: np.ndarray) -> np.ndarray:
+        """The rows whose best tags may be other than zeros; for the rest that is ruled out.
+
+        What the best span of each kind up to each character gains over zeros, but that a span may begin after any other at the price of the
+        cheapest move: a bound that is all but the gain itself.
+        """
+        still = moves[0, 0]
+        begin, on = scores[1::2] - scores[0], scores[2::2] - scores[0]
+        enter, leave = (moves[:, 1::2].max(axis=0) - still)[:, None], float(moves[1:, 0].max() - still)
+        kinds = np.arange(len(begin))
+        first, again = (moves[1 + 2 * kinds, 2 + 2 * kinds] - still)[:, None], (moves[2 + 2 * kinds, 2 + 2 * kinds] - still)[:, None]
+        b, i = begin[:, 0], np.full_like(begin[:, 0], NEVER)
+        end = b.max(axis=0)
+        most = end + leave
+        for t in range(1, begin.shape[1]):
+            b, i = np.maximum(end, 0) + enter + begin[:, t], np.maximum(b + first, i + again) + on[:, t]
+            end = np.maximum(b, i).max(axis=0)
+            np.maximum(most, end + leave, out=most)
+        return np.flatnonzero(np.maximum(most, end) > -1e-4)
+
     def _loss(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean negative log-likelihood of a batch, and its gradients."""
         keep: tuple[list, list] = ([], [])
