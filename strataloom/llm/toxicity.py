@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from strataloom.llm.common import dropped, prepare, stored
 
+#: Twice as many features, or all buckets, tell no more of a sample of this size (README).
 ORDERS, BITS, FEATURES = (3, 4, 5), 18, 2048
 #: The classifier is fitted on so many labelled rows at most, those of the least hash; all texts are scored.
 MOST_ROWS = 6000
 CHUNK, TRAIN_TASKS = 1 << 12, 8
 THRESHOLD, HELD_OUT = 0.3, 2
-SHARE, MOST = 1000.0, 5.0  # features are occurrences in so many n-grams, and count so much at most
+SHARE = 1000.0  # a feature's value is the square root of its occurrences in so many n-grams
 
 
 def characters(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -68,7 +69,7 @@ class Classifier:
             n += np.maximum(np.diff(off) - order + 1, 0)
         key, count = np.unique(np.concatenate(found), return_counts=True)
         text, feature = np.divmod(key, features)
-        return np.bincount(text, self.weight[feature] * np.minimum(MOST, SHARE * count / n[text]), len(texts)) if len(key) else np.zeros(len(texts))
+        return np.bincount(text, self.weight[feature] * np.sqrt(SHARE * count / n[text]), len(texts)) if len(key) else np.zeros(len(texts))
 
 
 def _buckets(text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +105,7 @@ def _shares(chosen: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                 bucket, n = _buckets(text)
                 at = place[bucket]
                 features.append(at[at >= 0].astype(np.uint16).tobytes())
-                values.append(np.minimum(MOST, SHARE * n[at >= 0] / n.sum()).astype(np.float32).tobytes())
+                values.append(np.sqrt(SHARE * n[at >= 0] / n.sum()).astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([batch["label"], pa.array(features, pa.binary()), pa.array(values, pa.binary())], ["label", "at", "x"])
 
     return of_partition
@@ -120,7 +121,7 @@ def told(has: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return chosen, ratio[chosen]
 
 
-def fit(y: np.ndarray, x: np.ndarray, chosen: np.ndarray, ratio: np.ndarray, *, steps: int = 200, penalty: float = 0.03) -> Classifier:
+def fit(y: np.ndarray, x: np.ndarray, chosen: np.ndarray, ratio: np.ndarray, *, steps: int = 200, penalty: float = 0.002) -> Classifier:
     """A logistic regression on the chosen features, scaled by their log-count ratios (Adam on the whole sample)."""
     x = x * ratio.astype(np.float32)
     w, b = np.zeros(len(chosen), np.float32), np.float32(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
