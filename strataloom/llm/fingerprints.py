@@ -89,6 +89,16 @@ def densified(minima: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketched(least: np.ndarray, bits: int) -> np.ndarray:
+    """The low-order bits of bins after densification; zeros for a text without words.
+
+    A value borrowed into many bins shows other bits in each, so that chance agreement stays independent.
+    """
+    shown = mixed(densified(least) ^ numbers(least.shape[1], 23)) & U64((1 << bits) - 1)
+    shown[(least == EMPTY).all(axis=1)] = 0
+    return shown.astype(np.uint8)
+
+
 def signatures(raw: np.ndarray, off: np.ndarray, width: int = WIDTH, bins: int = BINS, bits: int = LOW_BITS) -> tuple[np.ndarray, np.ndarray]:
     """The low-order bits of every text's filled bins (zeros for a text without words), and which texts have words."""
     low, some = [np.zeros((0, bins), np.uint8)], [np.zeros(0, bool)]
@@ -99,12 +109,8 @@ def signatures(raw: np.ndarray, off: np.ndarray, width: int = WIDTH, bins: int =
                 least = np.minimum(least, bin_minima(hashes, np.array([len(hashes)]), bins))
         else:
             least = bin_minima(*shingle_hashes(raw[off[i] : off[j]], off[i : j + 1] - off[i], width), bins)
-        has = (least != EMPTY).any(axis=1)
-        # A value borrowed into many bins shows other bits in each, so that chance agreement stays independent.
-        shown = mixed(densified(least) ^ numbers(bins, 23)) & U64((1 << bits) - 1)
-        shown[~has] = 0
-        low.append(shown.astype(np.uint8))
-        some.append(has)
+        low.append(sketched(least, bits))
+        some.append((least != EMPTY).any(axis=1))
     return np.concatenate(low), np.concatenate(some)
 
 

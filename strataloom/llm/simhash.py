@@ -13,14 +13,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataloom.llm.common import U64, dropped, even_keys, mixed, partitions, pieces, prepare, span_hashes, stored, utf8, words
-from strataloom.llm.components import stars
-from strataloom.llm.fingerprints import shingle_hashes, signatures
+from strataloom.llm.components import forest, stars
+from strataloom.llm.fingerprints import bin_minima, long_hashes, run_hashes, shingle_hashes, sketched
 
 WIDTH, RADIUS, SEED = 3, 2, 42
-#: Near copies resemble each other so much in shingles of so many words; a sketch has BINS bytes
-#: in bands of BAND. Pairs whose sketches' estimate is less by more than MARGIN, four times its error, aren't compared.
-NEAR, NEAR_WIDTH, BINS, BAND, MARGIN = 0.8, 5, 256, 8, 0.1
-#: Each round pairs a bucket's nodes with so many times as many of them as the one before.
+#: Near copies resemble each other so much in shingles of so many words; a sketch has BINS bytes in bands of BAND.
+NEAR, NEAR_WIDTH, BINS, BAND = 0.8, 5, 256, 8
+#: A text of more bytes is read in blocks.
+LONG = 1 << 21
+#: Each round pairs a bucket's nodes with so many times as many heads as the one before.
 HEADS = 8
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -104,23 +105,6 @@ def matches(table: np.ndarray, query: np.ndarray, most: int) -> Iterator[tuple[n
         yield q[hit], place[hit]
 
 
-def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges that join the same nodes as (u, v), one for each node but the least of its component."""
-    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
-    a, b = at[: len(u)], at[len(u) :]
-    label = np.arange(len(nodes))
-    while True:
-        low = np.minimum(label[a], label[b])
-        before = label.copy()
-        np.minimum.at(label, label[a], low)
-        np.minimum.at(label, label[b], low)
-        label = label[label]
-        if (label == before).all():
-            break
-    more = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[more], nodes[label[more]]
-
-
 def _turned(fp: np.ndarray) -> np.ndarray:
     return (fp << U64(32)) | (fp >> U64(32))
 
@@ -193,13 +177,13 @@ def _link(radius: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return of_partition
 
 
-def linked(fps: DataFrame, radius: int = RADIUS) -> tuple[DataFrame, str]:
-    """From distinct fingerprints `fp`, stars (u, v) over all links within the radius, and the scratch table that has them."""
+def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """From distinct fingerprints `fp`, pairs (u, v) within the radius that connect all that such pairs connect."""
     if not 0 < radius <= 3:
         raise ValueError("two segments with balls of one bit cover a radius of 1 to 3")
     keys = even_keys(partitions(fps.sparkSession))
     sent = fps.select("fp").mapInArrow(_send(keys, radius), "part int, body binary")
-    return stars(sent.repartition(len(keys), "part").mapInArrow(_link(radius), "u long, v long"))
+    return sent.repartition(len(keys), "part").mapInArrow(_link(radius), "u long, v long")
 
 
 def simhash_groups(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS) -> DataFrame:
@@ -213,8 +197,8 @@ def simhash_groups(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     fp, _ = stored(own.mapInArrow(_fingerprint(width), "doc_id long, fp long"), "fingerprints")
     first = fp.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    links, _ = linked(first, radius)
-    root = first.join(links, first.fp == links.u, "left").select("fp", "least", F.coalesce("v", "fp").alias("root"))
+    of, _ = stars(links(first, radius))
+    root = first.join(of, first.fp == of.u, "left").select("fp", "least", F.coalesce("v", "fp").alias("root"))
     least = root.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = root.join(least, "root").select("fp", "component_id")
     return fp.join(by_fp, "fp", "left").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -223,35 +207,50 @@ def simhash_groups(docs: DataFrame, *, width: int = WIDTH, radius: int = RADIUS)
 # --- near copies ----------------------------------------------------------------------------------------
 
 
-def word_fingerprints(column: pa.Array) -> np.ndarray:
-    """The 64-bit SimHash of each text's set of lower-cased words: copies with a few words changed differ in few bits."""
-    raw, off = utf8(column)
-    out = np.zeros(len(column), U64)
-    for i, j in pieces(off, 1 << 18):
-        low = _LOWER[raw[off[i] : off[j]]]
-        start, end, first = words(low, off[i : j + 1] - off[i])
-        if not len(start):
-            continue
-        h, text = span_hashes(low, start, end), np.repeat(np.arange(j - i), np.diff(first))
-        order = np.lexsort((h, text))
-        h, text = h[order], text[order]
-        new = np.concatenate([[True], (np.diff(h) != 0) | (np.diff(text) != 0)])
-        h, text = h[new], text[new]
-        rows, starts, n = np.unique(text, return_index=True, return_counts=True)
-        ones = np.concatenate([np.add.reduceat(np.unpackbits(((h >> U64(k)) & U64(255)).astype(np.uint8)[:, None], axis=1, bitorder="little"), starts, axis=0, dtype=np.int64) for k in range(0, 64, 8)], axis=1)
-        out[i:j][rows] = np.packbits((ones * 2 > n[:, None]).astype(np.uint8), axis=1, bitorder="little").view("<u8")[:, 0]
+def simhash_of_sets(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The 64-bit SimHash of each text's set of words, from the words' hashes: copies with a few words changed differ in few bits."""
+    out = np.zeros(len(first) - 1, U64)
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    if not len(h):
+        return out
+    order = np.lexsort((h, text))
+    h, text = h[order], text[order]
+    new = np.concatenate([[True], (np.diff(h) != 0) | (np.diff(text) != 0)])
+    h, text = h[new], text[new]
+    rows, starts, n = np.unique(text, return_index=True, return_counts=True)
+    ones = np.concatenate([np.add.reduceat(np.unpackbits(((h >> U64(k)) & U64(255)).astype(np.uint8)[:, None], axis=1, bitorder="little"), starts, axis=0, dtype=np.int64) for k in range(0, 64, 8)], axis=1)
+    out[rows] = np.packbits((ones * 2 > n[:, None]).astype(np.uint8), axis=1, bitorder="little").view("<u8")[:, 0]
+    return out
+
+
+def whole_set(raw: np.ndarray, width: int) -> np.ndarray:
+    """The set of a long text's run hashes, sorted, found a block of the text at a time."""
+    out = np.zeros(0, U64)
+    for hashes in long_hashes(raw, width):
+        out = np.union1d(out, hashes)
     return out
 
 
 def _described(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Each text's word-set fingerprint and its one-permutation MinHash of shingles."""
+    """Each text's SimHash of its set of words, and its one-permutation MinHash of shingles."""
 
     def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            low, has = signatures(*utf8(batch["text"]), width, BINS, 8)
-            sketch = pa.array([r.tobytes() if h else b"" for r, h in zip(low, has, strict=True)], pa.binary())
-            columns = [batch["doc_id"], batch["node"], pa.array(word_fingerprints(batch["text"]).view(np.int64)), sketch]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "fp", "sketch"])
+            raw, off = utf8(batch["text"])
+            fp, sketch = [], []
+            for i, j in pieces(off, 1 << 19):
+                part, own = raw[off[i] : off[j]], off[i : j + 1] - off[i]
+                if len(part) > LONG:
+                    h = whole_set(part, 1)
+                    first, least = np.array([0, len(h)]), bin_minima(u := whole_set(part, width), np.array([len(u)]), BINS)
+                else:
+                    start, end, first = words(part, own)
+                    word = span_hashes(part, start, end)
+                    h, least = mixed(word), bin_minima(*run_hashes(word, first, width), BINS)
+                fp.append(simhash_of_sets(h, first))
+                sketch += [r.tobytes() if k else b"" for r, k in zip(sketched(least, 8), np.diff(first).tolist(), strict=True)]
+            fps = np.concatenate([np.zeros(0, U64), *fp]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["node"], pa.array(fps), pa.array(sketch, pa.binary())], ["doc_id", "node", "fp", "sketch"])
 
     return of_partition
 
@@ -264,6 +263,9 @@ def _shingled(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             raw, off = utf8(batch["text"])
             sets = []
             for i, j in pieces(off, 1 << 19):
+                if off[j] - off[i] > LONG:
+                    sets.append(whole_set(raw[off[i] : off[j]], width).tobytes())
+                    continue
                 hashes, n = shingle_hashes(raw[off[i] : off[j]], off[i : j + 1] - off[i], width)
                 sets += [np.unique(hashes[e - k : e]).tobytes() for k, e in zip(n.tolist(), np.cumsum(n).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch["node"], pa.array(sets, pa.binary())], ["node", "shingles"])
@@ -272,26 +274,18 @@ def _shingled(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A bucket for each BAND bins of a sketch; none for a text without words."""
+    """A bucket for each BAND bins of a sketch; one for all texts without words."""
     for batch in batches:
         node, bucket = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for n, s in zip(batch["node"].to_pylist(), batch["sketch"].to_pylist(), strict=True):
-            words = np.frombuffer(s, "<u8")
-            node.append(np.full(len(words), n, np.int64))
-            bucket.append(mixed(mixed(words) ^ mixed(np.arange(len(words), dtype=U64))).view(np.int64))
+            bands = np.frombuffer(s, f"<u{BAND}") if s else np.zeros(1, U64)
+            node.append(np.full(len(bands), n, np.int64))
+            bucket.append(mixed(mixed(bands) ^ mixed(np.arange(len(bands), dtype=U64))).view(np.int64))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bucket)), pa.array(np.concatenate(node))], ["bucket", "node"])
 
 
-def _promising(similarity: float, a: bytes, b: bytes) -> bool:
-    """Whether two sketches don't rule the resemblance out; texts without words are alike."""
-    if not a or not b:
-        return a == b
-    equal = (np.frombuffer(a, np.uint8) == np.frombuffer(b, np.uint8)).mean()
-    return (equal - 1 / 256) / (1 - 1 / 256) >= similarity - MARGIN
-
-
-def _resembling(similarity: float, a: bytes, b: bytes) -> bool:
-    """Whether two sets of shingles resemble each other so much or more."""
+def resembling(similarity: float, a: bytes, b: bytes) -> bool:
+    """Whether two sets of shingles resemble each other so much or more; texts without words are alike."""
     x, y = np.frombuffer(a, U64), np.frombuffer(b, U64)
     if min(len(x), len(y)) < similarity * max(len(x), len(y)):
         return False
@@ -299,92 +293,96 @@ def _resembling(similarity: float, a: bytes, b: bytes) -> bool:
     return both >= similarity * (len(x) + len(y) - both)
 
 
-def _where(test: Callable[[float, bytes, bytes], bool], similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The pairs that pass the test."""
+def _alike(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The pairs whose sets resemble each other."""
 
     def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = pa.array([test(similarity, a, b) for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True)], pa.bool_())
+            keep = pa.array([resembling(similarity, a, b) for a, b in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch["u"].filter(keep), batch["v"].filter(keep)], ["u", "v"])
 
     return of_partition
 
 
-def _connected(buckets: DataFrame, between: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]) -> DataFrame:
-    """Stars (u, v) over all links found among pairs (u, v) of nodes that share a bucket.
+def _connected(buckets: DataFrame, pairs: DataFrame, between: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """Stars (u, v) over all links found among the pairs (u, v) of nodes, and among nodes that share a bucket.
 
-    `between` gets the nodes that share one and returns what finds the links among pairs of them.
+    `between` gets the nodes that may be paired and returns what finds the links among pairs of them.
 
-    In the first round each bucket's nodes are paired with its first one, in the next with the following HEADS, then with
-    HEADS times as many. Only nodes that no link connects yet are paired, and a bucket whose nodes are all connected is done;
-    so a group of copies costs a pair for each, and no pair that could connect anything stays untested. The first are those
-    that meet most others in all their buckets: an original comes before its copies.
+    In each round a bucket has heads, with which its other nodes are paired: one in the first, one in each of HEADS parts of the bucket in
+    the next, of HEADS times as many after that. What has been a head leaves the bucket, as it has met all others. Only nodes
+    that no link connects yet are paired, and a bucket whose nodes are all connected is done; so a group of copies costs a pair for
+    each, and no pair that could connect anything stays untested. Heads are those that meet most others in all their buckets: an
+    original comes before its copies. They are found by aggregation, so no task holds a whole bucket.
     """
-    own = Window.partitionBy("bucket")
-    full = buckets.withColumn("n", F.count("*").over(own)).where("n > 1")
-    full, at = stored(full, "buckets")
-    spark = full.sparkSession
-    alike = between(full.select("node").distinct())
+    spark = buckets.sparkSession
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    full, at = stored(buckets.join(sizes, "bucket"), "buckets")
+    alike = between(full.select("node").union(pairs.select("u")).union(pairs.select("v")).distinct())
     met = full.groupBy("node").agg(F.sum("n").alias("met"))
-    ranked, to = stored(full.join(met, "node").select("bucket", "node", F.row_number().over(own.orderBy(F.desc("met"), "node")).alias("rank")), "ranked")
+    left, left_at = stored(full.join(met, "node").select("bucket", "node", "met"), "left")
     dropped(spark, at)
-    links, link_at = stars(ranked.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0))
-    first = last = 1
+    tried, links, link_at, parts = pairs.select("u", "v"), None, None, 1
     while True:
-        now = ranked.where(F.col("rank") >= first).join(links, F.col("node") == links.u, "left").select("bucket", "node", "rank", F.coalesce("v", "node").alias("group"))
-        split = now.groupBy("bucket").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least < most").select("bucket")
-        left, at = stored(now.join(split, "bucket"), "left")
-        if left.isEmpty():
-            for x in (at, to):
+        best = left.groupBy("bucket", F.pmod(F.xxhash64("node", F.lit(parts)), F.lit(parts)).alias("part")).agg(F.max(F.struct("met", "node")).alias("k"))
+        heads, heads_at = stored(best.select("bucket", F.col("k.node").alias("head")), "heads")
+        met_ = left.join(heads, "bucket").where("node <> head")
+        if links is not None:
+            of = lambda n: links.select(F.col("u").alias(n), F.col("v").alias(f"of_{n}"))
+            met_ = met_.join(of("node"), "node", "left").join(of("head"), "head", "left").where(F.coalesce("of_node", "node") != F.coalesce("of_head", "head"))
+        tried = tried.union(met_.select(F.greatest("node", "head"), F.least("node", "head"))).distinct()
+        found = alike(tried)
+        more, more_at = stars(found if links is None else found.union(links.select("u", "v")))
+        rest = left.join(heads.withColumnRenamed("head", "node"), ["bucket", "node"], "left_anti").join(more, F.col("node") == more.u, "left").select("bucket", "node", "met", F.coalesce("v", "node").alias("group"))
+        split = rest.groupBy("bucket").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least < most").select("bucket")
+        now, now_at = stored(rest.drop("group").join(split, "bucket"), "left")
+        for x in (left_at, heads_at, link_at):
+            if x:
                 dropped(spark, x)
+        left, left_at, links, link_at = now, now_at, more, more_at
+        if left.isEmpty():
+            dropped(spark, left_at)
             return links
-        heads = left.where(F.col("rank") <= last).select("bucket", F.col("node").alias("v"), F.col("group").alias("of"), F.col("rank").alias("nth"))
-        pairs = left.join(heads, "bucket").where("rank > nth AND group <> of").select(F.col("node").alias("u"), "v").distinct()
-        more, more_at = stars(alike(pairs).union(links.select("u", "v")))
-        for x in (at, link_at):
-            dropped(spark, x)
-        links, link_at = more, more_at
-        first, last = last + 1, last + HEADS * (last - first + 1)
+        tried, parts = pairs.select("u", "v").limit(0), parts * HEADS
 
 
 def one_of_each(docs: DataFrame, *, width: int = NEAR_WIDTH, similarity: float = NEAR, radius: int = 3, carried: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text and the carried columns of one row of each group of copies and near copies: that of the least doc_id.
 
-    Texts whose word-set fingerprints are linked within `radius` bits are candidates, and so are those that share a band of
-    their sketches, as few pairs of so low a resemblance have fingerprints so near. Candidates are compared until all are connected or each pair of unconnected ones has been: they are a link if their `width`-word shingles resemble each other
-    by `similarity` or more. Groups are connected
-    by links; equal texts are one. Texts without words are alike; a null text is empty. Null doc_ids come last; of several
-    rows with the least id, that of the least text stays. No rows give no rows. The documents are read three
-    times, and shuffled twice.
+    Texts whose SimHashes, of their sets of words, are within `radius` bits are candidates, and so are those that share a band of
+    a MinHash sketch, as few pairs of so low a resemblance have fingerprints so near. Candidates are compared until all are
+    connected or each pair of unconnected ones has been: they are a link if their whole sets of `width`-word shingles resemble each
+    other by `similarity` or more. Groups are connected by links; equal texts are one. Texts without words are alike; a null text is
+    empty. Null doc_ids come last; of several rows with the least id, that of the least text stays. No rows give no rows. The
+    documents are read three times, and shuffled twice.
     """
     spark = docs.sparkSession
     prepare(spark)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"_{c}") for c in carried])
     own = own.withColumn("node", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows, _ = stored(own.select("doc_id", "node", "text").mapInArrow(_described(width), "doc_id long, node long, fp long, sketch binary"), "words")
-    of_node = [F.min("fp").alias("fp"), F.min("doc_id").alias("least"), F.max("sketch").alias("sketch")]
-    nodes, _ = stored(rows.groupBy("node").agg(*of_node), "nodes")
-    links, _ = linked(nodes.select("fp").distinct(), radius)
-    rooted = nodes.select("node", "fp").join(links, F.col("fp") == links.u, "left").select("node", F.coalesce("v", "fp").alias("root"))
-    wide = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
-    roots = rooted.join(wide, "root").select(F.xxhash64("root").alias("bucket"), "node")
-    bands = nodes.select("node", "sketch").mapInArrow(_bands, "bucket long, node long")
+    rows, rows_at = stored(own.select("doc_id", "node", "text").mapInArrow(_described(width), "doc_id long, node long, fp long, sketch binary"), "words")
+    nodes, nodes_at = stored(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("least"), F.max("sketch").alias("sketch")), "nodes")
+    dropped(spark, rows_at)
+    # Of the texts with one fingerprint the least stands for all towards other fingerprints; they are pairs with it themselves.
+    of_fp = nodes.groupBy("fp").agg(F.min("node").alias("node"), F.count("*").alias("n"))
+    near = links(of_fp, radius)
+    ends = lambda side, to: of_fp.select(F.col("fp").alias(side), F.col("node").alias(to))
+    pairs = near.join(ends("u", "a"), "u").join(ends("v", "b"), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    same = nodes.select("node", "fp").join(of_fp.where("n > 1").select("fp", F.col("node").alias("v")), "fp").where("node <> v").select(F.col("node").alias("u"), "v")
+    pairs, pairs_at = stored(pairs.union(same).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "pairs")
     # Joined on text and id together: a text that many rows share doesn't go to one task.
     pick = lambda id_: F.xxhash64(F.col("node"), F.coalesce(F.col(id_), F.lit(0)), F.col(id_).isNull())
 
     def between(some: DataFrame) -> Callable[[DataFrame], DataFrame]:
-        """Their sketches first, then their whole sets of shingles, from the texts read again."""
+        """By their whole sets of shingles, from the texts read again."""
         wanted = nodes.join(some, "node").select(pick("least").alias("pick"))
         texts = own.select("doc_id", "node", "text").withColumn("pick", pick("doc_id")).join(wanted, "pick").select("node", "text")
         sets, _ = stored(texts.mapInArrow(_shingled(width), "node long, shingles binary").groupBy("node").agg(F.max("shingles").alias("shingles")), "shingles")
+        of = lambda side, name: sets.select(F.col("node").alias(side), F.col("shingles").alias(name))
+        return lambda pairs: pairs.join(of("u", "a"), "u").join(of("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(_alike(similarity), "u long, v long")
 
-        def passed(pairs: DataFrame, of: DataFrame, what: str, test: Callable[[float, bytes, bytes], bool]) -> DataFrame:
-            both = pairs.join(of.select(F.col("node").alias("u"), F.col(what).alias("a")), "u").join(of.select(F.col("node").alias("v"), F.col(what).alias("b")), "v")
-            return both.select("u", "v", "a", "b").mapInArrow(_where(test, similarity), "u long, v long")
-
-        return lambda pairs: passed(passed(pairs, nodes, "sketch", _promising), sets, "shingles", _resembling)
-
-    grouped = _connected(bands.union(roots), between)
+    grouped = _connected(nodes.select("node", "sketch").mapInArrow(_bands, "bucket long, node long"), pairs, between)
+    dropped(spark, pairs_at)
     member = nodes.join(grouped, nodes.node == grouped.u, "left").select("node", "least", F.coalesce("v", "node").alias("group"))
     stays = member.groupBy("group").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("k")).select(F.col("k.least").alias("kept_id"), F.col("k.node").alias("node"))
     kept = own.withColumn("pick", pick("doc_id")).join(stays.select(pick("kept_id").alias("pick")), "pick")
