@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -144,8 +145,8 @@ def test_op5_finds_most_of_what_is_labelled_toxic(spark):
     held = queries.op5_toxicity(spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").collect()
     toxic = [r["predicted"] for r in held if r["toxic"]]
     clean = [r["predicted"] for r in held if not r["toxic"]]
-    # One label in twenty is noise, so many of those labelled toxic can't be found.
-    assert sum(toxic) >= 0.58 * len(toxic) and sum(clean) <= 0.005 * len(clean), (sum(toxic), len(toxic), sum(clean), len(clean))
+    # One label in twenty is noise.
+    assert sum(toxic) >= 0.85 * len(toxic) and sum(clean) <= 0.005 * len(clean), (sum(toxic), len(toxic), sum(clean), len(clean))
 
 
 def test_op6(spark):
@@ -379,3 +380,26 @@ def test_empty_tables(spark):
 def test_no_digits_and_no_labels(spark):
     df = spark.createDataFrame([(1, "plain")], "doc_id long, text string")
     assert pii.personal_data(df).first()["spans"] == ""
+
+
+def test_the_tagger_adds_what_the_patterns_cannot_see(spark):
+    """Held-out texts with personal data put in, in made variants: nearly all is added, and nothing to the texts as they are."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 5 = 0").orderBy("doc_id").limit(300).collect()
+    model = pii.trained(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 5 <> 0"))
+    rng = random.Random(77)
+    texts, true = [], []
+    for r in rows:
+        kind, words = rng.choice(pii.KINDS), (r["text"] or "").split(" ")
+        made, at = pii.variant(kind, rng), rng.randrange(len(words) + 1)
+        before = "".join(w + " " for w in words[:at])
+        texts.append(f"{before}{made} {' '.join(words[at:])}")
+        true.append((len(before), len(before) + len(made), kind))
+    added = [[x for x in spans if x not in base] for base, spans in pii.all_spans(texts, model)]
+    hits, all_ = sum(t in a for t, a in zip(true, added, strict=True)), sum(map(len, added))
+    assert 2 * hits / (all_ + len(true)) >= 0.9 and hits / all_ >= 0.97, (hits, all_, len(true))
+    assert sum(len(spans) - len(base) for base, spans in pii.all_spans([r["text"] or "" for r in rows], model)) <= 1
+    # One text of all of them: windows are reconciled over it.
+    whole, starts = "\n".join(texts), np.cumsum([0, *[len(t) + 1 for t in texts]])
+    (base, spans), *_ = pii.all_spans([whole], model)
+    again = {x for x in spans if x not in base}
+    assert sum((a + s, b + s, k) in again for (a, b, k), s in zip(true, starts.tolist(), strict=False)) >= 0.97 * hits

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from strataloom.llm import ann, bpe, chat, common, fingerprints, packing, pii, repeats, simhash, substring_dedup, suffix_dedup, tagger, toxicity
+from strataloom.llm import ann, bpe, chat, common, components, fingerprints, packing, pii, repeats, simhash, substring_dedup, suffix_dedup, tagger, toxicity
 
 PATH = bpe.standard_path()
 
@@ -303,13 +303,46 @@ def test_forest_keeps_components():
     assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(2, 1), (5, 3), (9, 3)]
 
 
+def test_long_texts_are_described_as_short_ones():
+    text = " ".join(f"w{i % 700} é" for i in range(3000))
+    raw, off = common.utf8(pa.array([text, text + " end"]))
+    short = [(a, b) for a, b in zip(*fingerprints.signatures(raw, off), strict=True)]
+    sets = [np.unique(fingerprints.shingle_hashes(raw[off[i] : off[i + 1]], np.array([0, off[i + 1] - off[i]]), 5)[0]) for i in range(2)]
+    block, fingerprints.BLOCK = fingerprints.BLOCK, 1000
+    try:
+        assert all((a == c).all() and b == d for (a, b), (c, d) in zip(short, zip(*fingerprints.signatures(raw, off), strict=True), strict=True))
+        assert all(np.array_equal(simhash.whole_set(raw[off[i] : off[i + 1]], 5), sets[i]) for i in range(2))
+        one = common.utf8(pa.array(["a b"]))[0]
+        assert len(simhash.whole_set(one, 5)) == 1 and len(simhash.whole_set(one[:0], 5)) == 0
+    finally:
+        fingerprints.BLOCK = block
+
+
+def test_components_of_chains_hubs_and_loops(spark):
+    rng = random.Random(4)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, x) for x in range(200, 400)] + [(5, 5), (9, 9), (9, 8), (8, 9)] + [(rng.randint(500, 700), rng.randint(500, 700)) for _ in range(150)] + [(-3, 160), (-3, 399)]
+    rng.shuffle(edges)
+    label = {n: n for e in edges for n in e}
+    while True:
+        before = dict(label)
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+        if label == before:
+            break
+    for parts in (1, 7, 40):
+        got, _ = components.stars(spark.createDataFrame(edges, "u long, v long").repartition(parts))
+        rows = [tuple(r) for r in got.collect()]
+        assert len(rows) == len(set(rows)) and dict(rows) == {n: m for n, m in label.items() if n != m}
+    assert components.stars(spark.createDataFrame([], "u long, v long"))[0].count() == 0
+
+
 def test_tagger_gradients():
     rng = np.random.default_rng(0)
     model = tagger.Tagger(5)
     model.w = {k: w.astype(np.float64) for k, w in model.w.items()}
     x, y = rng.integers(0, tagger.SYMBOLS, (3, 6)), np.array([[0, 1, 2, 2, 0, 3], [1, 2, 0, 0, 3, 4], [0, 0, 0, 0, 0, 0]])
     _, grad = model._loss(x, y)
-    for name, at in (("into_f", (int(x[0, 2]), 3)), ("again_b", (2, 5)), ("out", (4, 1)), ("moves", (1, 2)), ("bias", (3,)), ("again_f", (1, 60))):
+    for name, at in (("into_f", (int(x[0, 2]), 3)), ("again_b", (2, 5)), ("out", (4, 1)), ("moves", (1, 2)), ("bias", (3,)), ("again_f", (1, 40))):
         losses = []
         for step in (1e-2, -1e-2):
             model.w[name][at] += step
@@ -397,12 +430,70 @@ def test_toxicity_scores_a_text_alone_as_in_a_batch():
     code, _ = toxicity.characters(["idiot"])
     bucket = np.unique(toxicity.grams(code, 4))
     place[bucket] = np.arange(len(bucket))
-    model = toxicity.Classifier(place, np.ones(len(bucket)), -2.0)
+    model = toxicity.Classifier(place, np.ones(len(bucket)), -4.0)
     texts = ["you idiot", "", None, "fine words", "x", "idiot " * 3]
     assert np.allclose(model.score(texts), [model.score([t])[0] for t in texts])
     assert model.score(["you idiot"])[0] > 0.9 > 0.3 > model.score([""])[0]
 
 
+def plain_grams(text):
+    """Each n-gram's bucket, one after the other."""
+    low = f" {text.lower()} "
+    out = []
+    for order in toxicity.ORDERS:
+        for k in range(max(0, len(low) - order + 1)):
+            h = order * 0x9E3779B1 & 0xFFFFFFFF
+            for c in low[k : k + order]:
+                h = (h * 0x01000193 & 0xFFFFFFFF) ^ ord(c)
+                h = h * 0x85EBCA6B & 0xFFFFFFFF
+            h = (h ^ (h >> 15)) * 0xC2B2AE35 & 0xFFFFFFFF
+            out.append(h >> (32 - toxicity.BITS))
+    return out
+
+
+def test_log_count_ratios_equal_a_plain_count():
+    rng = random.Random(3)
+    texts = [(" ".join(rng.choice(["you", "idiot", "fine", "über", "day"]) for _ in range(rng.randint(0, 9))), rng.randint(0, 1)) for _ in range(60)]
+    has = np.zeros((2, 1 << toxicity.BITS), np.int64)
+    for t, y in texts:
+        has[y][toxicity._buckets(t)[0]] += 1
+    count = [Counter(b for t, y in texts if y == label for b in set(plain_grams(t))) for label in (0, 1)]
+    assert all(has[label][b] == n for label in (0, 1) for b, n in count[label].items()) and has.sum() == sum(sum(c.values()) for c in count)
+    n = [sum(y == label for _, y in texts) for label in (0, 1)]
+    chosen, ratio = toxicity.told(has, np.array(n))
+    for b, r in zip(chosen.tolist(), ratio.tolist(), strict=True):
+        assert np.isclose(r, np.log((count[1][b] + 1) / (n[1] + 2)) - np.log((count[0][b] + 1) / (n[0] + 2)))
+
+
+def test_scores_equal_a_plain_sum():
+    rng = random.Random(5)
+    place = np.full(1 << toxicity.BITS, -1)
+    known = sorted({b for w in ("idiot", "you", "fine") for b in plain_grams(w)})
+    place[known] = np.arange(len(known))
+    model = toxicity.Classifier(place, np.array([rng.uniform(-1, 1) for _ in known]), -0.3)
+    texts = ["", "you Idiot", "fine fine day", "x", " ".join(rng.choice(["you", "idiot", "fine", "day"]) for _ in range(500))]
+    for t, got in zip(texts, model.score(texts), strict=True):
+        grams = plain_grams(t)
+        z = -0.3 + sum(model.weight[place[b]] * np.sqrt(toxicity.SHARE * n / len(grams)) for b, n in Counter(grams).items() if place[b] >= 0)
+        assert np.isclose(got, 1 / (1 + np.exp(-z)))
+
+
+def test_fit_separates_what_its_features_tell():
+    """The fitted weights are near a minimum of the penalised loss."""
+    rng = np.random.default_rng(2)
+    x = rng.random((200, 6)).astype(np.float32)
+    y = (x[:, 0] - x[:, 1] + 0.3 * rng.normal(size=200) > 0).astype(float)
+    ratio = np.array([1.0, -1, 0.2, 0.1, -0.1, 0.3])
+    model = toxicity.fit(y, x, np.arange(6), ratio, steps=2000, penalty=0.01)
+
+    def loss(w, b):
+        p = 1 / (1 + np.exp(-(x @ w + b)))
+        return -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean() + 0.005 * ((w / ratio) ** 2).sum()
+
+    least = loss(model.weight, model.bias)
+    assert all(loss(model.weight + d, model.bias) > least - 1e-4 for d in 0.05 * np.vstack([np.eye(6), -np.eye(6)])) and model.weight[0] > 0 > model.weight[1]
+
+
 def test_a_file_with_everything_reranked_is_exact():
     rng = np.random.default_rng(8)
     x = rng.normal(size=(200, 8))
