@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from functools import reduce
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -12,8 +13,24 @@ from pyspark.sql import functions as F
 
 # Elements whose text isn't read.
 SKIPPED = ["script", "style", "nav", "header", "footer", "noscript"]
-# Entities; the ampersand comes last, as it may begin another's name.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0", "&copy;": "©", "&middot;": "·", "&mdash;": "—", "&ndash;": "–", "&hellip;": "…", "&amp;": "&"}
+#: Entities by name, from the standard library's table.
+ENTITIES = {name[:-1]: sign for name, sign in html5.items() if name.endswith(";")}
+
+
+def unescaped(c: Column) -> Column:
+    """Character references, by name and by number, as their characters. Unknown ones stay; each must end in a semicolon."""
+    names = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+
+    def one(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);", 1)
+        hexed = name.rlike("^#[xX]")
+        code = F.when(hexed, F.conv(F.substring(name, 3, 6), 16, 10)).when(name.startswith("#"), F.substring(name, 2, 7)).cast("long")
+        good = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        sign = F.when(good, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).when(code.isNull() & (name != ""), F.try_element_at(names, name))
+        return F.when(sign.isNotNull(), F.concat(sign, F.substring(part, F.length(name) + 2, F.length(part)))).otherwise(F.concat(F.lit("&"), part))
+
+    parts = F.split(c, "&")
+    return F.when(c.contains("&"), F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), one), ""))).otherwise(c)
 
 
 def html_to_text(html: Column) -> Column:
@@ -25,26 +42,24 @@ def html_to_text(html: Column) -> Column:
     c = F.regexp_replace(c, r"(?s)<!--.*?-->|<![^>]*>", " ")
     c = reduce(lambda c, tag: F.regexp_replace(c, rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>", " "), SKIPPED, c)
     c = F.regexp_replace(c, r"(?s)<[^>]*>", " ")
-    c = reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES.items(), c)
-    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(unescaped(c), r"(?U)\s+", " "))
 
 
-class _Reader(HTMLParser):
-    """Collects text nodes while no skipped element is open."""
+class _Events(HTMLParser):
+    """What a parser meets, in order: 1 and -1 where a skipped element begins and ends, and the texts."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.depth, self.nodes = 0, []
+        self.met: list[int | str] = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        self.depth += tag in SKIPPED
+        self.met += [1] if tag in SKIPPED else []
 
     def handle_endtag(self, tag: str) -> None:
-        self.depth -= tag in SKIPPED and self.depth > 0
+        self.met += [-1] if tag in SKIPPED else []
 
     def handle_data(self, data: str) -> None:
-        if not self.depth and (node := data.strip()):
-            self.nodes.append(node)
+        self.met.append(data)
 
 
 def read_html(html: str | None) -> str:
@@ -52,9 +67,15 @@ def read_html(html: str | None) -> str:
 
     What follows the last tag is lost where it ends in the beginning of an entity, as the input isn't closed.
     """
-    reader = _Reader()
-    reader.feed(html or "")
-    return re.sub(r"[ \t]+", " ", " ".join(reader.nodes))
+    events = _Events()
+    events.feed(html or "")
+    hidden, texts = 0, []
+    for met in events.met:
+        if isinstance(met, int):
+            hidden = max(0, hidden + met)
+        elif not hidden:
+            texts.append(met.strip())
+    return re.sub(r"[ \t]+", " ", " ".join(filter(None, texts))).strip()
 
 
 def _read_all(s: pd.Series) -> pd.Series:

@@ -20,14 +20,30 @@ def object_in(text: Column) -> Column:
     return F.regexp_extract(text_or_empty(text), r"(?s)(\{.*\})", 1)
 
 
+def _number(v: Column) -> Column:
+    """A JSON value as a whole number: numbers lose their fraction, strings must be whole numbers; else null."""
+    kind, text = F.schema_of_variant(v), F.try_variant_get(v, "$", "string")
+    whole = F.when(text.rlike(r"^\s*[+-]?[0-9]{1,9}\s*$"), F.trim(text).cast("int"))
+    return F.when(kind == "STRING", whole).when(kind == "BOOLEAN", (text == "true").cast("int")).otherwise(F.try_variant_get(v, "$", "double").cast("int"))
+
+
 def highlight_items(answer: Column) -> Column:
-    """position, index and highlight of an answer's items: those with a number and a Chinese highlight."""
-    items = F.from_json(object_in(answer), "items array<struct<index:string,highlight:string,one_sentence_summary:string>>")["items"]
-    kept = F.transform(
-        F.coalesce(items, F.array().cast("array<struct<index:string,highlight:string,one_sentence_summary:string>>")),
-        lambda x, i: F.struct(i.alias("position"), F.when(x["index"].rlike(r"^\s*[+-]?[0-9]{1,9}\s*$"), F.trim(x["index"]).cast("int")).alias("index"), clean_highlight(first_of(x["highlight"], x["one_sentence_summary"])).alias("highlight")),
+    """index and highlight of an answer's items: those that are objects with a number and a Chinese highlight; the last of an index.
+
+    Each item is read by itself, so one that isn't as it should be costs no other.
+    """
+    items = F.coalesce(F.try_variant_get(F.try_parse_json(object_in(answer)), "$.items", "array<variant>"), F.array().cast("array<variant>"))
+    objects = F.filter(items, lambda x: F.coalesce(F.schema_of_variant(x).startswith("OBJECT"), F.lit(False)))
+    read = F.transform(
+        objects,
+        lambda x: F.struct(
+            _number(F.try_variant_get(x, "$.index", "variant")).alias("index"),
+            clean_highlight(first_of(F.try_variant_get(x, "$.highlight", "string"), F.try_variant_get(x, "$.one_sentence_summary", "string"))).alias("highlight"),
+        ),
     )
-    return F.filter(kept, lambda x: x["index"].isNotNull() & (x["highlight"] != "") & has_cjk(x["highlight"]))
+    kept = F.filter(read, lambda x: x["index"].isNotNull() & (x["highlight"] != "") & has_cjk(x["highlight"]))
+    last = lambda x, i: ~F.exists(F.slice(kept, i + 2, F.greatest(F.size(kept) - i - 1, F.lit(0))), lambda y: y["index"] == x["index"])
+    return F.filter(kept, last)
 
 
 def poster_elements(answer: Column) -> Column:

@@ -8,10 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from strataloom.functions.jsonx import ELEMENTS
-from strataloom.functions.text import stripped, text_or_empty
+from strataloom.functions.text import first_of, stripped, text_or_empty
 
 # Limits of prompts, and the mark of a cut context.
-DEEP_MOST, ABSTRACT_MOST, WEEKLY_MOST, CLASSIFY_MOST = 40000, 6000, 500, 600
+DEEP_MOST, ABSTRACT_MOST, WEEKLY_MOST = 40000, 6000, 500
 CUT_MARK = "\n\n[内容过长已截断]"
 # Fixed value: the weekly analysis prompt.
 WEEKLY = """请对以下文献进行分析，生成一段 2~3 句、≤100 字的中文解读，突出核心创新点、最强结论与研究意义。
@@ -66,9 +66,22 @@ def poster_lines(elements: Column) -> Column:
     return F.array_join(F.array_compact(F.array(*lines)), "\n")
 
 
+def _quoted(c: Column) -> Column:
+    """A string as JSON has it."""
+    return F.regexp_replace(F.to_json(F.struct(c.alias("a"))), r'^\{"a":|\}$', "")
+
+
 def items_json(items: Column) -> Column:
-    """An ordered array of structs as JSON, for a batch prompt."""
-    return F.to_json(items)
+    """An array of structs (title, title_en, abstract) as JSON for a batch prompt: numbered from 1, the title or else the English one."""
+    one = lambda x, i: F.concat(
+        F.lit('{"index": '), (i + 1).cast("string"), F.lit(', "title": '), _quoted(stripped(first_of(x["title"], x["title_en"]))), F.lit(', "abstract": '), _quoted(stripped(text_or_empty(x["abstract"]))), F.lit("}")
+    )
+    return F.concat(F.lit("["), F.array_join(F.transform(items, one), ", "), F.lit("]"))
+
+
+def batch_prompt(template: str, items: Column) -> Column:
+    """The template with ${items} replaced by the items' JSON."""
+    return F.replace(F.lit(template), F.lit("${items}"), items_json(items))
 
 
 def poster_prompt(template: str, title: Column, text: Column, language: str = "中文", most: int = DEEP_MOST) -> Column:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataloom.functions.prompts import filled
 from strataloom.functions.text import clean_highlight, cut, first_of, has_cjk, is_degraded, stripped, text_or_empty
 
 OTHER = "其他"
@@ -15,6 +16,10 @@ OTHER = "其他"
 TAXONOMY = {"磁性·自旋电子学": ["altermagnet", "spintronic"], "AI×物理": ["neural network"], "AI×化学·材料": ["machine learning"]}
 # Methods that a direction note names.
 METHODS = {"graph neural network": "图神经网络", "machine learning": "机器学习", "molecular dynamics": "分子动力学", "ferroelectric": "铁电"}
+# Words of the topics that are followed, and the question that a model classifies by.
+TOPICS = ["ferroelectric", "ferromagnetic", "multiferroic", "piezoelectric", "antiferroelectric", "antiferromagnetic", "magnetoelectric", "polarization", "magnetization", "domain wall", "skyrmion", "铁电", "铁磁", "多铁", "压电", "反铁电", "反铁磁", "磁电", "极化", "磁化", "畴壁", "斯格明子"]
+CLASSIFY = "把下面这篇论文归入且仅归入这些类别之一（只输出类别名，不要解释）：$names、其他。\n标题：$title\n摘要：$text"
+CLASSIFY_MOST = 600
 NO_ABSTRACT = {"method_point": "仅有元数据，无法确认具体方法。", "related_work": "仅有元数据，不作强结论。", "implication": "待阅读原文后判断。"}
 
 
@@ -34,6 +39,16 @@ def keyword_filter(df: DataFrame, text: Column, words: Sequence[str]) -> DataFra
     return df.where(any_of(F.lower(text), [w.lower() for w in words]))
 
 
+def on_topic(items: DataFrame, text: Column, topics: Sequence[str] = TOPICS) -> DataFrame:
+    """The items whose text has a word of the followed topics."""
+    return keyword_filter(items, text, topics)
+
+
+def relevant(judged: Column) -> Column:
+    """A model's judgement; what it couldn't judge stays."""
+    return F.coalesce(judged.cast("boolean"), F.lit(True))
+
+
 def named_in(answer: Column, names: Sequence[str]) -> Column:
     """The longest of the names that an answer contains (ties by name), else OTHER."""
     ordered = sorted({*names, OTHER}, key=lambda n: (-len(n), n))
@@ -46,6 +61,14 @@ def classify(text: Column, answer: Column, rules: Mapping[str, Sequence[str]] =
     return F.when(rule != OTHER, rule).otherwise(named_in(answer, list(rules)))
 
 
+def classify_requests(items: DataFrame, rules: Mapping[str, Sequence[str]] = TAXONOMY) -> DataFrame:
+    """The items (title, summary, abstract) that no rule decides, with the `prompt` that asks a model: only they cost a call."""
+    text = F.concat_ws(" ", "title", "summary", "abstract")
+    open_ = items.where(first_match(F.lower(text), rules, OTHER) == OTHER)
+    said = F.substring(first_of(F.col("summary"), F.col("abstract")), 1, CLASSIFY_MOST)
+    return open_.withColumn("prompt", filled(CLASSIFY, names=F.lit("、".join(rules)), title=F.col("title"), text=said))
+
+
 def needs_highlight(summary: Column, abstract_zh: Column, abstract: Column) -> Column:
     return (clean_highlight(summary) == "") & (stripped(text_or_empty(abstract_zh)) == "") & (stripped(text_or_empty(abstract)) != "")
 

@@ -9,10 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataloom.functions.text import first_of
+from strataloom.operators.enrich import first_match
 
 # Titles of the feeds and charts.
 SITE_TITLE, DAILY_TITLE, NO_DATA = "文献追踪系统", "AI × Science 文献日报 RSS", "暂无数据"
 ARXIV, JOURNAL = "arXiv", "期刊"
+TOPIC_CHART, SOURCE_CHART, PRIORITY_CHART = "研究方向分布", "来源分布", "优先分组"
+# The groups of a daily report, with sample words of each, and the group of the rest.
+PRIORITY = {"神经网络势·电子结构": ["neural network potential", "electronic structure"], "AI × 物理/材料/化学": ["machine learning", "deep learning", "neural network"]}
+REST = "其他物理/材料"
 
 
 def feed_rows(articles: DataFrame) -> DataFrame:
@@ -37,6 +42,11 @@ def daily_feed_xml(site: str, date: str, rows: Iterable[dict]) -> str:
     return feed_xml(f"{date} {DAILY_TITLE}", f"{site}/daily/{date}.html", f"{site}/daily/{date}.xml", rows)
 
 
+def site_feed_xml(site: str, rows: Iterable[dict]) -> str:
+    """The whole site's feed."""
+    return feed_xml(SITE_TITLE, site, f"{site}/feed.xml", rows)
+
+
 def source_kind(source: Column, arxiv: Column | None = None) -> Column:
     return F.when(arxiv if arxiv is not None else F.lower(source).contains("arxiv"), ARXIV).otherwise(JOURNAL)
 
@@ -45,6 +55,22 @@ def counts(items: DataFrame, kind: Column) -> DataFrame:
     return items.groupBy(kind.alias("kind")).agg(F.count("*").alias("n"))
 
 
+def topic_counts(items: DataFrame) -> DataFrame:
+    """How many items each category has: the taxonomy's, else the topic's."""
+    return counts(items, F.coalesce(F.nullif("classify_taxonomy", F.lit("")), F.nullif("topic_bucket", F.lit("")), F.lit("其他")))
+
+
+def priority_counts(items: DataFrame, rules: dict[str, list[str]] = PRIORITY, rest: str = REST) -> DataFrame:
+    """How many items each group of the daily report has, by the words of the title."""
+    return counts(items, first_match(F.lower("title"), rules, rest))
+
+
+def charts(items: DataFrame) -> dict[str, str]:
+    """The three charts of a day's items (title, journal, classify_taxonomy, topic_bucket), by name: each is drawn from a few counts."""
+    drawn = lambda title, df: bars_svg(title, sorted(((r["kind"], r["n"]) for r in df.collect()), key=lambda x: (-x[1], x[0])))
+    return {"topics": drawn(TOPIC_CHART, topic_counts(items)), "sources": drawn(SOURCE_CHART, counts(items, source_kind(F.col("journal")))), "priority": drawn(PRIORITY_CHART, priority_counts(items))}
+
+
 def feed_health(health: DataFrame) -> DataFrame:
     """How many feeds there are and how many have a problem."""
     broken = F.coalesce(F.col("problem") != "", F.lit(False))

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataloom.functions.links import normalize_link
+from strataloom.functions.html import exact_html_to_text
+from strataloom.functions.links import arxiv_id, normalize_link
+from strataloom.functions.pdf import pdf_text
 
 LEAST_CHARS, MOST_CHARS = 4000, 40000
+# Where an arXiv paper's full text is, in the order of trying.
+HTML, AR5IV, PDF = "https://arxiv.org/html/", "https://ar5iv.org/abs/", "https://arxiv.org/pdf/"
 
 
 def dedupe_by(df: DataFrame, key: Column | str, *order: Column | str) -> DataFrame:
@@ -38,8 +42,28 @@ def full_text(candidates: list[tuple[Column, str]], least: int = LEAST_CHARS, mo
     return out
 
 
+def fetched(items: DataFrame, pages: DataFrame, files: DataFrame, link: str = "link", *, least: int = LEAST_CHARS, most: int = MOST_CHARS) -> DataFrame:
+    """Adds body and mode: the full text of the arXiv paper that an item's link names, from landed answers.
+
+    pages (url, body) and files (url, content) are what sources.landed reads: one row for a url that was answered. HTML comes first, then its
+    mirror, then the PDF; a text of less than `least` characters doesn't count. Links of other places have empty texts.
+    """
+    paper = arxiv_id(F.col(link))
+    named = items.withColumn("_paper", F.nullif(paper, F.lit("")))
+    told = lambda of, kind, what: of.select(F.col("url").alias(f"_url_{kind}"), F.col(what).alias(f"_{kind}"))
+    out = named
+    for kind, at, of, what in (("html", HTML, pages, "body"), ("mirror", AR5IV, pages, "body"), ("pdf", PDF, files, "content")):
+        out = out.join(told(of, kind, what), F.concat(F.lit(at), F.col("_paper")) == F.col(f"_url_{kind}"), "left").drop(f"_url_{kind}")
+    texts = out.withColumn("_html", exact_html_to_text(F.col("_html"))).withColumn("_mirror", exact_html_to_text(F.col("_mirror"))).withColumn("_pdf", pdf_text(F.col("_pdf")))
+    found = texts.withColumn("_found", full_text([(F.col("_html"), "html"), (F.col("_mirror"), "html"), (F.col("_pdf"), "pdf")], least, most))
+    return found.withColumn("body", F.col("_found.text")).withColumn("mode", F.col("_found.mode")).drop("_paper", "_html", "_mirror", "_pdf", "_found")
+
+
 def answered(requests: DataFrame, responses: DataFrame, daily: DataFrame, today: Column, default: str) -> DataFrame:
-    """Each request's content: its own response by id, else the day's by date, else the default."""
-    own = responses.select("id", F.col("content").alias("own"))
-    day = daily.where(F.col("date") == today).select(F.col("content").alias("day")).limit(1)  # one object at most
+    """Each request's content: its own response by id, else the day's by date, else the default.
+
+    Of several responses with an id, and of several of a day, the least content counts, so a request returns once.
+    """
+    own = responses.groupBy("id").agg(F.min("content").alias("own"))
+    day = daily.where(F.col("date") == today).agg(F.min("content").alias("day"))  # one row
     return requests.join(own, "id", "left").join(F.broadcast(day), how="left", on=F.lit(True)).withColumn("content", F.coalesce("own", "day", F.lit(default))).drop("own", "day")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from strataloom import session
 from strataloom.functions import authors, html, jsonx, links, prompts, text
-from strataloom.operators import breaker, calendar, enrich, feeds, quality, records
+from strataloom.operators import breaker, calendar, enrich, feeds, pages, posters, quality, records
 from strataloom.sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,8 +51,8 @@ URL = """concat(url, CASE page_id % 6 WHEN 0 THEN '/feed.xml' WHEN 1 THEN '/data
 SUMMARY = """CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN concat('  ', substring(text, 1, 300), '  ') WHEN 2 THEN concat(substring(text, 1, 30), '摘要信息不足') WHEN 3 THEN NULL ELSE concat('亮点', substring(text, 1, 40)) END"""
 AUTHORS = """CASE doc_id % 8 WHEN 0 THEN 'Alice Smith, Bob Jones, and Carol King' WHEN 1 THEN 'A. One; B. Two & C. Three, Jr.' WHEN 2 THEN '' WHEN 3 THEN 'Li Wei (MIT), Ana Sol https://ror.org/x, y'
  WHEN 4 THEN concat('Author', cast(doc_id AS STRING), ' and  Other  Name') WHEN 5 THEN 'A, B, C, D, E, F, G, H' WHEN 6 THEN ';;' ELSE concat('Team ', source, ', PhD') END"""
-ANNOUNCED = """concat(CASE doc_id % 4 WHEN 0 THEN 'arXiv:2608.28719v1 Announce Type: replace-cross Abstract: ' WHEN 1 THEN 'arXiv:2604.20821v3 发布类型：替换 摘要：' WHEN 2 THEN 'Nature Electronics, Published online: 14 September 2026; doi:10.1/x ' ELSE 'arXiv 数据集 ' END, substring(text, 1, 80))"""
-LATEX = """concat(CASE doc_id % 4 WHEN 0 THEN '$\\\\omega$ and $\\\\lambda \\\\leq 5$ ' WHEN 1 THEN '$\\\\rho$, \\\\chi 4\\\\times10 ' WHEN 2 THEN '\\\\ss and \\\\o and \\\\AA and \\\\L ' ELSE 'Mn$_2$Ru$_{1-x}$Ga 10^10 50\\\\% ' END, source)""".replace("\\\\", "\\")
+ANNOUNCED = """concat(CASE doc_id % 4 WHEN 0 THEN 'arXiv:2608.28719v1 Announce Type: replace-cross Abstract: ' WHEN 1 THEN 'arXiv:2604.20821v3 发布类型：替换 摘要：' WHEN 2 THEN 'Nature Electronics, Published online: 14 September 2026; doi:10.1/x ' ELSE 'arXiv 数据集 ' END, text)"""
+LATEX = """concat(CASE doc_id % 4 WHEN 0 THEN '$\\\\omega$ and $\\\\lambda \\\\leq 5$ ' WHEN 1 THEN '$\\\\rho$, \\\\chi 4\\\\times10 ' WHEN 2 THEN '\\\\ss and \\\\o and \\\\AA and \\\\L ' ELSE 'Mn$_2$Ru$_{1-x}$Ga 10^10 50\\\\% ' END, source, ' ', text)""".replace("\\\\", "\\")
 ITEM = f"""SELECT doc_id, source, text AS abstract, {SUMMARY} AS one_sentence_summary, CASE WHEN doc_id % 4 = 0 THEN '中文摘要' ELSE '' END AS abstract_zh FROM documents"""
 KEYWORDS = ["tion", "heit"]
 GROUPS = {"神经网络势·电子结构": ["idiot", "enden"], "AI × 物理/材料/化学": ["queeau", "ación", "theand"]}
@@ -135,11 +135,13 @@ def route_network_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.withColumn("network_first", links.is_network_first(F.col("path")))
 
 
-@query("""WITH p AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'POST' ELSE 'GET' END AS method, regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) AS o FROM pages)
- SELECT o AS origin, count(*) AS n FROM p WHERE method = 'GET' GROUP BY 1""")
+OWN = "https://blog.tionsh.example.net"
+
+
+@query(f"""SELECT page_id, url FROM pages WHERE page_id % 3 <> 0 AND regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) = '{OWN}'""")
 def request_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = read(spark, sf_dir, "pages").withColumn("method", both("CASE WHEN page_id % 3 = 0 THEN 'POST' ELSE 'GET' END")).withColumn("origin", links.origin(F.col("url")))
-    return p.where((F.col("method") == "GET") & (F.col("origin") == links.origin(F.col("url")))).groupBy("origin").agg(F.count("*").alias("n"))
+    p = read(spark, sf_dir, "pages").withColumn("method", both("CASE WHEN page_id % 3 = 0 THEN 'POST' ELSE 'GET' END"))
+    return p.where(links.is_guarded(F.col("method"), F.col("url"), OWN)).select("page_id", "url")
 
 
 @query("SELECT 'cache-' || source AS name, count(*) AS n FROM documents WHERE source NOT IN ('src1', 'src2') GROUP BY 1")
@@ -155,14 +157,14 @@ def chat_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages").select("page_id", links.chat_url(base).alias("chat_url"))
 
 
-_ID = "substring(md5(substring(text, 1, 60) || coalesce(nullif(doi, ''), link, '')), 1, 12)"
+_ID = "substring(md5(text || coalesce(nullif(doi, ''), link, '')), 1, 12)"
 _DOI = "CASE WHEN doc_id % 3 = 0 THEN concat('10.1/', source) ELSE '' END"
 
 
 @query(duck(f"WITH d AS (SELECT doc_id, text, {_DOI} AS doi, {LINK} AS link FROM documents) SELECT doc_id, {_ID} AS article_id FROM d"))
 def article_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = documents(spark, sf_dir, doi=_DOI, link=LINK)
-    return d.select("doc_id", links.article_id(F.substring("text", 1, 60), F.col("doi"), F.col("link")).alias("article_id"))
+    return d.select("doc_id", links.article_id(F.col("text"), F.col("doi"), F.col("link")).alias("article_id"))
 
 
 @query("SELECT md5(text) AS id, min(doc_id) AS doc_id, arg_min(source, doc_id) AS source FROM documents GROUP BY 1")
@@ -236,16 +238,24 @@ def latex_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir, l=LATEX).select("doc_id", text.formula_marks(text.latex_wrappers(text.latex_commands(F.col("l")))).alias("title"))
 
 
-@query(duck("""SELECT doc_id, replace(replace(replace('Schr"odinger caf''e Fran{c}ois {v}tefan ', '"o', 'ö'), '''e', 'é'), 'n{c}o', 'nço') || source AS name FROM documents""").replace("{v}t", "Št"))
+@query("""SELECT doc_id, nfc_normalize(replace(replace(replace(replace(replace('Schr\\"odinger caf\\''e Fran\\c{c}ois \\v{S}tefan ', '\\"o', 'ö'), '\\''e', 'é'), '\\c{c}', 'ç'), '\\v{S}', 'Š'), '$', '') || replace(text, '$', '')) AS name FROM documents""")
 def text_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accents, mojibake and normal form C together: the UDF runs after built-ins have done the rest."""
-    raw = F.concat(F.lit('Schr\\"odinger caf\\\'e Fran\\c{c}ois \\v{S}tefan '), "source")
+    raw = F.concat(F.lit('Schr\\"odinger caf\\\'e Fran\\c{c}ois \\v{S}tefan '), "text")
     return read(spark, sf_dir, "documents").select("doc_id", text.normalized(raw).alias("name"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'è½¨' ELSE source END AS raw, CASE WHEN doc_id % 2 = 0 THEN '轨' ELSE source END AS fixed, doc_id % 2 = 0 AS damaged FROM documents")
+_BYTES = "list_transform(range(0, octet_length(encode(t))), lambda i: cast('0x' || substring(hex(encode(t)), 2 * i + 1, 2) AS INTEGER))"
+
+
+@query(f"""WITH d AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source || ' 轨道' ELSE text END AS t FROM documents), r AS (SELECT doc_id, t, CASE WHEN doc_id % 2 = 0 THEN array_to_string(list_transform({_BYTES}, lambda b: chr(b)), '') ELSE t END AS raw FROM d),
+ f AS (SELECT *, regexp_matches(raw, '[\\x{{c2}}-\\x{{f4}}][\\x{{80}}-\\x{{bf}}]') AS suspect FROM r)
+ SELECT doc_id, raw, CASE WHEN suspect AND regexp_full_match(raw, '[\\x{{0}}-\\x{{ff}}]*') THEN coalesce(try(decode(from_hex(array_to_string(list_transform(string_split(raw, ''), lambda c: lpad(to_hex(unicode(c)), 2, '0')), '')))), raw) ELSE raw END AS fixed,
+ suspect OR regexp_matches(raw, '\\\\["''`^~=.a-zA-Z&%$_#]|\\$[^$]+\\$') AS damaged FROM f""")
 def mojibake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = documents(spark, sf_dir, raw="CASE WHEN doc_id % 2 = 0 THEN 'è½¨' ELSE source END")
+    """UTF-8 read as Latin-1, by the platform's own conversion, and whole texts that were read well."""
+    damaged = F.decode(F.encode(F.concat("source", F.lit(" 轨道")), "UTF-8"), "ISO-8859-1")
+    d = read(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, damaged).otherwise(F.col("text")).alias("raw"))
     return d.select("doc_id", "raw", text.undone_mojibake(F.col("raw")).alias("fixed"), text.is_damaged(F.col("raw")).alias("damaged"))
 
 
@@ -254,8 +264,8 @@ def _html_sql() -> str:
     for tag in html.SKIPPED:
         c = f"regexp_replace({c}, '(?is)<{tag}\\b[^>]*>.*?</{tag}\\s*>', ' ', 'g')"
     c = f"regexp_replace({c}, '(?s)<[^>]*>', ' ', 'g')"
-    for name, sign in html.ENTITIES.items():
-        c = f"replace({c}, '{name}', '{sign.replace(chr(39), chr(39) * 2)}')"
+    for name in ("lt", "gt", "quot", "nbsp", "copy", "middot", "amp"):  # all that the pages have; the ampersand last, as it may begin another's name
+        c = f"replace({c}, '&{name};', '{html.ENTITIES[name]}')"
     return f"trim(regexp_replace({c}, '[\\s\\x{{00a0}}]+', ' ', 'g'))"
 
 
@@ -272,30 +282,39 @@ def html_to_text_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- authors (X6-X9, F5, A7) --------------------------------------------------------------------------------
 
 
-@query(duck("""SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'Alice Smith|Bob Jones|Carol King' WHEN 1 THEN 'A. One|B. Two|C. Three, Jr.' WHEN 2 THEN '' WHEN 3 THEN 'Li Wei|Ana Sol' WHEN 4 THEN 'Author' || doc_id || '|Other Name'
- WHEN 5 THEN 'A|B|C|D|E|F|G|H' WHEN 6 THEN ';;' ELSE 'Team ' || source || ', PhD' END AS names FROM documents"""))
+_TIDY = r"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '^\s+|\s+$', '', 'g'), '(?i)^(?:and|&)\s+', ''), '^[ ,;]+|[ ,;]+$', '', 'g'), '\s+', ' ', 'g'))"
+#: A list's names: its string is split, tidied, and a suffix rejoins the name before it. Names stand between bars.
+_NAMES = rf"""WITH d AS (SELECT doc_id, trim(regexp_replace({AUTHORS.replace("STRING", "VARCHAR")}, '\s+', ' ', 'g')) AS a FROM documents),
+ p AS (SELECT doc_id, a, list_filter(list_transform(regexp_split_to_array(regexp_replace(regexp_replace(a, '(?is)https?://.*$', ' ', 'g'), '\([^)]*\)', ' ', 'g'), '\s*[;,]\s*|\s+and\s+|\s*&\s*'), lambda x: {_TIDY}), lambda x: regexp_matches(x, '[\pL\pN_]')) AS parts FROM d),
+ n AS (SELECT doc_id, CASE WHEN len(parts) > 0 THEN list_reduce(parts, lambda y, x: y || CASE WHEN regexp_matches(x, '{authors.SUFFIX}') THEN ', ' ELSE '|' END || x) ELSE a END AS names FROM p)"""
+
+
+@query(f"{_NAMES} SELECT doc_id, names FROM n")
 def author_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir, a=AUTHORS).select("doc_id", F.array_join(authors.split_names(text.compacted(F.col("a"))), "|").alias("names"))
 
 
-@query(duck("""SELECT doc_id, CASE doc_id % 8 WHEN 0 THEN 'Alice Smith, Bob Jones, Carol King' WHEN 1 THEN 'A. One, B. Two, C. Three, Jr.' WHEN 2 THEN '' WHEN 3 THEN 'Li Wei, Ana Sol' WHEN 4 THEN 'Author' || doc_id || ', Other Name'
- WHEN 5 THEN 'A, B, C, D, E, F 等8位作者' WHEN 6 THEN ';;' ELSE 'Team ' || source || ', PhD' END AS label FROM documents"""))
+@query(f"{_NAMES}, l AS (SELECT doc_id, CASE WHEN names = '' THEN [] ELSE string_split(names, '|') END AS names FROM n) SELECT doc_id, array_to_string(names[1:6], ', ') || CASE WHEN len(names) > 6 THEN ' 等' || len(names) || '位作者' ELSE '' END AS label FROM l")
 def authors_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = documents(spark, sf_dir, a=AUTHORS)
     return d.select("doc_id", authors.authors_label(authors.author_names(F.array("a"))).alias("label"))
 
 
-@query("""WITH c AS (SELECT doc_id, string_split(substring(source || lang, 1, CASE WHEN doc_id % 2 = 0 THEN 20 ELSE 5 END), '') AS s FROM documents)
- SELECT doc_id, length(array_to_string(s, '')) >= 8 AS stream FROM c""")
+_CHARACTERS = """CASE doc_id % 3 WHEN 0 THEN split(concat(source, ' ', lang), '') WHEN 1 THEN split(concat(source, ' and ', lang, ' and x y z a b c d'), ' ') ELSE array(source, 'a', 'b', 'c', 'd', 'e', 'f', 'g', '', lang) END"""
+
+
+@query(f"""WITH c AS (SELECT doc_id, list_filter({_CHARACTERS.replace("split(", "string_split(").replace("array(", "list_value(")}, lambda x: x <> '') AS s FROM documents)
+ SELECT doc_id, len(s) >= 8 AND len(list_filter(s, lambda x: length(trim(x)) <= 1)) / len(s) >= 0.85 AS stream FROM c""")
 def char_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = documents(spark, sf_dir, s="substring(concat(source, lang), 1, CASE WHEN doc_id % 2 = 0 THEN 20 ELSE 5 END)")
-    return d.select("doc_id", authors.is_character_stream(F.split("s", "")).alias("stream"))
+    return read(spark, sf_dir, "documents").select("doc_id", authors.is_character_stream(both(_CHARACTERS)).alias("stream"))
+
 
+_LISTED = """CASE doc_id % 6 WHEN 0 THEN concat('["A. One", "', source, '"]') WHEN 1 THEN concat('plain ', source) WHEN 2 THEN '[not a list' WHEN 3 THEN concat('[', chr(39), lang, chr(39), ', "O', chr(39), 'Brien", 7]') WHEN 4 THEN '[]' ELSE concat(' [ ', chr(39), 'x, y', chr(39), ' , ', chr(39), source, chr(39), ', ] ') END"""
 
-@query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'A. One, ' || source WHEN 1 THEN 'plain ' || source ELSE '[not a list' END AS authors FROM documents")
+
+@query(f"""SELECT doc_id, CASE WHEN regexp_full_match(r, '\\s*\\[\\s*((''[^'']*''|"[^"]*"|[0-9]+)\\s*,?\\s*)*\\]\\s*') THEN array_to_string(list_transform(regexp_extract_all(r, '''[^'']*''|"[^"]*"|[0-9]+'), lambda x: CASE WHEN x[1] IN ('''', '"') THEN x[2:length(x) - 1] ELSE x END), ', ') ELSE r END AS authors FROM (SELECT doc_id, {_LISTED} AS r FROM documents)""")
 def listed_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = both("CASE doc_id % 3 WHEN 0 THEN concat('[\"A. One\", \"', source, '\"]') WHEN 1 THEN concat('plain ', source) ELSE '[not a list' END")
-    return read(spark, sf_dir, "documents").select("doc_id", authors.listed_authors(raw).alias("authors"))
+    return documents(spark, sf_dir, r=_LISTED).select("doc_id", authors.listed_authors(F.col("r")).alias("authors"))
 
 
 # --- filters and joins (F1, F7-F9, N5, N6) ---------------------------------------------------------------------
@@ -318,6 +337,14 @@ def venue_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.excluded(read(spark, sf_dir, "documents").select("doc_id", "source"), "source", names)
 
 
+_TITLE = "concat(source, CASE doc_id % 7 WHEN 0 THEN ' Ferroelectric switching' WHEN 1 THEN ' of domain walls' WHEN 2 THEN ' 斯格明子' ELSE ' and lines' END)"
+
+
+@query(f"SELECT doc_id, title FROM (SELECT doc_id, {_TITLE} AS title FROM documents) WHERE {' OR '.join(f"contains(lower(title), '{w}')" for w in enrich.TOPICS)}")
+def topic_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich.on_topic(documents(spark, sf_dir, title=_TITLE).select("doc_id", "title"), F.col("title"))
+
+
 # --- classification and enrichment (E1-E6, O1, U1, T5) -----------------------------------------------------------
 
 _ANSWER = "CASE doc_id % 4 WHEN 0 THEN concat('类别：', 'AI × 物理/材料/化学', '。') WHEN 1 THEN '神经网络势·电子结构' WHEN 2 THEN '不知道' ELSE NULL END"
@@ -334,6 +361,13 @@ def classify_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", enrich.classify(F.col("text"), F.col("answer"), GROUPS).alias("category"))
 
 
+@query(f"""SELECT doc_id, '把下面这篇论文归入且仅归入这些类别之一（只输出类别名，不要解释）：{"、".join(GROUPS)}、其他。' || chr(10) || '标题：' || source || chr(10) || '摘要：' || substring(text, 1, 600) AS prompt FROM documents WHERE {_groups_sql("source || '  ' || text")} = '{REST}'""")
+def classify_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only what no rule decides is asked; the model gets the first 600 characters."""
+    d = read(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("title"), F.lit("").alias("summary"), F.col("text").alias("abstract"))
+    return enrich.classify_requests(d, GROUPS).select("doc_id", "prompt")
+
+
 @query(duck(f"SELECT doc_id, source FROM ({_clean_sql('one_sentence_summary', 'h', ITEM)}) WHERE h = '' AND abstract_zh = '' AND regexp_replace(abstract, '\\s', '', 'g') <> ''"))
 def highlight_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = documents(spark, sf_dir, s=SUMMARY, zh="CASE WHEN doc_id % 4 = 0 THEN '中文摘要' ELSE '' END")
@@ -354,10 +388,22 @@ def direction_note(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", enrich.direction_note(F.col("text"), {"idiot": "A", "stupid": "B"}).alias("note"))
 
 
-@query("""SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN '仅有元数据，无法确认具体方法。' ELSE '方法：一般方法' END AS method_point, CASE WHEN doc_id % 2 = 0 THEN source ELSE '短文' END AS summary FROM documents""")
+_ABSTRACT = "CASE doc_id % 3 WHEN 0 THEN ' ' WHEN 1 THEN text ELSE concat('Machine Learning and molecular dynamics. ', text) END"
+_SAID = "CASE doc_id % 4 WHEN 0 THEN '摘要信息不足' WHEN 1 THEN '' WHEN 2 THEN NULL ELSE source END"
+_METHODS = f"coalesce(nullif(array_to_string(list_filter([{', '.join(f"CASE WHEN contains(lower(title_en || ' ' || abstract), '{k}') THEN '{v}' END" for k, v in enrich.METHODS.items())}], lambda x: x IS NOT NULL), '、'), ''), '一般方法')"
+
+
+def _relation_sql() -> str:
+    said = {"method_point": "方法：", "related_work": "相关方向：", "implication": "启示："}
+    fields = ", ".join(f"CASE WHEN bare THEN '{enrich.NO_ABSTRACT[k]}' ELSE '{v}' || methods END AS {k}" for k, v in said.items())
+    return f"""WITH d AS (SELECT doc_id, lang || ' ferroelectric' AS title_en, {_ABSTRACT} AS abstract, {_SAID} AS s FROM documents), m AS (SELECT *, {_METHODS} AS methods, regexp_matches(abstract, '^\\s*$') AS bare, regexp_replace(abstract, '^\\s+|\\s+$', '', 'g') AS a FROM d)
+ SELECT doc_id, {fields}, coalesce(nullif(CASE WHEN contains(s, '摘要信息不足') THEN '' ELSE s END, ''), nullif(CASE WHEN length(a) > 200 THEN regexp_replace(substring(a, 1, 200), '\\s+$', '') || '…' ELSE a END, ''), title_en) AS summary FROM m"""
+
+
+@query(_relation_sql())
 def relation_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = documents(spark, sf_dir, title_en="source", abstract="CASE WHEN doc_id % 2 = 0 THEN '' ELSE '短文' END", abstract_zh="''", summary="'摘要信息不足'", method_point="''", related_work="''", implication="''")
-    return enrich.relation_fields(d).select("doc_id", "method_point", "summary")
+    d = documents(spark, sf_dir, title_en="concat(lang, ' ferroelectric')", abstract=_ABSTRACT, abstract_zh="''", summary=_SAID, method_point="''", related_work="''", implication="''")
+    return enrich.relation_fields(d).select("doc_id", "method_point", "related_work", "implication", "summary")
 
 
 # --- full texts and answers (E8, F14, S7, N3, J1-J5) ------------------------------------------------------------------
@@ -371,6 +417,23 @@ def fulltext_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(p, "doc_id", "left").select("doc_id", found.alias("f")).select("doc_id", F.col("f.text").alias("body"), F.col("f.mode").alias("mode"))
 
 
+_PAPER = "concat('2601.', cast(10000 + doc_id % 80000 AS STRING))"
+#: Landed answers: a third of the papers as HTML, a third by the mirror (every other one too short), the others not at all.
+_LANDED = "CASE doc_id % 3 WHEN 0 THEN concat('https://arxiv.org/html/', {paper}) WHEN 1 THEN concat('https://ar5iv.org/abs/', {paper}) END"
+
+
+@query(duck(f"""WITH d AS (SELECT doc_id, text, {_PAPER} AS paper, CASE WHEN doc_id % 5 = 0 THEN 'https://doi.org/10.1/x' ELSE 'https://arxiv.org/abs/' || {_PAPER} || 'v1' END AS link FROM documents),
+ p AS (SELECT paper, doc_id % 3 AS kind, trim(regexp_replace(replace(replace(replace(text, '&', ' '), '<', ' '), '>', ' '), '[ \\t]+', ' ', 'g')) AS body FROM d WHERE doc_id % 3 < 2), f AS (SELECT d.doc_id, coalesce(max(CASE WHEN kind = 0 AND length(body) >= 400 THEN body END), max(CASE WHEN kind = 1 AND length(body) >= 400 THEN body END)) AS body FROM d JOIN p ON d.paper = p.paper WHERE d.doc_id % 5 <> 0 GROUP BY 1)
+ SELECT d.doc_id, coalesce(substring(f.body, 1, 4000), '') AS body, CASE WHEN f.body IS NULL THEN '' ELSE 'html' END AS mode FROM d LEFT JOIN f ON d.doc_id = f.doc_id"""))
+def fulltext_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a link to the paper's full text among landed answers. Their bodies are made of the documents' texts."""
+    d = documents(spark, sf_dir, paper=_PAPER, link=f"CASE WHEN doc_id % 5 = 0 THEN 'https://doi.org/10.1/x' ELSE concat('https://arxiv.org/abs/', {_PAPER}, 'v1') END", url=_LANDED.format(paper=_PAPER))
+    body = F.concat(F.lit("<html><script>no</script><p>"), F.translate("text", "&<>", "   "), F.lit("</p></html>"))
+    landed = d.where("url IS NOT NULL").select("url", body.alias("body"))
+    files = spark.createDataFrame([], "url string, content binary")
+    return records.fetched(d.select("doc_id", "link"), landed, files, least=400, most=4000).select("doc_id", "body", "mode")
+
+
 @query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'own ' || event_id WHEN cast(ts AS DATE) = DATE '2024-01-02' THEN 'day' ELSE 'default' END AS content FROM events")
 def dated_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("today"), both("CASE WHEN event_id % 3 = 0 THEN concat('own ', event_id) END").alias("own"))
@@ -378,44 +441,56 @@ def dated_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.when(chosen == jsonx.DEFAULT_ANSWER, "default").otherwise(chosen).alias("content"))
 
 
-_REPLY = """concat('答案 {"items": [{"index": 1, "highlight": "亮点', cast(event_id AS STRING), '"}, {"index": "x", "highlight": "坏"}, {"index": 2, "highlight": "english"}, {"index": "3", "one_sentence_summary": " 三 "}]} 完')"""
+_REPLY = """concat('答案 {"items": [5, {"index": 1, "highlight": "旧"}, {"index": ', cast(event_id % 3 AS STRING), ', "highlight": "亮点', event_type, '"}, {"index": "x", "highlight": "坏"}, {"index": 2.7, "highlight": "', CASE WHEN event_id % 2 = 0 THEN 'english' ELSE '数' END, '"}, null, "文", {"highlight": "无"}, [1], {"index": "3", "one_sentence_summary": " 三 "}, {"index": 4, "highlight": "", "one_sentence_summary": "含摘要信息不足"}]} 完')"""
 
 
-@query("SELECT event_id, i AS index, CASE i WHEN 1 THEN '亮点' || event_id ELSE '三' END AS highlight FROM events, (SELECT unnest([1, 3])::INTEGER AS i)")
+@query(duck(f"""WITH r AS (SELECT event_id, regexp_extract({_REPLY}, '(?s)\\{{.*\\}}') AS j FROM events), i AS (SELECT event_id, unnest(json_extract(j, '$.items[*]')) AS x, unnest(range(len(json_extract(j, '$.items[*]')))) AS nth FROM r),
+ e AS (SELECT event_id, nth, CASE WHEN json_type(x, '$.index') IN ('UBIGINT', 'BIGINT', 'DOUBLE') THEN cast(trunc(cast(x->>'$.index' AS DOUBLE)) AS INTEGER) WHEN regexp_full_match(x->>'$.index', '\\s*[+-]?[0-9]{{1,9}}\\s*') THEN cast(trim(x->>'$.index') AS INTEGER) END AS index,
+  trim(coalesce(nullif(x->>'$.highlight', ''), x->>'$.one_sentence_summary', '')) AS h FROM i WHERE json_type(x) = 'OBJECT')
+ SELECT event_id, index, arg_max(h, nth) AS highlight FROM e WHERE index IS NOT NULL AND regexp_matches(h, '[\\x{{4e00}}-\\x{{9fff}}]') AND NOT contains(h, '摘要信息不足') GROUP BY 1, 2"""))
 def json_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events").select("event_id", F.explode(jsonx.highlight_items(both(_REPLY))).alias("x"))
-    # The last of an index wins.
-    return e.groupBy("event_id", F.col("x.index").alias("index")).agg(F.max_by("x.highlight", "x.position").alias("highlight"))
+    """The last of an index wins, within the answer itself: nothing is shuffled."""
+    return read(spark, sf_dir, "events").select("event_id", F.inline(jsonx.highlight_items(both(_REPLY))))
+
 
+_ELEMENTS = """concat('x {"研究问题": "', event_type, '", "创新方法": "", "工作流程": " w ", "关键结果": ', CASE WHEN event_id % 3 = 0 THEN '12' ELSE '""' END, ', ', CASE WHEN event_id % 2 = 0 THEN '"应用价值": "", ' ELSE '' END, '"title_zh": "题', cast(event_id AS STRING), '"', CASE WHEN event_id % 5 = 0 THEN '' ELSE '}' END)"""
+_KEYS = [f"""j->>'$."{k}"'""" for k in jsonx.ELEMENTS]
 
-@query("SELECT event_id, event_id % 2 = 0 AS whole, CASE WHEN event_id % 2 = 0 THEN '题' || event_id END AS title_zh, CASE WHEN event_id % 2 = 0 THEN '1. 研究问题：q\n3. 工作流程：w' END AS lines FROM events")
+
+@query(duck(f"""WITH r AS (SELECT event_id, try_cast(nullif(regexp_extract({_ELEMENTS}, '(?s)\\{{.*\\}}'), '') AS JSON) AS j FROM events), w AS (SELECT event_id, j, coalesce({' AND '.join(f"({k}) IS NOT NULL" for k in _KEYS)}, false) AS whole FROM r)
+ SELECT event_id, whole, CASE WHEN whole THEN coalesce(j->>'$.title_zh', '') END AS title_zh, CASE WHEN whole THEN array_to_string(list_filter([{', '.join(f"CASE WHEN trim({k}) <> '' THEN '{i}. {name}：' || trim({k}) END" for i, (name, k) in enumerate(zip(jsonx.ELEMENTS, _KEYS), 1))}], lambda x: x IS NOT NULL), chr(10)) END AS lines FROM w"""))
 def json_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = both("""concat('{"研究问题": "q", "创新方法": "", "工作流程": " w ", "关键结果": "", ', CASE WHEN event_id % 2 = 0 THEN '"应用价值": "", ' ELSE '' END, '"title_zh": "题', event_id, '"}')""")
-    e = read(spark, sf_dir, "events").select("event_id", jsonx.poster_elements(raw).alias("p"))
+    e = read(spark, sf_dir, "events").select("event_id", jsonx.poster_elements(both(_ELEMENTS)).alias("p"))
     return e.select("event_id", F.col("p").isNotNull().alias("whole"), F.col("p.title_zh").alias("title_zh"), F.when(F.col("p").isNotNull(), prompts.poster_lines(F.col("p.elements"))).alias("lines"))
 
 
-@query("SELECT event_id, '总览' || event_id AS overview, cast(2 AS INTEGER) AS n FROM events")
+_LENIENT = """concat('```json', chr(10), '{"overview": "总览', event_type, '", "summaries": [{"index": ', cast(event_id AS STRING), '}', chr(10), CASE WHEN event_id % 2 = 0 THEN '{"index": 2,}' ELSE '' END, '],}', chr(10), '```')"""
+
+
+@query(duck(f"""WITH r AS (SELECT event_id, cast(regexp_extract(regexp_replace(regexp_replace(regexp_replace({_LENIENT}, '(?m)^\\s*```[a-zA-Z]*\\s*$', '', 'g'), '\\}}(\\s*)\\{{', '}},\\1{{', 'g'), ',(\\s*[}}\\]])', '\\1', 'g'), '(?s)\\{{.*\\}}') AS JSON) AS j FROM events)
+ SELECT event_id, j->>'$.overview' AS overview, cast(json_array_length(j, '$.summaries') AS INTEGER) AS n, cast(j->>'$.summaries[0].index' AS INTEGER) AS first_index FROM r"""))
 def json_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = F.concat(F.lit('```json\n{"overview": "总览'), F.col("event_id").cast("string"), F.lit('", "summaries": [{"index": 1}\n{"index": 2,}],}\n```'))
-    e = read(spark, sf_dir, "events").select("event_id", jsonx.answer(raw).alias("a"))
-    return e.select("event_id", F.col("a.overview").alias("overview"), F.size("a.summaries").alias("n"))
+    e = read(spark, sf_dir, "events").select("event_id", jsonx.answer(both(_LENIENT)).alias("a"))
+    return e.select("event_id", F.col("a.overview").alias("overview"), F.size("a.summaries").alias("n"), F.element_at("a.summaries", 1)["index"].alias("first_index"))
 
 
-@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'own' WHEN 3 THEN 'none' ELSE 'day' END AS content FROM (SELECT event_id FROM events)")
+@query(f"""WITH q AS (SELECT event_id AS id, cast(ts AS DATE) AS day FROM events), own AS (SELECT p_partkey AS id, p_name AS content FROM part UNION ALL SELECT p_partkey, p_type FROM part WHERE p_partkey % 2 = 0),
+ daily AS (SELECT cast(ts AS DATE) AS date, event_type AS content FROM events WHERE event_type <> 'view' AND event_id % 7 = 0)
+ SELECT q.id AS event_id, coalesce((SELECT min(content) FROM own WHERE own.id = q.id), (SELECT min(content) FROM daily WHERE daily.date = DATE '2024-01-02'), 'none') AS content FROM q""")
 def answered_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events").select(F.col("event_id").alias("id"))
-    own = e.where("id % 4 = 0").select("id", F.lit("own").alias("content"))
-    daily = spark.createDataFrame([("2026-03-27", "day"), ("2026-03-26", "old")], "date string, content string")
-    today = records.answered(e.where("id % 4 <> 3"), own, daily, F.lit("2026-03-27"), "none")
-    other = records.answered(e.where("id % 4 = 3"), own, daily, F.lit("2026-03-28"), "none")
-    return today.unionByName(other).withColumnRenamed("id", "event_id")
+    e, p = read(spark, sf_dir, "events"), read(spark, sf_dir, "part")
+    own = p.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("content")).unionByName(p.where("p_partkey % 2 = 0").select(F.col("p_partkey").alias("id"), F.col("p_type").alias("content")))
+    daily = e.where("event_type <> 'view' AND event_id % 7 = 0").select(F.to_date("ts").alias("date"), F.col("event_type").alias("content"))
+    return records.answered(e.select(F.col("event_id").alias("id")), own, daily, F.lit("2024-01-02").cast("date"), "none").withColumnRenamed("id", "event_id")
 
 
-@query("SELECT event_id, CASE event_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END::INTEGER AS n, CASE event_id % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' END AS first_title FROM events")
+_SUMMARIES = """concat('{', CASE WHEN event_id % 3 = 0 THEN concat('"full_list": [{"title": "', event_type, '"}], ') ELSE '' END, CASE WHEN event_id % 3 < 2 THEN concat('"summaries": [{"title": "b', cast(event_id AS STRING), '"}, {"title": "c"}], ') ELSE '' END, '"overview": "o"}')"""
+
+
+@query(duck(f"""WITH r AS (SELECT event_id, cast({_SUMMARIES} AS JSON) AS j FROM events), l AS (SELECT event_id, coalesce(j->'$.full_list', j->'$.summaries') AS i FROM r)
+ SELECT event_id, cast(coalesce(json_array_length(i), 0) AS INTEGER) AS n, i->>'$[0].title' AS first_title FROM l"""))
 def listed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = both("""CASE event_id % 3 WHEN 0 THEN '{"full_list": [{"title": "a"}], "summaries": [{"title": "x"}]}' WHEN 1 THEN '{"summaries": [{"title": "b"}, {"title": "c"}]}' ELSE '{}' END""")
-    e = read(spark, sf_dir, "events").select("event_id", jsonx.listed_items(raw).alias("i"))
+    e = read(spark, sf_dir, "events").select("event_id", jsonx.listed_items(both(_SUMMARIES)).alias("i"))
     return e.select("event_id", F.size("i").alias("n"), F.get("i", F.lit(0))["title"].alias("first_title"))
 
 
@@ -519,10 +594,44 @@ def article_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.expr("try_cast(d AS date)").alias("day"), F.nullif(F.expr("try_cast(d AS date)"), F.lit("1900-01-01").cast("date")).alias("real_day"))
 
 
-@query("WITH m AS (SELECT cast(ts AS DATE) AS day, count(*) AS total FROM events GROUP BY 1), p AS (SELECT DISTINCT cast(o_orderdate AS DATE) AS day FROM orders) SELECT m.day, total FROM m JOIN p ON m.day = p.day")
+@query("""WITH m AS (SELECT cast(ts AS DATE) AS day, count(*) AS total FROM events GROUP BY 1), p AS (SELECT DISTINCT cast(ts AS DATE) AS day, cast(ts AS DATE) || '.html' AS file FROM events WHERE event_type = 'error' AND day(ts) % 3 <> 0)
+ SELECT m.day, total, file FROM m JOIN p ON m.day = p.day""")
 def manifest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = read(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("total"))
-    return m.join(read(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).distinct(), "day")
+    """The days of the manifest that have a page file."""
+    e = read(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    files = e.where((F.col("event_type") == "error") & (F.dayofmonth("day") % 3 != 0)).select("day").distinct().withColumn("file", F.concat(F.col("day").cast("string"), F.lit(".html")))
+    return e.groupBy("day").agg(F.count("*").alias("total")).join(files, "day")
+
+
+# --- pages (K5, K6, T6) ------------------------------------------------------------------------------------------------------------
+
+
+def _pages_sql(key: str, label: str, words: dict[str, str]) -> str:
+    """The pages of days or weeks. The query enhances them twice: a second run changes nothing."""
+    nav = lambda place: f"""'{pages.BEGIN}<nav class="{words["name"]}-enhancement-{place}-nav">' || coalesce('<a href="' || pk || '.html">{words["previous"]} · ' || pl || '</a>', '') || coalesce('<a href="' || nk || '.html">{words["next"]} · ' || nl || '</a>', '') || '<a href="{pages.FEED}">{words["feed"]}</a></nav>'"""
+    return f"""WITH e AS (SELECT cast({key} AS DATE) AS page, event_id, event_type, value FROM events), r AS (SELECT *, row_number() OVER (PARTITION BY page ORDER BY value DESC, event_id) AS nth FROM e), t AS (SELECT * FROM r WHERE nth <= 4),
+ l AS (SELECT page, string_agg('<article id="paper-' || nth || '" data-section="' || event_type || '"><h3><a href="https://x.org/?a=1&amp;b=' || event_id || '">&lt;' || event_id || '&gt;</a></h3><p>arXiv · A, B &amp; C</p><p></p></article>', '' ORDER BY nth) AS body,
+  string_agg('<a class="{words["outline"]} {words["title"]}" href="#paper-' || nth || '">{pages.PLACE} ' || nth || '</a>', '' ORDER BY nth) AS entries FROM t GROUP BY 1),
+ k AS (SELECT *, {label} AS label FROM l), n AS (SELECT *, lag(page) OVER w AS pk, lag(label) OVER w AS pl, lead(page) OVER w AS nk, lead(label) OVER w AS nl FROM k WINDOW w AS (ORDER BY page))
+ SELECT page, '<html><body>' || {nav("top")} || '<aside class="{words["toc"]}"><h2>{pages.CONTENTS}</h2><p>{pages.SECTION}</p>' || entries || '</aside>{pages.END}' || '<h1>' || page || '</h1><section><p>o &quot;q&quot;</p><p></p></section><main id="papers">' || body || '</main>' || {nav("bottom")} || '{pages.END}</body></html>' AS html FROM n"""
+
+
+def _pages(spark: SparkSession, sf_dir: str, key: Column, label: Column, words: dict[str, str]) -> DataFrame:
+    top = calendar.top_of_each(read(spark, sf_dir, "events").select(key.alias("page"), "event_id", "event_type", "value"), "page", 4, F.desc("value"), "event_id")
+    number = F.col("event_id").cast("string")
+    items = top.select("page", F.col("rank").alias("ordinal"), F.lit("").alias("title_zh"), F.concat(F.lit("<"), number, F.lit(">")).alias("title_en"), F.lit(None).cast("string").alias("summary"), F.concat(F.lit("https://x.org/?a=1&b="), number).alias("link"), F.lit("arXiv").alias("journal"), F.array(F.lit("A"), F.lit("B & C")).alias("authors"), F.col("event_type").alias("section"))
+    made = pages.pages(items.select("page").distinct().select("page", F.lit('o "q"').alias("overview"), F.lit("").alias("trends")), items, "page")
+    return pages.enhanced(pages.enhanced(made, "page", label, words), "page", label, words)
+
+
+@query(_pages_sql("ts", "cast(page AS VARCHAR)", pages.DAILY))
+def daily_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pages(spark, sf_dir, F.to_date("ts"), F.col("page").cast("string"), pages.DAILY)
+
+
+@query(_pages_sql("date_trunc('week', ts)", "page || ' → ' || cast(page + INTERVAL 6 DAY AS DATE)", pages.WEEKLY))
+def weekly_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pages(spark, sf_dir, calendar.week_start(F.col("ts")), calendar.week_label(F.col("page")), pages.WEEKLY)
 
 
 # --- feeds (K3, K4, A10, F15) ----------------------------------------------------------------------------------------------------
@@ -570,15 +679,15 @@ def breaker_cooldown(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT event_id, coalesce(CASE event_id % 3 WHEN 0 THEN true WHEN 1 THEN false END, true) AS keep FROM events")
 def relevance_fail_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = both("CASE event_id % 3 WHEN 0 THEN true WHEN 1 THEN false END")
-    return read(spark, sf_dir, "events").select("event_id", F.coalesce(judged, F.lit(True)).alias("keep"))
+    return read(spark, sf_dir, "events").select("event_id", enrich.relevant(judged).alias("keep"))
 
 
 # --- prompts (X10-X16, K1) ----------------------------------------------------------------------------------------------------------------
 
 
-@query("SELECT doc_id, '标题 ' || source || ' 作者 ' || lang || ' 年 2026 未知 $unknown 正文 ' || CASE WHEN length(text) > 4000 THEN substring(text, 1, 4000) || '\n\n[内容过长已截断]' ELSE text END || ' 摘要 $abstract' AS prompt FROM documents")
+@query("SELECT doc_id, '标题 ' || source || ' 作者 ' || lang || ' 年 2026 未知 $unknown 正文 ' || CASE WHEN length(text) > 40000 THEN substring(text, 1, 40000) || '\n\n[内容过长已截断]' ELSE text END || ' 摘要 $abstract' AS prompt FROM documents")
 def prompt_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prompt = prompts.deep_prompt(TEMPLATE, F.col("source"), F.col("lang"), F.lit("2026"), F.col("text"), most=4000)
+    prompt = prompts.deep_prompt(TEMPLATE, F.col("source"), F.col("lang"), F.lit("2026"), F.col("text"))
     return read(spark, sf_dir, "documents").select("doc_id", prompt.alias("prompt"))
 
 
@@ -592,19 +701,35 @@ def prompt_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", prompts.weekly_prompt(F.col("lang"), F.col("source"), F.col("text")).alias("prompt"))
 
 
-@query("""SELECT source, '[' || string_agg('{"index":' || i || ',"title":"' || lang || '"}', ',' ORDER BY i) || ']' AS items FROM (SELECT source, lang, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents) WHERE i <= 20 GROUP BY 1""")
+@query("""SELECT source, '高亮 [' || string_agg('{"index": ' || i || ', "title": ' || cast(to_json(CASE WHEN i % 2 = 0 THEN lang || ' "t"' ELSE source END) AS VARCHAR) || ', "abstract": ' || cast(to_json(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS VARCHAR) || '}', ', ' ORDER BY i) || '] $x' AS prompt FROM (SELECT source, lang, text, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents) WHERE i <= 20 GROUP BY 1""")
 def prompt_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch prompt takes a source's first 20 items: a bounded list."""
-    top = calendar.top_of_each(read(spark, sf_dir, "documents").select("doc_id", "source", "lang"), "source", 20, "doc_id")
-    return top.groupBy("source").agg(prompts.items_json(F.array_sort(F.collect_list(F.struct(F.col("rank").alias("index"), F.col("lang").alias("title"))))).alias("items"))
+    top = calendar.top_of_each(read(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"), "source", 20, "doc_id")
+    item = F.struct("rank", F.when(F.col("rank") % 2 == 0, F.concat("lang", F.lit(' "t" '))).otherwise("").alias("title"), F.col("source").alias("title_en"), F.col("text").alias("abstract"))
+    return top.groupBy("source").agg(prompts.batch_prompt("高亮 ${items} $x", F.array_sort(F.collect_list(item))).alias("prompt"))
 
 
-@query("SELECT doc_id, '语言 中文 标题 ' || source || ' 正文 ' || substring(text, 1, 3000) AS prompt FROM documents")
+@query("SELECT doc_id, '语言 中文 标题 ' || source || ' 正文 ' || substring(text, 1, 40000) AS prompt FROM documents")
 def prompt_poster(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prompt = prompts.poster_prompt("语言 $language 标题 $title 正文 $context", F.col("source"), F.col("text"), most=3000)
+    prompt = prompts.poster_prompt("语言 $language 标题 $title 正文 $context", F.col("source"), F.col("text"))
     return read(spark, sf_dir, "documents").select("doc_id", prompt.alias("prompt"))
 
 
+_POSTER = """concat('{"研究问题": "', source, '", "创新方法": "m", "工作流程": "", "关键结果": "r", ', CASE WHEN doc_id % 3 = 0 THEN '' ELSE '"应用价值": "v", ' END, '"title_zh": "题"}')"""
+
+
+@query(duck(f"""WITH d AS (SELECT doc_id, source, cast({_POSTER} AS JSON) AS j FROM documents WHERE length(text) > 0)
+ SELECT cast(doc_id AS VARCHAR) AS doc_id, '题' AS title_zh, j->>'$."研究问题"' AS question, CASE WHEN doc_id % 2 = 0 THEN 'images/posters/' || doc_id || '.webp' END AS image FROM d WHERE (j->>'$."应用价值"') IS NOT NULL"""))
+def poster_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From papers and landed answers to the posters' rows; every other picture was made."""
+    d = documents(spark, sf_dir, answer=_POSTER).withColumn("title", F.col("source")).withColumn("paper_id", F.lit(""))
+    asked = posters.element_requests(d, "t $title c $context", F.col("text"))
+    found = posters.extracted(asked.drop("answer"), d.select("doc_id", "answer"), "doc_id")
+    saved = posters.image_requests(found, "p ${summaryForImage}").where("doc_id % 2 = 0").select("path")
+    out = posters.posters(found, saved)
+    return out.select("doc_id", "title_zh", F.col("elements")["研究问题"].alias("question"), "image")
+
+
 @query("SELECT doc_id, '图 1. 研究问题：' || source || chr(10) || '5. 应用价值：v 题 ' || lang AS prompt FROM documents")
 def prompt_infographic(spark: SparkSession, sf_dir: str) -> DataFrame:
     elements = F.create_map(F.lit("研究问题"), "source", F.lit("创新方法"), F.lit(" "), F.lit("应用价值"), F.lit(" v"))

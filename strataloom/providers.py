@@ -10,7 +10,8 @@ from typing import Protocol
 from strataloom.functions.links import LOCAL_PROVIDER
 from strataloom.operators.breaker import LIMIT, Breaker
 
-COOLDOWN = "AI_BREAKER_COOLDOWN"
+# Settings from the environment.
+COOLDOWN, BASE_URL = "AI_BREAKER_COOLDOWN", "AI_BASE_URL"
 
 
 class Provider(Protocol):
@@ -39,6 +40,24 @@ def build(name: str | None, **options) -> Provider:
     return factory(**options)
 
 
+class Compatible:
+    """An endpoint of the common chat protocol. `send(url, headers, body)` does the network's part and returns the answer's text."""
+
+    def __init__(self, api_key: str = "", model: str | None = None, base_url: str | None = None, send: Callable[[str, dict, dict], str] | None = None):
+        base = (base_url if base_url is not None else os.environ.get(BASE_URL, "")).rstrip("/")
+        self.base_url = base if base.endswith("/chat/completions") else f"{base}/chat/completions"
+        self.api_key, self.model, self._send = api_key, model, send
+
+    def call_api(self, prompt: str) -> str:
+        if self._send is None:
+            raise Unavailable("no transport")
+        body = {"model": self.model, "messages": [{"role": "user", "content": prompt}]}
+        return self._send(self.base_url, {"Authorization": f"Bearer {self.api_key}"}, body)
+
+
+register("aigw", Compatible)
+
+
 def reset() -> None:
     """Closes the process's breaker."""
     _STATE.streak, _STATE.opened = 0, None
