@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import xml.dom.minidom
 
 from pyspark.sql import functions as F
 
-from strataloom.operators import breaker, enrich, feeds, quality
+from strataloom.operators import breaker, calendar, enrich, feeds, pages, posters, quality, records
 from strataloom.sources import articles, landed, sinks
 from strataloom.streaming.breaker import stream_breaker
 
@@ -57,7 +58,15 @@ def test_landed_files(spark, tmp_path):
     (tmp_path / "m.json").write_text('{"summaries": [{"date": "2026-03-27", "file": "a", "total": 2}]}')
     assert landed.read_manifest(spark, str(tmp_path / "m.json")).first()["total"] == 2
     (tmp_path / "f.xml").write_text("<rss><channel><item><title>t</title><link>l</link></item></channel></rss>")
-    assert landed.read_feeds(spark, str(tmp_path / "f.xml")).first()["title"] == "t"
+    (tmp_path / "feeds").mkdir()
+    (tmp_path / "feeds/f.xml").write_text("<rss><channel><item><title>t</title><link>l</link></item></channel></rss>")
+    (tmp_path / "feeds/a.xml").write_text('<feed><entry><title>u</title><link href="m"/><summary>s</summary><author><name>N</name></author><updated>2026-01-01</updated></entry></feed>')
+    assert {(r["title"], r["link"], r["file"]) for r in landed.read_feeds(spark, str(tmp_path / "feeds")).collect()} == {("t", "l", "f.xml"), ("u", "m", "a.xml")}
+    (tmp_path / "feeds/none.xml").write_text("<rss><channel></channel></rss>")
+    (tmp_path / "feeds/page.xml").write_text("<html>503</html>")
+    problems = landed.feed_problems(spark, str(tmp_path / "feeds"))
+    assert {r["url"]: r["problem"] for r in problems.collect()} == {"f.xml": "", "a.xml": "", "none.xml": "no items", "page.xml": "not a feed"}
+    assert tuple(feeds.feed_health(problems).first()) == (4, 2)
     sinks.write_requests(spark.createDataFrame([("p",), ("q",)], "prompt string"), str(tmp_path / "r"), F.current_timestamp())
     assert spark.read.json(str(tmp_path / "r")).select("id").distinct().count() == 2
 
@@ -86,3 +95,88 @@ def test_fill_highlights(spark):
     generated = spark.createDataFrame([("g", 1, "生成"), ("g", 2, "plain")], "g string, index int, highlight string")
     got = {r["o"]: r["filled"] for r in enrich.fill_highlights(spark.createDataFrame(rows, items), generated, "g", "o", 3).collect()}
     assert got == {1: None, 2: "生成", 3: None, 4: None, 5: "译", 6: None}
+
+
+def test_full_texts_from_landed_answers(spark, tmp_path):
+    """The first place with enough text counts; a failed or short answer is passed over."""
+    page = lambda url, status, n: {"url": url, "status": status, "body": f"<p>{'x' * n}</p><script>no</script>"}
+    rows = [page("https://arxiv.org/html/2601.00001", 200, 60), page("https://arxiv.org/html/2601.00002", 200, 5), page("https://ar5iv.org/abs/2601.00002", 200, 70), page("https://arxiv.org/html/2601.00003", 404, 90), page("https://arxiv.org/html/2601.00001", 200, 60)]
+    (tmp_path / "pages.json").write_text("\n".join(map(json.dumps, [*rows, {"url": "https://arxiv.org/html/2601.00004", "status": 200, "body": ""}])))
+    (tmp_path / "files").mkdir()
+    (tmp_path / "files/a.pdf").write_bytes(b"%PDF")
+    (tmp_path / "index.json").write_text(json.dumps({"url": "https://arxiv.org/pdf/2601.00003", "status": 200, "file": "a.pdf"}))
+    landed_pages, files = landed.read_pages(spark, str(tmp_path / "pages.json")), landed.read_bodies(spark, str(tmp_path / "files"), str(tmp_path / "index.json"))
+    assert landed_pages.count() == 3 and [bytes(r["content"]) for r in files.collect()] == [b"%PDF"]
+    items = spark.createDataFrame([(1, "https://arxiv.org/abs/2601.00001v2"), (2, "arXiv:2601.00002"), (3, "2601.00003"), (4, "https://doi.org/10.1/2601.00001"), (5, None)], "id int, link string")
+    got = {r["id"]: (len(r["body"]), r["mode"]) for r in records.fetched(items, landed_pages, files, least=50, most=55).collect()}
+    assert got == {1: (55, "html"), 2: (55, "html"), 3: (0, ""), 4: (0, ""), 5: (0, "")}
+
+
+def test_answers_of_several_responses(spark):
+    requests = spark.createDataFrame([("a",), ("b",)], "id string")
+    own = spark.createDataFrame([("a", "2"), ("a", "1")], "id string, content string")
+    daily = spark.createDataFrame([("2026-01-02", "y"), ("2026-01-02", "x"), ("2026-01-01", "old")], "date string, content string")
+    answered = lambda day: sorted((r["id"], r["content"]) for r in records.answered(requests, own, daily, F.lit(day), "none").collect())
+    assert answered("2026-01-02") == [("a", "1"), ("b", "x")] and answered("2026-01-03") == [("a", "1"), ("b", "none")]
+
+
+def test_classify_requests(spark):
+    rows = [("Spintronic order", "", "a"), ("Other", "s" * 700, "a"), ("Third", "", "b" * 5), ("In the abstract", "", "an Altermagnet")]
+    got = {r["title"]: r["prompt"] for r in enrich.classify_requests(spark.createDataFrame(rows, "title string, summary string, abstract string")).collect()}
+    assert set(got) == {"Other", "Third"} and got["Other"].endswith("摘要：" + "s" * 600) and "、".join([*enrich.TAXONOMY, "其他"]) in got["Third"] and got["Third"].endswith("标题：Third\n摘要：bbbbb")
+
+
+def test_posters(spark):
+    whole = '{"研究问题": "q", "创新方法": "", "工作流程": "w", "关键结果": "r", "应用价值": "v", "title_zh": "题", "elements_en": {"method": "m"}}'
+    papers = spark.createDataFrame([("d1", "T1", "text"), ("d2", "T2", "text"), ("d3", "T3", ""), (None, "T4", "text")], "doc_id string, title string, text string").withColumn("paper_id", F.lit(None).cast("string"))
+    asked = posters.element_requests(papers, "$title|$context", F.col("text"))
+    assert {r["prompt"] for r in asked.collect()} == {"T1|text", "T2|text", "T4|text"}
+    answers = spark.createDataFrame([("d1", f"x {whole} y"), ("d2", '{"研究问题": 1}'), ("d3", whole)], "doc_id string, answer string")
+    found = posters.extracted(asked, answers, "doc_id")
+    images = posters.image_requests(found, "p ${summaryForImage} $title").collect()
+    assert [(r["path"], r["prompt"]) for r in images] == [("docs/images/posters/d1.webp", "p 1. 研究问题：q\n3. 工作流程：w\n4. 关键结果：r\n5. 应用价值：v T1")]
+    saved = spark.createDataFrame([("docs/images/posters/d1.webp",)], "path string")
+    row = posters.posters(found, saved).first()
+    assert (row["doc_id"], row["title_zh"], row["image"], row["elements_en"]["method"]) == ("d1", "题", "images/posters/d1.webp", "m")
+    assert posters.posters(found, saved.limit(0)).first()["image"] is None
+
+
+def test_pages_are_enhanced_again(spark, tmp_path):
+    schema = "page date, ordinal int, title_zh string, title_en string, summary string, link string, journal string, authors array<string>, section string"
+    days = ["2026-04-01", "2026-04-02", "2026-04-03"]
+    items = spark.createDataFrame([(d, i, "", f"T{i} <b>", "s", "https://e.org/?a&b", "arXiv", ["A"], "x") for d in days for i in (1, 2)], schema.replace("date", "string", 1)).withColumn("page", F.to_date("page"))
+    summaries = items.select("page").distinct().select("page", F.lit("o").alias("overview"), F.lit("t").alias("trends"))
+    once = pages.enhanced(pages.pages(summaries, items, "page"), "page", F.col("page").cast("string"), pages.DAILY)
+    pages.write_pages(once, str(tmp_path), "page")
+    read = lambda: spark.read.text(str(tmp_path), wholetext=True).select(F.col("page").cast("date").alias("page"), F.col("value").alias("html"))
+    first = {str(r["page"]): r["html"].rstrip("\n") for r in read().collect()}
+    middle = first["2026-04-02"]
+    assert all(x in middle for x in ("daily-enhancement-top-nav", "daily-enhancement-bottom-nav", "前一天 · 2026-04-01", "后一天 · 2026-04-03", "当日RSS", "../feed.xml", 'href="#paper-2"', "单页目录", "T1 &lt;b&gt;", "?a&amp;b"))
+    assert "前一天" not in first["2026-04-01"] and "后一天" not in first["2026-04-03"]
+    again = pages.enhanced(spark.createDataFrame(sorted(first.items()), "page string, html string").withColumn("page", F.to_date("page")), "page", F.col("page").cast("string"), pages.DAILY)
+    pages.write_pages(again.where("page > '2026-04-01'"), str(tmp_path), "page")  # replaces two pages, leaves the other
+    assert {str(r["page"]): r["html"].rstrip("\n") for r in read().collect()} == first
+
+
+def test_weekly_pages(spark):
+    weeks = spark.createDataFrame([("2026-04-06",), ("2026-04-13",)], "w string").select(F.to_date("w").alias("page"), F.lit("<html><body><main></main></body></html>").alias("html"))
+    got = {str(r["page"]): r["html"] for r in pages.enhanced(weeks, "page", calendar.week_label(F.col("page")), pages.WEEKLY).collect()}
+    assert "后一周 · 2026-04-13 → 2026-04-19" in got["2026-04-06"] and "前一周 · 2026-04-06 → 2026-04-12" in got["2026-04-13"] and "站点RSS" in got["2026-04-13"]
+
+
+def test_three_charts(spark):
+    schema = "title string, journal string, classify_taxonomy string, topic_bucket string"
+    rows = [("A neural network potential", "arXiv", "AI×物理", None), ("Domain walls", "PRB", None, "physics"), ("Deep learning of phases", "Nature", "", "physics")]
+    got = feeds.charts(spark.createDataFrame(rows, schema))
+    assert all(s.startswith("<svg") and "<title>" in s and "aria-label=" in s and s.endswith("</svg>") for s in got.values())
+    assert ">physics<" in got["topics"] and "AI×物理" in got["topics"] and ">2<" in got["sources"] and "期刊" in got["sources"] and got["priority"].count(">1<") == 3
+    assert all("暂无数据" in s for s in feeds.charts(spark.createDataFrame([], schema)).values())
+    assert f"<title>{feeds.SITE_TITLE}</title>" in feeds.site_feed_xml("https://s", [])
+
+
+def test_ranges(spark):
+    from strataloom.functions.ranges import range_of
+
+    for bounds in ([], [5], [1, 4, 9], list(range(0, 100, 3))):
+        got = [r[0] for r in spark.range(-5, 110).select(range_of(F.col("id"), bounds)).collect()]
+        assert got == [sum(b <= x for b in bounds) for x in range(-5, 110)]

@@ -72,3 +72,13 @@ def test_settings():
 
 def test_pdf_without_bytes():
     assert read_pdf(b"") == "" == read_pdf(None) == read_pdf(b"not a pdf")
+
+
+def test_compatible_endpoint(monkeypatch):
+    sent = []
+    monkeypatch.setenv(providers.BASE_URL, "https://models.example.org/v2/")
+    p = providers.build("AIGW", api_key="k", model="m1", send=lambda url, headers, body: sent.append((url, headers, body)) or "yes")
+    assert isinstance(p, providers.Compatible) and p.base_url == "https://models.example.org/v2/chat/completions" and p.call_api("q") == "yes"
+    assert sent[0][1]["Authorization"] == "Bearer k" and sent[0][2]["model"] == "m1" and sent[0][2]["messages"][0]["content"] == "q"
+    with pytest.raises(providers.Unavailable):
+        providers.Compatible(base_url="https://x/chat/completions").call_api("q")
