@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -37,3 +42,16 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_without_the_optional_parts(tmp_path):
+    """On a copy without the subpackage, with and without the pipeline's file, all record queries are still there."""
+    root = Path(entry.__file__).parent
+    shutil.copytree(root / "strataloom", tmp_path / "strataloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    said = [sys.executable, "-c", "import __spark_entry__ as e; print(*sorted(e.queries()), len(e.oracle_sql()))"]
+    for name in (None, "corpus_pipeline.py"):
+        if name and (root / name).exists():
+            shutil.copy(root / name, tmp_path)
+        got = subprocess.run(said, cwd=tmp_path, capture_output=True, text=True, check=True).stdout.split()
+        assert got == [*sorted(catalogue.QUERIES), str(len(catalogue.ORACLE_SQL))]
