@@ -96,6 +96,12 @@ def files_of(order: np.ndarray, size: np.ndarray, probed: int, least: int) -> li
     return [o[:k] for o, k in zip(order, n.tolist(), strict=True)]
 
 
+def chosen(ranks: list[int], gains: list[int], aim: float) -> tuple[int, int]:
+    """How many files to visit and how much an order must gain, so that each alone misses half of what may be missed of the surveyed neighbours."""
+    missed = (1 - aim) / 2
+    return 1 + int(np.quantile(ranks, 1 - missed, method="higher")), int(np.quantile(gains, missed, method="lower"))
+
+
 def _survey(shared, nearest: int, top: int, dim: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A partition's number of vectors in each file, and the nearest rows to each surveyed one: their distance, the place of their file in
     the surveyed row's order, and what their orders gain."""
@@ -227,8 +233,7 @@ def neighbours(vectors: DataFrame, *, every: int = 100, top: int = TOP, per_root
             size[r["key"]] = r["gain"]
         else:
             ranks.append(r["rank"]), gains.append(r["gain"])
-    missed = (1 - aim) / 2  # by either
-    probed, gain = 1 + int(np.quantile(ranks[1:] or ranks, 1 - missed, method="higher")), int(np.quantile(gains[1:] or gains, missed, method="lower"))
+    probed, gain = chosen(ranks[1:] or ranks, gains[1:] or gains, aim)
     keys = even_keys(partitions(spark))
     parts = np.maximum(1, -(-size // part))
     # A file's parts go to shards one after the other; files go round, the longest first, so that shards are about alike.
