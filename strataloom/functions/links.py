@@ -50,6 +50,21 @@ def is_network_first(path: Column) -> Column:
     return path.endswith(".json") | path.endswith(".xml") | path.contains("/data/") | page
 
 
+def served(path: Column, answered: Column, cached: Column) -> Column:
+    """Where a guarded request's answer comes from: `network`, `cache` or `error`.
+
+    What is fetched first falls to the cache where the network fails; other paths ask the cache first.
+    """
+    fresh = F.when(answered, "network").when(cached, "cache")
+    kept = F.when(cached, "cache").when(answered, "network")
+    return F.coalesce(F.when(is_network_first(path), fresh).otherwise(kept), F.lit("error"))
+
+
+def is_stored(path: Column, answered: Column, cached: Column) -> Column:
+    """Whether the answer is put into a cache: all that came well from the network."""
+    return F.coalesce(answered, F.lit(False)) & (served(path, answered, cached) == "network")
+
+
 def is_guarded(method: Column, url: Column, own: str) -> Column:
     """Requests that the cache serves at all: GET, same origin."""
     return (method == "GET") & (origin(url) == own)

@@ -106,6 +106,14 @@ def relation_fields(df: DataFrame) -> DataFrame:
     return df.withColumns(new)
 
 
+def profile_digest(profile: DataFrame) -> DataFrame:
+    """One line for each person of a profile (person, nth, direction, materials): the directions in order, each with its materials."""
+    of = F.when(F.coalesce(F.size("materials"), F.lit(0)) > 0, F.concat(F.lit("（"), F.array_join("materials", "、"), F.lit("）"))).otherwise("")
+    line = F.concat(F.col("direction"), of)
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("nth", line.alias("line")))), lambda x: x["line"]), "；")
+    return profile.groupBy("person").agg(F.concat(F.first("person"), F.lit("："), listed).alias("digest"))
+
+
 def direction_note(text: Column, methods: Mapping[str, str] = METHODS) -> Column:
     """The methods that a text names, joined; a general word where it names none."""
     found = F.array_compact(F.array(*[F.when(F.lower(text).contains(k), v) for k, v in methods.items()]))

@@ -34,6 +34,12 @@ def excluded(df: DataFrame, key: str, names: DataFrame) -> DataFrame:
     return df.join(names, key, "left_anti")
 
 
+def installed(assets: DataFrame, cached: DataFrame, current: list[str]) -> DataFrame:
+    """After an install and activation (cache, url): the current caches' entries, and the assets in the first of them."""
+    kept = cached.where(F.col("cache").isin(current)).select("cache", "url")
+    return kept.union(assets.select(F.lit(current[0]).alias("cache"), "url")).distinct()
+
+
 def full_text(candidates: list[tuple[Column, str]], least: int = LEAST_CHARS, most: int = MOST_CHARS) -> Column:
     """text and mode of the first candidate body of `least` characters or more, cut to `most`; empty where there is none."""
     out = F.struct(F.lit("").alias("text"), F.lit("").alias("mode"))

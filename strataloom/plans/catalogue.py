@@ -150,6 +150,33 @@ def cache_eviction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.where(~F.col("name").isin("cache-src1", "cache-src2")).groupBy("name").agg(F.count("*").alias("n"))
 
 
+_PATH = f"regexp_extract({URL}, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
+
+
+@query(f"""WITH p AS (SELECT page_id, {_PATH} AS path, CASE page_id % 4 WHEN 0 THEN true WHEN 1 THEN NULL ELSE page_id % 5 = 0 END AS answered, page_id % 3 = 0 AS cached FROM pages),
+ f AS (SELECT *, path LIKE '%.json' OR path LIKE '%.xml' OR contains(path, '/data/') OR ((contains(path, '/daily/') OR contains(path, '/weekly/')) AND path LIKE '%.html') AS first FROM p),
+ s AS (SELECT page_id, answered, CASE WHEN first AND answered THEN 'network' WHEN cached THEN 'cache' WHEN answered THEN 'network' ELSE 'error' END AS served FROM f) SELECT page_id, served, coalesce(answered, false) AND served = 'network' AS stored FROM s""")
+def served_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read(spark, sf_dir, "pages").select("page_id", links.url_path(both(URL)).alias("path"), both("CASE page_id % 4 WHEN 0 THEN true WHEN 1 THEN NULL ELSE page_id % 5 = 0 END").alias("answered"), (F.col("page_id") % 3 == 0).alias("cached"))
+    of = (F.col("path"), F.col("answered"), F.col("cached"))
+    return p.select("page_id", links.served(*of).alias("served"), links.is_stored(*of).alias("stored"))
+
+
+@query("""SELECT DISTINCT cache, url FROM (SELECT 'v' || page_id % 4 AS cache, url FROM pages UNION ALL SELECT 'v3', url FROM pages WHERE page_id % 10 = 0) WHERE cache IN ('v3', 'v1')""")
+def asset_install(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read(spark, sf_dir, "pages").select("page_id", "url", F.concat(F.lit("v"), (F.col("page_id") % 4).cast("string")).alias("cache"))
+    return records.installed(p.where("page_id % 10 = 0"), p, ["v3", "v1"])
+
+
+@query("""WITH rule AS (SELECT n_name AS person, r_regionkey AS nth, r_name AS direction, CASE WHEN r_regionkey % 2 = 0 THEN [r_name || 'O2', 'x'] ELSE [] END AS materials FROM nation, region WHERE (n_nationkey + r_regionkey) % 3 < 2)
+ SELECT person, person || '：' || string_agg(direction || CASE WHEN len(materials) > 0 THEN '（' || array_to_string(materials, '、') || '）' ELSE '' END, '；' ORDER BY nth) AS digest FROM rule GROUP BY 1""")
+def profile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, r = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
+    rows = n.join(r, (F.col("n_nationkey") + F.col("r_regionkey")) % 3 < 2)
+    materials = F.when(F.col("r_regionkey") % 2 == 0, F.array(F.concat("r_name", F.lit("O2")), F.lit("x"))).otherwise(F.array().cast("array<string>"))
+    return enrich.profile_digest(rows.select(F.col("n_name").alias("person"), F.col("r_regionkey").alias("nth"), F.col("r_name").alias("direction"), materials.alias("materials")))
+
+
 @query("""WITH p AS (SELECT page_id, rtrim(url || CASE page_id % 3 WHEN 0 THEN '/v1' WHEN 1 THEN '/v1//' ELSE '/chat/completions' END, '/') AS b FROM pages)
  SELECT page_id, CASE WHEN b LIKE '%/chat/completions' THEN b ELSE b || '/chat/completions' END AS chat_url FROM p""")
 def chat_url(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,11 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MANIFEST).json(path, multiLine=True).select(F.explode("summaries").alias("s")).select("s.*")
 
 
+def read_template(spark: SparkSession, path: str) -> str:
+    """A prompt's template: one small file, read to the driver."""
+    return spark.read.text(path, wholetext=True).first()["value"]
+
+
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RESPONSE).json(path, multiLine=True)
 
