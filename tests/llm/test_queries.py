@@ -97,14 +97,16 @@ def test_op1(spark, docs):
 def test_op2(spark, docs):
     got = queries.op2_fingerprints(spark, SF).orderBy("doc_id").collect()
     sets = lambda t: {tuple(t[i : i + 5]) for i in range(max(1, len(t) - 4))}
-    off = []
+    off, off_next = [], []
     for i, (r, (d, t)) in enumerate(zip(got, docs, strict=True)):
         after = docs[(i + 1) % len(docs)][1]
+        a, b = sets(WORD.findall(t)), sets(WORD.findall(after))
+        off_next.append(r["near_next"] - len(a & b) / len(a | b))
         changed = t[: len(t) - len(t) // 2] + after[: len(t) // 2]
         assert (r["doc_id"], r["n_chars"], r["edited_sha256"]) == (d, len(t), sha(changed))
         a, b = sets(WORD.findall(t)), sets(WORD.findall(changed))
         off.append(r["near_edited"] - len(a & b) / len(a | b))
-    assert np.std(off) < 0.05
+    assert np.std(off) < 0.05 and np.std(off_next) < 0.05 and abs(np.mean(off_next)) < 0.03
     same = defaultdict(set)
     for r, (_, t) in zip(got, docs, strict=True):
         same[t].add(r["fingerprint"])
