@@ -25,7 +25,7 @@ from strataloom.llm.tagger import BLANK, Tagger, symbols
 
 KINDS = ("email", "ip", "card", "phone")
 #: Windows begin every STRIDE characters and are decoded ROWS at a time.
-WINDOW, STRIDE, ROWS = 512, 448, 512
+WINDOW, STRIDE, ROWS = 512, 448, 768
 #: The model is fitted on so many windows at most, of TAUGHT characters, from documents of the least hash, read EPOCHS times.
 MOST_WINDOWS, TAUGHT, EPOCHS = 1536, 96, 8
 #: So many characters of each of these documents, from a place that its hash says, are sent to the task that fits.

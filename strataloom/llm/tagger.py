@@ -72,6 +72,34 @@ def _run(x: np.ndarray, into: np.ndarray, again: np.ndarray, keep: list | None =
     return out
 
 
+def _read(x: np.ndarray, into: np.ndarray, again: np.ndarray) -> np.ndarray:
+    """The states of _run(), as (time, hidden, row): laid out so that each gate is one block, which is half as dear."""
+    n, size = x.shape[1], again.shape[0]
+    table, turn = np.ascontiguousarray(into.T, np.float32), np.ascontiguousarray(again.T, np.float32)
+    z, more = np.empty((4 * size, n), np.float32), np.empty((4 * size, n), np.float32)
+    i, f, o, gates, new = z[:size], z[size : 2 * size], z[2 * size : 3 * size], z[: 3 * size], z[3 * size :]
+    c, h, room = np.zeros((size, n), np.float32), np.zeros((size, n), np.float32), np.empty((size, n), np.float32)
+    out = np.empty((len(x), size, n), np.float32)
+    for t, now in enumerate(x):
+        np.take(table, now, axis=1, out=z, mode="clip")
+        np.matmul(turn, h, out=more)
+        z += more
+        np.abs(z, out=more)
+        more += 1
+        z /= more
+        gates += 1  # twice what they are; halves follow
+        c *= f
+        new *= i
+        c += new
+        c *= 0.5
+        np.abs(c, out=room)
+        room += 1
+        h = np.divide(c, room, out=out[t])
+        h *= o
+        h *= 0.5
+    return out
+
+
 def _back(x: np.ndarray, grad: np.ndarray, again: np.ndarray, keep: list, into_shape: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
     """Gradients of _run()'s weights from those of its states."""
     d_into, d_again = np.zeros(into_shape, np.float32), np.zeros_like(again)
@@ -146,14 +174,12 @@ class Tagger:
 
     def _by_tag(self, x: np.ndarray) -> np.ndarray:
         """Scores (tag, time, row), as emissions() has them."""
-        s, n = x.T, x.size
-        f = _run(s, self.w["into_f"], self.w["again_f"]).reshape(n, -1)
-        half = f.shape[1]
-        out = self.w["out"].T[:, :half] @ f.T
-        b = _run(s[::-1], self.w["into_b"], self.w["again_b"])[::-1].reshape(n, -1)
-        out += self.w["out"].T[:, half:] @ b.T
-        out += self.w["bias"][:, None]
-        return out.reshape(-1, *s.shape)
+        s, out = x.T.astype(np.intp), self.w["out"].T.astype(np.float32)
+        half = out.shape[1] // 2
+        scores = np.matmul(out[:, :half], _read(s, self.w["into_f"], self.w["again_f"]))
+        scores += np.matmul(out[:, half:], _read(s[::-1], self.w["into_b"], self.w["again_b"])[::-1])
+        scores += self.w["bias"].astype(np.float32)[:, None]
+        return scores.transpose(1, 0, 2)
 
     def _promising(self, scores: np.ndarray, moves: np.ndarray) -> np.ndarray:
         """The rows whose best tags may be other than zeros; for the rest that is ruled out.
