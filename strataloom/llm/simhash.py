@@ -5,6 +5,7 @@ from __future__ import annotations
 import pickle
 from collections.abc import Callable, Iterator
 from itertools import combinations
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,8 @@ WIDTH, RADIUS, SEED = 3, 2, 42
 NEAR, NEAR_WIDTH, BINS, BAND = 0.8, 5, 256, 8
 #: A text of more bytes is read in blocks.
 LONG = 1 << 21
-#: Each round pairs a bucket's nodes with so many times as many heads as the one before.
-HEADS = 8
+#: Heads of a bucket in the second round. Shingles of so many sets are frequent; the table of them has so many at most.
+HEADS, OFTEN, MOST_OFTEN = 8, 16, 1 << 16
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LO, _HI = U64(0xFFFFFFFF), U64(0xFFFFFFFF00000000)
@@ -304,46 +305,83 @@ def _alike(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return of_partition
 
 
-def _connected(buckets: DataFrame, pairs: DataFrame, between: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]) -> DataFrame:
+def _spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each set."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(batch["shingles"].to_pylist()), np.int64))], ["shingle"])
+
+
+def prefix(shingles: np.ndarray, often: np.ndarray, similarity: float) -> np.ndarray:
+    """The shingles of which two sets share one if they resemble each other so much: the first in the order of rarity that all sets have in
+    common, so many that the rest is too few. `often` are the frequent ones, sorted, and behind all others."""
+    at = np.searchsorted(often["shingle"], shingles)
+    at[at == len(often)] = 0
+    rank = np.where(often["shingle"][at] == shingles, often["n"][at], 0) if len(often) else np.zeros(len(shingles), np.int64)
+    return shingles[np.lexsort((shingles, rank))][: len(shingles) - ceil(similarity * len(shingles) - 1e-9) + 1]
+
+
+def _prefixes(often: np.ndarray, similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(b, np.int64) for b in batch["shingles"].to_pylist()]
+            first = [prefix(x, often, similarity) if len(x) else x for x in sets]
+            at = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in first]))
+            size = pa.array([len(x) for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *first])), batch["node"].take(at), batch["group"].take(at), size.take(at)], ["shingle", "node", "group", "size"])
+
+    return of_partition
+
+
+def _by_prefix(sets: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (u, v) of nodes of different groups that may resemble each other, from (node, group, shingles): those whose prefixes meet.
+
+    Texts that have frequent passages in common, and else differ, have no rare shingle in common, and make no pair.
+    """
+    count = sets.select("shingles").mapInArrow(_spelled, "shingle long").groupBy("shingle").count().where(F.col("count") >= OFTEN)
+    rows = count.orderBy(F.desc("count"), "shingle").limit(MOST_OFTEN).collect()  # a bounded table
+    often = np.sort(np.array([tuple(r) for r in rows], [("shingle", np.int64), ("n", np.int64)]), order="shingle")
+    ends, at = stored(sets.mapInArrow(_prefixes(often, similarity), "shingle long, node long, group long, size long"), "prefixes")
+    a, b = (ends.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "group", "size")]) for side in "ab")
+    near = (F.col("a_node") > F.col("b_node")) & (F.col("a_group") != F.col("b_group")) & (F.least("a_size", "b_size") >= similarity * F.greatest("a_size", "b_size"))
+    return a.join(b, (a.shingle == b.shingle) & near).select(F.col("a_node").alias("u"), F.col("b_node").alias("v")).distinct()
+
+
+def _connected(buckets: DataFrame, pairs: DataFrame, between: Callable[[DataFrame], tuple[DataFrame, Callable[[DataFrame], DataFrame]]], similarity: float) -> DataFrame:
     """Stars (u, v) over all links found among the pairs (u, v) of nodes, and among nodes that share a bucket.
 
-    `between` gets the nodes that may be paired and returns what finds the links among pairs of them.
+    `between` gets the nodes that may be paired and returns their sets of shingles, and what finds the links among pairs of them.
 
-    In each round a bucket has heads, with which its other nodes are paired: one in the first, one in each of HEADS parts of the bucket in
-    the next, of HEADS times as many after that. What has been a head leaves the bucket, as it has met all others. Only nodes
-    that no link connects yet are paired, and a bucket whose nodes are all connected is done; so a group of copies costs a pair for
-    each, and no pair that could connect anything stays untested. Heads are those that meet most others in all their buckets: an
-    original comes before its copies. They are found by aggregation, so no task holds a whole bucket.
+    First the nodes of a bucket are paired with a head, then, those that no link connects yet, with a head of each of HEADS parts of the bucket; a
+    bucket whose nodes are all connected is done. So a group of copies costs a pair for each. Heads are those that meet most others in
+    all their buckets: an original comes before its copies; they are found by aggregation, so no task holds a whole bucket. The
+    nodes of the buckets that are left, which mostly are unlike, are paired where the rare ends of their sets meet, which is exact.
     """
     spark = buckets.sparkSession
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     full, at = stored(buckets.join(sizes, "bucket"), "buckets")
-    alike = between(full.select("node").union(pairs.select("u")).union(pairs.select("v")).distinct())
+    sets, alike = between(full.select("node").union(pairs.select("u")).union(pairs.select("v")).distinct())
     met = full.groupBy("node").agg(F.sum("n").alias("met"))
-    left, left_at = stored(full.join(met, "node").select("bucket", "node", "met"), "left")
+    left, left_at = stored(full.join(met, "node").select("bucket", "node", "met", F.col("node").alias("group")), "left")
     dropped(spark, at)
-    tried, links, link_at, parts = pairs.select("u", "v"), None, None, 1
-    while True:
-        best = left.groupBy("bucket", F.pmod(F.xxhash64("node", F.lit(parts)), F.lit(parts)).alias("part")).agg(F.max(F.struct("met", "node")).alias("k"))
-        heads, heads_at = stored(best.select("bucket", F.col("k.node").alias("head")), "heads")
-        met_ = left.join(heads, "bucket").where("node <> head")
-        if links is not None:
-            of = lambda n: links.select(F.col("u").alias(n), F.col("v").alias(f"of_{n}"))
-            met_ = met_.join(of("node"), "node", "left").join(of("head"), "head", "left").where(F.coalesce("of_node", "node") != F.coalesce("of_head", "head"))
-        tried = tried.union(met_.select(F.greatest("node", "head"), F.least("node", "head"))).distinct()
-        found = alike(tried)
+    links, link_at = None, None
+    for parts in (1, HEADS):
+        best = left.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(parts)).alias("part")).agg(F.max(F.struct("met", "node", "group")).alias("k"))
+        heads, heads_at = stored(best.select("bucket", F.col("k.node").alias("head"), F.col("k.group").alias("of")), "heads")
+        tried = left.join(heads, (left.bucket == heads.bucket) & (left.group != heads.of)).select(F.greatest("node", "head").alias("u"), F.least("node", "head").alias("v"))
+        found = alike((tried.union(pairs.select("u", "v")) if links is None else tried).distinct())
         more, more_at = stars(found if links is None else found.union(links.select("u", "v")))
-        rest = left.join(heads.withColumnRenamed("head", "node"), ["bucket", "node"], "left_anti").join(more, F.col("node") == more.u, "left").select("bucket", "node", "met", F.coalesce("v", "node").alias("group"))
+        rest = left.drop("group").join(heads.select("bucket", F.col("head").alias("node")), ["bucket", "node"], "left_anti")
+        rest = rest.join(more, F.col("node") == more.u, "left").select("bucket", "node", "met", F.coalesce("v", "node").alias("group"))
         split = rest.groupBy("bucket").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least < most").select("bucket")
-        now, now_at = stored(rest.drop("group").join(split, "bucket"), "left")
+        now, now_at = stored(rest.join(split, "bucket"), "left")
         for x in (left_at, heads_at, link_at):
             if x:
                 dropped(spark, x)
         left, left_at, links, link_at = now, now_at, more, more_at
         if left.isEmpty():
-            dropped(spark, left_at)
             return links
-        tried, parts = pairs.select("u", "v").limit(0), parts * HEADS
+    some = sets.join(left.select("node", "group").distinct(), "node").select("node", "group", "shingles")
+    return stars(alike(_by_prefix(some, similarity)).union(links.select("u", "v")))[0]
 
 
 def one_of_each(docs: DataFrame, *, width: int = NEAR_WIDTH, similarity: float = NEAR, radius: int = 3, carried: tuple[str, ...] = ()) -> DataFrame:
@@ -373,15 +411,15 @@ def one_of_each(docs: DataFrame, *, width: int = NEAR_WIDTH, similarity: float =
     # Joined on text and id together: a text that many rows share doesn't go to one task.
     pick = lambda id_: F.xxhash64(F.col("node"), F.coalesce(F.col(id_), F.lit(0)), F.col(id_).isNull())
 
-    def between(some: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    def between(some: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
         """By their whole sets of shingles, from the texts read again."""
         wanted = nodes.join(some, "node").select(pick("least").alias("pick"))
         texts = own.select("doc_id", "node", "text").withColumn("pick", pick("doc_id")).join(wanted, "pick").select("node", "text")
         sets, _ = stored(texts.mapInArrow(_shingled(width), "node long, shingles binary").groupBy("node").agg(F.max("shingles").alias("shingles")), "shingles")
         of = lambda side, name: sets.select(F.col("node").alias(side), F.col("shingles").alias(name))
-        return lambda pairs: pairs.join(of("u", "a"), "u").join(of("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(_alike(similarity), "u long, v long")
+        return sets, lambda pairs: pairs.join(of("u", "a"), "u").join(of("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(_alike(similarity), "u long, v long")
 
-    grouped = _connected(nodes.select("node", "sketch").mapInArrow(_bands, "bucket long, node long"), pairs, between)
+    grouped = _connected(nodes.select("node", "sketch").mapInArrow(_bands, "bucket long, node long"), pairs, between, similarity)
     dropped(spark, pairs_at)
     member = nodes.join(grouped, nodes.node == grouped.u, "left").select("node", "least", F.coalesce("v", "node").alias("group"))
     stays = member.groupBy("group").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("k")).select(F.col("k.least").alias("kept_id"), F.col("k.node").alias("node"))
