@@ -327,7 +327,8 @@ def _prefixes(often: np.ndarray, similarity: float) -> Callable[[Iterator[pa.Rec
             first = [prefix(x, often, similarity) if len(x) else x for x in sets]
             at = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in first]))
             size = pa.array([len(x) for x in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *first])), batch["node"].take(at), batch["group"].take(at), size.take(at)], ["shingle", "node", "group", "size"])
+            place = pa.array(np.concatenate([np.zeros(0, np.int64), *[np.arange(len(x)) for x in first]]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *first])), batch["node"].take(at), batch["group"].take(at), size.take(at), place], ["shingle", "node", "group", "size", "place"])
 
     return of_partition
 
@@ -340,9 +341,12 @@ def _by_prefix(sets: DataFrame, similarity: float) -> DataFrame:
     count = sets.select("shingles").mapInArrow(_spelled, "shingle long").groupBy("shingle").count().where(F.col("count") >= OFTEN)
     rows = count.orderBy(F.desc("count"), "shingle").limit(MOST_OFTEN).collect()  # a bounded table
     often = np.sort(np.array([tuple(r) for r in rows], [("shingle", np.int64), ("n", np.int64)]), order="shingle")
-    ends, at = stored(sets.mapInArrow(_prefixes(often, similarity), "shingle long, node long, group long, size long"), "prefixes")
-    a, b = (ends.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "group", "size")]) for side in "ab")
-    near = (F.col("a_node") > F.col("b_node")) & (F.col("a_group") != F.col("b_group")) & (F.least("a_size", "b_size") >= similarity * F.greatest("a_size", "b_size"))
+    ends, at = stored(sets.mapInArrow(_prefixes(often, similarity), "shingle long, node long, group long, size long, place long"), "prefixes")
+    a, b = (ends.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "group", "size", "place")]) for side in "ab")
+    # So many shingles must be common; the first common one comes early enough in both.
+    common = F.ceil((F.col("a_size") + F.col("b_size")) * F.lit(similarity / (1 + similarity)) - 1e-9)
+    early = (F.col("a_place") <= F.col("a_size") - common) & (F.col("b_place") <= F.col("b_size") - common)
+    near = (F.col("a_node") > F.col("b_node")) & (F.col("a_group") != F.col("b_group")) & (F.least("a_size", "b_size") >= similarity * F.greatest("a_size", "b_size")) & early
     return a.join(b, (a.shingle == b.shingle) & near).select(F.col("a_node").alias("u"), F.col("b_node").alias("v")).distinct()
 
 
