@@ -589,3 +589,36 @@ def test_index_over_clusters_reranks_little_and_finds_nearly_all():
     true = np.argsort(far, axis=1, kind="stable")[:, :k]
     hits = [len({b for _, b in sorted(r for r in found[q] if r[1] != asked[q])[:k]} & set(true[q].tolist())) / k for q in range(len(asked))]
     assert np.mean(hits) >= 0.9 and reranked <= 0.05 * len(asked) * len(x) and took < plain, (np.mean(hits), reranked / len(asked) / len(x), took, plain)
+
+
+def test_prefixes_of_like_sets_meet():
+    """Whatever shingles count as frequent: two sets that resemble each other by 0.8 or more have a prefix shingle in common."""
+    rng = np.random.default_rng(12)
+    met = unlike = 0
+    for _ in range(400):
+        base = rng.integers(0, 400, int(rng.integers(1, 80)))
+        a, b = np.unique(base), np.unique(np.concatenate([base[: int(len(base) * rng.uniform(0.7, 1))], rng.integers(0, 400, int(rng.integers(0, 9)))]))
+        some = np.unique(rng.integers(0, 400, int(rng.integers(0, 300))))
+        often = np.array(list(zip(some.tolist(), rng.integers(16, 99, len(some)).tolist(), strict=True)), [("shingle", np.int64), ("n", np.int64)])
+        common = len(np.intersect1d(a, b))
+        meet = len(np.intersect1d(simhash.prefix(a, often, 0.8), simhash.prefix(b, often, 0.8))) > 0
+        if common >= 0.8 * (len(a) + len(b) - common):
+            met += 1
+            assert meet
+        else:
+            unlike += not meet
+    assert met > 50 and unlike
+
+
+def test_pairs_by_prefix_equal_all_pairs(spark):
+    """Texts with one frequent passage: those that are alike are found, and the others make few pairs."""
+    rng = np.random.default_rng(13)
+    passage = np.sort(rng.integers(0, 1 << 60, 80))
+    sets = []
+    for k in range(120):
+        own = rng.integers(0, 1 << 60, 60)
+        sets += [np.unique(np.concatenate([passage, own])), np.unique(np.concatenate([passage, own[:50], rng.integers(0, 1 << 60, 4)]))] if k % 4 == 0 else [np.unique(np.concatenate([passage, own]))]
+    alike = {(i, j) for i in range(len(sets)) for j in range(i) if simhash.resembling(0.8, sets[i].astype(np.uint64).tobytes(), sets[j].astype(np.uint64).tobytes())}
+    df = spark.createDataFrame([(i, i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, group long, shingles binary")
+    got = {(r["u"], r["v"]) for r in simhash._by_prefix(df, 0.8).collect()}
+    assert len(alike) >= 25 and alike <= got and len(got) <= len(alike) + 20
