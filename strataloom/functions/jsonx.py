@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,11 @@ def _number(v: Column) -> Column:
     return F.when(kind == "STRING", whole).when(kind == "BOOLEAN", (text == "true").cast("int")).otherwise(F.try_variant_get(v, "$", "double").cast("int"))
 
 
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value), with the value computed once however often it is named."""
+    return F.transform(F.array(value), then)[0]
+
+
 def highlight_items(answer: Column) -> Column:
     """index and highlight of an answer's items: those that are objects with a number and a Chinese highlight; the last of an index.
 
@@ -42,8 +49,15 @@ def highlight_items(answer: Column) -> Column:
         ),
     )
     kept = F.filter(read, lambda x: x["index"].isNotNull() & (x["highlight"] != "") & has_cjk(x["highlight"]))
-    last = lambda x, i: ~F.exists(F.slice(kept, i + 2, F.greatest(F.size(kept) - i - 1, F.lit(0))), lambda y: y["index"] == x["index"])
-    return F.filter(kept, last)
+
+    def lasts(rows: Column) -> Column:
+        """Sorted by index and place, an item is the last of its index where the next one has another."""
+        placed = F.sort_array(F.transform(rows, lambda x, i: F.struct(x["index"].alias("index"), i.alias("at"))))
+        after = lambda order, i: F.get(order, i + 1)["index"]
+        at = bound(placed, lambda order: F.filter(order, lambda x, i: ~x["index"].eqNullSafe(after(order, i))))
+        return F.transform(F.sort_array(F.transform(at, lambda x: x["at"])), lambda i: F.get(rows, i))
+
+    return bound(kept, lasts)
 
 
 def poster_elements(answer: Column) -> Column:
@@ -60,16 +74,28 @@ def poster_elements(answer: Column) -> Column:
     )
 
 
+#: A string with its escapes, or all that stands up to the next one; a quotation mark that nothing closes stands alone. Fixed repeats don't
+#: go back, so long strings cost no stack.
+TOKENS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^"]++|"'
+
+
 def mended(text: Column) -> Column:
-    """Without code fences and trailing commas, and with the commas that are missing between objects."""
-    c = F.regexp_replace(text_or_empty(text), r"(?m)^\s*```[a-zA-Z]*\s*$", "")
-    c = F.regexp_replace(c, r"\}(\s*)\{", "},$1{")
-    return F.regexp_replace(c, r",(\s*[}\]])", "$1")
+    """Without code fences and trailing commas, and with the commas that are missing between objects; strings stay as they are."""
+
+    def outside(c: Column) -> Column:
+        c = F.regexp_replace(c, r"(?m)^\s*```[a-zA-Z]*\s*$", "")
+        c = F.regexp_replace(c, r"\}(\s*)(?=\{)", "},$1")
+        return F.regexp_replace(c, r",(\s*[}\]])", "$1")
+
+    # The patterns hold no quotation mark, so what they match lies between two strings.
+    tokens = F.regexp_extract_all(text_or_empty(text), F.lit(f"(?s){TOKENS}"), 0)
+    return F.array_join(F.transform(tokens, lambda t: F.when(t.startswith('"'), t).otherwise(outside(t))), "")
 
 
 def answer(text: Column, schema: str = ANSWER) -> Column:
-    """A mended answer by its schema."""
-    return F.from_json(object_in(mended(text)), schema)
+    """An answer by its schema: as it is where it is sound, else mended."""
+    plain, other = object_in(text), object_in(mended(text))
+    return F.from_json(F.when(F.try_parse_json(plain).isNotNull(), plain).otherwise(other), schema)
 
 
 def dated_answer(exact: Column, daily_date: Column, daily: Column, today: Column) -> Column:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strataloom.functions.keywords import Words
 from strataloom.functions.prompts import filled
 from strataloom.functions.text import clean_highlight, cut, first_of, has_cjk, is_degraded, stripped, text_or_empty
 
@@ -23,12 +24,23 @@ CLASSIFY_MOST = 600
 NO_ABSTRACT = {"method_point": "仅有元数据，无法确认具体方法。", "related_work": "仅有元数据，不作强结论。", "implication": "待阅读原文后判断。"}
 
 
+#: Up to so many words are sought one by one in generated code; more of them in one pass over the text. The result is the same.
+FEW = 32
+
+
 def any_of(text: Column, words: Sequence[str]) -> Column:
+    if len(words) > FEW:
+        return Words(SparkSession.active(), words).first(text).isNotNull()
     return F.coalesce(reduce(lambda a, b: a | b, [text.contains(w) for w in words], F.lit(False)), F.lit(False))
 
 
 def first_match(text: Column, rules: Mapping[str, Sequence[str]], otherwise: str) -> Column:
     """The first name, in the table's order, of whose words the text has one."""
+    if sum(map(len, rules.values())) > FEW:
+        names, listed = list(rules), [(i, w) for i, words in enumerate(rules.values()) for w in words]
+        first = Words(SparkSession.active(), [w for _, w in listed]).first(text)
+        of_word = F.array(*[F.lit(i) for i, _ in listed])
+        return F.coalesce(F.get(F.array(*[F.lit(n) for n in names]), F.get(of_word, first)), F.lit(otherwise))
     out = F.lit(otherwise)
     for name, words in reversed(list(rules.items())):
         out = F.when(any_of(text, words), name).otherwise(out)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from strataloom.functions.text import first_of
 from strataloom.operators.enrich import first_match
+from strataloom.sources.named_files import write_named
 
 # Titles of the feeds and charts.
 SITE_TITLE, DAILY_TITLE, NO_DATA = "文献追踪系统", "AI × Science 文献日报 RSS", "暂无数据"
@@ -20,9 +21,10 @@ PRIORITY = {"神经网络势·电子结构": ["neural network potential", "elect
 REST = "其他物理/材料"
 
 
-def feed_rows(articles: DataFrame) -> DataFrame:
-    """title, link, author, description, category and date of each article, the Chinese texts first."""
+def feed_rows(articles: DataFrame, *also: str) -> DataFrame:
+    """title, link, author, description, category and date of each article, the Chinese texts first, and other columns as asked."""
     return articles.select(
+        *also,
         first_of(F.col("title_zh"), F.col("title")).alias("title"), F.coalesce("link", F.lit("")).alias("link"), F.array_join("authors", ", ").alias("author"),
         first_of(F.col("summary"), F.col("abstract")).alias("description"), F.concat(F.lit("📚 "), F.col("journal")).alias("category"), F.col("pub_date"),
     )
@@ -47,6 +49,31 @@ def site_feed_xml(site: str, rows: Iterable[dict]) -> str:
     return feed_xml(SITE_TITLE, site, f"{site}/feed.xml", rows)
 
 
+def xml_escaped(c: Column) -> Column:
+    c = F.coalesce(c.cast("string"), F.lit(""))
+    for sign, name in (("&", "&amp;"), (">", "&gt;"), ("<", "&lt;")):
+        c = F.replace(c, F.lit(sign), F.lit(name))
+    return c
+
+
+def feed_files(rows: DataFrame, site: str, key: str, order: str) -> DataFrame:
+    """name and content of each day's feed, `<date>.xml`, from feed_rows() with the day and the items' order: daily_feed_xml() as a plan.
+
+    A day has a bounded number of items, which meet by day; days that have none have no feed.
+    """
+    field = lambda tag, c: F.concat(F.lit(f"<{tag}>"), xml_escaped(F.col(c)), F.lit(f"</{tag}>"))
+    item = F.concat(F.lit("<item>"), field("title", "title"), field("link", "link"), field("author", "author"), field("category", "category"), field("pubDate", "pub_date"), field("description", "description"), F.lit("</item>"))
+    listed = rows.groupBy(F.col(key).cast("string").alias("day")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, item.alias("item")))), lambda x: x["item"]), "").alias("items"))
+    at = lambda end: F.concat(F.lit(f"{site}/daily/"), F.col("day"), F.lit(end))
+    head = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>'), F.col("day"), F.lit(f" {escape(DAILY_TITLE)}</title><link>"), xml_escaped(at(".html")), F.lit("</link><docs>"), xml_escaped(at(".xml")), F.lit("</docs>"))
+    return listed.select(F.concat("day", F.lit(".xml")).alias("name"), F.concat(head, "items", F.lit("</channel></rss>")).alias("content"))
+
+
+def write_feeds(rows: DataFrame, path: str, site: str, key: str, order: str) -> None:
+    """Each day's feed as its own file; other days' feeds stay."""
+    write_named(feed_files(rows, site, key, order), path)
+
+
 def source_kind(source: Column, arxiv: Column | None = None) -> Column:
     return F.when(arxiv if arxiv is not None else F.lower(source).contains("arxiv"), ARXIV).otherwise(JOURNAL)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataloom.functions.text import first_of, text_or_empty
 from strataloom.operators.calendar import neighbours
+from strataloom.sources.named_files import write_named
 
 # The words and class names of the pages.
 DAILY = {"name": "daily", "previous": "前一天", "next": "后一天", "feed": "当日RSS", "outline": "daily-outline-link", "toc": "daily-toc-card", "title": "daily-title-link"}
@@ -55,6 +56,11 @@ def enhanced(pages: DataFrame, key: str, label: Column, words: dict[str, str]) -
     return pages.withColumn("bare", bare).join(near, key).select(key, whole.alias("html"))
 
 
+def page_files(pages: DataFrame, key: str) -> DataFrame:
+    """name and content of each page: a day's or week's page is `<date>.html`."""
+    return pages.select(F.concat(F.col(key).cast("string"), F.lit(".html")).alias("name"), F.col("html").alias("content"))
+
+
 def write_pages(pages: DataFrame, path: str, key: str) -> None:
-    """Each page below its own key; pages that are written again replace themselves and no others."""
-    pages.select(F.col("html").alias("value"), F.col(key).cast("string").alias("page")).write.option("partitionOverwriteMode", "dynamic").partitionBy("page").mode("overwrite").text(path)
+    """Each page as its own file; pages that are written again replace themselves and no others."""
+    write_named(page_files(pages, key), path)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataloom import session
-from strataloom.functions import authors, html, jsonx, links, prompts, text
+from strataloom.functions import authors, html, jsonx, keywords, links, prompts, text
 from strataloom.operators import breaker, calendar, enrich, feeds, pages, posters, quality, records
 from strataloom.sources import sinks
 
@@ -301,6 +301,27 @@ def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages").select("page_id", html.html_to_text(F.col("html")).alias("body"))
 
 
+_NESTED = """concat('<nav>a<header title="x>y">b</nav>c</header>d', html, CASE page_id % 3 WHEN 0 THEN '<footer>never closed <p>e' WHEN 1 THEN '</nav>f<script>if (a < b) "</nav>"' ELSE '<noscript>g<nav>h</noscript>i</nav></footer>j <!-- <nav> -->' END)"""
+
+
+def _nested_sql() -> str:
+    rest = """(?:\\s(?:[^>"'']|"[^"]*"|''[^'']*'')*)?/?>""".replace("\\\\", "\\")
+    raw = "|".join(rf"<{t}{rest}.*?(?:</{t}\s*>|\z)" for t in html.RAW)
+    tag = f"</?(?:{'|'.join(html.SKIPPED)}){rest}"
+    out = r"regexp_replace(array_to_string(list_transform(list_filter(list_zip(parts, depths), lambda x: x[2] = 0), lambda x: x[1]), ' '), '(?s)<[^>]*>', ' ', 'g')"
+    for name in ("lt", "gt", "quot", "nbsp", "copy", "middot", "amp"):
+        out = f"replace({out}, '&{name};', '{html.ENTITIES[name]}')"
+    return rf"""WITH b AS (SELECT page_id, regexp_replace({_NESTED}, '(?is)<!--.*?(?:-->|\z)|<![^>]*>|{raw}', ' ', 'g') AS bare FROM pages),
+ t AS (SELECT page_id, regexp_split_to_array(bare, '(?is){tag}') AS parts, list_reduce(list_concat([[0]], list_transform(regexp_extract_all(bare, '(?is){tag}'), lambda t: [CASE WHEN starts_with(t, '</') THEN -1 ELSE 1 END])), lambda a, b: list_append(a, greatest(a[-1] + b[1], 0))) AS depths FROM b)
+ SELECT page_id, trim(regexp_replace({out}, '[\s\x{{00a0}}]+', ' ', 'g')) AS body FROM t"""
+
+
+@query(_nested_sql())
+def html_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with skipped elements in each other, closed out of order, not at all, or never opened."""
+    return read(spark, sf_dir, "pages").select("page_id", html.html_to_text(both(_NESTED)).alias("body"))
+
+
 @query()
 def html_to_text_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "pages").select("page_id", html.exact_html_to_text(F.col("html")).alias("body"))
@@ -352,6 +373,35 @@ def keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.keyword_filter(read(spark, sf_dir, "documents"), F.col("text"), KEYWORDS).select("doc_id")
 
 
+#: All words of the benchmark, the longest first: a list as long as a deployment's.
+_WORDS = "SELECT word, row_number() OVER (ORDER BY strlen(word) DESC, word) - 1 AS nth FROM (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[^ ]{4,}')) AS word FROM benchmark)"
+
+
+@query(f"""WITH w AS ({_WORDS}), m AS (SELECT doc_id, count(*) AS n, min(nth) AS nth FROM documents, w WHERE contains(lower(text), word) GROUP BY 1)
+ SELECT d.doc_id, coalesce(n, 0) AS n, coalesce(word, '') AS longest FROM documents d LEFT JOIN m USING (doc_id) LEFT JOIN w USING (nth)""")
+def keyword_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of a long list a text has, and the longest of them, from one pass over the text."""
+    listed = read(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[^ ]{4,}"), 0)).alias("word")).distinct()
+    words = [r["word"] for r in listed.orderBy(F.desc(F.octet_length("word")), "word").collect()]
+    met = keywords.Words(spark, words).all(F.lower("text"))
+    found = read(spark, sf_dir, "documents").select("doc_id", met.alias("met"))
+    names = spark.createDataFrame(list(enumerate(words)), "nth int, word string")
+    return found.select("doc_id", F.size("met").cast("long").alias("n"), F.get("met", F.lit(0)).alias("nth")).join(names, "nth", "left").select("doc_id", "n", F.coalesce("word", F.lit("")).alias("longest"))
+
+
+_RULES_OF = "SELECT p_partkey AS rule, unnest(string_split(lower(p_name), ' ')) AS word FROM part WHERE p_partkey <= 400"
+
+
+@query(f"""WITH r AS ({_RULES_OF}), t AS (SELECT doc_id, lower(text || ' ' || p_name) AS text FROM documents LEFT JOIN part ON p_partkey = 1 + doc_id % 700)
+ SELECT doc_id, 'rule ' || coalesce(cast(min(rule) AS VARCHAR), 'none') AS category FROM t LEFT JOIN r ON contains(text, word) GROUP BY 1""")
+def keyword_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first of several hundred rules of whose words a text has one: first_match() over a table of rules."""
+    parts = read(spark, sf_dir, "part").select("p_partkey", F.lower("p_name").alias("p_name"))
+    rules = {f"rule {r['p_partkey']}": r["p_name"].split(" ") for r in parts.where("p_partkey <= 400").orderBy("p_partkey").collect()}
+    d = read(spark, sf_dir, "documents").select("doc_id", "text", (1 + F.col("doc_id") % 700).alias("p_partkey")).join(parts, "p_partkey", "left")
+    return d.select("doc_id", enrich.first_match(F.lower(F.concat("text", F.lit(" "), "p_name")), rules, "rule none").alias("category"))
+
+
 @query("SELECT doc_id, source FROM documents WHERE source IN (SELECT 'src' || r_regionkey FROM region)")
 def venue_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = read(spark, sf_dir, "region").select(F.concat(F.lit("src"), "r_regionkey").alias("source"))
@@ -410,6 +460,17 @@ def highlight_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.groupBy("source").agg(F.count("*").alias("n"), F.count("filled").alias("filled"))
 
 
+@query(duck(f"""WITH c AS (SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM ({_clean_sql('one_sentence_summary', 'h', ITEM)}) WHERE h = '' AND abstract_zh = '' AND regexp_replace(abstract, '\\s', '', 'g') <> '')
+ SELECT d.doc_id, CASE WHEN i IS NULL OR i > 40 THEN NULL WHEN i % 3 = 0 THEN '亮点' || i || ' ' || source WHEN d.doc_id % 4 = 1 THEN '翻译 ' || text END AS filled FROM documents d LEFT JOIN c USING (doc_id)""").replace("'翻译 ' || text", "CASE WHEN length(trim(text)) > 117 THEN rtrim(substring('翻译 ' || trim(text), 1, 120), ' ' || chr(10)) || '…' ELSE '翻译 ' || trim(text) END"))
+def highlight_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is filled in: every third candidate has an answer, and of the others some a translation of the whole text."""
+    d = documents(spark, sf_dir, one_sentence_summary=SUMMARY, abstract_zh="CASE WHEN doc_id % 4 = 0 THEN '中文摘要' ELSE '' END").withColumn("abstract", F.col("text"))
+    items = d.withColumn("translated", F.when(F.col("doc_id") % 4 == 1, F.concat(F.lit("翻译 "), "text")))
+    of_source = d.select("source").distinct().select("source", F.explode(F.sequence(F.lit(3), F.lit(60), F.lit(3))).alias("index"))
+    generated = of_source.select("source", "index", F.concat(F.lit("亮点"), F.col("index").cast("string"), F.lit(" "), "source").alias("highlight"))
+    return enrich.fill_highlights(items, generated, "source", "doc_id", 40).select("doc_id", "filled")
+
+
 @query("""SELECT doc_id, CASE WHEN contains(lower(text), 'idiot') AND contains(lower(text), 'stupid') THEN 'A、B' WHEN contains(lower(text), 'idiot') THEN 'A' WHEN contains(lower(text), 'stupid') THEN 'B' ELSE '一般方法' END AS note FROM documents""")
 def direction_note(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", enrich.direction_note(F.col("text"), {"idiot": "A", "stupid": "B"}).alias("note"))
@@ -427,6 +488,16 @@ def _relation_sql() -> str:
  SELECT doc_id, {fields}, coalesce(nullif(CASE WHEN contains(s, '摘要信息不足') THEN '' ELSE s END, ''), nullif(CASE WHEN length(a) > 200 THEN regexp_replace(substring(a, 1, 200), '\\s+$', '') || '…' ELSE a END, ''), title_en) AS summary FROM m"""
 
 
+_PARTLY = {"method_point": "CASE doc_id % 3 WHEN 0 THEN source WHEN 1 THEN '' END", "related_work": "CASE doc_id % 4 WHEN 1 THEN lang ELSE '' END", "implication": "CASE doc_id % 5 WHEN 2 THEN concat('启示 ', source) END"}
+
+
+@query(f"WITH p AS (SELECT doc_id, {', '.join(f'{v} AS {k}' for k, v in _PARTLY.items())} FROM documents), r AS ({_relation_sql()}) SELECT doc_id, {', '.join(f"coalesce(nullif(p.{k}, ''), r.{k}) AS {k}" for k in _PARTLY)}, r.summary FROM p JOIN r USING (doc_id)")
+def relation_partly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that are filled stay, whichever of them."""
+    d = documents(spark, sf_dir, title_en="concat(lang, ' ferroelectric')", abstract=_ABSTRACT, abstract_zh="''", summary=_SAID, **_PARTLY)
+    return enrich.relation_fields(d).select("doc_id", *_PARTLY, "summary")
+
+
 @query(_relation_sql())
 def relation_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = documents(spark, sf_dir, title_en="concat(lang, ' ferroelectric')", abstract=_ABSTRACT, abstract_zh="''", summary=_SAID, method_point="''", related_work="''", implication="''")
@@ -444,21 +515,32 @@ def fulltext_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(p, "doc_id", "left").select("doc_id", found.alias("f")).select("doc_id", F.col("f.text").alias("body"), F.col("f.mode").alias("mode"))
 
 
+@query("""SELECT d.doc_id, CASE WHEN length(coalesce(p.html, '')) >= 4000 THEN substring(p.html, 1, 40000) WHEN length(coalesce(m.html, '')) >= 4000 THEN substring(m.html, 1, 40000) WHEN length(d.text) >= 4000 THEN substring(d.text, 1, 40000) ELSE '' END AS body,
+ CASE WHEN length(coalesce(p.html, '')) >= 4000 THEN 'html' WHEN length(coalesce(m.html, '')) >= 4000 THEN 'mirror' WHEN length(d.text) >= 4000 THEN 'pdf' ELSE '' END AS mode FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id * 2 LEFT JOIN pages m ON m.page_id = d.doc_id * 2 + 1""")
+def fulltext_three(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page, its mirror, and the document's own text; each of the three is the first with enough text for some."""
+    d, p = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "pages")
+    page = p.where("page_id % 2 = 0").select((F.col("page_id") / 2).cast("long").alias("doc_id"), "html")
+    mirror = p.where("page_id % 2 = 1").select(((F.col("page_id") - 1) / 2).cast("long").alias("doc_id"), F.col("html").alias("mirror"))
+    found = records.full_text([(F.col("html"), "html"), (F.col("mirror"), "mirror"), (F.col("text"), "pdf")])
+    return d.join(page, "doc_id", "left").join(mirror, "doc_id", "left").select("doc_id", found.alias("f")).select("doc_id", F.col("f.text").alias("body"), F.col("f.mode").alias("mode"))
+
+
 _PAPER = "concat('2601.', cast(10000 + doc_id % 80000 AS STRING))"
 #: Landed answers: a third of the papers as HTML, a third by the mirror (every other one too short), the others not at all.
 _LANDED = "CASE doc_id % 3 WHEN 0 THEN concat('https://arxiv.org/html/', {paper}) WHEN 1 THEN concat('https://ar5iv.org/abs/', {paper}) END"
 
 
 @query(duck(f"""WITH d AS (SELECT doc_id, text, {_PAPER} AS paper, CASE WHEN doc_id % 5 = 0 THEN 'https://doi.org/10.1/x' ELSE 'https://arxiv.org/abs/' || {_PAPER} || 'v1' END AS link FROM documents),
- p AS (SELECT paper, doc_id % 3 AS kind, trim(regexp_replace(replace(replace(replace(text, '&', ' '), '<', ' '), '>', ' '), '[ \\t]+', ' ', 'g')) AS body FROM d WHERE doc_id % 3 < 2), f AS (SELECT d.doc_id, coalesce(max(CASE WHEN kind = 0 AND length(body) >= 400 THEN body END), max(CASE WHEN kind = 1 AND length(body) >= 400 THEN body END)) AS body FROM d JOIN p ON d.paper = p.paper WHERE d.doc_id % 5 <> 0 GROUP BY 1)
- SELECT d.doc_id, coalesce(substring(f.body, 1, 4000), '') AS body, CASE WHEN f.body IS NULL THEN '' ELSE 'html' END AS mode FROM d LEFT JOIN f ON d.doc_id = f.doc_id"""))
+ p AS (SELECT paper, doc_id % 3 AS kind, trim(regexp_replace(replace(replace(replace(text, '&', ' '), '<', ' '), '>', ' '), '[ \\t]+', ' ', 'g')) AS body FROM d WHERE doc_id % 3 < 2), f AS (SELECT d.doc_id, coalesce(max(CASE WHEN kind = 0 AND length(body) >= 4000 THEN body END), max(CASE WHEN kind = 1 AND length(body) >= 4000 THEN body END)) AS body FROM d JOIN p ON d.paper = p.paper WHERE d.doc_id % 5 <> 0 GROUP BY 1)
+ SELECT d.doc_id, coalesce(substring(f.body, 1, 40000), '') AS body, CASE WHEN f.body IS NULL THEN '' ELSE 'html' END AS mode FROM d LEFT JOIN f ON d.doc_id = f.doc_id"""))
 def fulltext_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From a link to the paper's full text among landed answers. Their bodies are made of the documents' texts."""
     d = documents(spark, sf_dir, paper=_PAPER, link=f"CASE WHEN doc_id % 5 = 0 THEN 'https://doi.org/10.1/x' ELSE concat('https://arxiv.org/abs/', {_PAPER}, 'v1') END", url=_LANDED.format(paper=_PAPER))
     body = F.concat(F.lit("<html><script>no</script><p>"), F.translate("text", "&<>", "   "), F.lit("</p></html>"))
     landed = d.where("url IS NOT NULL").select("url", body.alias("body"))
     files = spark.createDataFrame([], "url string, content binary")
-    return records.fetched(d.select("doc_id", "link"), landed, files, least=400, most=4000).select("doc_id", "body", "mode")
+    return records.fetched(d.select("doc_id", "link"), landed, files).select("doc_id", "body", "mode")
 
 
 @query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'own ' || event_id WHEN cast(ts AS DATE) = DATE '2024-01-02' THEN 'day' ELSE 'default' END AS content FROM events")
@@ -501,6 +583,25 @@ def json_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.col("a.overview").alias("overview"), F.size("a.summaries").alias("n"), F.element_at("a.summaries", 1)["index"].alias("first_index"))
 
 
+_ODD = " [a,] and {x} {y} ```, }"
+_OUTSIDE = r"""regexp_replace(regexp_replace(regexp_replace(t, '(?m)^\s*```[a-zA-Z]*\s*$', '', 'g'), '\}(\s*)\{', '},\1{', 'g'), ',(\s*[}\]])', '\1', 'g')"""
+
+
+@query(rf"""WITH r AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '{{"overview": ' || to_json(text || '{_ODD}') || ', "summaries": [{{"index": 1, "title_zh": "x"}}]}}'
+   ELSE '```json' || chr(10) || '{{"overview": ' || to_json(text || '{_ODD}') || ', "summaries": [{{"index": 1, "title_zh": ' || to_json('"' || source || '\",}}') || ',}}' || chr(10) || ' {{"index": 2,}},],}}' || chr(10) || '```' END AS t FROM documents),
+ m AS (SELECT doc_id, CASE WHEN json_valid(t) THEN t ELSE array_to_string(list_transform(regexp_extract_all(t, '(?s)"[^"\\]*(?:\\.[^"\\]*)*"|[^"]+|"'), lambda t: CASE WHEN starts_with(t, '"') THEN t ELSE {_OUTSIDE} END), '') END AS t FROM r)
+ SELECT doc_id, j->>'$.overview' AS overview, cast(json_array_length(j, '$.summaries') AS INTEGER) AS n, j->>'$.summaries[0].title_zh' AS title FROM (SELECT doc_id, cast(regexp_extract(t, '(?s)\{{.*\}}') AS JSON) AS j FROM m)""")
+def json_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, commas, braces and fences in the strings of sound and of damaged answers: strings come back as they were."""
+    d = read(spark, sf_dir, "documents")
+    quoted = lambda c: F.regexp_extract(F.to_json(F.struct(c.alias("v"))), r"(?s)^\{\"v\":(.*)\}$", 1)
+    overview = F.concat(F.lit('{"overview": '), quoted(F.concat("text", F.lit(_ODD))), F.lit(', "summaries": [{"index": 1, "title_zh": '))
+    damaged = F.concat(F.lit("```json\n"), overview, quoted(F.concat(F.lit('"'), "source", F.lit('\\",}'))), F.lit(',}\n {"index": 2,},],}\n```'))
+    answers = d.select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.concat(overview, F.lit('"x"}]}'))).otherwise(damaged).alias("t"))
+    a = answers.select("doc_id", jsonx.answer(F.col("t")).alias("a"))
+    return a.select("doc_id", F.col("a.overview").alias("overview"), F.size("a.summaries").alias("n"), F.get("a.summaries", F.lit(0))["title_zh"].alias("title"))
+
+
 @query(f"""WITH q AS (SELECT event_id AS id, cast(ts AS DATE) AS day FROM events), own AS (SELECT p_partkey AS id, p_name AS content FROM part UNION ALL SELECT p_partkey, p_type FROM part WHERE p_partkey % 2 = 0),
  daily AS (SELECT cast(ts AS DATE) AS date, event_type AS content FROM events WHERE event_type <> 'view' AND event_id % 7 = 0)
  SELECT q.id AS event_id, coalesce((SELECT min(content) FROM own WHERE own.id = q.id), (SELECT min(content) FROM daily WHERE daily.date = DATE '2024-01-02'), 'none') AS content FROM q""")
@@ -521,9 +622,9 @@ def listed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", F.size("i").alias("n"), F.get("i", F.lit(0))["title"].alias("first_title"))
 
 
-@query("SELECT doc_id, CASE WHEN length(text) = 0 THEN '' ELSE regexp_replace(substring(text, 1, 20), '^\\s+|\\s+$', '', 'g') END AS answer FROM documents")
+@query("SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS answer FROM documents")
 def landed_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    answer = F.concat(F.lit(" \n"), F.substring("text", 1, 20), F.lit("\n"))
+    answer = F.concat(F.lit(" \n"), "text", F.lit("\n"))
     return read(spark, sf_dir, "documents").select("doc_id", prompts.landed_answer(F.col("text"), answer).alias("answer"))
 
 
@@ -673,6 +774,22 @@ def feed_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("link").cast("long").alias("event_id"), "title", "category", F.col("pub_date").alias("day"))
 
 
+def _feed_sql() -> str:
+    escaped = lambda c: f"replace(replace(replace({c}, '&', '&amp;'), '>', '&gt;'), '<', '&lt;')"
+    field = lambda tag, c: f"'<{tag}>' || {escaped(c)} || '</{tag}>'"
+    item = " || ".join([field("title", "source || ' <' || lang || '>'"), field("link", "'https://e.org/?a&b=' || doc_id"), "'<author>A, B</author>'", field("category", "'📚 ' || lang"), field("pubDate", "CAST(day AS VARCHAR)"), field("description", "text")])
+    return f"""WITH d AS (SELECT *, DATE '2026-01-01' + cast(doc_id % 90 AS INTEGER) AS day FROM documents)
+ SELECT day || '.xml' AS name, '<?xml version="1.0" encoding="UTF-8"?><rss version="2.0"><channel><title>' || day || ' {feeds.DAILY_TITLE}</title><link>https://s/daily/' || day || '.html</link><docs>https://s/daily/' || day || '.xml</docs>' || string_agg('<item>' || {item} || '</item>', '' ORDER BY doc_id) || '</channel></rss>' AS content FROM d GROUP BY day"""
+
+
+@query(_feed_sql())
+def feed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each day's whole feed, as the file that is written."""
+    d = read(spark, sf_dir, "documents").withColumn("day", F.date_add(F.lit("2026-01-01").cast("date"), (F.col("doc_id") % 90).cast("int")))
+    articles = d.select("day", "doc_id", F.lit("").alias("title_zh"), F.concat("source", F.lit(" <"), "lang", F.lit(">")).alias("title"), F.concat(F.lit("https://e.org/?a&b="), F.col("doc_id").cast("string")).alias("link"), F.array(F.lit("A"), F.lit("B")).alias("authors"), F.col("text").alias("summary"), F.lit("").alias("abstract"), F.col("lang").alias("journal"), F.col("day").cast("string").alias("pub_date"))
+    return feeds.feed_files(feeds.feed_rows(articles, "day", "doc_id"), "https://s", "day", "doc_id")
+
+
 @query("SELECT count(*) AS feeds, count(*) FILTER (WHERE event_type = 'error') AS broken FROM events")
 def feed_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.feed_health(read(spark, sf_dir, "events").select(F.col("event_id").alias("url"), F.when(F.col("event_type") == "error", "failed").otherwise("").alias("problem")))
@@ -698,7 +815,11 @@ def breaker_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return breaker.without_cooldown(_calls(spark, sf_dir), "user_id", F.col("failed"), "ts", "event_id").select("user_id", "event_id", "sent")
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT user_id, event_id, epoch_us(ts) / 1e6 AS sec, coalesce(event_type = 'error' OR value > 50, false) AS failed, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+ b AS (SELECT user_id, event_id, n, true AS sent, cast(failed AS INTEGER) AS streak, cast(NULL AS DOUBLE) AS opened FROM e WHERE n = 1
+  UNION ALL SELECT user_id, event_id, n, NOT waits AS sent, CASE WHEN waits THEN streak WHEN failed THEN streak + 1 ELSE 0 END, CASE WHEN waits THEN opened WHEN failed AND (opened IS NOT NULL OR streak + 1 >= 2) THEN sec END
+   FROM (SELECT e.*, b.streak, b.opened, b.opened IS NOT NULL AND e.sec - b.opened < 3600 AS waits FROM b JOIN e ON e.user_id = b.user_id AND e.n = b.n + 1))
+ SELECT user_id, event_id, sent, opened IS NOT NULL AS open FROM b""")
 def breaker_cooldown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return breaker.with_cooldown(_calls(spark, sf_dir), "user_id", "ts", "failed", "event_id", cooldown=3600.0)
 
@@ -764,7 +885,8 @@ def prompt_infographic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select("doc_id", prompt.alias("prompt"))
 
 
-@query()
+@query("SELECT '1772582400000-' || doc_id AS id, prompt, 1772582400.0::DOUBLE AS timestamp FROM (" + ORACLE_SQL["prompt_weekly"] + ")")
 def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = read(spark, sf_dir, "documents").select(prompts.weekly_prompt(F.col("lang"), F.col("source"), F.col("text")).alias("prompt"))
-    return sinks.request_rows(asked, F.current_timestamp())
+    """Requests as they are written, at a fixed time and numbered by document."""
+    asked = read(spark, sf_dir, "documents").select("doc_id", prompts.weekly_prompt(F.col("lang"), F.col("source"), F.col("text")).alias("prompt"))
+    return sinks.request_rows(asked, F.lit("2026-03-04 00:00:00").cast("timestamp"), F.col("doc_id"))

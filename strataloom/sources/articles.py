@@ -12,12 +12,20 @@ KEYS = ["id", "title", "title_zh", "date", "journal", "authors", "link", "doi"]
 NO_DATE = "1900-01-01"
 
 
+#: The columns of articles as they are read.
+ARTICLE = "file_name string, id string, title string, title_zh string, date date, journal string, authors_raw string, link string, doi string, abstract string, abstract_zh string, authors array<string>, real_date date"
+
+
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each file: front matter, both abstracts, the names of the authors, and the file's name.
+    """One row for each file: front matter, both abstracts, the names of the authors, and the file's name."""
+    return parsed_articles(spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file_name")))
+
+
+def parsed_articles(raw: DataFrame) -> DataFrame:
+    """Articles of whole files (file_name, value), from a table or a stream.
 
     A value runs to the quote before the next key, so it may hold lines and quotes. The date is null where it isn't one.
     """
-    raw = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_name").alias("file_name"))
     head = F.regexp_extract("value", r"(?s)\A---\n(.*?)\n---\n", 1)
 
     def value(key: str):

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from strataloom.functions.text import text_or_empty
 
 
-def request_rows(prompts: DataFrame, at: Column) -> DataFrame:
-    """id (milliseconds and a row's own number, so that none collide), prompt and timestamp (seconds)."""
-    own = F.monotonically_increasing_id().cast("string")
+def request_rows(prompts: DataFrame, at: Column, number: Column | None = None) -> DataFrame:
+    """id (milliseconds and a row's own number, so that none collide), prompt and timestamp (seconds); without a number rows get one."""
+    own = (F.monotonically_increasing_id() if number is None else number).cast("string")
     return prompts.select(F.concat(F.unix_millis(at).cast("string"), F.lit("-"), own).alias("id"), "prompt", (F.unix_micros(at) / 1e6).alias("timestamp"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ def values(spark, f, inputs):
 @pytest.mark.parametrize(
     ("f", "cases"),
     [
-        (links.normalize_link, [("10.1103/766t-tqsy", "https://doi.org/10.1103/766t-tqsy"), ("http://arxiv.org/abs/2601.001", "http://arxiv.org/abs/2601.001"), ("", ""), (None, ""), ("  ", ""), ("HTTP://x", "https://doi.org/HTTP://x")]),
+        (links.normalize_link, [("10.5555/loom-17", "https://doi.org/10.5555/loom-17"), ("http://arxiv.org/abs/2601.001", "http://arxiv.org/abs/2601.001"), ("", ""), (None, ""), ("  ", ""), ("HTTP://x", "https://doi.org/HTTP://x")]),
         (
             links.arxiv_id,
             [("https://arxiv.org/abs/2601.12345v2", "2601.12345"), ("arXiv:2501.1234", "2501.1234"), ("2412.00001v3", "2412.00001"), ("https://arxiv.org/pdf/cond-mat/0703124v1", "cond-mat/0703124"), ("arXiv:cond-mat/0703124", ""), ("https://arxiv.org/abs/cond-mat.str-el/0001234", ""), ("10.1/2101.12345", ""), (None, "")],
@@ -107,7 +109,7 @@ def test_weekly_prompt_takes_500_characters_and_keeps_dollars(spark):
 
 
 def test_pick_summary(spark):
-    long = "Electronic structure is predicted from a learnable Hamiltonian. " * 8
+    long = "Seven looms weave a strata of thread by thread, and none stops. " * 8
     got = values(spark, lambda c: enrich.pick_summary(F.lit("摘要信息不足"), F.lit(""), F.lit(None), c), [long, "short", None])
     assert len(got[0]) <= 201 and got[0].endswith("…") and got[1:] == ["short", ""]
 
@@ -116,3 +118,48 @@ def test_classify(spark):
     rules = {"磁性·自旋电子学": ["altermagnet"]}
     df = spark.createDataFrame([("Altermagnetic order", "其他"), ("x", "答：磁性·自旋电子学"), ("x", "?"), ("x", None)], "t string, a string")
     assert [r[0] for r in df.select(enrich.classify(F.col("t"), F.col("a"), rules)).collect()] == ["磁性·自旋电子学", "磁性·自旋电子学", "其他", "其他"]
+
+
+def test_answers_keep_their_strings(spark):
+    """Sound answers come back as they are; damaged ones are mended outside strings only."""
+    long = "a\\\"" * 100_000
+    rows = [
+        ('{"overview": "see [a,] and {x} {y}"}', "see [a,] and {x} {y}", None),
+        ('```json\n{"overview": "a ,] } { \\" ,}", "summaries": [{"index":1}\n {"index":2,},],}\n```', 'a ,] } { " ,}', 2),
+        ('{"overview": "```json\\n, }", "summaries": [],}', "```json\n, }", 0),
+        ('say "{": {"overview": "x",}', None, None),
+        ('{"overview": "never closed', None, None),
+        (f'{{"overview": "{long}", }}', 'a"' * 100_000, None),
+        ("", None, None),
+        (None, None, None),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(rows)], "i int, t string")
+    got = {r["i"]: (r["a"]["overview"], None if r["a"]["summaries"] is None else len(r["a"]["summaries"])) if r["a"] else (None, None) for r in df.select("i", jsonx.answer(F.col("t")).alias("a")).collect()}
+    assert got == {i: (o, n) for i, (_, o, n) in enumerate(rows)}
+
+
+def test_many_items_take_linear_time(spark):
+    """Four times the items take far less than sixteen times as long; the last of an index counts, in the order of the answer."""
+    import time
+
+    def run(n: int) -> float:
+        items = ", ".join(f'{{"index": {i % (n // 2)}, "highlight": "亮{i}"}}' for i in range(n))
+        df = spark.createDataFrame([(f'{{"items": [{items}]}}',)], "t string").select(jsonx.highlight_items(F.col("t")).alias("h"))
+        began = time.perf_counter()
+        got = [(x["index"], x["highlight"]) for x in df.first()["h"]]
+        assert got == [(i % (n // 2), f"亮{i}") for i in range(n // 2, n)]
+        return time.perf_counter() - began
+
+    run(500)
+    assert run(8_000) < 10 * run(2_000) + 2
+
+
+def test_nested_html_is_read_as_a_parser_does(spark):
+    rng = random.Random(4)
+    bits = ["<nav>", "</nav>", "<header class='a>b'>", "</header>", "<script>", "</script>", "<style>", "</style>", "<footer>", "</footer >", "<noscript>", "</noscript>", "text ", "a &amp; b ", "<p>", "</p>", "<!-- <nav> -->", '<b title="x>y">', "&lt;i&gt; ", "&copy;&Aacute; ", "<br/>", "<navy>n</navy>", "5 ", "<NAV>"]
+    pages = ["".join(rng.choices(bits, k=rng.randint(1, 14))) for _ in range(600)]
+    df = spark.createDataFrame([(p,) for p in pages], "h string")
+    bare = lambda t: "".join(t.split())
+    for r in df.select("h", html.html_to_text(F.col("h")).alias("t")).collect():
+        assert bare(r["t"]) == bare(html.read_html(r["h"])), r["h"]
+    assert "Python" not in df.select(html.html_to_text(F.col("h")))._jdf.queryExecution().executedPlan().toString()

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import random
 import xml.dom.minidom
 
+import pytest
 from pyspark.sql import functions as F
 
 from strataloom.operators import breaker, calendar, enrich, feeds, pages, posters, quality, records
-from strataloom.sources import articles, landed, sinks
-from strataloom.streaming.breaker import stream_breaker
+from strataloom.sources import articles, landed, named_files, sinks
 
 
 def sent(outcomes, cooldown, step=1.0):
@@ -34,14 +35,30 @@ def test_breaker_queries_agree_with_a_fold(spark):
         assert [plain[u, i] for i in range(40)] == [s for s, _ in breaker.fold(((float(i), f) for i, f in enumerate(own)), breaker.Breaker(cooldown=1e9))]
 
 
-def test_stream_breaker(spark, tmp_path):
-    schema = "key string, seq long, at double, failed boolean"
-    for n, part in enumerate(([0, 1], [2, 3])):
-        spark.createDataFrame([("k", i, float(i), True) for i in part], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / f"in/{n}"))
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
-    q = stream_breaker(stream, cooldown=100).writeStream.format("memory").queryName("sent").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-    q.awaitTermination()
-    assert sum(r["sent"] for r in spark.table("sent").collect()) == 2
+def test_streaks_over_ranges(spark):
+    """Whatever the number of ranges, streaks are those of a plain count; one provider has nearly all calls, one none that succeeds."""
+    rng = random.Random(5)
+    rows = [("hot", i, rng.random() < 0.8) for i in range(300)] + [("down", i * 7, True) for i in range(40)] + [("up", 3, False), (None, 5, True), (None, 6, True)]
+    df = spark.createDataFrame(rows, "p string, i int, failed boolean")
+    want, trip = {}, {}
+    for p in {r[0] for r in rows}:
+        streak, out = 0, True
+        for _, i, f in sorted((r for r in rows if r[0] == p), key=lambda r: r[1]):
+            streak = streak + 1 if f else 0
+            want[p, i], trip[p, i] = streak, out
+            out = out and streak < 3
+    for n in (1, 2, 7, 64):
+        got = breaker.without_cooldown(df, "p", F.col("failed"), "i", limit=3, ranges=n).collect()
+        assert {(r["p"], r["i"]): r["streak"] for r in got} == want and {(r["p"], r["i"]): r["sent"] for r in got} == trip and len(got) == len(rows)
+    assert breaker.failure_streaks(df.limit(0), "p", F.col("failed"), "i").count() == 0
+
+
+def test_one_provider_of_all_calls_is_many_tasks(spark):
+    """The largest task that sorts calls has few more than a range's share of them."""
+    df = spark.range(40_000).select(F.lit("one").alias("p"), F.col("id").alias("i"), (F.col("id") % 9 != 0).alias("failed"))
+    ranges = df.withColumn("r", breaker.time_ranges(df, "i", 16)).groupBy("p", "r").count()
+    assert ranges.count() == 16 and ranges.agg(F.max("count")).first()[0] < 3_500
+    assert breaker.failure_streaks(df, "p", F.col("failed"), "i", ranges=16).where("streak <> i % 9").count() == 0
 
 
 def test_articles_round_trip(spark, tmp_path):
@@ -148,14 +165,16 @@ def test_pages_are_enhanced_again(spark, tmp_path):
     summaries = items.select("page").distinct().select("page", F.lit("o").alias("overview"), F.lit("t").alias("trends"))
     once = pages.enhanced(pages.pages(summaries, items, "page"), "page", F.col("page").cast("string"), pages.DAILY)
     pages.write_pages(once, str(tmp_path), "page")
-    read = lambda: spark.read.text(str(tmp_path), wholetext=True).select(F.col("page").cast("date").alias("page"), F.col("value").alias("html"))
+    (tmp_path / "index.html").write_text("other")
+    read = lambda: spark.createDataFrame([(f.stem, f.read_text(encoding="utf-8")) for f in tmp_path.iterdir() if f.stem != "index"], "page string, html string")
+    assert sorted(f.name for f in tmp_path.iterdir()) == [*(f"{d}.html" for d in days), "index.html"]
     first = {str(r["page"]): r["html"].rstrip("\n") for r in read().collect()}
     middle = first["2026-04-02"]
     assert all(x in middle for x in ("daily-enhancement-top-nav", "daily-enhancement-bottom-nav", "前一天 · 2026-04-01", "后一天 · 2026-04-03", "当日RSS", "../feed.xml", 'href="#paper-2"', "单页目录", "T1 &lt;b&gt;", "?a&amp;b"))
     assert "前一天" not in first["2026-04-01"] and "后一天" not in first["2026-04-03"]
     again = pages.enhanced(spark.createDataFrame(sorted(first.items()), "page string, html string").withColumn("page", F.to_date("page")), "page", F.col("page").cast("string"), pages.DAILY)
-    pages.write_pages(again.where("page > '2026-04-01'"), str(tmp_path), "page")  # replaces two pages, leaves the other
-    assert {str(r["page"]): r["html"].rstrip("\n") for r in read().collect()} == first
+    pages.write_pages(again.where("page > '2026-04-01'"), str(tmp_path), "page")  # replaces two pages, leaves the others
+    assert {str(r["page"]): r["html"].rstrip("\n") for r in read().collect()} == first and (tmp_path / "index.html").read_text() == "other"
 
 
 def test_weekly_pages(spark):
@@ -180,3 +199,46 @@ def test_ranges(spark):
     for bounds in ([], [5], [1, 4, 9], list(range(0, 100, 3))):
         got = [r[0] for r in spark.range(-5, 110).select(range_of(F.col("id"), bounds)).collect()]
         assert got == [sum(b <= x for b in bounds) for x in range(-5, 110)]
+
+
+def test_named_files_are_written_all_or_none(spark, tmp_path):
+    rows = spark.createDataFrame([("a.html", "A"), ("weekly/b.html", "ß"), ("c.html", None)], "name string, content string").repartition(3)
+    named_files.write_named(rows, str(tmp_path / "out"))
+    files = lambda: {str(f.relative_to(tmp_path / "out")): f.read_text(encoding="utf-8") for f in (tmp_path / "out").rglob("*") if f.is_file()}
+    assert files() == {"a.html": "A", "weekly/b.html": "ß", "c.html": ""}
+    named_files.write_named(spark.createDataFrame([("a.html", "new"), ("d.html", "D")], "name string, content string"), str(tmp_path / "out"))
+    after = {"a.html": "new", "weekly/b.html": "ß", "c.html": "", "d.html": "D"}
+    assert files() == after
+    failing = spark.range(8).select(F.concat(F.col("id").cast("string"), F.lit(".html")).alias("name"), F.when(F.col("id") == 7, F.raise_error(F.lit("lost"))).otherwise("x").alias("content")).repartition(4)
+    for bad in (failing, spark.createDataFrame([("e.html", "1"), ("e.html", "2")], "name string, content string"), spark.createDataFrame([("../e.html", "1")], "name string, content string")):
+        with pytest.raises(Exception):  # noqa: B017, PT011
+            named_files.write_named(bad, str(tmp_path / "out"))
+        assert files() == after
+    named_files.write_named(rows.limit(0), str(tmp_path / "out"))
+    assert files() == after
+
+
+def test_feeds_as_files(spark, tmp_path):
+    schema = "day string, nth int, title string, link string, author string, category string, pub_date string, description string"
+    rows = [("2026-03-27", 2, "B <b>", "l?a&b", "x", "c", "d", None), ("2026-03-27", 1, "A", "m", "y", "c", "d", "s"), ("2026-03-28", 1, "C", "n", "z", "c", "d", "t")]
+    feeds.write_feeds(spark.createDataFrame(rows, schema), str(tmp_path), "https://s", "day", "nth")
+    assert sorted(f.name for f in tmp_path.iterdir()) == ["2026-03-27.xml", "2026-03-28.xml"]
+    first = [dict(zip(schema.replace(" string", "").replace(" int", "").split(", "), r, strict=True)) for r in sorted(rows) if r[0] == "2026-03-27"]
+    assert (tmp_path / "2026-03-27.xml").read_text(encoding="utf-8") == feeds.daily_feed_xml("https://s", "2026-03-27", [r | {"description": r["description"] or ""} for r in first])
+
+
+def test_one_read_of_feeds(spark, tmp_path):
+    """Items and health from one read, equal to those of separate ones."""
+    (tmp_path / "f.xml").write_text("<rss><channel><item><title>t</title><link>l</link><category>k</category></item><item><title>t2 &amp; u</title></item></channel></rss>")
+    (tmp_path / "a.xml").write_text('<feed xmlns="http://www.w3.org/2005/Atom"><entry><title>u</title><link href="m"/><summary>s</summary><author><name>N</name></author><updated>2026-01-01</updated></entry></feed>')
+    (tmp_path / "none.xml").write_text("<rss><channel></channel></rss>")
+    (tmp_path / "page.xml").write_text("<html>503</html>")
+    (tmp_path / "void.xml").write_text("")
+    (tmp_path / "cut.xml").write_text("<rss><channel><item><title>kept</title></item><item><title>lo")
+    rows = named_files.read_feed_rows(spark, str(tmp_path))
+    assert rows.rdd.getNumPartitions() == 6
+    items = lambda df: {tuple(r[c] for c in ("title", "link", "summary", "author", "pub_date", "file")) for r in df.collect()}
+    whole = named_files.items_of(rows).where("file <> 'cut.xml'")
+    assert items(whole) == items(landed.read_feeds(spark, str(tmp_path / "[fa].xml")))
+    assert {(r["url"], r["items"], r["problem"]) for r in named_files.health_of(rows).collect()} == {("f.xml", 2, ""), ("a.xml", 1, ""), ("none.xml", 0, "no items"), ("page.xml", 0, "not a feed"), ("void.xml", 0, "empty"), ("cut.xml", 1, "broken off")}
+    assert tuple(feeds.feed_health(named_files.health_of(rows)).first()) == (6, 4)
