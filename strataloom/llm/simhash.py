@@ -22,8 +22,8 @@ WIDTH, RADIUS, SEED = 3, 2, 42
 NEAR, NEAR_WIDTH, BINS, BAND = 0.8, 5, 256, 8
 #: A text of more bytes is read in blocks.
 LONG = 1 << 21
-#: Heads of a bucket in the second round. Shingles of so many sets are frequent; the table of them has so many at most.
-HEADS, OFTEN, MOST_OFTEN = 8, 16, 1 << 16
+#: Heads of a bucket in the second round. Shingles of so many sets are frequent; how often the others occur makes no difference.
+HEADS, OFTEN = 8, 16
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LO, _HI = U64(0xFFFFFFFF), U64(0xFFFFFFFF00000000)
@@ -308,46 +308,52 @@ def _alike(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 def _spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each shingle of each set."""
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(batch["shingles"].to_pylist()), np.int64))], ["shingle"])
+        sets = [np.frombuffer(b, np.int64) for b in batch["shingles"].to_pylist()]
+        at = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *sets])), batch["node"].take(at)], ["shingle", "node"])
 
 
-def prefix(shingles: np.ndarray, often: np.ndarray, similarity: float) -> np.ndarray:
+def prefix(shingles: np.ndarray, often: np.ndarray, n: np.ndarray, similarity: float) -> np.ndarray:
     """The shingles of which two sets share one if they resemble each other so much: the first in the order of rarity that all sets have in
-    common, so many that the rest is too few. `often` are the frequent ones, sorted, and behind all others."""
-    at = np.searchsorted(often["shingle"], shingles)
-    at[at == len(often)] = 0
-    rank = np.where(often["shingle"][at] == shingles, often["n"][at], 0) if len(often) else np.zeros(len(shingles), np.int64)
+    common, so many that the rest is too few. `often` are the frequent ones among them, sorted, each in n sets; they are behind all others."""
+    rank = np.zeros(len(shingles), np.int64)
+    rank[np.searchsorted(shingles, often)] = n
     return shingles[np.lexsort((shingles, rank))][: len(shingles) - ceil(similarity * len(shingles) - 1e-9) + 1]
 
 
-def _prefixes(often: np.ndarray, similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _prefixes(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.frombuffer(b, np.int64) for b in batch["shingles"].to_pylist()]
-            first = [prefix(x, often, similarity) if len(x) else x for x in sets]
+            often = [(np.array([x["shingle"] for x in o or ()], np.int64), np.array([x["n"] for x in o or ()], np.int64)) for o in batch["often"].to_pylist()]
+            first = [prefix(x, *o, similarity) if len(x) else x for x, o in zip(sets, often, strict=True)]
             at = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in first]))
             size = pa.array([len(x) for x in sets], pa.int64())
             place = pa.array(np.concatenate([np.zeros(0, np.int64), *[np.arange(len(x)) for x in first]]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *first])), batch["node"].take(at), batch["group"].take(at), size.take(at), place], ["shingle", "node", "group", "size", "place"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *first])), batch["node"].take(at), size.take(at), place], ["shingle", "node", "size", "place"])
 
     return of_partition
 
 
-def _by_prefix(sets: DataFrame, similarity: float) -> DataFrame:
-    """All pairs (u, v) of nodes of different groups that may resemble each other, from (node, group, shingles): those whose prefixes meet.
+def _by_prefix(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """All pairs (u, v) of nodes of different groups that share a bucket and may resemble each other: those whose prefixes meet.
 
-    Texts that have frequent passages in common, and else differ, have no rare shingle in common, and make no pair.
+    members has bucket, node and group, sets has node and shingles. Texts that have frequent passages in common, and else differ, have no rare
+    shingle in common, and make no pair. Texts all of whose shingles are frequent meet by bucket too, so unlike ones mostly don't. How often a
+    shingle occurs is a table by shingle, of any size; it is joined to the sets that have the frequent ones.
     """
-    count = sets.select("shingles").mapInArrow(_spelled, "shingle long").groupBy("shingle").count().where(F.col("count") >= OFTEN)
-    rows = count.orderBy(F.desc("count"), "shingle").limit(MOST_OFTEN).collect()  # a bounded table
-    often = np.sort(np.array([tuple(r) for r in rows], [("shingle", np.int64), ("n", np.int64)]), order="shingle")
-    ends, at = stored(sets.mapInArrow(_prefixes(often, similarity), "shingle long, node long, group long, size long, place long"), "prefixes")
-    a, b = (ends.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "group", "size", "place")]) for side in "ab")
+    some = sets.join(members.select("node").distinct(), "node").select("node", "shingles")
+    each = some.mapInArrow(_spelled, "shingle long, node long")
+    often = each.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN)
+    of_node = each.join(often, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("shingle", "n"))).alias("often"))
+    ends = some.join(of_node, "node", "left").mapInArrow(_prefixes(similarity), "shingle long, node long, size long, place long")
+    rows, at = stored(members.join(ends, "node").select(F.xxhash64("bucket", "shingle").alias("key"), "node", "group", "size", "place"), "prefixes")
+    a, b = (rows.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "group", "size", "place")]) for side in "ab")
     # So many shingles must be common; the first common one comes early enough in both.
     common = F.ceil((F.col("a_size") + F.col("b_size")) * F.lit(similarity / (1 + similarity)) - 1e-9)
     early = (F.col("a_place") <= F.col("a_size") - common) & (F.col("b_place") <= F.col("b_size") - common)
     near = (F.col("a_node") > F.col("b_node")) & (F.col("a_group") != F.col("b_group")) & (F.least("a_size", "b_size") >= similarity * F.greatest("a_size", "b_size")) & early
-    return a.join(b, (a.shingle == b.shingle) & near).select(F.col("a_node").alias("u"), F.col("b_node").alias("v")).distinct()
+    return a.join(b, (a.key == b.key) & near).select(F.col("a_node").alias("u"), F.col("b_node").alias("v")).distinct()
 
 
 def _connected(buckets: DataFrame, pairs: DataFrame, between: Callable[[DataFrame], tuple[DataFrame, Callable[[DataFrame], DataFrame]]], similarity: float) -> DataFrame:
@@ -358,7 +364,7 @@ def _connected(buckets: DataFrame, pairs: DataFrame, between: Callable[[DataFram
     First the nodes of a bucket are paired with a head, then, those that no link connects yet, with a head of each of HEADS parts of the bucket; a
     bucket whose nodes are all connected is done. So a group of copies costs a pair for each. Heads are those that meet most others in
     all their buckets: an original comes before its copies; they are found by aggregation, so no task holds a whole bucket. The
-    nodes of the buckets that are left, which mostly are unlike, are paired where the rare ends of their sets meet, which is exact.
+    nodes of the buckets that are left, which mostly are unlike, are paired in their buckets where the rare ends of their sets meet, which is exact.
     """
     spark = buckets.sparkSession
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
@@ -384,8 +390,7 @@ def _connected(buckets: DataFrame, pairs: DataFrame, between: Callable[[DataFram
         left, left_at, links, link_at = now, now_at, more, more_at
         if left.isEmpty():
             return links
-    some = sets.join(left.select("node", "group").distinct(), "node").select("node", "group", "shingles")
-    return stars(alike(_by_prefix(some, similarity)).union(links.select("u", "v")))[0]
+    return stars(alike(_by_prefix(left.select("bucket", "node", "group"), sets, similarity)).union(links.select("u", "v")))[0]
 
 
 def one_of_each(docs: DataFrame, *, width: int = NEAR_WIDTH, similarity: float = NEAR, radius: int = 3, carried: tuple[str, ...] = ()) -> DataFrame:

@@ -599,9 +599,10 @@ def test_prefixes_of_like_sets_meet():
         base = rng.integers(0, 400, int(rng.integers(1, 80)))
         a, b = np.unique(base), np.unique(np.concatenate([base[: int(len(base) * rng.uniform(0.7, 1))], rng.integers(0, 400, int(rng.integers(0, 9)))]))
         some = np.unique(rng.integers(0, 400, int(rng.integers(0, 300))))
-        often = np.array(list(zip(some.tolist(), rng.integers(16, 99, len(some)).tolist(), strict=True)), [("shingle", np.int64), ("n", np.int64)])
+        times = rng.integers(16, 99, len(some))
+        own = lambda x: simhash.prefix(x, some[np.isin(some, x)], times[np.isin(some, x)], 0.8)  # noqa: B023, E731
         common = len(np.intersect1d(a, b))
-        meet = len(np.intersect1d(simhash.prefix(a, often, 0.8), simhash.prefix(b, often, 0.8))) > 0
+        meet = len(np.intersect1d(own(a), own(b))) > 0
         if common >= 0.8 * (len(a) + len(b) - common):
             met += 1
             assert meet
@@ -619,6 +620,32 @@ def test_pairs_by_prefix_equal_all_pairs(spark):
         own = rng.integers(0, 1 << 60, 60)
         sets += [np.unique(np.concatenate([passage, own])), np.unique(np.concatenate([passage, own[:50], rng.integers(0, 1 << 60, 4)]))] if k % 4 == 0 else [np.unique(np.concatenate([passage, own]))]
     alike = {(i, j) for i in range(len(sets)) for j in range(i) if simhash.resembling(0.8, sets[i].astype(np.uint64).tobytes(), sets[j].astype(np.uint64).tobytes())}
-    df = spark.createDataFrame([(i, i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, group long, shingles binary")
-    got = {(r["u"], r["v"]) for r in simhash._by_prefix(df, 0.8).collect()}
+    df = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, shingles binary")
+    members = spark.createDataFrame([(7, i, i) for i in range(len(sets))], "bucket long, node long, group long")
+    got = {(r["u"], r["v"]) for r in simhash._by_prefix(members, df, 0.8).collect()}
     assert len(alike) >= 25 and alike <= got and len(got) <= len(alike) + 20
+    apart = members.withColumn("bucket", members.node % 2)  # only pairs that share a bucket
+    assert {(r["u"], r["v"]) for r in simhash._by_prefix(apart, df, 0.8).collect()} == {(u, v) for u, v in got if (u - v) % 2 == 0}
+
+
+def test_texts_of_frequent_words_only_make_few_pairs(spark):
+    """2,000 texts of 40 out of 240 frequent shingles, some with a copy of a word or two changed: candidates grow with the texts, not with their
+    square, and the copies are found."""
+    rng = np.random.default_rng(21)
+    words = [f"w{i}" for i in range(240)]
+    texts = [[words[i] for i in rng.permutation(240)[:40]] for _ in range(2_000)]
+    for k in range(0, 200):
+        t = list(texts[k])
+        t[rng.integers(0, 40)] = "changed"
+        texts.append(t)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    made = []
+    plain = simhash._by_prefix
+    simhash._by_prefix = lambda *a: made.append(out := plain(*a)) or out
+    try:
+        kept = {r["doc_id"] for r in simhash.one_of_each(docs, width=1).collect()}
+    finally:
+        simhash._by_prefix = plain
+    assert set(range(2_000)) <= kept and len(kept) <= 2_004, len(kept)
+    assert sum(x.count() for x in made) < 20_000
