@@ -14,47 +14,59 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataloom.llm.common import prepare, stored
+from strataloom.llm.common import prepare, stored, utf8
 
-# Fixed value: what stands between terms.
-BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
+# The bytes of terms (letters, and all of characters beyond ASCII), and the lower case of A to Z.
+LETTERS = np.isin(np.arange(256), [*range(0x00, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)], invert=True)
+LOWER = np.where(np.isin(np.arange(256), np.arange(65, 91)), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
 LEAST_DOCS, TOP = 3, 200
-#: Rows that a task counts before it sends them on, characters that are split at a time, and entries that are paired at a time.
-HELD, CHARS, ENTRIES = 1 << 19, 1 << 22, 1 << 17
-
-
-def _of_texts(lang: pa.Array, source: pa.Array, text: pa.Array) -> pa.Table:
+#: Bytes of texts that are counted at a time, and entries that are paired at a time.
+BYTES, ENTRIES = 1 << 23, 1 << 17
+
+
+def terms(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The row and the term of each run of letters, from rows' bytes end to end."""
+    solid = LETTERS[raw]
+    first, last = solid.copy(), solid.copy()
+    first[1:] &= ~solid[:-1]
+    last[:-1] &= ~solid[1:]
+    cuts = off[1:-1][(off[1:-1] > 0) & (off[1:-1] < len(raw))]  # a term ends with its row
+    first[cuts] |= solid[cuts]
+    last[cuts - 1] |= solid[cuts - 1]
+    start = np.flatnonzero(first)
+    ends = np.concatenate([[0], np.cumsum(np.flatnonzero(last) + 1 - start)])
+    body = pa.py_buffer(LOWER[raw[solid]])
+    return np.searchsorted(off, start, "right") - 1, pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends.astype(np.int64)), body)
+
+
+def _of_texts(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
     """n and docs, how often and in how many of the texts, by lang, source and term."""
-    split = pc.split_pattern_regex(pc.ascii_lower(text.cast(pa.large_string())), BETWEEN)
-    doc, term = pc.list_parent_indices(split), pc.list_flatten(split)
-    some = pc.not_equal(term, "")
-    each = pa.table({"doc": doc.filter(some), "term": term.filter(some)}).group_by(["doc", "term"]).aggregate([([], "count_all")])
-    rows = pa.table({"lang": lang.take(each["doc"].combine_chunks()), "source": source.take(each["doc"].combine_chunks()), "term": each["term"], "n": each["count_all"]})
-    return rows.group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("n", "count")]).rename_columns(["lang", "source", "term", "n", "docs"])
-
-
-def _merged(tables: list[pa.Table]) -> pa.Table:
-    return pa.concat_tables(tables).group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "sum")]).rename_columns(["lang", "source", "term", "n", "docs"])
+    table = pa.Table.from_batches(rows)
+    doc, term = terms(*utf8(table["text"]))
+    coded = term.dictionary_encode()
+    group = table.select(["lang", "source"]).append_column("n", pa.array(np.arange(len(table)))).group_by(["lang", "source"], use_threads=False).aggregate([("n", "list")])
+    of_doc = np.zeros(len(table), np.int64)
+    members = group["n_list"].combine_chunks()
+    of_doc[members.flatten().to_numpy()] = members.value_parent_indices().to_numpy()
+    k = max(1, len(coded.dictionary))
+    own, times = np.unique(doc * k + coded.indices.to_numpy(), return_counts=True)
+    key, at = np.unique(of_doc[own // k] * k + own % k, return_inverse=True)
+    n = np.bincount(at, times, len(key)).astype(np.int64)
+    of, word = pa.array(key // k), pa.array(key % k)
+    return pa.RecordBatch.from_arrays([group["lang"].combine_chunks().take(of), group["source"].combine_chunks().take(of), coded.dictionary.take(word).cast(pa.string()), pa.array(n), pa.array(np.bincount(at, minlength=len(key)))], ["lang", "source", "term", "n", "docs"])
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task's documents, merged; where they grow beyond HELD rows they are sent and begun anew."""
-    total, new = None, []
+    """Counts of a task's documents, BYTES of texts at a time; a longer text is counted by itself."""
+    held, size = [], 0
     for batch in batches:
-        text = batch["text"]
-        ends = np.cumsum(np.maximum(pc.binary_length(text).to_numpy(zero_copy_only=False), 1))
-        i = 0
-        while i < len(text):
-            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + CHARS, "right")))
-            new.append(_of_texts(batch["lang"].slice(i, j - i), batch["source"].slice(i, j - i), text.slice(i, j - i)))
-            i = j
-            if sum(map(len, new)) > HELD // 4:
-                total, new = _merged([*([total] if total else []), *new]), []
-                if len(total) > HELD:
-                    yield from total.to_batches()
-                    total = None
-    if total or new:
-        yield from _merged([*([total] if total else []), *new]).to_batches()
+        held.append(batch)
+        size += batch["text"].nbytes
+        if size > BYTES:
+            yield _of_texts(held)
+            held, size = [], 0
+    if size:
+        yield _of_texts(held)
 
 
 def _pairs(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
