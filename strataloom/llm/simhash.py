@@ -315,7 +315,7 @@ def _spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def prefix(shingles: np.ndarray, often: np.ndarray, n: np.ndarray, similarity: float) -> np.ndarray:
     """The shingles of which two sets share one if they resemble each other so much: the first in the order of rarity that all sets have in
-    common, so many that the rest is too few. `often` are the frequent ones among them, sorted, each in n sets; they are behind all others."""
+    common, so many that the rest is too few. Both are sorted; `often` are the frequent ones among them, each in n sets, and behind all others."""
     rank = np.zeros(len(shingles), np.int64)
     rank[np.searchsorted(shingles, often)] = n
     return shingles[np.lexsort((shingles, rank))][: len(shingles) - ceil(similarity * len(shingles) - 1e-9) + 1]
@@ -324,7 +324,7 @@ def prefix(shingles: np.ndarray, often: np.ndarray, n: np.ndarray, similarity: f
 def _prefixes(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.frombuffer(b, np.int64) for b in batch["shingles"].to_pylist()]
+            sets = [np.sort(np.frombuffer(b, np.int64)) for b in batch["shingles"].to_pylist()]  # they are stored in the order of unsigned numbers
             often = [(np.array([x["shingle"] for x in o or ()], np.int64), np.array([x["n"] for x in o or ()], np.int64)) for o in batch["often"].to_pylist()]
             first = [prefix(x, *o, similarity) if len(x) else x for x, o in zip(sets, often, strict=True)]
             at = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in first]))

@@ -614,11 +614,12 @@ def test_prefixes_of_like_sets_meet():
 def test_pairs_by_prefix_equal_all_pairs(spark):
     """Texts with one frequent passage: those that are alike are found, and the others make few pairs."""
     rng = np.random.default_rng(13)
-    passage = np.sort(rng.integers(0, 1 << 60, 80))
+    wide = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)  # noqa: E731  half of them are negative as signed numbers
+    passage = wide(80)
     sets = []
     for k in range(120):
-        own = rng.integers(0, 1 << 60, 60)
-        sets += [np.unique(np.concatenate([passage, own])), np.unique(np.concatenate([passage, own[:50], rng.integers(0, 1 << 60, 4)]))] if k % 4 == 0 else [np.unique(np.concatenate([passage, own]))]
+        own = wide(60)
+        sets += [np.unique(np.concatenate([passage, own])), np.unique(np.concatenate([passage, own[:50], wide(4)]))] if k % 4 == 0 else [np.unique(np.concatenate([passage, own]))]
     alike = {(i, j) for i in range(len(sets)) for j in range(i) if simhash.resembling(0.8, sets[i].astype(np.uint64).tobytes(), sets[j].astype(np.uint64).tobytes())}
     df = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, shingles binary")
     members = spark.createDataFrame([(7, i, i) for i in range(len(sets))], "bucket long, node long, group long")
