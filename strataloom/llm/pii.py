@@ -27,7 +27,7 @@ KINDS = ("email", "ip", "card", "phone")
 #: Windows begin every STRIDE characters and are decoded ROWS at a time.
 WINDOW, STRIDE, ROWS = 512, 448, 768
 #: The model is fitted on so many windows at most, of TAUGHT characters, from documents of the least hash, read EPOCHS times.
-MOST_WINDOWS, TAUGHT, EPOCHS = 1536, 96, 8
+MOST_WINDOWS, TAUGHT, EPOCHS = 2560, 96, 8
 #: So many characters of each of these documents, from a place that its hash says, are sent to the task that fits.
 SAMPLED = 4096
 
@@ -83,9 +83,24 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 # --- the model's part ----------------------------------------------------------------------------------
 
-# How an at sign and a dot are written to hide an address, and what stands between groups of digits.
-AT, DOT = [" at ", " AT ", " (at) ", "(at)", "[at]", " [at] ", "{at}"], [" dot ", " DOT ", " (dot) ", "(dot)", "[dot]", "[.]", " . "]
-BETWEEN_IP, BETWEEN_CARD, BETWEEN_PHONE = ["[.]", " . ", "(.)", " dot "], [".", "/", "_", "  ", " - "], ["-", ".", " "]
+#: What may stand around and between the parts of made personal data. Brackets come in pairs, marks on both sides.
+BRACKETS, MARKS, ENDS = ["()", "[]", "{}", "<>"], "-_*/|+=~", ["com", "org", "net", "edu", "gov", "info", "io", "eu", "de", "fr", "es", "it", "uk", "co", "biz"]
+
+
+def spelt(sign: str, name: str, rng: random.Random) -> str:
+    """A sign, or its name in any case, between blanks, brackets or marks drawn at random."""
+    said = rng.choice([name, name, name.upper(), name.capitalize(), sign])
+    if rng.random() < 0.35:
+        return f" {said} "
+    left, right = rng.choice(BRACKETS) if rng.random() < 0.7 else rng.choice(MARKS) * 2
+    inside, around, n = rng.choice(["", "", " "]), rng.choice(["", " "]), rng.choice([1, 1, 1, 1, 2])
+    return around + left * n + inside + said + inside + right * n + around
+
+
+def between(rng: random.Random, signs: str) -> str:
+    """What stands between groups of digits: a sign, with blanks or twice, or two of them."""
+    sign = rng.choice(signs)
+    return rng.choice([sign, sign, f" {sign} ", f"{sign} ", sign * 2, "  "])
 
 
 def variant(kind: str, rng: random.Random) -> str:
@@ -93,28 +108,51 @@ def variant(kind: str, rng: random.Random) -> str:
     digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
     if kind == "email":
-        at, dot = rng.choice(AT), rng.choice(DOT)
-        name = rng.choice([word(), word() + digits(2), f"{word()}.{word()}", f"{word()}.{digits(2)}", f"{word()}_{word()}"])
-        return name + at + dot.join([*[word() + rng.choice(["", digits(1)]) for _ in range(rng.randint(1, 2))], rng.choice(["com", "org", "net", "de", "fr", "es", "edu"])])
+        at, dot = spelt("@", "at", rng), spelt(".", "dot", rng)
+        at = at if at != "@" else " at "
+        name = rng.choice([word(), word() + digits(2), f"{word()}.{word()}", f"{word()}.{digits(2)}", f"{word()}_{word()}", word().capitalize()])
+        end = rng.choice(ENDS) if rng.random() < 0.9 else word()[: rng.randint(2, 3)]
+        return name + at + dot.join([*[word() + rng.choice(["", digits(1)]) for _ in range(rng.randint(1, 2))], end])
     if kind == "ip":
-        return rng.choice(BETWEEN_IP).join(str(rng.randint(0, 255)) for _ in range(4))
+        sign = spelt(".", "dot", rng) if rng.random() < 0.7 else between(rng, "-_/|:,")
+        return sign.join(str(rng.randint(0, 255)) for _ in range(4))
     if kind == "card":
         body = rng.choice("3456") + digits(14)
         whole = body + next(d for d in "0123456789" if luhn(body + d))
-        return rng.choice(BETWEEN_CARD).join(whole[i : i + 4] for i in range(0, 16, 4))
+        sign = between(rng, "./_|*:,")
+        cuts = rng.choice([(4, 8, 12), (4, 8, 12), (4, 10)])
+        return sign.join(whole[i:j] for i, j in zip((0, *cuts), (*cuts, 16), strict=True))
     a, b, c = str(rng.randint(2, 9)) + digits(2), digits(3), digits(4)
-    sign = rng.choice(BETWEEN_PHONE)
-    return rng.choice([f"({a}) {b}-{c}", f"({a}) {b} {c}", f"({a}){b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"00{rng.randint(1, 99)}{sign}{a}{sign}{b}{sign}{c}", f"1-{a}-{b}-{c}"])
+    sign = rng.choice(["-", ".", " ", "/", between(rng, "-./_:")])
+    return rng.choice([f"({a}) {b}-{c}", f"({a}) {b} {c}", f"({a}){b}{sign}{c}", f"{a}{sign}{b}{sign}{c}", f"{a}-{b}-{c}", f"00{rng.randint(1, 99)}{sign}{a}{sign}{b}{sign}{c}", f"1-{a}-{b}-{c}"])
 
 
-def plain(kind: str, text: str) -> str:
-    """A span of the model as the kind's pattern would have it."""
-    if kind == "email":
-        text = re.sub(r"(?i)\s*[(\[{]\s*(at|dot|\.)\s*[)\]}]\s*|\s+(at|dot|\.)\s+", lambda m: "@" if (m[1] or m[2]).lower() == "at" else ".", text)
-        return text if re.fullmatch(_LOCAL.pattern[:-2] + _DOMAIN.pattern, text) else ""
-    if kind == "ip":
-        return re.sub(r"(?i)\s*[(\[{]\s*(?:dot|\.)\s*[)\]}]\s*|\s+(?:dot|\.)\s+", ".", text)
-    return text if re.fullmatch(r"[+(]?[0-9](?:[-\x20()./_]{0,3}[0-9])+", text) else ""
+def settled(told: str, text: str) -> tuple[str, int, int]:
+    """The kind of a span that the model has found, by its parts, however these are set apart, and where it begins and ends; the kind is empty
+    if it is none.
+
+    An address has a name, a host and an end of two to four letters, and where only blanks part it words for its signs; a longer
+    last word isn't its end. Spans of digits begin and end with digits or brackets; they are
+    told apart by their numbers: four of a byte each, a card's check digit, or as many digits as a phone has.
+    """
+    if told == "email":
+        parts = list(re.finditer(r"[A-Za-z0-9]+", text))
+        signs = re.search(r"[^A-Za-z0-9 ]", text) is not None
+        if len(parts) > 3 and len(parts[-1][0]) > 4:
+            parts.pop()
+        if not parts:
+            return "", 0, 0
+        a, b, last = parts[0].start(), parts[-1].end(), parts[-1][0]
+        good = text[a:b].isascii() and (3 if signs else 5) <= len(parts) <= 16 and len({p[0].lower() for p in parts}) >= min(4, len(parts))
+        return told if good and last.isalpha() and 2 <= len(last) <= 4 else "", a, b
+    found = re.search(r"[+(\[]?[0-9](?:.*[0-9])?", text, re.DOTALL)
+    if not found:
+        return "", 0, 0
+    numbers = re.findall("[0-9]+", text)
+    digits = "".join(numbers)
+    if len(numbers) == 4 and all(len(n) <= 3 and int(n) <= 255 for n in numbers):
+        return "ip", *found.span()
+    return "card" if 12 <= len(digits) <= 19 and luhn(digits) else "phone" if told == "phone" and 9 <= len(digits) <= 15 else "", *found.span()
 
 
 def tags(text_length: int, spans: list[tuple[int, int, str]]) -> np.ndarray:
@@ -180,7 +218,7 @@ def reconciled(found: dict[tuple[int, int, int], float]) -> list[tuple[int, int,
 
 
 def model_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int, str]]]:
-    """The tagger's spans of each text that fulfil their kind's conditions."""
+    """The tagger's spans of each text whose parts are those of a kind."""
     found: dict[int, dict[tuple[int, int, int], float]] = {}
     for where, x in laid_out(texts):
         for row, tag, above in zip(*tagger.decode(x), strict=True):
@@ -191,7 +229,8 @@ def model_spans(texts: list[str], tagger: Tagger) -> list[list[tuple[int, int, s
                 own[a + b, a + e, k] = own.get((a + b, a + e, k), 0.0) + score
     out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
     for i, spans in found.items():
-        out[i] = [(a, b, KINDS[k]) for a, b, k in reconciled(spans) if valid(KINDS[k], plain(KINDS[k], texts[i][a:b]))]
+        judged = [(a, *settled(KINDS[k], texts[i][a:b])) for a, b, k in reconciled(spans)]
+        out[i] = [(a + first, a + last, kind) for a, kind, first, last in judged if kind]
     return out
 
 
