@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strataloom.functions.text import bound
+
 # Elements whose text isn't read.
 SKIPPED = ["script", "style", "nav", "header", "footer", "noscript"]
 #: Entities by name, from the standard library's table. Those that pages mostly have are looked up first, the others by their first letter.
@@ -39,8 +41,7 @@ def unescaped(c: Column) -> Column:
         sign = F.when(good, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).when(code.isNull() & (name != ""), _named(name))
         return F.when(sign.isNotNull(), F.concat(sign, F.substring(part, F.length(name) + 2, F.length(part)))).otherwise(F.concat(F.lit("&"), part))
 
-    parts = F.split(c, "&")
-    return F.when(c.contains("&"), F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), one), ""))).otherwise(c)
+    return bound(F.split(c, "&"), lambda parts: F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), one), "")))
 
 
 def visible(c: Column) -> Column:
@@ -53,12 +54,14 @@ def visible(c: Column) -> Column:
     tag = rf"</?(?:{'|'.join(SKIPPED)}){REST_OF_TAG}"
     raw = rf"<({'|'.join(RAW)}){REST_OF_TAG}.*?(?:</\1(?=[\s/>])[^>]*+>|\z)"
     bare = F.regexp_replace(c, rf"(?is)<!--.*?(?:-->|\z)|<![^>]*>|{raw}", " ")
-    tags = F.regexp_extract_all(bare, F.lit(f"(?is){tag}"), 0)
-    deeper = lambda depth, t: F.when(t.startswith("</"), F.greatest(F.get(depth, -1 + F.size(depth)) - 1, F.lit(0))).otherwise(F.get(depth, -1 + F.size(depth)) + 1)
-    depths = F.aggregate(tags, F.array(F.lit(0)), lambda depth, t: F.concat(depth, F.array(deeper(depth, t))))
-    parts = F.split(bare, f"(?is){tag}")
-    seen = F.transform(F.array(depths), lambda d: F.filter(parts, lambda _, i: F.get(d, i) == 0))[0]
-    return F.when(F.size(tags) == 0, bare).otherwise(F.array_join(seen, " "))
+    last = lambda depth: F.get(depth, F.size(depth) - 1)
+    deeper = lambda depth, t: F.when(t.startswith("</"), F.greatest(last(depth) - 1, F.lit(0))).otherwise(last(depth) + 1)
+
+    def seen(bare: Column) -> Column:
+        depths = F.aggregate(F.regexp_extract_all(bare, F.lit(f"(?is){tag}"), 0), F.array(F.lit(0)), lambda depth, t: F.concat(depth, F.array(deeper(depth, t))))
+        return bound(depths, lambda d: F.array_join(F.filter(F.split(bare, f"(?is){tag}"), lambda _, i: F.get(d, i) == 0), " "))
+
+    return bound(bare, seen)
 
 
 def html_to_text(html: Column) -> Column:

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strataloom.functions.text import clean_highlight, first_of, has_cjk, text_or_empty
+from strataloom.functions.text import bound, clean_highlight, first_of, has_cjk, text_or_empty
 
 # The elements of a poster, and their English names.
 ELEMENTS = ["研究问题", "创新方法", "工作流程", "关键结果", "应用价值"]
@@ -29,11 +27,6 @@ def _number(v: Column) -> Column:
     return F.when(kind == "STRING", whole).when(kind == "BOOLEAN", (text == "true").cast("int")).otherwise(F.try_variant_get(v, "$", "double").cast("int"))
 
 
-def bound(value: Column, then: Callable[[Column], Column]) -> Column:
-    """then(value), with the value computed once however often it is named."""
-    return F.transform(F.array(value), then)[0]
-
-
 def highlight_items(answer: Column) -> Column:
     """index and highlight of an answer's items: those that are objects with a number and a Chinese highlight; the last of an index.
 
