@@ -105,6 +105,13 @@ def between(rng: random.Random, signs: str) -> str:
 
 def variant(kind: str, rng: random.Random) -> str:
     """Made personal data of a kind, written in a way that the patterns don't match."""
+    while True:
+        made = _made(kind, rng)
+        if settled(kind, made) == (kind, 0, len(made)) and (0, len(made), kind) not in base_spans(made):
+            return made
+
+
+def _made(kind: str, rng: random.Random) -> str:
     digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
     if kind == "email":
@@ -137,12 +144,12 @@ def settled(told: str, text: str) -> tuple[str, int, int]:
     """
     if told == "email":
         parts = list(re.finditer(r"[A-Za-z0-9]+", text))
-        signs = re.search(r"[^A-Za-z0-9 ]", text) is not None
         if len(parts) > 3 and len(parts[-1][0]) > 4:
             parts.pop()
         if not parts:
             return "", 0, 0
         a, b, last = parts[0].start(), parts[-1].end(), parts[-1][0]
+        signs = re.search(r"[^A-Za-z0-9 ]", text[a:b]) is not None
         good = text[a:b].isascii() and (3 if signs else 5) <= len(parts) <= 16 and len({p[0].lower() for p in parts}) >= min(4, len(parts))
         return told if good and last.isalpha() and 2 <= len(last) <= 4 else "", a, b
     found = re.search(r"[+(\[]?[0-9](?:.*[0-9])?", text, re.DOTALL)
