@@ -9,6 +9,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -325,8 +326,9 @@ def _prefixes(similarity: float) -> Callable[[Iterator[pa.RecordBatch]], Iterato
     def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [np.sort(np.frombuffer(b, np.int64)) for b in batch["shingles"].to_pylist()]  # they are stored in the order of unsigned numbers
-            often = [(np.array([x["shingle"] for x in o or ()], np.int64), np.array([x["n"] for x in o or ()], np.int64)) for o in batch["often"].to_pylist()]
-            first = [prefix(x, *o, similarity) if len(x) else x for x, o in zip(sets, often, strict=True)]
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(batch["often"]), 0).to_numpy(zero_copy_only=False))
+            often, n = (x.to_numpy() for x in pc.list_flatten(batch["often"]).flatten())
+            first = [prefix(x, often[i:j], n[i:j], similarity) if len(x) else x for x, i, j in zip(sets, [0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
             at = pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in first]))
             size = pa.array([len(x) for x in sets], pa.int64())
             place = pa.array(np.concatenate([np.zeros(0, np.int64), *[np.arange(len(x)) for x in first]]))
