@@ -6,10 +6,12 @@ import json
 import random
 import xml.dom.minidom
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from strataloom.operators import breaker, calendar, enrich, feeds, pages, posters, quality, records
+from strataloom.plans import catalogue
 from strataloom.sources import articles, landed, named_files, sinks
 
 
@@ -129,6 +131,28 @@ def test_full_texts_from_landed_answers(spark, tmp_path):
     assert got == {1: (55, "html"), 2: (55, "html"), 3: (0, ""), 4: (0, ""), 5: (0, "")}
 
 
+def test_full_texts_of_papers_with_several_items_and_answers(spark):
+    """An item returns once: of a place's answers that are long enough the greatest text counts, and an earlier place's before a later one's."""
+    at = "https://{}/2601.0000{}".format
+    pages = [(at("arxiv.org/html", 1), "<p>" + "a" * 60), (at("arxiv.org/html", 1), "<p>" + "b" * 50 + "<i>c</i>"), (at("arxiv.org/html", 1), "z"), (at("arxiv.org/html", 1), None), (at("ar5iv.org/abs", 1), "y" * 60), (at("ar5iv.org/abs", 2), "d" * 60), (at("ar5iv.org/abs", 2), "e" * 55), (None, "f" * 60), ("https://x.org/1", "g" * 60)]
+    pages = spark.createDataFrame([(url, body and f"{body}</p>") for url, body in pages], "url string, body string")
+    files = spark.createDataFrame([(at("arxiv.org/pdf", 2), b"%PDF"), (at("arxiv.org/pdf", 3), b"%PDF"), (at("arxiv.org/pdf", 3), b"%PDF")], "url string, content binary")
+    items = [(i, f"https://arxiv.org/abs/2601.0000{i % 4}v1") for i in range(12)] + [(12, None), (13, "https://doi.org/10.1/2601.00001")]
+    got = sorted(tuple(r) for r in records.fetched(spark.createDataFrame(items, "id int, link string"), pages, files, least=50, most=51).collect())
+    assert got == [(i, link, *{1: ("b" * 50 + " ", "html"), 2: ("e" * 51, "html")}.get(i % 4 if i < 12 else 0, ("", ""))) for i, link in items]
+
+
+def test_full_texts_equal_the_sql_where_papers_repeat(spark, tmp_path):
+    """fulltext_fetch on ids from 80,000 on, whose papers are those of smaller ids."""
+    con, name = duckdb.connect(), "fulltext_fetch"
+    con.execute(f"copy (select doc_id + 80000 * n as doc_id, chr(cast(97 + n as int)) || repeat(text, 3) as text, lang, source, n_chars from '/root/testdata/sf0.001/documents.parquet', range(6) t(n)) to '{tmp_path}/documents.parquet'")
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet'")
+    got = sorted(tuple(r) for r in catalogue.QUERIES[name](spark, str(tmp_path)).collect())
+    wanted = con.execute(catalogue.ORACLE_SQL[name])
+    names = [d[0] for d in wanted.description]
+    assert len(got) == 1200 and got == sorted(tuple(r[names.index(c)] for c in ("doc_id", "body", "mode")) for r in wanted.fetchall())
+
+
 def test_answers_of_several_responses(spark):
     requests = spark.createDataFrame([("a",), ("b",)], "id string")
     own = spark.createDataFrame([("a", "2"), ("a", "1")], "id string, content string")
