@@ -142,6 +142,15 @@ def test_full_texts_of_papers_with_several_items_and_answers(spark):
     assert got == [(i, link, *{1: ("b" * 50 + " ", "html"), 2: ("e" * 51, "html")}.get(i % 4 if i < 12 else 0, ("", ""))) for i, link in items]
 
 
+def test_full_texts_are_moved_once(spark):
+    """However often a paper is named: texts meet by paper before items join them, and no join's rows are dealt again."""
+    pages = spark.range(400).select(F.concat(F.lit("https://arxiv.org/html/2601.0000"), F.col("id") % 2).alias("url"), F.concat(F.lit("<p>"), F.repeat(F.lit("x"), 4000)).alias("body"))
+    items = spark.range(400).select("id", F.concat(F.lit("2601.0000"), F.col("id") % 2).alias("link"))
+    got = records.fetched(items, pages, spark.createDataFrame([], "url string, content binary"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and plan.index("Join ") < plan.index("Aggregate ") and got.count() == 400
+
+
 def test_full_texts_equal_the_sql_where_papers_repeat(spark, tmp_path):
     """fulltext_fetch on ids from 80,000 on, whose papers are those of smaller ids."""
     con, name = duckdb.connect(), "fulltext_fetch"
