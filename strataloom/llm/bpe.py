@@ -24,7 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.llm.common import U64, pieces, prepare, utf8
+from strataloom.llm.common import U64, caches, pieces, prepare, utf8
 
 LEAF, UNSPLIT, KEPT_PIECES = 2048, 4096, 1 << 20
 #: Bytes of text that are split at once, ids that are decoded at once, and threads that encode the leaves of a long piece.
@@ -320,6 +320,9 @@ def loaded(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
+caches.append(loaded.cache_clear)
+
+
 def standard_path() -> str:
     """The public vocabulary that the registered queries use, where this process has it."""
     import public_tokenizers

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +63,30 @@ def dropped(spark: SparkSession, at: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: What empties the caches that operators keep from task to task in a Python worker.
+caches: list[Callable[[], None]] = []
+
+
+def cleared() -> None:
+    """Gives the system back what tasks of this process have cached or freed."""
+    for clear in caches:
+        clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # the C library may not be glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def with_room(f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A partition's function, begun without what other operators' tasks have left: Spark's workers go on from stage to stage and keep what they took."""
+
+    def of_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cleared()
+        yield from f(batches)
+
+    return of_partition
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

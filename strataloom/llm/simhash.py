@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataloom.llm.common import U64, dropped, even_keys, mixed, partitions, pieces, prepare, span_hashes, stored, utf8, words
+from strataloom.llm.common import U64, dropped, even_keys, mixed, partitions, pieces, prepare, span_hashes, stored, utf8, with_room, words
 from strataloom.llm.components import forest, stars
 from strataloom.llm.fingerprints import bin_minima, long_hashes, run_hashes, shingle_hashes, sketched
 
@@ -345,10 +345,10 @@ def _by_prefix(members: DataFrame, sets: DataFrame, similarity: float) -> DataFr
     shingle occurs is a table by shingle, of any size; it is joined to the sets that have the frequent ones.
     """
     some = sets.join(members.select("node").distinct(), "node").select("node", "shingles")
-    each = some.mapInArrow(_spelled, "shingle long, node long")
+    each = some.mapInArrow(with_room(_spelled), "shingle long, node long")
     often = each.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN)
     of_node = each.join(often, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("shingle", "n"))).alias("often"))
-    ends = some.join(of_node, "node", "left").mapInArrow(_prefixes(similarity), "shingle long, node long, size long, place long")
+    ends = some.join(of_node, "node", "left").mapInArrow(with_room(_prefixes(similarity)), "shingle long, node long, size long, place long")
     rows, at = stored(members.join(ends, "node").select(F.xxhash64("bucket", "shingle").alias("key"), "node", "group", "size", "place"), "prefixes")
     a, b = (rows.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "group", "size", "place")]) for side in "ab")
     # So many shingles must be common; the first common one comes early enough in both.
@@ -367,6 +367,7 @@ def _connected(buckets: DataFrame, pairs: DataFrame, between: Callable[[DataFram
     bucket whose nodes are all connected is done. So a group of copies costs a pair for each. Heads are those that meet most others in
     all their buckets: an original comes before its copies; they are found by aggregation, so no task holds a whole bucket. The
     nodes of the buckets that are left, which mostly are unlike, are paired in their buckets where the rare ends of their sets meet, which is exact.
+    Links are stored before they are joined up, as a task with two Python functions in a row has two workers, which both stay.
     """
     spark = buckets.sparkSession
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
@@ -380,19 +381,22 @@ def _connected(buckets: DataFrame, pairs: DataFrame, between: Callable[[DataFram
         best = left.groupBy("bucket", F.pmod(F.xxhash64("node"), F.lit(parts)).alias("part")).agg(F.max(F.struct("met", "node", "group")).alias("k"))
         heads, heads_at = stored(best.select("bucket", F.col("k.node").alias("head"), F.col("k.group").alias("of")), "heads")
         tried = left.join(heads, (left.bucket == heads.bucket) & (left.group != heads.of)).select(F.greatest("node", "head").alias("u"), F.least("node", "head").alias("v"))
-        found = alike((tried.union(pairs.select("u", "v")) if links is None else tried).distinct())
+        found, found_at = stored(alike((tried.union(pairs.select("u", "v")) if links is None else tried).distinct()), "alike")
         more, more_at = stars(found if links is None else found.union(links.select("u", "v")))
         rest = left.drop("group").join(heads.select("bucket", F.col("head").alias("node")), ["bucket", "node"], "left_anti")
         rest = rest.join(more, F.col("node") == more.u, "left").select("bucket", "node", "met", F.coalesce("v", "node").alias("group"))
         split = rest.groupBy("bucket").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least < most").select("bucket")
         now, now_at = stored(rest.join(split, "bucket"), "left")
-        for x in (left_at, heads_at, link_at):
+        for x in (left_at, heads_at, link_at, found_at):
             if x:
                 dropped(spark, x)
         left, left_at, links, link_at = now, now_at, more, more_at
         if left.isEmpty():
             return links
-    return stars(alike(_by_prefix(left.select("bucket", "node", "group"), sets, similarity)).union(links.select("u", "v")))[0]
+    found, found_at = stored(alike(_by_prefix(left.select("bucket", "node", "group"), sets, similarity)), "alike")
+    out, _ = stars(found.union(links.select("u", "v")))
+    dropped(spark, found_at)
+    return out
 
 
 def one_of_each(docs: DataFrame, *, width: int = NEAR_WIDTH, similarity: float = NEAR, radius: int = 3, carried: tuple[str, ...] = ()) -> DataFrame:
@@ -409,7 +413,7 @@ def one_of_each(docs: DataFrame, *, width: int = NEAR_WIDTH, similarity: float =
     prepare(spark)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(c).alias(f"_{c}") for c in carried])
     own = own.withColumn("node", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows, rows_at = stored(own.select("doc_id", "node", "text").mapInArrow(_described(width), "doc_id long, node long, fp long, sketch binary"), "words")
+    rows, rows_at = stored(own.select("doc_id", "node", "text").mapInArrow(with_room(_described(width)), "doc_id long, node long, fp long, sketch binary"), "words")
     nodes, nodes_at = stored(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("least"), F.max("sketch").alias("sketch")), "nodes")
     dropped(spark, rows_at)
     # Of the texts with one fingerprint the least stands for all towards other fingerprints; they are pairs with it themselves.
@@ -426,11 +430,11 @@ def one_of_each(docs: DataFrame, *, width: int = NEAR_WIDTH, similarity: float =
         """By their whole sets of shingles, from the texts read again."""
         wanted = nodes.join(some, "node").select(pick("least").alias("pick"))
         texts = own.select("doc_id", "node", "text").withColumn("pick", pick("doc_id")).join(wanted, "pick").select("node", "text")
-        sets, _ = stored(texts.mapInArrow(_shingled(width), "node long, shingles binary").groupBy("node").agg(F.max("shingles").alias("shingles")), "shingles")
+        sets, _ = stored(texts.mapInArrow(with_room(_shingled(width)), "node long, shingles binary").groupBy("node").agg(F.max("shingles").alias("shingles")), "shingles")
         of = lambda side, name: sets.select(F.col("node").alias(side), F.col("shingles").alias(name))
-        return sets, lambda pairs: pairs.join(of("u", "a"), "u").join(of("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(_alike(similarity), "u long, v long")
+        return sets, lambda pairs: pairs.join(of("u", "a"), "u").join(of("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(with_room(_alike(similarity)), "u long, v long")
 
-    grouped = _connected(nodes.select("node", "sketch").mapInArrow(_bands, "bucket long, node long"), pairs, between, similarity)
+    grouped = _connected(nodes.select("node", "sketch").mapInArrow(with_room(_bands), "bucket long, node long"), pairs, between, similarity)
     dropped(spark, pairs_at)
     member = nodes.join(grouped, nodes.node == grouped.u, "left").select("node", "least", F.coalesce("v", "node").alias("group"))
     stays = member.groupBy("group").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "node")).alias("k")).select(F.col("k.least").alias("kept_id"), F.col("k.node").alias("node"))

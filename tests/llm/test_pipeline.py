@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 
 import corpus_pipeline as pipeline
-from strataloom.llm import pii, simhash
+from strataloom.llm import bpe, common, pii, simhash
 from strataloom.llm.common import stored, table
 from tests.llm.test_queries import WORD, cut_bytes, odd, sha  # noqa: F401
 
@@ -57,6 +57,22 @@ def test_near_copies_are_found_among_all_pairs(spark):
     assert want <= kept and len(later - kept) >= 0.98 * len(later) and len(later) > 20, (len(later), len(later & kept), len(kept - want))
 
 
+def test_near_copies_need_one_worker_a_task(spark, monkeypatch):
+    """No Python function reads another's rows in a task of what is stored or joined up, so a core has one worker."""
+    plans = []
+    for name in ("stored", "stars"):
+        monkeypatch.setattr(simhash, name, lambda df, *a, f=getattr(simhash, name): plans.append((f.__name__, df._jdf.queryExecution().executedPlan().toString())) or f(df, *a))
+    assert simhash.one_of_each(table(spark, "/root/testdata/sf0.001", "documents")).count()
+    assert {n for n, _ in plans} == {"stored", "stars"} and not any("MapInArrow" in x for n, x in plans if n == "stars")
+
+
+def test_workers_begin_without_what_others_left():
+    """A tokenizer that packing keeps for its next task goes before a task of near copies begins."""
+    bpe.loaded(bpe.standard_path())
+    assert bpe.loaded.cache_info().currsize
+    assert list(common.with_room(lambda batches: batches)(iter([1, 2]))) == [1, 2] and not bpe.loaded.cache_info().currsize
+
+
 def test_stages(spark):
     docs = table(spark, SF, "documents")
     columns = docs.columns
